@@ -2,9 +2,10 @@
 
 1. Every text becomes a set of 64-bit shingle hashes; texts with equal sets form a class, and only classes are compared.
 2. Shingles get one global order, rare ones first, by a count sketch over all texts (its size is fixed, so it can be broadcast).
-3. Two sets with similarity t share one of their first n - ceil(t n) + 1 shingles. Classes that meet at a shingle are compared
-   with the smallest of them first; its component takes them in, and only classes that remain in different components are then
-   paired with each other. A group of near copies therefore costs a number of pairs in proportion to its size.
+3. Two sets with similarity t share one of their first n - ceil(t n) + 1 shingles. Of the classes that meet at a shingle the
+   smallest is the hub. Each class is compared with one hub first; where classes of different components still meet, with the
+   shingle's hub; and only what remains apart after that is paired with each other. A group of near copies therefore costs a
+   number of pairs in proportion to its size.
 4. Pairs are checked exactly: the sets that a class is compared with are stored in a prefix tree in the global order, the
    traversal reuses the overlap of shared beginnings, and leaves a subtree once the shingles that remain cannot reach t.
 """
@@ -196,19 +197,23 @@ def similar_sets(docs: DataFrame, k: int = 5, kind: str = "spaced", num: int = 8
     texts = docs.join(first, F.expr("doc_id <=> first_id"))
     sets = durable(texts.select("signature", "text").mapInArrow(_sets(k, kind, ranks), "signature long, grams binary"), "sets")
 
+    # First each class with the one among its hubs (the smallest class at a shingle) that it shares most shingles with.
     hub = met.alias("h").where("signature = least")
-    pairs = met.alias("m").where("signature <> least").join(hub, F.expr("h.shingle = m.shingle")).where(possible("h", "m"))
-    tried = durable(pairs.select(F.col("h.signature").alias("a"), F.col("m.signature").alias("b")).distinct(), "tried")
+    shared = met.alias("m").where("signature <> least").join(hub, F.expr("h.shingle = m.shingle")).where(possible("h", "m"))
+    shared = shared.groupBy(F.col("m.signature").alias("b"), F.col("h.signature").alias("a")).agg(F.count("*").alias("times"))
+    tried = durable(shared.groupBy("b").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a")).select("a", "b"), "tried")
     links = _verify(tried, sets, num, den, "links")
-    label = connected_components(links, "a", "b").select(F.col("node").alias("signature"), "component")
-
-    apart = met.join(label, "signature", "left").select("shingle", "signature", "n", "position", F.coalesce("component", "signature").alias("component"))
-    several = apart.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
-    apart = durable(apart.join(several, "shingle"), "apart")
-    rest = apart.alias("x").join(apart.alias("y"), F.expr(f"x.shingle = y.shingle AND x.component <> y.component AND x.signature < y.signature AND {possible('x', 'y')}"))
-    rest = rest.select(F.col("x.signature").alias("a"), F.col("y.signature").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = _verify(durable(rest, "rest"), sets, num, den, "links")
-    classes = connected_components(links.unionByName(more), "a", "b").select(F.col("node").alias("signature"), "component")
+    # Then, where components still meet, their classes with the shingle's hub; and what is left apart, pair by pair.
+    for last in (False, True):
+        label = connected_components(links, "a", "b").select(F.col("node").alias("signature"), "component")
+        apart = met.join(label, "signature", "left").select("shingle", "signature", "n", "position", "least", F.coalesce("component", "signature").alias("component"))
+        several = apart.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
+        apart = durable(apart.join(several, "shingle"), "apart")
+        left = apart.alias("x") if last else apart.where("signature = least").alias("x")
+        rest = left.join(apart.alias("y"), F.expr(f"x.shingle = y.shingle AND x.component <> y.component AND x.signature < y.signature AND {possible('x', 'y')}"))
+        rest = durable(rest.select(F.col("x.signature").alias("a"), F.col("y.signature").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "rest")
+        links, tried = links.unionByName(_verify(rest, sets, num, den, "links")), tried.unionByName(rest)
+    classes = connected_components(links, "a", "b").select(F.col("node").alias("signature"), "component")
     drop_durable(sets)
     return profile, classes
 

@@ -5,18 +5,44 @@ from __future__ import annotations
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from noticeweave.llm import bpe, decontaminate, jaccard, quality
+from noticeweave.llm import bpe, decontaminate, embeddings, html, jaccard, licenses, quality, token_file, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The rules of the URL filter.
+URL_RULES = [
+    ("com", "/en/", "block"),
+    ("example.com", "/en/7", "allow"),
+    ("net", "/de/", "block"),
+    ("example.net", "/de/8", "allow"),
+    ("org", "/es/", "block"),
+]
+
+
+def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file.token_round_trip(_table(spark, sf_dir, "documents"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_copies(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "lang", "perplexity", "threshold", "keep")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = decontaminate.contamination(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
     return judged.drop("text")
@@ -30,10 +56,19 @@ def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(_table(spark, sf_dir, "documents").select("doc_id", "text"), with_ids=False)
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge(_table(spark, sf_dir, "pages"), rules).drop("by_alias")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages")).drop("url")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_classifier, op6_benchmark_decontamination, op7_ngram_jaccard_join, op8_byte_level_bpe, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_token_file, op2_license_scan, op3_embedding_near_dedup, op4_quality_classifier, op5_html_extraction, op6_benchmark_decontamination, op7_ngram_jaccard_join, op8_byte_level_bpe, op9_url_filter, op10_warc, pipeline)}
 
 ORACLES: dict[str, str] = {}
