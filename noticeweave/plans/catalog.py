@@ -1,10 +1,8 @@
-"""Names of the queries over the driver tables."""
+"""All queries over the driver's tables."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from noticeweave.plans import entities, metrics, streams, texts  # noqa: F401  they register themselves
+from noticeweave.plans.registry import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
