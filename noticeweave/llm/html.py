@@ -238,14 +238,15 @@ class Labeller:
         batches = [padded([pages[i] for i in order[k : k + 32]], [labels[i] for i in order[k : k + 32]]) for k in range(0, len(order), 32)]
         first, second = ({k: np.zeros_like(v) for k, v in self.w.items()} for _ in range(2))
         draw, step = np.random.default_rng(SEED), 0
-        for _ in range(EPOCHS):
+        for epoch in range(EPOCHS):
+            rate = RATE * (1 - epoch / EPOCHS)
             for k in draw.permutation(len(batches)):
                 step += 1
                 for name, g in self.gradients(*batches[k]).items():
                     g = np.clip(g, -1, 1)
                     first[name] = 0.9 * first[name] + 0.1 * g
                     second[name] = 0.999 * second[name] + 0.001 * g * g
-                    self.w[name] -= RATE * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.999**step)) + 1e-8)
+                    self.w[name] -= rate * (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.999**step)) + 1e-8)
 
     def label(self, pages: list[np.ndarray]) -> list[np.ndarray]:
         """Whether each block is main text."""
@@ -322,8 +323,10 @@ def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     Nothing is cut from blocks but surrounding white space. Other columns are ignored.
     """
     # The sample bounds what is labelled for training, never what is extracted; whole pages enter it.
-    chosen = pages.where("html <> ''").select("html").orderBy(F.xxhash64("html")).limit(sample)
-    weights = {k: v.astype(np.float32) for k, v in train([r["html"] for r in chosen.collect()]).w.items()}
+    hashed = pages.where("html <> ''").select(F.xxhash64("html").alias("h"), "html")
+    least = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(sample).collect()]
+    chosen = hashed.where(F.col("h").isin(least)).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").collect() if least else []
+    weights = {k: v.astype(np.float32) for k, v in train([r["html"] for r in chosen]).w.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Labeller(weights)
