@@ -2,7 +2,7 @@
 
 Bytes are read as Latin-1 characters, so an Aho-Corasick automaton over the vocabulary finds every token that starts at every place
 in one sweep. A piece is encoded from the left by its longest tokens; a token may stand only beside one that it is compatible
-with, which is so if the merges of the two tokens' bytes give those two tokens again. If no token fits, the last one is taken back
+with, which is so if the merges of the two tokens' bytes give those two tokens again, found by taking their merges back. If no token fits, the last one is taken back
 and shortened; places from which no encoding goes on are marked, so each is left once. A sequence whose neighbours are all
 compatible is what the merges give for the whole piece, and there is one such sequence.
 """
@@ -20,8 +20,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: Pieces and pairs remembered per worker; when full they are forgotten.
-REMEMBERED = 400_000
+from noticeweave.llm.chunks import stretches
+
+#: Stretches and pairs remembered per worker; when full they are forgotten.
+REMEMBERED = 600_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -30,18 +32,22 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class BytePairCodec(dict):
-    """Maps a piece of text to its ids as little-endian 32-bit integers; a piece not yet seen is encoded and remembered."""
+    """Maps a stretch between spaces to the ids of its pieces, with a space before it, as little-endian 32-bit integers; one not yet
+    seen is encoded and remembered. cut says whether the pattern lets texts be cut at spaces (see chunks)."""
 
     def __init__(self, path: str, pattern: str):
+        self.cut = pattern == public_tokenizers.PATTERN
         self.ranks = load_ranks(path)
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.pieces = regex.compile(pattern).findall
         self.automaton = ahocorasick.Automaton()
         for token in self.ranks:
-            self.automaton.add_word(token.decode("latin-1"), token)
+            self.automaton.add_word(token.decode("latin-1"), (len(token) - 1, token))
         self.automaton.make_automaton()
         self._compatible: dict[tuple[bytes, bytes], bool] = {}
+        self._known: dict[str, bytes] = {}
         self._whole: dict[bytes, bool] = {}
+        self._halves: dict[bytes, tuple[bytes, bytes] | None] = {}
 
     def merges(self, data: bytes) -> list[bytes]:
         """The parts of a short byte string after all merges, lowest rank first, leftmost first."""
@@ -53,12 +59,36 @@ class BytePairCodec(dict):
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return parts
 
+    def halves(self, token: bytes) -> tuple[bytes, bytes] | None:
+        """The two parts that a token's last merge joins; none for a byte."""
+        known = self._halves.get(token, False)
+        if known is False:
+            rank = self.ranks.pop(token)  # the merges of its bytes without the token itself end in its halves
+            parts = self.merges(token)
+            self.ranks[token] = rank
+            known = self._halves[token] = tuple(parts) if len(parts) == 2 else None
+        return known
+
     def compatible(self, left: bytes, right: bytes) -> bool:
+        """Whether the merges of left + right keep the border between them. Their merges are taken back, the latest first; the parts
+        at the border must at no time have a merge that goes before the one taken back last (of equals the leftmost goes first)."""
         known = self._compatible.get((left, right))
         if known is None:
+            x, y, limit, known = left, right, 1 << 40, None
+            while known is None:
+                if self.ranks.get(x + y, 1 << 40) < limit:
+                    known = False
+                    break
+                a, b = self.halves(x), self.halves(y)
+                if a is None and b is None:
+                    known = True
+                elif b is None or a is not None and self.ranks[x] > self.ranks[y]:
+                    limit, x = self.ranks[x], a[1]
+                else:
+                    limit, y = self.ranks[y] + 1, b[0]
             if len(self._compatible) >= REMEMBERED:
                 self._compatible.clear()
-            known = self._compatible[left, right] = self.merges(left + right) == [left, right]
+            self._compatible[left, right] = known
         return known
 
     def reachable(self, token: bytes) -> bool:
@@ -72,8 +102,8 @@ class BytePairCodec(dict):
         if data in self.ranks:
             return [self.ranks[data]]
         starts: list[list[bytes]] = [[] for _ in data]  # tokens at each place, the longest last
-        for end, token in self.automaton.iter(data.decode("latin-1")):
-            starts[end + 1 - len(token)].append(token)
+        for end, (size, token) in self.automaton.iter(data.decode("latin-1")):
+            starts[end - size].append(token)
         out: list[tuple[bytes, int]] = []  # tokens, and how many longer choices at their place have been used up
         dead, at, tried = bytearray(len(data) + 1), 0, 0
         while at < len(data):
@@ -90,16 +120,32 @@ class BytePairCodec(dict):
                 at -= len(token)
         return [self.ranks[token] for token, _ in out]
 
-    def __missing__(self, piece: str) -> bytes:
+    def _pieces_of(self, text: str) -> bytes:
+        out = []
+        for piece in self.pieces(text):
+            ids = self._known.get(piece)
+            if ids is None:
+                if len(self._known) >= REMEMBERED:
+                    self._known.clear()
+                ids = np.array(self.encode_piece(piece.encode()), "<u4").tobytes()
+                if len(piece) <= 64:
+                    self._known[piece] = ids
+            out.append(ids)
+        return b"".join(out)
+
+    def __missing__(self, stretch: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        ids = np.array(self.encode_piece(piece.encode()), "<u4").tobytes()
-        if len(piece) <= 64:
-            self[piece] = ids
+        ids = self._pieces_of(" " + stretch)
+        if len(stretch) <= 64:
+            self[stretch] = ids
         return ids
 
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, self.pieces(text or "")))
+        cut = stretches(text or "") if self.cut else None
+        if cut is None:
+            return self._pieces_of(text or "")
+        return self._pieces_of(cut[0]) + b"".join(map(self.__getitem__, cut[1:]))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))

@@ -19,16 +19,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from noticeweave.llm.chunks import stretches
 from noticeweave.llm.shared_files import new_file, open_random
 from noticeweave.operators.durable import durable, new_folder
 
 MAGIC, SEGMENT, RANK = b"NWDAC01\n", 1 << 20, 512
-#: Pieces of text whose ids a worker remembers; when full they are forgotten.
+#: Stretches of text whose ids a worker remembers; when full they are forgotten.
 REMEMBERED = 1_000_000
 
 
@@ -158,29 +158,41 @@ class TokenFile:
             yield doc, start, held[: end - start]
 
 
-class PieceEncoder(dict):
-    """Ids of pieces of text (little-endian 32 bits) by the tokenizers library. The library splits texts by PATTERN and encodes each
-    piece on its own, so pieces are split here and those seen before are not encoded again."""
+class StretchEncoder(dict):
+    """Ids of texts (little-endian 32 bits) by the tokenizers library. Keys are stretches between spaces, their values the ids of the
+    stretch with a space before it; texts that can't be cut so are encoded whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
 
-    def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
-        pieces = [self.split(t or "") for t in texts]
+        self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(self.tokenizer.get_vocab_size())])
+
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(found.ids, "<u4") for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        """Encodes stretches, many in one text: an id that opens with a space begins the next stretch."""
+        plain = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
+        for i in range(0, len(plain), 1000):
+            own = plain[i : i + 1000]
+            (ids,) = self._library([" " + " ".join(own)])
+            self.update(zip(own, [part.tobytes() for part in np.split(ids, np.flatnonzero(self.opens[ids])[1:])], strict=True))
+        others = [p for p in new if not p or p[0].isspace() or p[-1].isspace()]
+        self.update(zip(others, [ids.tobytes() for ids in self._library([" " + p for p in others])]))
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        cut = [stretches(t) if t else [""] for t in texts]
         if len(self) > REMEMBERED:
             self.clear()
-        new = list({p for own in pieces for p in own if p not in self})
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self[piece] = np.array(found.ids, "<u4").tobytes()
-        for own in pieces:
-            yield b"".join(map(self.__getitem__, own))
+        self._learn(list(set().union(*[own[1:] for own in cut if own]).difference(self.keys())))
+        begins = self._library([own[0] if own else text for own, text in zip(cut, texts)])
+        return [begin.tobytes() + b"".join(map(self.__getitem__, own[1:])) if own else begin.tobytes() for begin, own in zip(begins, cut)]
 
 
-_encoders: dict[str, PieceEncoder] = {}
+_encoders: dict[str, StretchEncoder] = {}
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end: int | None = 0) -> DataFrame:
@@ -191,7 +203,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         if tokenizer not in _encoders:
-            _encoders[tokenizer] = PieceEncoder(tokenizer)
+            _encoders[tokenizer] = StretchEncoder(tokenizer)
         encoder = _encoders[tokenizer]
         batch = next(batches, None)
         if batch is None:
