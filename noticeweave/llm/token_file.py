@@ -168,18 +168,24 @@ class StretchEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
 
+        self.stops = {sign: self._library([sign])[0].tobytes() for sign in ".,"}
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(self.tokenizer.get_vocab_size())])
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(found.ids, "<u4") for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[str]) -> None:
-        """Encodes stretches, many in one text: an id that opens with a space begins the next stretch."""
-        plain = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
+        """Encodes stretches, many in one text: an id that opens with a space begins the next stretch. A stop or comma behind letters
+        is a piece of its own."""
+        stopped = [p for p in new if p and p[-1] in ".," and p[:-1].isalpha()]
+        words = {p[:-1] for p in stopped}.union(p for p in new if p.isalpha()).difference(self.keys())
+        plain = [*words, *(p for p in new if p and not p[0].isspace() and not p[-1].isspace() and not p.isalpha() and not (p[-1] in ".," and p[:-1].isalpha()))]
         for i in range(0, len(plain), 1000):
             own = plain[i : i + 1000]
             (ids,) = self._library([" " + " ".join(own)])
-            self.update(zip(own, [part.tobytes() for part in np.split(ids, np.flatnonzero(self.opens[ids])[1:])], strict=True))
+            at, data = [*(4 * np.flatnonzero(self.opens[ids])).tolist(), 4 * len(ids)], ids.tobytes()
+            self.update(zip(own, [data[x:y] for x, y in zip(at, at[1:])], strict=True))
+        self.update((p, self[p[:-1]] + self.stops[p[-1]]) for p in stopped)
         others = [p for p in new if not p or p[0].isspace() or p[-1].isspace()]
         self.update(zip(others, [ids.tobytes() for ids in self._library([" " + p for p in others])]))
 
