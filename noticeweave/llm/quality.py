@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from noticeweave.operators.durable import durable
 
+#: Distinct ids of trusted documents that are broadcast at most (8 bytes each); more are joined by shuffle.
+BROADCAST_ROWS = 2_000_000
 ORDER, BITS = 5, 12
 #: Characters are told apart up to this number; those beyond share the numbers of the upper half by remainder.
 ALPHABET = 1 << BITS
@@ -123,17 +125,20 @@ def train(trusted: DataFrame) -> DataFrame:
     return durable(both.groupBy("lang", "n", "gram").agg(F.max("a").cast("float").alias("a"), F.max("g").cast("float").alias("g")), "model")
 
 
-_PACKED = "block string, docs binary, lang string, n int, gram long"
+_PACKED = "block long, docs binary, lang string, n int, grams binary"
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts (row columns..., lang, text) in compressed parts, and the block's distinct n-grams, all under the block's name."""
-    schema = pa.schema([("block", pa.string()), ("docs", pa.binary()), ("lang", pa.string()), ("n", pa.int32()), ("gram", pa.int64())])
+    """Texts (row columns..., lang, text) in compressed parts, and the block's distinct n-grams, all under the block's number."""
+    schema = pa.schema([("block", pa.int64()), ("docs", pa.binary()), ("lang", pa.string()), ("n", pa.int32()), ("grams", pa.binary())])
     part = TaskContext.get().partitionId()
     parts: list[bytes] = []
     grams: dict[str, list[np.ndarray]] = {}
     size = number = 0
 
+    def row(block: int, docs: bytes | None, lang: str | None, n: int | None, packed: bytes | None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((block, docs, lang, n, packed), schema)], schema=schema)
+
     def close() -> Iterator[pa.RecordBatch]:
         nonlocal size, number
         rows = []
@@ -141,19 +146,19 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             level = np.unique(np.concatenate(arrays))
             contexts = np.zeros(0, np.int64)
             for n in range(ORDER, -1, -1):
-                wanted = np.union1d(level, contexts)
-                rows.append((lang, n, wanted))
+                rows.append((lang, n, np.union1d(level, contexts)))
                 contexts = level >> BITS
                 level = np.unique(level & _mask(n - 1)) if n else level
         # Should a lost task be run again on other rows, its texts would not meet answers to other questions.
-        name = f"{part}-{number}-{zlib.crc32(b''.join(w.tobytes() for _, _, w in rows))}"
+        check = 0
+        for _, _, wanted in rows:
+            check = zlib.crc32(wanted.tobytes(), check)
+        block = (part << 44 | number << 32 | check) & (1 << 63) - 1
         for data in parts:
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([data], pa.binary()), pa.nulls(1, pa.string()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64())], schema=schema)
+            yield row(block, data, None, None, None)
         for lang, n, wanted in rows:
-            for i in range(0, len(wanted), 50_000):
-                own = wanted[i : i + 50_000]
-                k = len(own)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * k), pa.nulls(k, pa.binary()), pa.array([lang] * k), pa.array(np.full(k, n, np.int32)), pa.array(own)], schema=schema)
+            steps = np.diff(wanted, prepend=0).view(np.uint8).reshape(-1, 8)
+            yield row(block, None, lang, n, zlib.compress(np.ascontiguousarray(steps.T).tobytes(), 3))
         parts.clear()
         grams.clear()
         size, number = 0, number + 1
@@ -163,7 +168,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in _sliced([t or "" for t in texts]):
             sink = pa.BufferOutputStream()
             piece = batch.slice(a, b - a)
-            with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 9))) as writer:
                 writer.write_batch(piece)
             parts.append(sink.getvalue().to_pybytes())
             for lang in {x for x in langs[a:b] if x is not None}:
@@ -178,9 +183,20 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from close()
 
 
+def _unpacked(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(steps.T).view(np.int64)[:, 0])
+
+
 def _questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (block, lang, key) for the n-grams asked for; key is the n-gram with n above it."""
     for batch in batches:
-        yield batch.filter(batch.column("gram").is_valid()).select(["block", "lang", "n", "gram"])
+        for i in np.flatnonzero(batch.column("grams").is_valid().to_numpy(zero_copy_only=False)):
+            block, lang, n, data = (batch.column(c)[int(i)].as_py() for c in ("block", "lang", "n", "grams"))
+            keys = _unpacked(data) | n << BITS * ORDER
+            for k in range(0, len(keys), 50_000):
+                own = keys[k : k + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), block)), pa.array([lang] * len(own), pa.string()), pa.array(own)], names=["block", "lang", "key"])
 
 
 class _Table:
@@ -234,16 +250,16 @@ def _scored(schema: pa.Schema):
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         tables, out = {}, []
         known = {lang: answers.filter(pa.compute.equal(answers.column("lang"), lang)) for lang in pa.compute.unique(answers.column("lang")).to_pylist()}
-        asked = block.filter(block.column("gram").is_valid())
+        asked = [(r["lang"], r["grams"]) for r in block.filter(pa.compute.equal(block.column("n"), ORDER)).select(["lang", "grams"]).to_pylist()]
         for lang, own in known.items():
-            n, gram, a, g = (own.column(c).to_numpy() for c in ("n", "gram", "a", "g"))
+            key, a, g = (own.column(c).to_numpy() for c in ("key", "a", "g"))
+            n, gram = key >> BITS * ORDER, key & _mask(ORDER)
             model = {}
             for k in range(ORDER + 1):
                 rows = np.flatnonzero(n == k)
                 rows = rows[np.argsort(gram[rows])]
                 model[k] = gram[rows], np.nan_to_num(a[rows].astype(float), nan=0.0), np.where(np.isnan(g[rows].astype(float)), 1.0, g[rows].astype(float))
-            mine = asked.filter(pa.compute.and_(pa.compute.equal(asked.column("lang"), lang), pa.compute.equal(asked.column("n"), ORDER)))
-            grams = mine.column("gram").to_numpy()
+            grams = _unpacked(next(data for x, data in asked if x == lang))
             tables[lang] = _Table(grams, log_probabilities(grams, model))
         for data in block.column("docs"):
             if not data.is_valid:
@@ -274,8 +290,9 @@ def surprise(docs: DataFrame, model: DataFrame) -> DataFrame:
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, math.ceil(size / BLOCK), int(spark.conf.get("spark.sql.shuffle.partitions")))
     packed = docs.mapInArrow(_pack, _PACKED).repartition(parts, "block")
-    questions = packed.mapInArrow(_questions, "block string, lang string, n int, gram long")
-    answers = questions.join(model, ["lang", "n", "gram"]).select("block", "lang", "n", "gram", "a", "g")
+    questions = packed.mapInArrow(_questions, "block long, lang string, key long")
+    known = model.select("lang", F.col("gram").bitwiseOR(F.shiftleft(F.col("n").cast("long"), BITS * ORDER)).alias("key"), "a", "g")
+    answers = questions.join(known, ["lang", "key"]).select("block", "lang", "key", "a", "g")
     schema = docs.schema.add("surprise", "double")
     arrow = to_arrow_schema(schema)
     return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored(arrow), schema)
@@ -293,6 +310,7 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slac
     rest = [c for c in docs.columns if c not in (*made, "lang", "text")]
     names = {c: f"__{i}" for i, c in enumerate(rest)}
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__good")).distinct()
+    good = F.broadcast(good) if good.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else good
     plain = docs.select(*[docs[c].alias(n) for c, n in names.items()], F.coalesce("lang", F.lit("")).alias("lang"), "text", F.col("lang").isNull().alias("__no_lang"))
     key = names["doc_id"]
     fold = F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(HELD_OUT))
