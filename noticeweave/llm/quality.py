@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeweave.operators.durable import durable
+from noticeweave.operators.durable import drop_durable, durable
 
 #: Distinct ids of trusted documents that are broadcast at most (8 bytes each); more are joined by shuffle.
 BROADCAST_ROWS = 2_000_000
@@ -122,7 +122,10 @@ def train(trusted: DataFrame) -> DataFrame:
     seen = levels.withColumn("context", F.shiftright("gram", BITS)).join(contexts, ["lang", "n", "context"]).select("lang", "n", "gram", ((F.col("c") - less) / F.col("total")).alias("a"))
     after = contexts.select("lang", (F.col("n") - 1).alias("n"), F.col("context").alias("gram"), F.col("g"))
     both = seen.select("lang", "n", "gram", "a", F.lit(None).cast("double").alias("g")).unionByName(after.select("lang", "n", "gram", F.lit(None).cast("double").alias("a"), "g"))
-    return durable(both.groupBy("lang", "n", "gram").agg(F.max("a").cast("float").alias("a"), F.max("g").cast("float").alias("g")), "model")
+    model = durable(both.groupBy("lang", "n", "gram").agg(F.max("a").cast("float").alias("a"), F.max("g").cast("float").alias("g")), "model")
+    for table in (top, levels, contexts):
+        drop_durable(table)
+    return model
 
 
 _PACKED = "block long, docs binary, lang string, n int, grams binary"
@@ -168,7 +171,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in _sliced([t or "" for t in texts]):
             sink = pa.BufferOutputStream()
             piece = batch.slice(a, b - a)
-            with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 9))) as writer:
+            with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 12))) as writer:
                 writer.write_batch(piece)
             parts.append(sink.getvalue().to_pybytes())
             for lang in {x for x in langs[a:b] if x is not None}:
