@@ -4,8 +4,8 @@
 2. Shingles get one global order, rare ones first, by a count sketch over all texts (its size is fixed, so it can be broadcast).
 3. Two sets with similarity t share one of their first n - ceil(t n) + 1 shingles. Of the classes that meet at a shingle the
    smallest is the hub. Each class is compared with one hub first; where classes of different components still meet, with the
-   shingle's hub; and only what remains apart after that is paired with each other. A group of near copies therefore costs a
-   number of pairs in proportion to its size.
+   shingle's hub; and only what remains apart after that is paired with each other. A group of linked near copies therefore
+   costs a number of pairs in proportion to its size; classes that share rare shingles without being linked cost all their pairs.
 4. Pairs are checked exactly: the sets that a class is compared with are stored in a prefix tree in the global order, the
    traversal reuses the overlap of shared beginnings, and leaves a subtree once the shingles that remain cannot reach t.
 """
