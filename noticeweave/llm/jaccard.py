@@ -2,11 +2,14 @@
 
 1. Every text becomes a set of 64-bit shingle hashes; texts with equal sets form a class, and only classes are compared.
 2. Shingles get one global order, rare ones first, by a count sketch over all texts (its size is fixed, so it can be broadcast).
-3. Two sets with similarity t share one of their first n - ceil(t n) + 1 shingles. Of the classes that meet at a shingle the
-   smallest is the hub. Each class is compared with one hub first; where classes of different components still meet, with the
-   shingle's hub; and only what remains apart after that is paired with each other. A group of linked near copies therefore
-   costs a number of pairs in proportion to its size; classes that share rare shingles without being linked cost all their pairs.
-4. Pairs are checked exactly: the sets that a class is compared with are stored in a prefix tree in the global order, the
+3. Two sets with similarity t share one of their first n - ceil(t n) + 1 shingles. A shingle of this prefix that no other class
+   has there can be in no overlap: a class's seat at a shingle counts the met shingles before it, and two classes whose seats
+   and remaining shingles can't add up to t are not paired. So an altered copy too far from its original meets nobody, however
+   large the group.
+4. Of the classes that meet at a shingle the one with the most frequent shingles (the likely original) is the hub. Each class
+   is compared with one hub first; where classes of different components still meet, with the shingle's hub; and only what
+   remains apart after that is paired with each other. A group of linked near copies costs pairs in proportion to its size.
+5. Pairs are checked exactly: the sets that a class is compared with are stored in a prefix tree in the global order, the
    traversal reuses the overlap of shared beginnings, and leaves a subtree once the shingles that remain cannot reach t.
 """
 
@@ -111,25 +114,28 @@ def _ordered(grams: np.ndarray, ranks: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(k: int, kind: str, num: int, den: int, ranks):
-    """Rows (shingle, signature, n, position) for the first shingles of each set; each set once in a task."""
+    """Rows (shingle, signature, n, position, common) for the first shingles of each set; each set once in a task. common is the
+    mean rank of all its shingles, in hundredths."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = np.frombuffer(zlib.decompress(ranks.value), np.uint8), set()
         for batch in batches:
-            grams_, signatures, sizes = [], [], []
+            grams_, signatures, sizes, commons = [], [], [], []
             for grams in text_shingles(batch.column(0), k, kind):
                 grams = distinct(grams)
                 if not len(grams) or (signature := _signature(grams)) in seen:
                     continue
                 seen.add(signature)
                 n = len(grams)
-                grams_.append(_ordered(grams, table)[: n - -(-num * n // den) + 1])
+                whole = _ordered(grams, table)
+                grams_.append(whole[: n - -(-num * n // den) + 1])
                 signatures.append(signature)
                 sizes.append(n)
+                commons.append(int((whole >> np.uint64(56)).mean() * 100))
             if grams_:
                 lengths = np.array([len(g) for g in grams_])
                 position = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams_).view(np.int64)), pa.array(np.repeat(np.array(signatures, np.int64), lengths)), pa.array(np.repeat(np.array(sizes, np.int32), lengths)), pa.array(position.astype(np.int32))], names=["shingle", "signature", "n", "position"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams_).view(np.int64)), pa.array(np.repeat(np.array(signatures, np.int64), lengths)), pa.array(np.repeat(np.array(sizes, np.int32), lengths)), pa.array(position.astype(np.int32)), pa.array(np.repeat(np.array(commons, np.int32), lengths))], names=["shingle", "signature", "n", "position", "common"])
 
     return run
 
@@ -181,14 +187,15 @@ def similar_sets(docs: DataFrame, k: int = 5, kind: str = "spaced", num: int = 8
     ranks = spark.sparkContext.broadcast(zlib.compress(b"".join(found.get(i, bytes(SKETCH // SLICES)) for i in range(SLICES)), 1))
     profile = profile.where("slice = -1").select("doc_id", "signature", "n_shingles")
 
-    rows = docs.select("text").mapInArrow(_prefixes(k, kind, num, den, ranks), "shingle long, signature long, n int, position int")
+    rows = docs.select("text").mapInArrow(_prefixes(k, kind, num, den, ranks), "shingle long, signature long, n int, position int, common int")
     together = Window.partitionBy("shingle")
-    met = rows.withColumns({"least": F.min("signature").over(together), "most": F.max("signature").over(together)})
-    met = durable(met.where("least < most").drop("most").distinct(), "met")
+    met = rows.withColumns({"least": F.min("signature").over(together), "most": F.max("signature").over(together), "hub": F.max(F.struct("common", "signature")).over(together)})
+    met = met.where("least < most").select("shingle", "signature", "n", "position", F.col("hub.signature").alias("hub")).distinct()
+    met = durable(met.withColumn("seat", F.row_number().over(Window.partitionBy("signature").orderBy("position")) - 1), "met")
 
     def possible(a: str, b: str) -> str:
-        """Sizes allow the link, and so do the places of the shared shingle."""
-        reach = f"least({a}.position, {b}.position) + 1 + least({a}.n - {a}.position, {b}.n - {b}.position) - 1"
+        """Sizes allow the link, and so do the places of the shared shingle: what both may share before it, it, and the rest."""
+        reach = f"least({a}.seat, {b}.seat) + least({a}.n - {a}.position, {b}.n - {b}.position)"
         return f"{den} * least({a}.n, {b}.n) >= {num} * greatest({a}.n, {b}.n) AND {num + den} * ({reach}) >= {num} * ({a}.n + {b}.n)"
 
     needed = met.select("signature").distinct()
@@ -197,21 +204,23 @@ def similar_sets(docs: DataFrame, k: int = 5, kind: str = "spaced", num: int = 8
     texts = docs.join(first, F.expr("doc_id <=> first_id"))
     sets = durable(texts.select("signature", "text").mapInArrow(_sets(k, kind, ranks), "signature long, grams binary"), "sets")
 
-    # First each class with the one among its hubs (the smallest class at a shingle) that it shares most shingles with.
-    hub = met.alias("h").where("signature = least")
-    shared = met.alias("m").where("signature <> least").join(hub, F.expr("h.shingle = m.shingle")).where(possible("h", "m"))
+    # First each class with the one among its hubs that it shares most shingles with.
+    hub = met.alias("h").where("signature = hub")
+    shared = met.alias("m").where("signature <> hub").join(hub, F.expr("h.shingle = m.shingle")).where(possible("h", "m"))
     shared = shared.groupBy(F.col("m.signature").alias("b"), F.col("h.signature").alias("a")).agg(F.count("*").alias("times"))
-    tried = durable(shared.groupBy("b").agg(F.max_by("a", F.struct("times", -F.col("a"))).alias("a")).select("a", "b"), "tried")
+    tried = durable(shared.groupBy("b").agg(F.max_by("a", F.struct("times", "a")).alias("a")).select("a", "b"), "tried")
     links = _verify(tried, sets, num, den, "links")
     # Then, where components still meet, their classes with the shingle's hub; and what is left apart, pair by pair.
     for last in (False, True):
         label = connected_components(links, "a", "b").select(F.col("node").alias("signature"), "component")
-        apart = met.join(label, "signature", "left").select("shingle", "signature", "n", "position", "least", F.coalesce("component", "signature").alias("component"))
+        apart = met.join(label, "signature", "left").withColumn("component", F.coalesce("component", "signature"))
         several = apart.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
         apart = durable(apart.join(several, "shingle"), "apart")
-        left = apart.alias("x") if last else apart.where("signature = least").alias("x")
-        rest = left.join(apart.alias("y"), F.expr(f"x.shingle = y.shingle AND x.component <> y.component AND x.signature < y.signature AND {possible('x', 'y')}"))
-        rest = durable(rest.select(F.col("x.signature").alias("a"), F.col("y.signature").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "rest")
+        left, once = (apart, "x.signature < y.signature") if last else (apart.where("signature = hub"), "true")
+        rest = left.alias("x").join(apart.alias("y"), F.expr(f"x.shingle = y.shingle AND x.component <> y.component AND {once} AND {possible('x', 'y')}"))
+        rest = rest.select(F.col("x.signature").alias("a"), F.col("y.signature").alias("b")).distinct()
+        both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        rest = durable(rest.join(both, ["a", "b"], "left_anti"), "rest")
         links, tried = links.unionByName(_verify(rest, sets, num, den, "links")), tried.unionByName(rest)
     classes = connected_components(links, "a", "b").select(F.col("node").alias("signature"), "component")
     drop_durable(sets)
