@@ -170,9 +170,13 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int, name: str) ->
     """The pairs (a, b) that are similar, by one prefix tree for up to TREE partners of a."""
     trees = pairs.groupBy("a").agg(F.ceil(F.count("*") / TREE).alias("trees"))
     dealt = pairs.join(trees, "a").select("a", "b", F.pmod(F.xxhash64("b"), "trees").alias("tree"))
-    stored = dealt.join(sets.withColumnRenamed("signature", "b"), "b").select("a", "tree", "b", "grams")
-    asked = dealt.select("a", "tree").distinct().join(sets.withColumnRenamed("signature", "a"), "a").select("a", "tree", F.lit(None).cast("long").alias("b"), "grams")
-    return durable(stored.unionByName(asked).groupBy("a", "tree").applyInArrow(_compare(num, den), "a long, b long"), name)
+    # Written first, so that its size is known: Spark moves the sets to the requests only where these are too many to broadcast.
+    asked = dealt.select(F.col("a").alias("signature"), "a", F.lit(None).cast("long").alias("b"), "tree").distinct()
+    requests = durable(dealt.select(F.col("b").alias("signature"), "a", "b", "tree").unionByName(asked), "requests")
+    sent = requests.join(sets, "signature").select("a", "tree", "b", "grams")
+    found = durable(sent.groupBy("a", "tree").applyInArrow(_compare(num, den), "a long, b long"), name)
+    drop_durable(requests)
+    return found
 
 
 def similar_sets(docs: DataFrame, k: int = 5, kind: str = "spaced", num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
@@ -200,7 +204,7 @@ def similar_sets(docs: DataFrame, k: int = 5, kind: str = "spaced", num: int = 8
 
     needed = met.select("signature").distinct()
     first = profile.where("signature IS NOT NULL").groupBy("signature").agg(F.min("doc_id").alias("doc_id"))
-    first = needed.join(first, "signature").withColumnRenamed("doc_id", "first_id")
+    first = durable(needed.join(first, "signature").withColumnRenamed("doc_id", "first_id"), "first")
     texts = docs.join(first, F.expr("doc_id <=> first_id"))
     sets = durable(texts.select("signature", "text").mapInArrow(_sets(k, kind, ranks), "signature long, grams binary"), "sets")
 
