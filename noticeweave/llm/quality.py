@@ -3,7 +3,8 @@
 Counts of all n-grams of the trusted texts are combined in each task and summed by shuffle. Texts are scored in blocks: a block asks
 for its distinct n-grams, the requests are joined with the sharded model tables by n-gram, and the answers meet the block's texts
 again by block. So the model is never held whole anywhere, and what a block gets is bounded by its own size. A document is kept if
-its perplexity a character is within a quantile of the perplexities of trusted texts of its language that were left out of training.
+its perplexity a character is within a quantile of the perplexities of trusted texts of its language, each by a model that it did not
+train.
 """
 
 from __future__ import annotations
@@ -27,10 +28,12 @@ ORDER, BITS = 5, 12
 ALPHABET = 1 << BITS
 #: Bytes of text in a block, and characters worked on at a time.
 BLOCK, SLICE = 32 << 20, 2 << 20
-#: Share of trusted texts that set the thresholds; the others train.
+#: Folds of the trusted texts: the first sets the thresholds, the others train.
 HELD_OUT = 5
-#: Quantile of the held-out perplexities, and the factor above it up to which documents are kept.
-QUANTILE, SLACK = 0.99, 1.15
+#: Quantile of the held-out perplexities up to which documents are kept.
+QUANTILE = 0.97
+#: Where the first fold has fewer texts of a language, all folds set its threshold, each by a model of the others, and all train.
+ENOUGH = 1_000
 
 
 def _mask(n: int) -> int:
@@ -301,13 +304,14 @@ def surprise(docs: DataFrame, model: DataFrame) -> DataFrame:
     return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored(arrow), schema)
 
 
-def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slack: float = SLACK) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """All rows and columns of docs (doc_id, lang, text, ...), and perplexity, threshold and keep; columns of these names are replaced.
 
     Trusted are the texts whose doc_id has a label of quality 1 in labels (doc_id, quality); repeated labels count once. A fifth of
-    them, chosen by a hash of doc_id, sets the language's threshold: slack times the given quantile of their perplexities; the others
-    train. A null language is one of its own. Rejected (keep false) are texts above the threshold and texts without any character or
-    null; texts of languages without trusted text are kept, with null perplexity. Without labels everything but empty texts stays.
+    them, chosen by a hash of doc_id, sets the language's threshold, the given quantile of their perplexities; the others train. In a
+    language with fewer than ENOUGH in that fifth all fifths set the threshold, each by a model of the others, and all train. A null
+    language is one of its own. Rejected (keep false) are texts above the threshold and texts without any character or null; texts of
+    languages without trusted text are kept, with null perplexity. Without labels everything but empty texts stays.
     """
     made = ["perplexity", "threshold", "keep"]
     rest = [c for c in docs.columns if c not in (*made, "lang", "text")]
@@ -318,9 +322,22 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, slac
     key = names["doc_id"]
     fold = F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(HELD_OUT))
     trusted = plain.select(key, "lang", "text").where("text <> ''").join(good, F.col(key) == F.col("__good"), "left_semi")
-    model = train(trusted.where(fold > 0))
-    held = surprise(trusted.where(fold == 0).select("lang", "text"), model).select("lang", "surprise")
-    limits = durable(held.groupBy("lang").agg((F.percentile_approx(F.exp("surprise"), quantile, 100_000) * slack).alias("threshold")), "limits")
+    few = durable(trusted.groupBy("lang").agg(F.count(F.when(fold == 0, 1)).alias("n")).where(F.col("n") < ENOUGH).select("lang"), "few")
+    some = trusted.select("lang", "text", fold.alias("fold")).join(few, "lang", "left_semi")
+    many = trusted.select("lang", "text", fold.alias("fold")).join(few, "lang", "left_anti")
+    model = train(many.where("fold > 0").unionByName(some))
+    held = surprise(many.where("fold = 0").select("lang", "text"), model).select("lang", "surprise")
+    crossed = None
+    if few.limit(1).count():
+        own = lambda f: F.concat_ws(":", f, "lang").alias("lang")
+        folds = some.select("fold", "lang", "text", F.explode(F.sequence(F.lit(0), F.lit(HELD_OUT - 1))).alias("out"))
+        crossed = train(folds.where("fold <> out").select(own("out"), "text"))
+        apart = surprise(some.select(own("fold"), "text"), crossed)
+        held = held.unionByName(apart.select(F.regexp_replace("lang", "^[0-9]+:", "").alias("lang"), "surprise"))
+    limits = durable(held.groupBy("lang").agg(F.percentile_approx(F.exp("surprise"), quantile, 100_000).alias("threshold")), "limits")
+    for table in (few, crossed):
+        if table is not None:
+            drop_durable(table)
     judged = surprise(plain, model).join(limits, "lang", "left").withColumn("perplexity", F.exp("surprise"))
     keep = (F.coalesce(F.length("text"), F.lit(0)) > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     back = {n: F.col(n).alias(c) for c, n in names.items()} | {"lang": F.when(~F.col("__no_lang"), F.col("lang")).alias("lang"), "text": F.col("text")}

@@ -227,6 +227,20 @@ def test_quality(spark, none):
     assert all(r["keep"] for r in quality.quality(docs.where("text <> ''"), labels.where("false")).collect())
 
 
+def test_quality_thresholds_hold_against_a_few_odd_trusted_texts(spark):
+    draw = random.Random(11)
+    normal = lambda: " ".join(draw.choice(WORDS) for _ in range(40))
+    strange = lambda i: "".join(chr(0x100 + 50 * i + draw.randrange(50)) for _ in range(50))
+    odd = [r["id"] for r in spark.range(400, 500).where("pmod(xxhash64(id), 5) = 0").limit(3).collect()]
+    rows = [(i, "en", normal()) for i in range(400)] + [(i, "en", strange(k)) for k, i in enumerate(odd)]
+    rows += [(1000 + i, "en", "".join(draw.choice("abdefghikorstuv ") for _ in range(200))) for i in range(30)] + [(2000 + i, "en", normal()) for i in range(100)]
+    rows += [(3000 + i, None, normal()) for i in range(10)] + [(3100, None, "".join(draw.choice("abdefghikorstuv ") for _ in range(200)))]
+    labels = spark.createDataFrame([(i, 1) for i in [*range(400), *odd, *range(3000, 3010)]], "doc_id long, quality int")
+    kept = {r["doc_id"]: r["keep"] for r in quality.quality(spark.createDataFrame(rows, "doc_id long, lang string, text string"), labels).collect()}
+    assert not any(kept[1000 + i] for i in range(30)) and not kept[3100]
+    assert sum(kept[2000 + i] for i in range(100)) >= 90 and sum(kept[i] for i in range(400)) >= 380
+
+
 def test_quality_probabilities_against_plain_kneser_ney(spark):
     """The model tables give the same probabilities as a direct evaluation of the formula."""
     text = "abracadabra abracadabra cadabra"
