@@ -85,6 +85,21 @@ def components(t: Tables) -> DataFrame:
     return identity.group_by_shared(_linked(t), "doc", "k").select("doc", "root")
 
 
+# Over whole tables the recursive SQL holds every pair that reaches another; tests compare these two with brute force.
+@query()
+def components_by_order(t: Tables) -> DataFrame:
+    """All parts, grouped by the orders that they share."""
+    return identity.group_by_shared(t.lineitem.select(F.col("l_partkey").alias("doc"), F.col("l_orderkey").alias("k")), "doc", "k").select("doc", "root")
+
+
+@query()
+def components_by_line(t: Tables) -> DataFrame:
+    """All documents, grouped by the lines that they share but for case and spaces; those without any line stand alone."""
+    line = F.trim(F.regexp_replace(F.lower(F.col("line")), r"\s+", " "))
+    lines = t.documents.select(F.col("doc_id").alias("doc"), F.explode_outer(F.split("text", r"\n")).alias("line")).select("doc", F.when(line != "", line).alias("k")).distinct()
+    return identity.group_by_shared(lines, "doc", "k").select("doc", "root")
+
+
 @query("SELECT o_orderkey, 'FARM' || upper(substr(sha1(CAST(o_custkey AS VARCHAR)), 1, 12)) AS farm_id_new FROM orders")
 def stable_id_hash(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", identity.hashed_id(F.col("o_custkey").cast("string")).alias("farm_id_new"))
