@@ -40,6 +40,16 @@ def variant_key_match(t: Tables) -> DataFrame:
     return matching.variant_join(t.part.where("p_size = 1"), t.part.where("p_size = 2").withColumnRenamed("p_partkey", "other"), "p_partkey", "other", keys(1), keys(2))
 
 
+@query()
+def variant_key_match_all(t: Tables) -> DataFrame:
+    """All parts against all parts of another brand. Frequent keys are left to AQE; the result grows with their square."""
+    keys = lambda i: F.array_distinct(F.array("p_name", F.split_part("p_name", F.lit(" "), F.lit(i)), F.substring("p_name", 1, 6)))
+    left = t.part.select(F.struct("p_partkey", "p_brand").alias("a"), "p_name")
+    right = t.part.select(F.struct(F.col("p_partkey").alias("other"), "p_brand").alias("b"), "p_name")
+    pairs = matching.variant_join(left, right, "a", "b", keys(1), keys(2))
+    return pairs.where("a.p_brand <> b.p_brand").select("a.p_partkey", "b.other", "key")
+
+
 @query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
 def left_anti_unmatched(t: Tables) -> DataFrame:
     return t.customer.join(t.orders.where("o_totalprice > 300000"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")

@@ -3,8 +3,6 @@
 import collections
 import random
 
-import pytest
-
 from noticeweave.plans.catalog import QUERIES
 
 
@@ -45,3 +43,19 @@ def test_components_by_line_use_every_line(spark, tmp_path):
     expected = roots([(i, " ".join(x.lower().split()) or None) for i, t in rows for x in (t or "").split("\n")])
     assert {r["doc"]: r["root"] for r in found} == expected and len(found) == len(expected)
     assert expected[339] == expected[205] == 200 and expected[202] == 202 and len(set(expected.values())) > 5
+
+
+def test_variant_key_match_all_uses_every_part(spark, tmp_path):
+    draw = random.Random(5)
+    rows = [(i, f"{draw.choice(['small', 'red', 'large', 'hot'])} {draw.choice(['ring', 'red', 'bolt'])}", f"Brand#{draw.randrange(3)}", draw.randrange(1, 51)) for i in range(60)]
+    rows += [(100, None, "Brand#1", 1), (101, "", "Brand#2", 2), (102, "red", "Brand#1", 9), (103, "small ring", None, 3)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    keys = lambda name, i: {name, (name.split(" ") + [""])[i], name[:6]} - {""} if name else set()
+    expected = collections.Counter()
+    for a, x, m, _ in rows:
+        for b, y, n, _ in rows:
+            if m and n and m != n and (both := keys(x, 0) & keys(y, 1)):
+                expected[a, b, min(both)] += 1
+    found = QUERIES["variant_key_match_all"](spark, str(tmp_path))
+    assert found.columns == ["p_partkey", "other", "key"]
+    assert collections.Counter(tuple(r) for r in found.collect()) == expected and len(expected) > 300
