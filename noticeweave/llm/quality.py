@@ -1,70 +1,60 @@
-"""Quality classifier: interpolated modified Kneser-Ney over characters, trained on trusted text, one model per language.
-
-Counts of all n-grams of the trusted texts are combined in each task and summed by shuffle. Texts are scored in blocks: a block asks
-for its distinct n-grams, the requests are joined with the sharded model tables by n-gram, and the answers meet the block's texts
-again by block. So the model is never held whole anywhere, and what a block gets is bounded by its own size. A document is kept if
-its perplexity a character is within a quantile of the perplexities of trusted texts of its language, each by a model that it did not
-train.
+"""Quality classifier: interpolated modified Kneser-Ney over bytes, trained on trusted text, one model per language.
+
+Counts of all n-grams of the trusted texts are combined in each task and summed by shuffle. Texts are scored in blocks (see blocks.py): a
+block asks for its distinct n-grams, the requests meet the model's shards, and the answers meet the block's texts again. All n-grams and
+contexts that an n-gram can fall back on have its middle pair of bytes in common, so a shard is chosen by a hash of that pair; what is shorter (at most
+65,792 n-grams and 257 contexts a model) goes to every shard. So the model is never held whole anywhere, and what a block gets is bounded
+by its own size. A document is kept if its perplexity a byte is within a quantile of the perplexities of the trusted texts of its
+language, each by a model of the other half of them.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from noticeweave.llm.blocks import BLOCK, blocks, each_block, pack_planes, pack_sorted, text_size, unpack_planes, unpack_sorted, unpacked
+from noticeweave.llm.words import mix, text_bytes
 from noticeweave.operators.durable import drop_durable, durable
 
 #: Distinct ids of trusted documents that are broadcast at most (8 bytes each); more are joined by shuffle.
 BROADCAST_ROWS = 2_000_000
-ORDER, BITS = 5, 12
-#: Characters are told apart up to this number; those beyond share the numbers of the upper half by remainder.
-ALPHABET = 1 << BITS
-#: Bytes of text in a block, and characters worked on at a time.
-BLOCK, SLICE = 32 << 20, 2 << 20
-#: Folds of the trusted texts: the first sets the thresholds, the others train.
-HELD_OUT = 5
-#: Quantile of the held-out perplexities up to which documents are kept.
+#: Length of the n-grams in bytes; the mark before a text is a byte that UTF-8 never has.
+ORDER, BITS, BEGIN = 5, 8, 0xFF
+#: Bytes worked on at a time.
+SLICE = 2 << 20
+#: Shards of each language's model, and the most blocks that one copy of a shard answers.
+SHARDS, ANSWERED = 64, 512
+#: Quantile of the trusted texts' perplexities up to which documents are kept.
 QUANTILE = 0.97
-#: Where the first fold has fewer texts of a language, all folds set its threshold, each by a model of the others, and all train.
-ENOUGH = 1_000
 
 
 def _mask(n: int) -> int:
     return (1 << BITS * n) - 1
 
 
-def char_grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The ORDER-grams that end at each character of the texts, with begin marks (0) before each, and the texts' lengths."""
-    pad = "\0" * (ORDER - 1)
-    texts = [t.replace("\0", "\1") if "\0" in t else t for t in texts]
-    codes = np.frombuffer((pad + pad.join(texts)).encode("utf-32-le"), np.uint32).astype(np.int64) if texts else np.zeros(0, np.int64)
-    codes = np.where(codes < ALPHABET, codes, ALPHABET // 2 + codes % (ALPHABET // 2))
-    lengths = np.array([len(t) for t in texts], np.int64)
-    n = len(codes) - ORDER + 1
-    if n <= 0:
-        return np.zeros(0, np.int64), lengths
-    grams = np.zeros(n, np.int64)
-    for i in range(ORDER):
-        grams <<= BITS
-        grams |= codes[i : i + n]
-    return grams[codes[ORDER - 1 :] != 0], lengths
-
-
-def _sliced(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about SLICE characters."""
-    begin, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= SLICE or i == len(texts) - 1:
-            yield begin, i + 1
-            begin, size = i + 1, 0
+def byte_grams(data: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For slices of the texts' bytes: the ORDER-grams that end at each byte (with begin marks before each text) and the text that the
+    byte belongs to. at: where each text begins, one more than there are texts."""
+    for x in range(0, len(data), SLICE):
+        y = min(len(data), x + SLICE)
+        lengths = np.diff(np.clip(at, x, y))
+        text = np.repeat(np.arange(len(at) - 1), lengths)
+        inside = np.arange(x, y) - at[text]
+        grams = np.zeros(y - x, np.int64)
+        for k in range(ORDER - 1, -1, -1):
+            byte = data[max(0, x - k) : y - k]
+            if x < k:
+                byte = np.concatenate((np.full(min(k - x, y - x), BEGIN, np.uint8), data[: max(0, y - k)]))
+            grams <<= BITS
+            grams |= np.where(inside >= k, byte, BEGIN)
+        yield grams, text
 
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -72,24 +62,25 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     order = np.argsort(grams, kind="stable")
     grams, counts = grams[order], np.concatenate([c for _, c in parts])[order]
     first = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1])))
-    return grams[first], np.add.reduceat(counts, first)
+    return grams[first], np.add.reduceat(counts, first, axis=0)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, gram, c), summed in the task as far as memory allows."""
+    """Rows (lang, gram, c0, c1) of texts (lang, text, half), summed in the task as far as memory allows."""
     held: dict[str, list] = {}
 
     def out(lang: str) -> pa.RecordBatch:
         grams, counts = _merged(held.pop(lang))
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(counts)], names=["lang", "gram", "c"])
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams), pa.array(counts[:, 0]), pa.array(counts[:, 1])], names=["lang", "gram", "c0", "c1"])
 
     for batch in batches:
-        langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for lang in set(langs):
-            own = [t for t, x in zip(texts, langs) if x == lang and t]
-            for a, b in _sliced(own):
-                grams, counts = np.unique(char_grams(own[a:b])[0], return_counts=True)
-                if len(grams):
+        for lang in pc.unique(batch.column(0)).to_pylist():
+            for half in (0, 1):
+                own = batch.column(1).filter(pc.and_(pc.equal(batch.column(0), lang), pc.equal(batch.column(2), half)))
+                for slice_, _ in byte_grams(*text_bytes(own)):
+                    grams, found = np.unique(slice_, return_counts=True)
+                    counts = np.zeros((len(grams), 2), np.int64)
+                    counts[:, half] = found
                     held.setdefault(lang, []).append((grams, counts))
                     if len(held[lang]) >= 8:
                         held[lang] = [_merged(held[lang])]
@@ -99,12 +90,20 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(lang)
 
 
-def train(trusted: DataFrame) -> DataFrame:
-    """The model tables of texts (lang, text): rows (lang, n, gram, a, g): a is the discounted probability of the n-gram's last
-    character after the others, g the weight left to shorter contexts after the whole n-gram as a context (null if it is none)."""
-    top = trusted.select("lang", "text").mapInArrow(_count, "lang string, gram long, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
-    top = durable(top, "grams")
-    # Lower orders count the distinct characters before an n-gram.
+def count_halves(trusted: DataFrame) -> DataFrame:
+    """Rows (lang, gram, c) for three models of each language of trusted (lang, text, half): a:lang counts all texts, 0:lang those that are
+    not of half 0, 1:lang those that are not of half 1."""
+    counts = trusted.select("lang", "text", "half").mapInArrow(_count, "lang string, gram long, c0 long, c1 long").groupBy("lang", "gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+    model = lambda name, c: F.struct(F.concat(F.lit(name), "lang").alias("lang"), c.alias("c"))
+    three = F.array(model("a:", F.col("c0") + F.col("c1")), model("0:", F.col("c1")), model("1:", F.col("c0")))
+    return counts.select("gram", F.inline(three)).where("c > 0").select("lang", "gram", "c")
+
+
+def train(counts: DataFrame) -> DataFrame:
+    """The model tables of n-gram counts (lang, gram, c): rows (lang, n, gram, kind, value). Kind 0: value is the discounted probability of
+    the n-gram's last byte after the others; kind 1: the weight left to shorter contexts after the whole n-gram as a context."""
+    top = durable(counts, "grams")
+    # Lower orders count the distinct bytes before an n-gram.
     suffixes = F.array(*[F.struct(F.lit(n).alias("n"), F.col("gram").bitwiseAND(F.lit(_mask(n))).alias("gram"), F.col("gram").bitwiseAND(F.lit(_mask(n + 1))).alias("longer")) for n in range(1, ORDER)])
     lower = top.select("lang", F.inline(suffixes)).distinct().groupBy("lang", "n", "gram").agg(F.count("*").alias("c"))
     levels = durable(lower.unionByName(top.select("lang", F.lit(ORDER).alias("n"), "gram", "c")), "levels")
@@ -122,87 +121,89 @@ def train(trusted: DataFrame) -> DataFrame:
     contexts = contexts.select("lang", "n", "context", "total", "d1", "d2", "d3", ((F.col("d1") * F.col("k1") + F.col("d2") * F.col("k2") + F.col("d3") * F.col("k3")) / F.col("total")).alias("g"))
     contexts = durable(contexts, "contexts")
     less = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-    seen = levels.withColumn("context", F.shiftright("gram", BITS)).join(contexts, ["lang", "n", "context"]).select("lang", "n", "gram", ((F.col("c") - less) / F.col("total")).alias("a"))
-    after = contexts.select("lang", (F.col("n") - 1).alias("n"), F.col("context").alias("gram"), F.col("g"))
-    both = seen.select("lang", "n", "gram", "a", F.lit(None).cast("double").alias("g")).unionByName(after.select("lang", "n", "gram", F.lit(None).cast("double").alias("a"), "g"))
-    model = durable(both.groupBy("lang", "n", "gram").agg(F.max("a").cast("float").alias("a"), F.max("g").cast("float").alias("g")), "model")
+    seen = levels.withColumn("context", F.shiftright("gram", BITS)).join(contexts, ["lang", "n", "context"]).select("lang", "n", "gram", F.lit(0).alias("kind"), ((F.col("c") - less) / F.col("total")).cast("float").alias("value"))
+    after = contexts.select("lang", (F.col("n") - 1).alias("n"), F.col("context").alias("gram"), F.lit(1).alias("kind"), F.col("g").cast("float").alias("value"))
+    model = durable(seen.unionByName(after), "model")
     for table in (top, levels, contexts):
         drop_durable(table)
     return model
 
 
-_PACKED = "block long, docs binary, lang string, n int, grams binary"
+def _shard(pair):
+    """The shard of a pair of bytes, for arrays and for columns."""
+    if isinstance(pair, np.ndarray):
+        return (pair * 40503 >> 8) % SHARDS
+    return F.pmod(F.shiftright(pair * 40503, 8), F.lit(SHARDS)).cast("int")
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts (row columns..., lang, text) in compressed parts, and the block's distinct n-grams, all under the block's number."""
-    schema = pa.schema([("block", pa.int64()), ("docs", pa.binary()), ("lang", pa.string()), ("n", pa.int32()), ("grams", pa.binary())])
-    part = TaskContext.get().partitionId()
-    parts: list[bytes] = []
-    grams: dict[str, list[np.ndarray]] = {}
-    size = number = 0
+def _sharded(model: DataFrame, copies: int) -> DataFrame:
+    """Rows (lang, shard, copy, n, gram, kind, value) of the model."""
+    pair = F.when(F.col("kind") == 1, F.col("gram")).otherwise(F.shiftright("gram", BITS)).bitwiseAND(F.lit(_mask(2)))
+    long = F.col("n") >= 3 - F.col("kind")
+    shards = F.when(long, F.array(_shard(pair))).otherwise(F.sequence(F.lit(0), F.lit(SHARDS - 1)))
+    rows = model.select("lang", F.explode(shards).alias("shard"), "n", "gram", "kind", "value")
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
 
-    def row(block: int, docs: bytes | None, lang: str | None, n: int | None, packed: bytes | None) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((block, docs, lang, n, packed), schema)], schema=schema)
 
-    def close() -> Iterator[pa.RecordBatch]:
-        nonlocal size, number
+def _ask(copies: int):
+    """Rows (lang, shard, copy, block, n, grams) for the distinct n-grams of a block."""
+
+    def ask(block: int, docs: pa.Table) -> Iterator[pa.RecordBatch]:
         rows = []
-        for lang, arrays in grams.items():
-            level = np.unique(np.concatenate(arrays))
-            contexts = np.zeros(0, np.int64)
-            for n in range(ORDER, -1, -1):
-                rows.append((lang, n, np.union1d(level, contexts)))
-                contexts = level >> BITS
-                level = np.unique(level & _mask(n - 1)) if n else level
-        # Should a lost task be run again on other rows, its texts would not meet answers to other questions.
-        check = 0
-        for _, _, wanted in rows:
-            check = zlib.crc32(wanted.tobytes(), check)
-        block = (part << 44 | number << 32 | check) & (1 << 63) - 1
-        for data in parts:
-            yield row(block, data, None, None, None)
-        for lang, n, wanted in rows:
-            steps = np.diff(wanted, prepend=0).view(np.uint8).reshape(-1, 8)
-            yield row(block, None, lang, n, zlib.compress(np.ascontiguousarray(steps.T).tobytes(), 3))
-        parts.clear()
-        grams.clear()
-        size, number = 0, number + 1
+        for lang in pc.unique(docs.column("lang")).to_pylist():
+            own = docs.column("text").filter(pc.equal(docs.column("lang"), lang))
+            found = [np.unique(grams) for grams, _ in byte_grams(*text_bytes(own))]
+            if not found:
+                continue
+            grams = np.unique(np.concatenate(found))
+            shards = _shard(grams >> BITS & _mask(2))
+            grams = grams[np.argsort(shards, kind="stable")]
+            ends = np.cumsum(np.bincount(shards, minlength=SHARDS))
+            for shard in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
+                part = grams[ends[shard - 1] if shard else 0 : ends[shard]]
+                rows.append((lang, shard, int(mix(np.array([block], np.uint64))[0] % np.uint64(copies)), block, len(part), pack_sorted(part)))
+        if rows:
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["lang", "shard", "copy", "block", "n", "grams"])
 
-    for batch in batches:
-        texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
-        for a, b in _sliced([t or "" for t in texts]):
-            sink = pa.BufferOutputStream()
-            piece = batch.slice(a, b - a)
-            with pa.ipc.new_stream(sink, piece.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 12))) as writer:
-                writer.write_batch(piece)
-            parts.append(sink.getvalue().to_pybytes())
-            for lang in {x for x in langs[a:b] if x is not None}:
-                own = [t for t, x in zip(texts[a:b], langs[a:b]) if x == lang and t]
-                found = np.unique(char_grams(own)[0])
-                if len(found):
-                    grams.setdefault(lang, []).append(found)
-            size += sum(len(t or "") for t in texts[a:b])
-            if size >= BLOCK:
-                yield from close()
-    if parts:
-        yield from close()
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    steps = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(steps.T).view(np.int64)[:, 0])
-
-
-def _questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (block, lang, key) for the n-grams asked for; key is the n-gram with n above it."""
-    for batch in batches:
-        for i in np.flatnonzero(batch.column("grams").is_valid().to_numpy(zero_copy_only=False)):
-            block, lang, n, data = (batch.column(c)[int(i)].as_py() for c in ("block", "lang", "n", "grams"))
-            keys = _unpacked(data) | n << BITS * ORDER
-            for k in range(0, len(keys), 50_000):
-                own = keys[k : k + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), block)), pa.array([lang] * len(own), pa.string()), pa.array(own)], names=["block", "lang", "key"])
+    return ask
+
+
+def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: float) -> np.ndarray:
+    if not len(keys):
+        return np.full(len(wanted), default)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], default)
+
+
+def log_probabilities(grams: np.ndarray, model: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Natural logarithms of the interpolated probabilities of ORDER-grams; model[n, kind] has the n-grams, ascending, and their values."""
+    p = np.full(len(grams), 1.0 / (1 << BITS))
+    none = np.zeros(0, np.int64), np.zeros(0)
+    for n in range(1, ORDER + 1):
+        own = grams & _mask(n)
+        p = _find(*model.get((n, 0), none), own, 0.0) + _find(*model.get((n - 1, 1), none), own >> BITS, 1.0) * p
+    return np.log(p)
+
+
+def model_tables(n: np.ndarray, kind: np.ndarray, gram: np.ndarray, value: np.ndarray) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+    """Rows of a model or shard as log_probabilities() takes them."""
+    out = {}
+    for k, c in {(int(a), int(b)) for a, b in np.unique(np.stack((n, kind), 1), axis=0)} if len(n) else ():
+        rows = np.flatnonzero((n == k) & (kind == c))
+        rows = rows[np.argsort(gram[rows])]
+        out[k, c] = gram[rows], value[rows].astype(float)
+    return out
+
+
+def _answer(asked: pa.Table, shard: pa.Table) -> pa.Table:
+    """Rows (block, lang, n, grams, values) for the questions of some blocks, by one shard."""
+    empty = not shard.num_rows
+    tables = {} if empty else model_tables(*(shard.column(c).to_numpy() for c in ("n", "kind", "gram", "value")))
+    values = []
+    for n, data in zip(asked.column("n").to_pylist(), asked.column("grams")):
+        values.append(None if empty else pack_planes(log_probabilities(unpack_sorted(data.as_buffer(), n, np.int64), tables).astype(np.float32)))
+    return pa.table({"block": asked.column("block"), "lang": asked.column("lang"), "n": asked.column("n"), "grams": asked.column("grams"), "values": pa.array(values, pa.binary())})
 
 
 class _Table:
@@ -210,7 +211,7 @@ class _Table:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.bits = max(4, int(math.ceil(math.log2(max(1, len(keys)) * 2))))
-        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.float64)
+        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.float32)
         slots, left = self._slots(keys), np.arange(len(keys))
         while len(left):
             free = self.keys[slots[left]] == -1
@@ -228,59 +229,35 @@ class _Table:
         slots = self._slots(keys)
         left = np.flatnonzero(self.keys[slots] != keys)
         while len(left):
+            if (self.keys[slots[left]] == -1).any():  # a lost task ran again on other rows
+                raise ValueError("a block holds n-grams that it did not ask for; write the documents to files first")
             slots[left] = (slots[left] + 1) & ((1 << self.bits) - 1)
             left = left[self.keys[slots[left]] != keys[left]]
         return self.values[slots]
 
 
-def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: float) -> np.ndarray:
-    if not len(keys):
-        return np.full(len(wanted), default)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, values[at], default)
-
-
-def log_probabilities(grams: np.ndarray, model: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Natural logarithms of the interpolated probabilities of ORDER-grams; model[n] has the n-grams, ascending, with a and g."""
-    p = np.full(len(grams), 1.0 / ALPHABET)
-    none = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
-    for n in range(1, ORDER + 1):
-        keys, a, _ = model.get(n, none)
-        own = _find(keys, a, grams & _mask(n), 0.0)
-        keys, _, g = model.get(n - 1, none)
-        p = own + _find(keys, g, (grams & _mask(n)) >> BITS, 1.0) * p
-    return np.log(p)
-
-
 def _scored(schema: pa.Schema):
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
-        tables, out = {}, []
-        known = {lang: answers.filter(pa.compute.equal(answers.column("lang"), lang)) for lang in pa.compute.unique(answers.column("lang")).to_pylist()}
-        asked = [(r["lang"], r["grams"]) for r in block.filter(pa.compute.equal(block.column("n"), ORDER)).select(["lang", "grams"]).to_pylist()]
-        for lang, own in known.items():
-            key, a, g = (own.column(c).to_numpy() for c in ("key", "a", "g"))
-            n, gram = key >> BITS * ORDER, key & _mask(ORDER)
-            model = {}
-            for k in range(ORDER + 1):
-                rows = np.flatnonzero(n == k)
-                rows = rows[np.argsort(gram[rows])]
-                model[k] = gram[rows], np.nan_to_num(a[rows].astype(float), nan=0.0), np.where(np.isnan(g[rows].astype(float)), 1.0, g[rows].astype(float))
-            grams = _unpacked(next(data for x, data in asked if x == lang))
-            tables[lang] = _Table(grams, log_probabilities(grams, model))
+        out = []
         for data in block.column("docs"):
-            if not data.is_valid:
-                continue
-            batch = pa.ipc.open_stream(data.as_buffer()).read_all().combine_chunks()
-            texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
-            score: list[float | None] = [None] * len(texts)
-            for lang in tables:
-                rows = [i for i, (t, x) in enumerate(zip(texts, langs)) if x == lang and t]
-                if rows:
-                    grams, lengths = char_grams([texts[i] for i in rows])
-                    sums = np.add.reduceat(tables[lang].get(grams), np.cumsum(lengths) - lengths)
-                    for i, value in zip(rows, -sums / lengths):
-                        score[i] = float(value)
-            columns = [batch.column(f.name).cast(f.type) if f.name != "surprise" else pa.array(score, pa.float64()) for f in schema]
+            docs = unpacked(data)
+            score = np.full(docs.num_rows, np.nan)
+            for lang in pc.unique(docs.column("lang")).to_pylist():
+                own = answers.filter(pc.equal(answers.column("lang"), lang)).filter(pc.field("values").is_valid())
+                rows = np.flatnonzero(pc.equal(docs.column("lang"), lang).to_numpy())
+                if not own.num_rows or not len(rows):
+                    continue
+                sizes = own.column("n").to_pylist()
+                grams = np.concatenate([unpack_sorted(x.as_buffer(), n, np.int64) for n, x in zip(sizes, own.column("grams"))])
+                values = np.concatenate([unpack_planes(x.as_buffer(), n, np.float32) for n, x in zip(sizes, own.column("values"))])
+                table = _Table(grams, values)
+                data_, at = text_bytes(docs.column("text").take(pa.array(rows)))
+                sums = np.zeros(len(rows))
+                for found, text in byte_grams(data_, at):
+                    sums += np.bincount(text, table.get(found), len(rows))
+                lengths = np.diff(at)
+                score[rows] = np.where(lengths > 0, -sums / np.maximum(lengths, 1), np.nan)
+            columns = [pa.array(score, from_pandas=True) if f.name == "surprise" else docs.column(f.name).cast(f.type) for f in schema]
             out.append(pa.Table.from_arrays(columns, schema=schema))
         return pa.concat_tables(out) if out else schema.empty_table()
 
@@ -288,58 +265,45 @@ def _scored(schema: pa.Schema):
 
 
 def surprise(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """docs (lang, text, ...) with surprise: the mean negative log probability of a character (null for texts that are null or empty,
-    and in languages that the model has no text of)."""
+    """docs (lang, text, ...) with surprise: the mean negative log probability of a byte by the model of that name (null for texts that are
+    null or empty, and where there is no such model)."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    spark = docs.sparkSession
-    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    parts = max(1, math.ceil(size / BLOCK), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    packed = docs.mapInArrow(_pack, _PACKED).repartition(parts, "block")
-    questions = packed.mapInArrow(_questions, "block long, lang string, key long")
-    known = model.select("lang", F.col("gram").bitwiseOR(F.shiftleft(F.col("n").cast("long"), BITS * ORDER)).alias("key"), "a", "g")
-    answers = questions.join(known, ["lang", "key"]).select("block", "lang", "key", "a", "g")
+    count = math.ceil(text_size(docs) / BLOCK)
+    parts = max(1, count, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    copies = max(1, math.ceil(count / ANSWERED))
+    packed = blocks(docs, parts)
+    asked = packed.mapInArrow(each_block(_ask(copies)), "lang string, shard int, copy int, block long, n int, grams binary")
+    by = ["lang", "shard", "copy"]
+    answers = asked.groupBy(*by).cogroup(_sharded(model, copies).groupBy(*by)).applyInArrow(_answer, "block long, lang string, n int, grams binary, values binary")
     schema = docs.schema.add("surprise", "double")
-    arrow = to_arrow_schema(schema)
-    return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored(arrow), schema)
+    return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_scored(to_arrow_schema(schema)), schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """All rows and columns of docs (doc_id, lang, text, ...), and perplexity, threshold and keep; columns of these names are replaced.
 
-    Trusted are the texts whose doc_id has a label of quality 1 in labels (doc_id, quality); repeated labels count once. A fifth of
-    them, chosen by a hash of doc_id, sets the language's threshold, the given quantile of their perplexities; the others train. In a
-    language with fewer than ENOUGH in that fifth all fifths set the threshold, each by a model of the others, and all train. A null
-    language is one of its own. Rejected (keep false) are texts above the threshold and texts without any character or null; texts of
-    languages without trusted text are kept, with null perplexity. Without labels everything but empty texts stays.
+    Trusted are the texts whose doc_id has a label of quality 1 in labels (doc_id, quality); repeated labels count once. A hash of doc_id deals
+    them into two halves. The language's threshold is the given quantile of their perplexities, each by a model of the other half; documents are
+    judged by a model of all. A null language is one of its own. Rejected (keep false) are texts above the threshold and texts that are null or
+    empty; texts of languages without trusted text are kept, with null perplexity, and so are those of languages whose trusted texts are all in
+    one half (such as a single one), with a null threshold. Without labels everything but empty texts stays. Rows that repeat are judged alike.
     """
     made = ["perplexity", "threshold", "keep"]
     rest = [c for c in docs.columns if c not in (*made, "lang", "text")]
     names = {c: f"__{i}" for i, c in enumerate(rest)}
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__good")).distinct()
     good = F.broadcast(good) if good.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else good
-    plain = docs.select(*[docs[c].alias(n) for c, n in names.items()], F.coalesce("lang", F.lit("")).alias("lang"), "text", F.col("lang").isNull().alias("__no_lang"))
+    plain = docs.select(*[docs[c].alias(n) for c, n in names.items()], F.concat(F.lit("a:"), F.coalesce("lang", F.lit(""))).alias("lang"), "text", F.col("lang").isNull().alias("__no_lang"))
     key = names["doc_id"]
-    fold = F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(HELD_OUT))
-    trusted = plain.select(key, "lang", "text").where("text <> ''").join(good, F.col(key) == F.col("__good"), "left_semi")
-    few = durable(trusted.groupBy("lang").agg(F.count(F.when(fold == 0, 1)).alias("n")).where(F.col("n") < ENOUGH).select("lang"), "few")
-    some = trusted.select("lang", "text", fold.alias("fold")).join(few, "lang", "left_semi")
-    many = trusted.select("lang", "text", fold.alias("fold")).join(few, "lang", "left_anti")
-    model = train(many.where("fold > 0").unionByName(some))
-    held = surprise(many.where("fold = 0").select("lang", "text"), model).select("lang", "surprise")
-    crossed = None
-    if few.limit(1).count():
-        own = lambda f: F.concat_ws(":", f, "lang").alias("lang")
-        folds = some.select("fold", "lang", "text", F.explode(F.sequence(F.lit(0), F.lit(HELD_OUT - 1))).alias("out"))
-        crossed = train(folds.where("fold <> out").select(own("out"), "text"))
-        apart = surprise(some.select(own("fold"), "text"), crossed)
-        held = held.unionByName(apart.select(F.regexp_replace("lang", "^[0-9]+:", "").alias("lang"), "surprise"))
-    limits = durable(held.groupBy("lang").agg(F.percentile_approx(F.exp("surprise"), quantile, 100_000).alias("threshold")), "limits")
-    for table in (few, crossed):
-        if table is not None:
-            drop_durable(table)
-    judged = surprise(plain, model).join(limits, "lang", "left").withColumn("perplexity", F.exp("surprise"))
+    half = F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(2)).cast("int")
+    trusted = plain.where("text <> ''").join(good, F.col(key) == F.col("__good"), "left_semi").select(F.substring("lang", 3, 1 << 30).alias("lang"), "text", half.alias("half"))
+    model = train(count_halves(trusted))
+    held = surprise(trusted.select(F.concat_ws(":", "half", "lang").alias("lang"), "text"), model.where("lang NOT LIKE 'a:%'"))
+    limits = held.groupBy(F.concat(F.lit("a:"), F.substring("lang", 3, 1 << 30)).alias("lang")).agg(F.percentile_approx(F.exp("surprise"), quantile, 100_000).alias("threshold"))
+    limits = durable(limits, "limits")
+    judged = surprise(plain, model.where("lang LIKE 'a:%'")).join(limits, "lang", "left").withColumn("perplexity", F.exp("surprise"))
     keep = (F.coalesce(F.length("text"), F.lit(0)) > 0) & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
-    back = {n: F.col(n).alias(c) for c, n in names.items()} | {"lang": F.when(~F.col("__no_lang"), F.col("lang")).alias("lang"), "text": F.col("text")}
+    back = {n: F.col(n).alias(c) for c, n in names.items()} | {"lang": F.when(~F.col("__no_lang"), F.substring("lang", 3, 1 << 30)).alias("lang"), "text": F.col("text")}
     order = [names.get(c, c) for c in docs.columns if c not in made]
     return judged.select(*[back[c] for c in order], "perplexity", "threshold", keep.alias("keep"))

@@ -241,19 +241,73 @@ def test_quality_thresholds_hold_against_a_few_odd_trusted_texts(spark):
     assert sum(kept[2000 + i] for i in range(100)) >= 90 and sum(kept[i] for i in range(400)) >= 380
 
 
-def test_quality_probabilities_against_plain_kneser_ney(spark):
-    """The model tables give the same probabilities as a direct evaluation of the formula."""
-    text = "abracadabra abracadabra cadabra"
-    model = quality.train(spark.createDataFrame([("en", text)], "lang string, text string")).collect()
-    tables = {}
-    for n in range(quality.ORDER + 1):
-        own = sorted((r["gram"], r["a"] or 0.0, 1.0 if r["g"] is None else r["g"]) for r in model if r["n"] == n)
-        tables[n] = tuple(np.array(c) for c in zip(*own)) if own else (np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
-    grams, _ = quality.char_grams([text])
-    context = int(grams[6]) >> quality.BITS
-    every = np.array([(context << quality.BITS) | c for c in range(quality.ALPHABET)], np.int64)
-    assert abs(np.exp(quality.log_probabilities(every, tables)).sum() - 1) < 1e-4  # a distribution over the alphabet
-    assert quality.log_probabilities(grams, tables).mean() > quality.log_probabilities(quality.char_grams(["zzqqxxkkww"])[0], tables).mean()
+def kneser_ney(texts_, order=quality.ORDER):
+    """p(byte | context) of interpolated modified Kneser-Ney, evaluated from dictionaries."""
+    counts = [None] * (order + 1)
+    counts[order] = collections.Counter()
+    for t in texts_:
+        data = (quality.BEGIN,) * (order - 1) + tuple(t.encode())
+        counts[order].update(data[i : i + order] for i in range(len(data) - order + 1))
+    for n in range(order - 1, 0, -1):
+        counts[n] = collections.Counter(x[1:] for x in {y[order - n - 1 :] for y in counts[order]})
+    discounts, after = [None] * (order + 1), [None] * (order + 1)
+    for n in range(1, order + 1):
+        n1, n2, n3, n4 = (sum(c == k for c in counts[n].values()) for k in (1, 2, 3, 4))
+        ratio = n1 / (n1 + 2 * n2) if n1 + 2 * n2 else None
+        discounts[n] = [min(max(k - (k + 1) * ratio * b / a if a and ratio is not None else 0.75, 0.05), k - 0.05) for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+        after[n] = collections.defaultdict(list)
+        for x, c in counts[n].items():
+            after[n][x[:-1]].append(c)
+
+    def p(context, byte, n):
+        if n == 0:
+            return 1 / 256
+        own = context[len(context) - n + 1 :]
+        low = p(context, byte, n - 1)
+        if own not in after[n]:
+            return low
+        total, d = sum(after[n][own]), lambda c: discounts[n][min(c, 3) - 1]
+        c = counts[n].get((*own, byte), 0)
+        return ((c - d(c)) if c else 0) / total + sum(map(d, after[n][own])) / total * low
+
+    return lambda context, byte: p(context, byte, order)
+
+
+def test_quality_perplexities_against_plain_kneser_ney(spark):
+    """The sharded count joins give the perplexities of a direct evaluation of the formula, and the thresholds of the other halves' models."""
+    draw = random.Random(3)
+    trusted = [(i, "en", " ".join(draw.choice(WORDS) for _ in range(12))) for i in range(30)] + [(40 + i, "日", "".join(draw.choice("漢字仮名交じり文") for _ in range(15))) for i in range(6)]
+    other = [(100, "en", "zzz 漢字 ba\x00de"), (101, "en", "bade fi"), (102, "日", "漢漢字 x"), (103, "fr", "bonjour")]
+    rows = trusted + other
+    frame = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    out = {r["doc_id"]: r for r in quality.quality(frame, spark.createDataFrame([(i, 1) for i, _, _ in trusted], "doc_id long, quality int")).collect()}
+    half = {r["id"]: r["h"] for r in spark.range(100).selectExpr("id", "pmod(xxhash64(id), 2) AS h").collect()}
+
+    def perplexity(p, text):
+        data = (quality.BEGIN,) * (quality.ORDER - 1) + tuple(text.encode())
+        return float(np.exp(-np.mean([np.log(p(data[i - quality.ORDER + 1 : i], data[i])) for i in range(quality.ORDER - 1, len(data))])))
+
+    for lang in ("en", "日"):
+        whole = kneser_ney([t for _, x, t in trusted if x == lang])
+        halves = [kneser_ney([t for i, x, t in trusted if x == lang and half[i] != h]) for h in (0, 1)]
+        held = sorted(perplexity(halves[half[i]], t) for i, x, t in trusted if x == lang)
+        for i, x, t in rows:
+            if x == lang:
+                assert abs(out[i]["perplexity"] / perplexity(whole, t) - 1) < 1e-4
+                assert min(abs(out[i]["threshold"] / h - 1) for h in held) < 1e-4 and out[i]["threshold"] >= held[int(0.9 * len(held)) - 1]
+                assert out[i]["keep"] == (out[i]["perplexity"] <= out[i]["threshold"])
+    assert out[103]["perplexity"] is None and out[103]["keep"]
+
+
+def test_quality_on_long_texts_and_small_blocks(spark, monkeypatch):
+    """Slices and blocks change nothing."""
+    long = sentence(3000)
+    at = np.array([0, len(long), len(long) + 3, len(long) + 3, len(long) + 9])
+    data = np.frombuffer((long + "abc" + "defghi").encode(), np.uint8)
+    whole = [np.concatenate(c) for c in zip(*quality.byte_grams(data, at))]
+    monkeypatch.setattr(quality, "SLICE", 7)
+    cut = [np.concatenate(c) for c in zip(*quality.byte_grams(data, at))]
+    assert all((a == b).all() for a, b in zip(whole, cut)) and whole[0][len(long)] & 0xFF == ord("a") and whole[0][len(long)] >> 8 == 0xFFFFFFFF
 
 
 def test_html_blocks():
