@@ -1,21 +1,23 @@
 """N-gram Jaccard join by prefix trees: which texts share at least four fifths of their word shingles.
 
-1. Every text becomes a set of 64-bit shingle hashes; texts with equal sets form a class, and only classes are compared.
-2. Shingles get one global order, rare ones first, by a count sketch over all texts (its size is fixed, so it can be broadcast).
-3. Two sets with similarity t share one of their first n - ceil(t n) + 1 shingles. A shingle of this prefix that no other class
-   has there can be in no overlap: a class's seat at a shingle counts the met shingles before it, and two classes whose seats
-   and remaining shingles can't add up to t are not paired. So an altered copy too far from its original meets nobody, however
-   large the group.
+1. Every text becomes a set of 64-bit shingle hashes; texts with equal sets (126 bits) form a class, and only classes are compared.
+2. Shingles get one global order, rare ones first, by their exact numbers of texts: blocks of texts send their distinct shingles to ranges
+   of hashes and get ranks back (see blocks.py). Hashes are cut for that to the bits that keep nearly all shingles apart, which changes the
+   order but no result.
+3. Two sets with similarity t share one of their first n - ceil(t n) + 1 shingles. Those that no other text has can be in no overlap, so
+   they only take up places, and nothing is sent for them. A class's seat at a shingle counts the met shingles before it, and two classes
+   whose seats and remaining shingles can't add up to t are not paired. So an altered copy too far from its original meets nobody,
+   however large the group.
 4. Of the classes that meet at a shingle the one with the most frequent shingles (the likely original) is the hub. Each class
    is compared with one hub first; where classes of different components still meet, with the shingle's hub; and only what
    remains apart after that is paired with each other. A group of linked near copies costs pairs in proportion to its size.
-5. Pairs are checked exactly: the sets that a class is compared with are stored in a prefix tree in the global order, the
+5. Pairs are checked exactly: the sets that a class is compared with are stored in a prefix tree in ascending order of their hashes, the
    traversal reuses the overlap of shared beginnings, and leaves a subtree once the shingles that remain cannot reach t.
 """
 
 from __future__ import annotations
 
-import zlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,14 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from noticeweave.llm.blocks import BLOCK, blocks, each_block, pack_planes, pack_sorted, text_size, unpack_planes, unpack_sorted, unpacked
 from noticeweave.llm.words import distinct, mix, text_shingles
 from noticeweave.operators.components import connected_components
 from noticeweave.operators.durable import drop_durable, durable
 
-#: Counters of the sketch, and the slices that it is summed by.
-SKETCH, SLICES = 1 << 20, 64
 #: Most sets in one prefix tree; a class with more partners has several trees.
 TREE = 256
+#: Bytes of text for each range of hashes that is counted at a time.
+RANGE = 16 << 20
 
 
 class PrefixTree:
@@ -41,7 +44,6 @@ class PrefixTree:
         self.order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
         self.sets = [sets[i] for i in self.order]
         self.shared = [0] * len(sets)
-        self.shortest = [len(s) for s in self.sets]
         for i in range(1, len(sets)):
             a, b = self.sets[i - 1], self.sets[i]
             m = min(len(a), len(b))
@@ -73,95 +75,117 @@ class PrefixTree:
                 yield self.order[i]
 
 
-def _signature(grams: np.ndarray) -> int:
-    """A set's class: 64 bits of a sum over its shingles."""
-    return int(mix(np.array([np.add.reduce(mix(grams)) + np.uint64(len(grams))], np.uint64)).view(np.int64)[0])
-
-
-def _profile(k: int, kind: str):
-    """Rows (slice -1, doc_id, signature, size) of the texts, and the task's counts (slice, counts) of all shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SKETCH, np.uint32)
-        for batch in batches:
-            signatures, sizes = [], []
-            for grams in text_shingles(batch.column(1), k, kind):
-                grams = distinct(grams)
-                sizes.append(len(grams))
-                signatures.append(_signature(grams) if len(grams) else None)
-                np.add.at(counts, grams & np.uint64(SKETCH - 1), 1)
-            n = len(sizes)
-            yield pa.RecordBatch.from_arrays([pa.array([-1] * n, pa.int32()), batch.column(0).cast(pa.int64()), pa.array(signatures, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(n, pa.binary())], names=["slice", "doc_id", "signature", "n_shingles", "counts"])
-        parts = [zlib.compress(x.tobytes(), 1) for x in counts.reshape(SLICES, -1)]
-        empty = pa.nulls(SLICES, pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), empty, empty, empty, pa.array(parts, pa.binary())], names=["slice", "doc_id", "signature", "n_shingles", "counts"])
-
-    return run
-
-
-def _sum_counts(key: tuple, table: pa.Table) -> pa.Table:
-    total = np.zeros(SKETCH // SLICES, np.uint64)
-    for x in table.column("counts"):
-        total += np.frombuffer(zlib.decompress(x.as_py()), np.uint32)
-    # Sixteenths of powers of two: texts that share a frequent shingle see it behind all rarer ones.
-    ranks = np.minimum(255, np.ceil(np.log2(total + 1.0) * 4)).astype(np.uint8)
-    return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "ranks": pa.array([ranks.tobytes()], pa.binary())})
-
-
-def _ordered(grams: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """The set in global order: by rank, then by hash, in one 64-bit number."""
-    return distinct((ranks[grams & np.uint64(SKETCH - 1)].astype(np.uint64) << np.uint64(56)) | (grams >> np.uint64(8)))
-
-
-def _prefixes(k: int, kind: str, num: int, den: int, ranks):
-    """Rows (shingle, signature, n, position, common) for the first shingles of each set; each set once in a task. common is the
-    mean rank of all its shingles, in hundredths."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen = np.frombuffer(zlib.decompress(ranks.value), np.uint8), set()
-        for batch in batches:
-            grams_, signatures, sizes, commons = [], [], [], []
-            for grams in text_shingles(batch.column(0), k, kind):
-                grams = distinct(grams)
-                if not len(grams) or (signature := _signature(grams)) in seen:
-                    continue
-                seen.add(signature)
-                n = len(grams)
-                whole = _ordered(grams, table)
-                grams_.append(whole[: n - -(-num * n // den) + 1])
-                signatures.append(signature)
-                sizes.append(n)
-                commons.append(int((whole >> np.uint64(56)).mean() * 100))
-            if grams_:
-                lengths = np.array([len(g) for g in grams_])
-                position = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(grams_).view(np.int64)), pa.array(np.repeat(np.array(signatures, np.int64), lengths)), pa.array(np.repeat(np.array(sizes, np.int32), lengths)), pa.array(position.astype(np.int32)), pa.array(np.repeat(np.array(commons, np.int32), lengths))], names=["shingle", "signature", "n", "position", "common"])
-
-    return run
-
-
-def _sets(k: int, kind: str, ranks):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(zlib.decompress(ranks.value), np.uint8)
-        for batch in batches:
-            wanted, signatures, sets = batch.column(0).to_pylist(), [], []
-            for signature, grams in zip(wanted, text_shingles(batch.column(1), k, kind)):
-                grams = distinct(grams)
-                if len(grams) and _signature(grams) == signature:  # another row may bear the same doc_id
-                    signatures.append(signature)
-                    sets.append(_ordered(grams, table).astype("<u8").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(signatures, pa.int64()), pa.array(sets, pa.binary())], names=["signature", "grams"])
+def _signatures(sets: list[np.ndarray]) -> pa.Array:
+    """The sets' classes: 126 bits of two sums over their shingles, null for the empty set."""
+    low = np.array([np.add.reduce(mix(s)) if len(s) else 0 for s in sets], np.uint64)
+    high = np.array([np.add.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D))) + np.uint64(len(s)) if len(s) else 0 for s in sets], np.uint64)
+    both = np.stack((mix(low), mix(high) >> np.uint64(2)), 1) if sets else np.zeros((0, 2), np.uint64)
+    empty = np.array([not len(s) for s in sets], bool)
+    flags = pa.py_buffer(np.packbits(~empty, bitorder="little").tobytes())
+    return pa.Array.from_buffers(pa.decimal128(38, 0), len(sets), [flags, pa.py_buffer(np.ascontiguousarray(both).tobytes())])
+
+
+def _counted(sets: list[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The block's distinct shingles, cut to so many bits, and the number of its texts that have each."""
+    grams = np.concatenate(sets) >> np.uint64(64 - bits) if sets else np.zeros(0, np.uint64)
+    grams.sort()
+    first = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1]))) if len(grams) else np.zeros(0, np.int64)
+    return grams[first], np.diff(first, append=len(grams))
+
+
+def _sets(docs: pa.Table, k: int, kind: str) -> list[np.ndarray]:
+    return [distinct(grams) for grams in text_shingles(docs.column("text"), k, kind)]
+
+
+def _ask(k: int, kind: str, bits: int, ranges: int):
+    """Rows (range, block, n, grams, counts) for the shingles of a block."""
+
+    def ask(block: int, docs: pa.Table) -> Iterator[pa.RecordBatch]:
+        grams, counts = _counted(_sets(docs, k, kind), bits)
+        borders = np.searchsorted(grams, np.array([(r << bits) // ranges for r in range(1, ranges)], np.uint64)).tolist()
+        rows = []
+        for r, (a, b) in enumerate(zip([0, *borders], [*borders, len(grams)])):
+            if b > a:
+                rows.append((r, block, b - a, pack_sorted(grams[a:b]), pack_planes(np.minimum(counts[a:b], 0xFFFF).astype(np.uint16))))
+        if rows:
+            kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["range", "block", "n", "grams", "counts"])
+
+    return ask
+
+
+def _rank(asked: pa.Table) -> pa.Table:
+    """Rows (block, range, n, ranks): for each shingle of each block 0 if no other text has it, else eighths of its number's logarithm."""
+    sizes = asked.column("n").to_pylist()
+    grams = np.concatenate([unpack_sorted(x.as_buffer(), n, np.uint64) for n, x in zip(sizes, asked.column("grams"))])
+    counts = np.concatenate([unpack_planes(x.as_buffer(), n, np.uint16) for n, x in zip(sizes, asked.column("counts"))])
+    order = np.argsort(grams, kind="stable")
+    opens = np.concatenate(([True], grams[order][1:] != grams[order][:-1]))
+    total = np.add.reduceat(counts[order].astype(np.int64), np.flatnonzero(opens))
+    ranks = np.empty(len(grams), np.uint8)
+    ranks[order] = np.minimum(255, np.ceil(np.log2(total) * 8)).astype(np.uint8)[np.cumsum(opens) - 1]
+    ends = np.cumsum(sizes)
+    packed = [pack_planes(ranks[end - n : end]) for n, end in zip(sizes, ends)]
+    return pa.table({"block": asked.column("block"), "range": asked.column("range"), "n": asked.column("n"), "ranks": pa.array(packed, pa.binary())})
+
+
+_ROWS = "kind int, doc_id long, signature decimal(38,0), n int, shingle long, position int, common int, grams binary"
+
+
+def _found(k: int, kind: str, bits: int, num: int, den: int):
+    """Rows of kind 0 for each text, 1 for the shingles of a set's beginning that other texts have, 2 for the sets of those."""
+
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        docs = unpacked(block.column("docs")[0])
+        sets = _sets(docs, k, kind)
+        signatures = _signatures(sets)
+        sizes = np.array([len(s) for s in sets], np.int32)
+        by_range = sorted(zip(answers.column("range").to_pylist(), answers.column("n").to_pylist(), answers.column("ranks"))) if answers.num_rows else []
+        known, _ = _counted(sets, bits)
+        ranks = np.concatenate([unpack_planes(x.as_buffer(), n, np.uint8) for _, n, x in by_range]) if by_range else np.zeros(0, np.uint8)
+        if len(known) != len(ranks):  # a lost task ran again on other rows
+            raise ValueError("a block holds shingles that it did not ask for; write the documents to files first")
+        which, shingles, positions, commons, seen, whole = [], [], [], [], set(), []
+        for i, s in enumerate(sets):
+            n = len(s)
+            if not n:
+                continue
+            own = ranks[np.searchsorted(known, s >> np.uint64(64 - bits))]
+            met = np.flatnonzero(own)
+            places = n - -(-num * n // den) + 1 - (n - len(met))  # those that no other text has come first
+            if places <= 0 or (signature := signatures[i].as_py()) in seen:
+                continue
+            seen.add(signature)
+            first = met[np.argsort(own[met], kind="stable")][:places]
+            which.append(np.full(len(first), i))
+            shingles.append(s[first])
+            positions.append(np.arange(len(first)) + n - len(met))
+            commons.append(np.full(len(first), int(own.mean() * 100)))
+            whole.append(i)
+
+        def table(kind: int, rows: np.ndarray, **columns: pa.Array) -> pa.Table:
+            made = {"kind": pa.array(np.full(len(rows), kind, np.int32)), "signature": signatures.take(pa.array(rows, pa.int64())), "n": pa.array(sizes[rows])} | columns
+            types = {"kind": pa.int32(), "doc_id": pa.int64(), "signature": pa.decimal128(38, 0), "n": pa.int32(), "shingle": pa.int64(), "position": pa.int32(), "common": pa.int32(), "grams": pa.binary()}
+            return pa.table({name: made.get(name, pa.nulls(len(rows), t)) for name, t in types.items()})
+
+        every = table(0, np.arange(len(sets)), doc_id=docs.column("doc_id").combine_chunks().cast(pa.int64()))
+        if not whole:
+            return every
+        flat = [np.concatenate(x) for x in (which, shingles, positions, commons)]
+        met = table(1, flat[0], shingle=pa.array(flat[1].view(np.int64)), position=pa.array(flat[2].astype(np.int32)), common=pa.array(flat[3].astype(np.int32)))
+        return pa.concat_tables([every, met, table(2, np.array(whole), grams=pa.array([sets[i].astype("<u8").tobytes() for i in whole], pa.binary()))])
 
     return run
 
 
 def _compare(num: int, den: int):
     def run(table: pa.Table) -> pa.Table:
-        sides, sigs, sets = table.column("b").to_pylist(), table.column("a").to_pylist(), [np.frombuffer(x.as_py(), "<u8") for x in table.column("grams")]
-        query = next(s for b, s in zip(sides, sets) if b is None)
-        others = [i for i, b in enumerate(sides) if b is not None]
-        hits = [others[j] for j in PrefixTree([sets[i] for i in others]).matches(query, num, den)]
-        return pa.table({"a": pa.array([sigs[i] for i in hits], pa.int64()), "b": pa.array([sides[i] for i in hits], pa.int64())})
+        sides, sigs, sets = table.column("b"), table.column("a"), [np.frombuffer(x.as_buffer(), "<u8") for x in table.column("grams")]
+        partner = sides.is_valid().to_pylist()
+        query = next(s for p, s in zip(partner, sets) if not p)
+        others = [i for i, p in enumerate(partner) if p]
+        hits = pa.array([others[j] for j in PrefixTree([sets[i] for i in others]).matches(query, num, den)], pa.int64())
+        return pa.table({"a": sigs.take(hits), "b": sides.take(hits)})
 
     return run
 
@@ -171,31 +195,37 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int, name: str) ->
     trees = pairs.groupBy("a").agg(F.ceil(F.count("*") / TREE).alias("trees"))
     dealt = pairs.join(trees, "a").select("a", "b", F.pmod(F.xxhash64("b"), "trees").alias("tree"))
     # Written first, so that its size is known: Spark moves the sets to the requests only where these are too many to broadcast.
-    asked = dealt.select(F.col("a").alias("signature"), "a", F.lit(None).cast("long").alias("b"), "tree").distinct()
+    asked = dealt.select(F.col("a").alias("signature"), "a", F.lit(None).cast("decimal(38,0)").alias("b"), "tree").distinct()
     requests = durable(dealt.select(F.col("b").alias("signature"), "a", "b", "tree").unionByName(asked), "requests")
     sent = requests.join(sets, "signature").select("a", "tree", "b", "grams")
-    found = durable(sent.groupBy("a", "tree").applyInArrow(_compare(num, den), "a long, b long"), name)
+    found = durable(sent.groupBy("a", "tree").applyInArrow(_compare(num, den), "a decimal(38,0), b decimal(38,0)"), name)
     drop_durable(requests)
     return found
 
 
+def set_rows(docs: DataFrame, k: int = 5, kind: str = "spaced", num: int = 80, den: int = 100) -> DataFrame:
+    """The rows of _found() for docs (doc_id, text), written to the shared folder."""
+    size = text_size(docs)
+    parts = max(1, math.ceil(size / BLOCK), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    bits = min(64, max(32, size.bit_length() + 10))  # a thousandth of the shingles at most shares its bits with another
+    packed = blocks(docs.select("doc_id", "text"), parts)
+    asked = packed.mapInArrow(each_block(_ask(k, kind, bits, max(1, math.ceil(size / RANGE)))), "range int, block long, n int, grams binary, counts binary")
+    answers = asked.groupBy("range").applyInArrow(_rank, "block long, range int, n int, ranks binary")
+    return durable(packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_found(k, kind, bits, num, den), _ROWS), "shingle-sets")
+
+
 def similar_sets(docs: DataFrame, k: int = 5, kind: str = "spaced", num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """(profile, classes): profile has doc_id, signature and n_shingles of every row of docs (doc_id, text), signature null for a
     text without words; classes has (signature, component) for the classes that are linked to others, component being the
     smallest signature in reach. Links are 100 * intersection >= 80 * union by default."""
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    profile = durable(docs.mapInArrow(_profile(k, kind), "slice int, doc_id long, signature long, n_shingles long, counts binary"), "profile")
-    slices = profile.where("slice >= 0").select("slice", "counts").groupBy("slice").applyInArrow(_sum_counts, "slice int, ranks binary").collect()
-    found = {r["slice"]: bytes(r["ranks"]) for r in slices}
-    ranks = spark.sparkContext.broadcast(zlib.compress(b"".join(found.get(i, bytes(SKETCH // SLICES)) for i in range(SLICES)), 1))
-    profile = profile.where("slice = -1").select("doc_id", "signature", "n_shingles")
-
-    rows = docs.select("text").mapInArrow(_prefixes(k, kind, num, den, ranks), "shingle long, signature long, n int, position int, common int")
-    together = Window.partitionBy("shingle")
-    met = rows.withColumns({"least": F.min("signature").over(together), "most": F.max("signature").over(together), "hub": F.max(F.struct("common", "signature")).over(together)})
-    met = met.where("least < most").select("shingle", "signature", "n", "position", F.col("hub.signature").alias("hub")).distinct()
-    met = durable(met.withColumn("seat", F.row_number().over(Window.partitionBy("signature").orderBy("position")) - 1), "met")
+    rows = set_rows(docs, k, kind, num, den)
+    profile = rows.where("kind = 0").select("doc_id", "signature", F.col("n").cast("long").alias("n_shingles"))
+
+    begun = rows.where("kind = 1").select("shingle", "signature", "n", "position", "common")
+    shared = begun.groupBy("shingle").agg(F.min("signature").alias("least"), F.max("signature").alias("most"), F.max(F.struct("common", "signature")).alias("hub"))
+    met = begun.join(shared.where("least < most"), "shingle").select("shingle", "signature", "n", "position", F.col("hub.signature").alias("hub")).distinct()
+    # A class has at most a fifth of its shingles here.
+    met = durable(met.withColumn("seat", F.row_number().over(Window.partitionBy("signature").orderBy("position", "shingle")) - 1), "met")
 
     def possible(a: str, b: str) -> str:
         """Sizes allow the link, and so do the places of the shared shingle: what both may share before it, it, and the rest."""
@@ -203,17 +233,15 @@ def similar_sets(docs: DataFrame, k: int = 5, kind: str = "spaced", num: int = 8
         return f"{den} * least({a}.n, {b}.n) >= {num} * greatest({a}.n, {b}.n) AND {num + den} * ({reach}) >= {num} * ({a}.n + {b}.n)"
 
     needed = met.select("signature").distinct()
-    first = profile.where("signature IS NOT NULL").groupBy("signature").agg(F.min("doc_id").alias("doc_id"))
-    first = durable(needed.join(first, "signature").withColumnRenamed("doc_id", "first_id"), "first")
-    texts = docs.join(first, F.expr("doc_id <=> first_id"))
-    sets = durable(texts.select("signature", "text").mapInArrow(_sets(k, kind, ranks), "signature long, grams binary"), "sets")
+    sets = durable(rows.where("kind = 2").select("signature", "grams").join(needed, "signature", "left_semi").dropDuplicates(["signature"]), "sets")
 
     # First each class with the one among its hubs that it shares most shingles with.
     hub = met.alias("h").where("signature = hub")
-    shared = met.alias("m").where("signature <> hub").join(hub, F.expr("h.shingle = m.shingle")).where(possible("h", "m"))
-    shared = shared.groupBy(F.col("m.signature").alias("b"), F.col("h.signature").alias("a")).agg(F.count("*").alias("times"))
-    tried = durable(shared.groupBy("b").agg(F.max_by("a", F.struct("times", "a")).alias("a")).select("a", "b"), "tried")
-    links = _verify(tried, sets, num, den, "links")
+    pairs = met.alias("m").where("signature <> hub").join(hub, F.expr("h.shingle = m.shingle")).where(possible("h", "m"))
+    pairs = pairs.groupBy(F.col("m.signature").alias("b"), F.col("h.signature").alias("a")).agg(F.count("*").alias("times"))
+    tried = durable(pairs.groupBy("b").agg(F.max_by("a", F.struct("times", "a")).alias("a")).select("a", "b"), "tried")
+    links, done = _verify(tried, sets, num, den, "links"), [met, sets, tried]
+    done.append(links)
     # Then, where components still meet, their classes with the shingle's hub; and what is left apart, pair by pair.
     for last in (False, True):
         label = connected_components(links, "a", "b").select(F.col("node").alias("signature"), "component")
@@ -225,21 +253,28 @@ def similar_sets(docs: DataFrame, k: int = 5, kind: str = "spaced", num: int = 8
         rest = rest.select(F.col("x.signature").alias("a"), F.col("y.signature").alias("b")).distinct()
         both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
         rest = durable(rest.join(both, ["a", "b"], "left_anti"), "rest")
-        links, tried = links.unionByName(_verify(rest, sets, num, den, "links")), tried.unionByName(rest)
+        more = _verify(rest, sets, num, den, "links")
+        links, tried = links.unionByName(more), tried.unionByName(rest)
+        done += [apart, rest, more]
     classes = connected_components(links, "a", "b").select(F.col("node").alias("signature"), "component")
-    drop_durable(sets)
+    for table in done:
+        drop_durable(table)
     return profile, classes
 
 
 def jaccard_components(docs: DataFrame, k: int = 5) -> DataFrame:
-    """One row per row of docs (doc_id, text): doc_id, n_shingles, component_id (the smallest doc_id reachable by links).
+    """One row per row of docs (doc_id, text): doc_id, n_shingles, component_id (the smallest doc_id reachable by links), and signature, the
+    number of the row's set (null without shingles).
 
     Null and empty texts, and texts of separators only, have no shingles and are linked with nothing. Texts with equal sets are
-    linked. Rows that repeat a doc_id give a row each; a doc_id with several texts joins their components. A null doc_id keeps
-    its row with the component that its text gives, null if no other doc_id is in reach. Other columns of docs are ignored.
+    linked. Rows that repeat a doc_id give a row each, with the component of their own text. A null doc_id keeps its row with the
+    component that its text gives, null if no other doc_id is in reach. Other columns of docs are ignored. What comes out are components,
+    not pairs: inside a component only the pairs that tie it together have been compared.
     """
     profile, classes = similar_sets(docs, k)
-    placed = profile.where("signature IS NOT NULL").join(classes, "signature", "left").select("doc_id", "n_shingles", F.coalesce("component", "signature").alias("component"))
-    least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    alone = profile.where("signature IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return placed.join(least, "component").select("doc_id", "n_shingles", "component_id").unionByName(alone)
+    least = profile.where("signature IS NOT NULL").groupBy("signature").agg(F.min("doc_id").alias("doc_id"))
+    placed = least.join(classes, "signature", "left").withColumn("component", F.coalesce("component", "signature"))
+    firsts = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    numbered = placed.join(firsts, "component").select("signature", "component_id")
+    alone = profile.where("signature IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "signature")
+    return profile.join(numbered, "signature").select("doc_id", "n_shingles", "component_id", "signature").unionByName(alone)
