@@ -224,12 +224,17 @@ def similar_sets(docs: DataFrame, k: int = 5, kind: str = "spaced", num: int = 8
     begun = rows.where("kind = 1").select("shingle", "signature", "n", "position", "common")
     shared = begun.groupBy("shingle").agg(F.min("signature").alias("least"), F.max("signature").alias("most"), F.max(F.struct("common", "signature")).alias("hub"))
     met = begun.join(shared.where("least < most"), "shingle").select("shingle", "signature", "n", "position", F.col("hub.signature").alias("hub")).distinct()
-    # A class has at most a fifth of its shingles here.
-    met = durable(met.withColumn("seat", F.row_number().over(Window.partitionBy("signature").orderBy("position", "shingle")) - 1), "met")
+    # A class has at most a fifth of its shingles here. mask has a bit for each met shingle before this one (of 64, some in common).
+    seats = Window.partitionBy("signature").orderBy("position", "shingle")
+    bit = F.expr("shiftleft(1L, cast(pmod(xxhash64(shingle), 64) AS int))")
+    met = met.withColumn("seat", F.row_number().over(seats) - 1).withColumn("mask", F.coalesce(F.bit_or(bit).over(seats.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")))
+    met = durable(met, "met")
 
     def possible(a: str, b: str) -> str:
-        """Sizes allow the link, and so do the places of the shared shingle: what both may share before it, it, and the rest."""
-        reach = f"least({a}.seat, {b}.seat) + least({a}.n - {a}.position, {b}.n - {b}.position)"
+        """Sizes allow the link, and so do the places of the shared shingle: what both may share before it, it, and the rest. Each bit of
+        one mask that the other lacks stands for a met shingle before it that they don't share."""
+        before = f"least({a}.seat - bit_count({a}.mask & ~{b}.mask), {b}.seat - bit_count({b}.mask & ~{a}.mask))"
+        reach = f"{before} + least({a}.n - {a}.position, {b}.n - {b}.position)"
         return f"{den} * least({a}.n, {b}.n) >= {num} * greatest({a}.n, {b}.n) AND {num + den} * ({reach}) >= {num} * ({a}.n + {b}.n)"
 
     needed = met.select("signature").distinct()
