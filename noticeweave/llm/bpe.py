@@ -20,9 +20,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from noticeweave.llm.chunks import stretches
+from noticeweave.llm.chunks import SegmentIds
 
-#: Stretches and pairs remembered per worker; when full they are forgotten.
+#: Pieces and pairs remembered per worker; when full they are forgotten.
 REMEMBERED = 600_000
 
 
@@ -31,14 +31,17 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class BytePairCodec(dict):
-    """Maps a stretch between spaces to the ids of its pieces, with a space before it, as little-endian 32-bit integers; one not yet
-    seen is encoded and remembered. cut says whether the pattern lets texts be cut at spaces (see chunks)."""
+class BytePairCodec(SegmentIds):
+    """Ids of texts by ranks. Each distinct segment is encoded once if the pattern lets texts be cut into such (see chunks)."""
 
     def __init__(self, path: str, pattern: str):
         self.cut = pattern == public_tokenizers.PATTERN
         self.ranks = load_ranks(path)
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
+        sizes = np.zeros(max(self.ranks.values(), default=0) + 1, np.int64)
+        for token, rank in self.ranks.items():
+            sizes[rank] = len(token)
+        self.token_at, self.token_size = np.cumsum(sizes) - sizes, sizes
+        self.token_bytes = np.frombuffer(b"".join(sorted(self.ranks, key=self.ranks.get)), np.uint8)
         self.pieces = regex.compile(pattern).findall
         self.automaton = ahocorasick.Automaton()
         for token in self.ranks:
@@ -48,6 +51,7 @@ class BytePairCodec(dict):
         self._known: dict[str, bytes] = {}
         self._whole: dict[bytes, bool] = {}
         self._halves: dict[bytes, tuple[bytes, bytes] | None] = {}
+        super().__init__(self._new)
 
     def merges(self, data: bytes) -> list[bytes]:
         """The parts of a short byte string after all merges, lowest rank first, leftmost first."""
@@ -133,22 +137,30 @@ class BytePairCodec(dict):
             out.append(ids)
         return b"".join(out)
 
-    def __missing__(self, stretch: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = self._pieces_of(" " + stretch)
-        if len(stretch) <= 64:
-            self[stretch] = ids
-        return ids
+    def _new(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [self._pieces_of(s) for s in segments]
+        return np.frombuffer(b"".join(found), "<u4").astype(np.uint32), np.array([len(x) // 4 for x in found], np.int64)
+
+    def batch(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        if self.cut:
+            yield from super().batch(column)
+            return
+        for i, text in enumerate(column.to_pylist()):
+            ids = np.frombuffer(self._pieces_of(text or ""), "<u4")
+            yield i, ids, np.array([0, len(ids)])
 
     def encode(self, text: str | None) -> bytes:
-        cut = stretches(text or "") if self.cut else None
-        if cut is None:
-            return self._pieces_of(text or "")
-        return self._pieces_of(cut[0]) + b"".join(map(self.__getitem__, cut[1:]))
+        return b"".join(ids.astype("<u4").tobytes() for _, ids, _ in self.batch(pa.array([text], pa.string())))
+
+    def decoded(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all ids, and where each id's bytes begin (one more than ids)."""
+        sizes = self.token_size[ids]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.token_bytes[np.repeat(self.token_at[ids] - (ends - sizes), sizes) + np.arange(total)], np.concatenate(([0], ends))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return self.decoded(np.frombuffer(ids, "<u4"))[0].tobytes()
 
 
 _codecs: dict[tuple[str, str], BytePairCodec] = {}
@@ -161,11 +173,6 @@ def codec(path: str, pattern: str) -> BytePairCodec:
     return _codecs[path, pattern]
 
 
-def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
-    for i in range(0, batch.num_rows, size):
-        yield batch.slice(i, size)
-
-
 def encode_decode(docs: DataFrame, vocabulary: str | None = None, pattern: str = public_tokenizers.PATTERN, keep: list[str] | None = None, with_ids: bool = True) -> DataFrame:
     """The columns keep (all but text if None) of docs, and ids (binary, little-endian 32 bits; if with_ids), n_tokens, ids_sha256 and
     decoded_sha256. Null texts are empty: no ids. Every row gives one row, whatever repeats; columns of docs named like a new one are
@@ -182,15 +189,14 @@ def encode_decode(docs: DataFrame, vocabulary: str | None = None, pattern: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary, pattern)
         for batch in batches:
-            for part in _slices(batch, 512):
-                ids, n, digest, decoded = [], [], [], []
-                for text in part.column(0).to_pylist():
-                    code = own.encode(text)
-                    ids.append(code if with_ids else None)
-                    n.append(len(code) // 4)
-                    digest.append(hashlib.sha256(code).hexdigest())
-                    decoded.append(hashlib.sha256(own.decode(code)).hexdigest())
-                new = [pa.array(ids, pa.binary())] * with_ids + [pa.array(n, pa.int64()), pa.array(digest, pa.string()), pa.array(decoded, pa.string())]
-                yield pa.RecordBatch.from_arrays([*part.columns[1:], *new], names=schema.names)
+            for first, ids, at in own.batch(batch.column(0)):
+                data, begins = own.decoded(ids)
+                code, at = ids.astype("<u4"), at.tolist()
+                spans = list(zip(at, at[1:]))
+                digest = [hashlib.sha256(code[x:y]).hexdigest() for x, y in spans]
+                decoded = [hashlib.sha256(data[begins[x] : begins[y]]).hexdigest() for x, y in spans]
+                new = [pa.array([code[x:y].tobytes() for x, y in spans], pa.binary())] if with_ids else []
+                new += [pa.array([y - x for x, y in spans], pa.int64()), pa.array(digest, pa.string()), pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays([*batch.slice(first, len(spans)).columns[1:], *new], names=schema.names)
 
     return frame.mapInArrow(run, schema)

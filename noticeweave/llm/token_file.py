@@ -23,13 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from noticeweave.llm.chunks import stretches
+from noticeweave.llm.blocks import text_size
+from noticeweave.llm.chunks import SegmentIds
 from noticeweave.llm.shared_files import new_file, open_random
 from noticeweave.operators.durable import durable, new_folder
 
 MAGIC, SEGMENT, RANK = b"NWDAC01\n", 1 << 20, 512
-#: Stretches of text whose ids a worker remembers; when full they are forgotten.
-REMEMBERED = 1_000_000
+#: Bytes of text in a file on average, at most.
+PART = 256 << 20
 
 
 def pack_segment(ids: np.ndarray) -> tuple[bytes, list[int]]:
@@ -158,47 +159,47 @@ class TokenFile:
             yield doc, start, held[: end - start]
 
 
-class StretchEncoder(dict):
-    """Ids of texts (little-endian 32 bits) by the tokenizers library. Keys are stretches between spaces, their values the ids of the
-    stretch with a space before it; texts that can't be cut so are encoded whole."""
+class SegmentEncoder(SegmentIds):
+    """Ids of texts by the tokenizers library, which sees each distinct segment once."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-
-        self.stops = {sign: self._library([sign])[0].tobytes() for sign in ".,"}
         self.opens = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(self.tokenizer.get_vocab_size())])
+        super().__init__(self._new)
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(found.ids, "<u4") for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, new: list[str]) -> None:
-        """Encodes stretches, many in one text: an id that opens with a space begins the next stretch. A stop or comma behind letters
-        is a piece of its own."""
-        stopped = [p for p in new if p and p[-1] in ".," and p[:-1].isalpha()]
-        words = {p[:-1] for p in stopped}.union(p for p in new if p.isalpha()).difference(self.keys())
-        plain = [*words, *(p for p in new if p and not p[0].isspace() and not p[-1].isspace() and not p.isalpha() and not (p[-1] in ".," and p[:-1].isalpha()))]
-        for i in range(0, len(plain), 1000):
-            own = plain[i : i + 1000]
-            (ids,) = self._library([" " + " ".join(own)])
-            at, data = [*(4 * np.flatnonzero(self.opens[ids])).tolist(), 4 * len(ids)], ids.tobytes()
-            self.update(zip(own, [data[x:y] for x, y in zip(at, at[1:])], strict=True))
-        self.update((p, self[p[:-1]] + self.stops[p[-1]]) for p in stopped)
-        others = [p for p in new if not p or p[0].isspace() or p[-1].isspace()]
-        self.update(zip(others, [ids.tobytes() for ids in self._library([" " + p for p in others])]))
-
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        cut = [stretches(t) if t else [""] for t in texts]
-        if len(self) > REMEMBERED:
-            self.clear()
-        self._learn(list(set().union(*[own[1:] for own in cut if own]).difference(self.keys())))
-        begins = self._library([own[0] if own else text for own, text in zip(cut, texts)])
-        return [begin.tobytes() + b"".join(map(self.__getitem__, own[1:])) if own else begin.tobytes() for begin, own in zip(begins, cut)]
-
-
-_encoders: dict[str, StretchEncoder] = {}
+        return [np.array(found.ids, np.uint32) for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _new(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Segments with a space before them are encoded many in one text: an id that opens with a space begins the next one."""
+        spaced = np.array([s[0] == " " and len(s) > 1 and not s[1].isspace() for s in segments], bool)
+        found: list[np.ndarray] = []
+        sizes = np.zeros(len(segments), np.int64)
+        order = np.concatenate((np.flatnonzero(spaced), np.flatnonzero(~spaced)))
+        for i in range(0, int(spaced.sum()), 1000):
+            which = order[i : min(i + 1000, int(spaced.sum()))]
+            own = [segments[k] for k in which.tolist()]
+            (ids,) = self._library(["".join(own)])
+            at = np.flatnonzero(self.opens[ids])
+            if len(at) != len(own) or at[0]:
+                parts = self._library(own)
+                ids, at = np.concatenate(parts), np.cumsum([0, *map(len, parts[:-1])])
+            found.append(ids)
+            sizes[which] = np.diff(at, append=len(ids))
+        others = np.flatnonzero(~spaced)
+        found += self._library([segments[k] for k in others.tolist()])
+        sizes[others] = [len(x) for x in found[len(found) - len(others) :]]
+        ids, moved = np.concatenate(found), sizes[order]
+        begins = np.empty(len(segments), np.int64)
+        begins[order] = np.cumsum(moved) - moved
+        ends = np.cumsum(sizes)
+        return ids[np.repeat(begins - (ends - sizes), sizes) + np.arange(len(ids))], sizes
+
+
+_encoders: dict[str, SegmentEncoder] = {}
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end: int | None = 0) -> DataFrame:
@@ -209,25 +210,25 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         if tokenizer not in _encoders:
-            _encoders[tokenizer] = StretchEncoder(tokenizer)
+            _encoders[tokenizer] = SegmentEncoder(tokenizer)
         encoder = _encoders[tokenizer]
         batch = next(batches, None)
         if batch is None:
             return
         part = TaskContext.get().partitionId()
-        closing = b"" if end is None else np.array([end], "<u4").tobytes()
+        closing = np.array([] if end is None else [end], np.uint32)
         with new_file(folder, f"part-{part:06d}", ".dac") as (path, out):
             writer = TokenWriter(out)
             while batch is not None:
-                for i in range(0, batch.num_rows, 512):
-                    piece = batch.slice(i, 512)
-                    for doc_id, ids in zip(piece.column(0).to_pylist(), encoder.encode_all(piece.column(1).to_pylist())):
-                        writer.add(doc_id, np.frombuffer(ids + closing, "<u4"))
+                doc_ids = batch.column(0).to_pylist()
+                for first, ids, at in encoder.batch(batch.column(1)):
+                    for doc_id, x, y in zip(doc_ids[first:], at[:-1].tolist(), at[1:].tolist()):
+                        writer.add(doc_id, np.concatenate((ids[x:y], closing)))
                 batch = next(batches, None)
             writer.close()
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([path]), pa.array([len(writer.docs)], pa.int64()), pa.array([writer.n], pa.int64())], names=["part", "path", "n_docs", "n_tokens"])
 
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-text_size(docs) // PART))
     tie = F.xxhash64("text")
     ordered = docs.select("doc_id", "text").repartitionByRange(parts, F.col("doc_id"), tie).sortWithinPartitions("doc_id", tie)
     return ordered.mapInArrow(run, "part int, path string, n_docs long, n_tokens long")
