@@ -18,8 +18,6 @@ from noticeweave.operators.durable import durable
 
 RUN, K = 10, 6
 WINDOW = RUN - K + 1
-#: A fingerprint is a hash whose low bits make room for the place (texts of up to 16 million words; beyond, ties may resolve otherwise).
-PLACE_BITS = 24
 #: Distinct hashes of benchmark fingerprints (8 bytes each) that are broadcast at most; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -32,28 +30,31 @@ def words(text: str) -> Column:
     return F.filter(cut, lambda w: w != "")
 
 
-def _keys(k: int) -> Column:
-    """Hashes of all runs of k words of column words, the place (from 1) in the low bits."""
-    mask = F.lit(-(1 << PLACE_BITS)).cast("bigint")
-    return F.expr(f"sequence(1, size(words) - {k - 1})").alias("places"), lambda i: F.xxhash64(F.slice("words", i, k)).bitwiseAND(mask).bitwiseOR(i.cast("bigint"))
+def _hashed(df: DataFrame, k: int, *keep: str) -> DataFrame:
+    """keep and keys, the hashes of all runs of k words of column words (each word is hashed once)."""
+    each = df.where(F.size("words") >= k).select(*keep, F.transform("words", lambda w: F.xxhash64(w)).alias("each"))
+    return each.select(*keep, F.transform(F.expr(f"sequence(0, size(each) - {k})"), lambda i: F.xxhash64(*[F.get("each", i + j) for j in range(k)])).alias("keys"))
 
 
 def fingerprints(df: DataFrame, *keep: str) -> DataFrame:
     """Rows (keep..., hash, place from 0) of the texts with ten words or more, from column words."""
-    places, key = _keys(K)
-    keyed = df.where(F.size("words") >= RUN).select(*keep, F.transform(places, key).alias("keys"))
-    least = F.transform(F.expr(f"sequence(1, size(keys) - {WINDOW - 1})"), lambda i: F.array_min(F.slice("keys", i, WINDOW)))
-    return _placed(keyed.select(*keep, F.explode(F.array_distinct(least)).alias("key")), *keep)
+    keyed = _hashed(df.where(F.size("words") >= RUN), K, *keep)
 
+    def leftmost(i: Column) -> Column:
+        keys = [F.get("keys", i + j) for j in range(WINDOW)]
+        out = i + WINDOW - 1
+        for j in range(WINDOW - 2, -1, -1):
+            rest = F.least(*keys[j + 1 :]) if j < WINDOW - 2 else keys[-1]
+            out = F.when(rest >= keys[j], i + j).otherwise(out)
+        return out
 
-def _runs_of(df: DataFrame, k: int, *keep: str) -> DataFrame:
-    """Rows (keep..., hash, place) of all runs of k words."""
-    places, key = _keys(k)
-    return _placed(df.where(F.size("words") >= k).select(*keep, F.explode(F.transform(places, key)).alias("key")), *keep)
+    places = F.array_distinct(F.transform(F.expr(f"sequence(0, size(keys) - {WINDOW})"), leftmost))
+    return keyed.select(*keep, F.inline(F.transform(places, lambda p: F.struct(F.get("keys", p).alias("hash"), p.alias("place")))))
 
 
-def _placed(df: DataFrame, *keep: str) -> DataFrame:
-    return df.select(*keep, F.shiftright("key", PLACE_BITS).alias("hash"), (F.col("key").bitwiseAND(F.lit((1 << PLACE_BITS) - 1).cast("bigint")) - 1).cast("int").alias("place"))
+def _runs_of(df: DataFrame, k: int, *keep: str) -> DataFrame:
+    """Rows (keep..., hash, place) of all runs of k words."""
+    return _hashed(df, k, *keep).select(*keep, F.posexplode("keys").alias("place", "hash")).select(*keep, "hash", "place")
 
 
 def benchmark_runs(benchmark: DataFrame) -> DataFrame:
