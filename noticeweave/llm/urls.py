@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from noticeweave.operators.components import connected_components
 from noticeweave.operators.durable import durable
 
+_UNREAD = r"(?is)<!--.*?(?:-->|\z)|<(script|style|template|noscript|textarea)\b.*?(?:</\1\b|\z)"
 _CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
 _REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["'][^"'>]*?\burl\s*=\s*([^"'\s>]+)"""
 
@@ -54,9 +55,9 @@ def resolved(url: Column, link: Column) -> Column:
 
 
 def aliases(pages: DataFrame) -> DataFrame:
-    """Distinct rows (url, other): canonical links and redirects of pages (url, html)."""
-    links = F.array(F.regexp_extract("html", _CANONICAL, 1), F.regexp_extract("html", _REFRESH, 1))
-    some = pages.where("url IS NOT NULL AND html IS NOT NULL").where(F.lower("html").rlike("canonical|refresh"))
+    """Distinct rows (url, other): all canonical links and redirects of pages (url, html), but for those in comments and scripts."""
+    some = pages.where("url IS NOT NULL AND html IS NOT NULL").where(F.col("html").rlike("(?i)canonical|refresh")).select("url", F.regexp_replace("html", _UNREAD, " ").alias("html"))
+    links = F.concat(F.regexp_extract_all("html", F.lit(_CANONICAL), 1), F.regexp_extract_all("html", F.lit(_REFRESH), 1))
     return some.select("url", F.explode(links).alias("link")).where("link <> ''").select("url", resolved(F.col("url"), F.col("link")).alias("other")).distinct()
 
 
