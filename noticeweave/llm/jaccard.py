@@ -129,7 +129,7 @@ def _rank(asked: pa.Table) -> pa.Table:
     return pa.table({"block": asked.column("block"), "range": asked.column("range"), "n": asked.column("n"), "ranks": pa.array(packed, pa.binary())})
 
 
-_ROWS = "kind int, doc_id long, signature decimal(38,0), n int, shingle long, position int, common int, grams binary"
+_ROWS = "kind int, doc_id long, digest long, signature decimal(38,0), n int, shingle long, position int, common int, grams binary"
 
 
 def _found(k: int, kind: str, bits: int, num: int, den: int):
@@ -165,10 +165,10 @@ def _found(k: int, kind: str, bits: int, num: int, den: int):
 
         def table(kind: int, rows: np.ndarray, **columns: pa.Array) -> pa.Table:
             made = {"kind": pa.array(np.full(len(rows), kind, np.int32)), "signature": signatures.take(pa.array(rows, pa.int64())), "n": pa.array(sizes[rows])} | columns
-            types = {"kind": pa.int32(), "doc_id": pa.int64(), "signature": pa.decimal128(38, 0), "n": pa.int32(), "shingle": pa.int64(), "position": pa.int32(), "common": pa.int32(), "grams": pa.binary()}
+            types = {"kind": pa.int32(), "doc_id": pa.int64(), "digest": pa.int64(), "signature": pa.decimal128(38, 0), "n": pa.int32(), "shingle": pa.int64(), "position": pa.int32(), "common": pa.int32(), "grams": pa.binary()}
             return pa.table({name: made.get(name, pa.nulls(len(rows), t)) for name, t in types.items()})
 
-        every = table(0, np.arange(len(sets)), doc_id=docs.column("doc_id").combine_chunks().cast(pa.int64()))
+        every = table(0, np.arange(len(sets)), doc_id=docs.column("doc_id").cast(pa.int64()), digest=docs.column("digest"))
         if not whole:
             return every
         flat = [np.concatenate(x) for x in (which, shingles, positions, commons)]
@@ -208,18 +208,18 @@ def set_rows(docs: DataFrame, k: int = 5, kind: str = "spaced", num: int = 80, d
     size = text_size(docs)
     parts = max(1, math.ceil(size / BLOCK), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     bits = min(64, max(32, size.bit_length() + 10))  # a thousandth of the shingles at most shares its bits with another
-    packed = blocks(docs.select("doc_id", "text"), parts)
+    packed = blocks(docs.select("doc_id", F.xxhash64("text").alias("digest"), "text"), parts)
     asked = packed.mapInArrow(each_block(_ask(k, kind, bits, max(1, math.ceil(size / RANGE)))), "range int, block long, n int, grams binary, counts binary")
     answers = asked.groupBy("range").applyInArrow(_rank, "block long, range int, n int, ranks binary")
     return durable(packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_found(k, kind, bits, num, den), _ROWS), "shingle-sets")
 
 
 def similar_sets(docs: DataFrame, k: int = 5, kind: str = "spaced", num: int = 80, den: int = 100) -> tuple[DataFrame, DataFrame]:
-    """(profile, classes): profile has doc_id, signature and n_shingles of every row of docs (doc_id, text), signature null for a
-    text without words; classes has (signature, component) for the classes that are linked to others, component being the
+    """(profile, classes): profile has doc_id, digest (xxhash64 of the text), signature and n_shingles of every row of docs (doc_id, text),
+    signature null for a text without words; classes has (signature, component) for the classes that are linked to others, component being the
     smallest signature in reach. Links are 100 * intersection >= 80 * union by default."""
     rows = set_rows(docs, k, kind, num, den)
-    profile = rows.where("kind = 0").select("doc_id", "signature", F.col("n").cast("long").alias("n_shingles"))
+    profile = rows.where("kind = 0").select("doc_id", "digest", "signature", F.col("n").cast("long").alias("n_shingles"))
 
     begun = rows.where("kind = 1").select("shingle", "signature", "n", "position", "common")
     shared = begun.groupBy("shingle").agg(F.min("signature").alias("least"), F.max("signature").alias("most"), F.max(F.struct("common", "signature")).alias("hub"))
@@ -268,8 +268,8 @@ def similar_sets(docs: DataFrame, k: int = 5, kind: str = "spaced", num: int = 8
 
 
 def jaccard_components(docs: DataFrame, k: int = 5) -> DataFrame:
-    """One row per row of docs (doc_id, text): doc_id, n_shingles, component_id (the smallest doc_id reachable by links), and signature, the
-    number of the row's set (null without shingles).
+    """One row per row of docs (doc_id, text): doc_id, n_shingles, component_id (the smallest doc_id reachable by links), digest
+    (xxhash64 of the text) and component, the component's own number (null without shingles), which null ids have too.
 
     Null and empty texts, and texts of separators only, have no shingles and are linked with nothing. Texts with equal sets are
     linked. Rows that repeat a doc_id give a row each, with the component of their own text. A null doc_id keeps its row with the
@@ -280,6 +280,7 @@ def jaccard_components(docs: DataFrame, k: int = 5) -> DataFrame:
     least = profile.where("signature IS NOT NULL").groupBy("signature").agg(F.min("doc_id").alias("doc_id"))
     placed = least.join(classes, "signature", "left").withColumn("component", F.coalesce("component", "signature"))
     firsts = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    numbered = placed.join(firsts, "component").select("signature", "component_id")
-    alone = profile.where("signature IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "signature")
-    return profile.join(numbered, "signature").select("doc_id", "n_shingles", "component_id", "signature").unionByName(alone)
+    numbered = placed.join(firsts, "component").select("signature", "component", "component_id")
+    columns = ["doc_id", "n_shingles", "component_id", "digest", "component"]
+    alone = profile.where("signature IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "digest", F.lit(None).cast("decimal(38,0)").alias("component"))
+    return profile.join(numbered, "signature").select(*columns).unionByName(alone)

@@ -49,7 +49,7 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
+    return jaccard.jaccard_components(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

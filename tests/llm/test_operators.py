@@ -216,6 +216,23 @@ def test_near_copies(spark):
     assert embeddings.near_copies(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+@pytest.mark.parametrize("d", [1, 2, 3, 4, 5, 8, 16])
+def test_near_copies_close_to_the_threshold(spark, d):
+    """Links just below and just above the threshold, in few dimensions and in more."""
+    draw = np.random.default_rng(d)
+    x = draw.normal(size=(150, d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = draw.normal(size=x.shape)
+    away -= (away * x).sum(axis=1, keepdims=True) * x
+    away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-30)
+    cosine = draw.uniform(0.945, 0.955, (150, 1))
+    x = np.concatenate((x, cosine * x + np.sqrt(1 - cosine**2) * away)) if d > 1 else x
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+    found = {r["vec_id"]: r["n_links"] for r in embeddings.near_copies(spark.createDataFrame([(i, v.tolist(), "x") for i, v in enumerate(x)], "vec_id long, embedding array<double>, id string")).collect()}
+    assert all(found[i] <= n for i, n in enumerate(linked)) and sum(found.values()) >= 0.97 * linked.sum()
+
+
 def test_quality(spark, none):
     rows = [(i, "en" if i % 2 else "de", sentence(40)) for i in range(200)] + [(1000 + i, "en", "".join(R.choice("QXZ#%&7") for _ in range(200))) for i in range(10)]
     rows += [(2000, "en", None), (2001, "en", ""), (2002, None, sentence(30)), (2003, "xx", "unknown language"), (2004, "en", "a"), (7, "en", sentence(40)), (None, "en", sentence(40))]
@@ -350,6 +367,9 @@ def test_urls(spark):
     assert found[10][3] == found[11][3] == "allow"
     assert found[12][2:] == (None, "allow")  # one class with a blocked and an allowed url: allow goes first
     assert found[14][:2] == ("q", "")
+    several = [(1, "https://k.org/1", link.format("https://k.org/a") + "<link href=https://x.net/de/9 rel=canonical>"), (2, "https://k.org/2", "<!-- " + link.format("https://x.net/de/9") + " --><script>" + link.format("https://x.net/de/9") + "</script>")]
+    later = urls.judge(spark.createDataFrame(several, "page_id long, url string, html string"), spark.createDataFrame(RULES, "host string, path string, verdict string"))
+    assert {r["page_id"]: r["verdict"] for r in later.collect()} == {1: "block", 2: "allow"}
     assert urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string").where("false"), spark.createDataFrame(RULES, "host string, path string, verdict string")).count() == 0
 
 
@@ -379,6 +399,74 @@ def test_warc_reader_notices_damage(tmp_path):
         list(warc._parsed(f"file://{tmp_path}/wrong.warc.gz"))
 
 
+def linked_groups(texts_):
+    """For each text the number of its group (-1 without words), by comparing all pairs."""
+    sets = []
+    for t in texts_:
+        q = SPACED.findall((t or "").translate(LOW))
+        sets.append({tuple(q[j : j + 5]) for j in range(max(1, len(q) - 4))} if q else set())
+    root = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    return [r if s else -1 for r, s in zip(root, sets)]
+
+
+def test_pipeline_against_plain_python(spark, tmp_path, monkeypatch):
+    """run() keeps the documents that the four stages keep one by one: nulls, repeats, ties, clashing columns, and an empty table."""
+    import corpus_pipeline
+
+    draw = random.Random(9)
+    say = lambda n: " ".join(draw.choice(WORDS) for _ in range(n))
+    item = say(14)
+    rows = [(i, say(30), "en") for i in range(60)] + [(200 + i, "".join(draw.choice("QXZ#%&7") for _ in range(150)), "en") for i in range(3)]
+    rows += [(300, rows[5][1], "en"), (301, rows[5][1] + " ba", "en"), (5, rows[6][1], "en"), (6, rows[6][1], "en"), (None, rows[7][1], "en"), (None, say(30), "en"), (None, None, "en"), (310, "", "en"), (311, "onvertaald woord hier", None)]
+    rows += [(320, say(8) + " " + item + " " + say(8), "en"), (321, say(8) + " " + " ".join(item.split()[:9]) + " zz " + say(8), "en")]
+    names = ["doc_id", "text", "lang", "source", "n_chars", "keep", "n_words", "__kept_0", "component"]
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, keep boolean, n_words long, __kept_0 string, component int"
+    whole = [(*r, "s", 1, False, -7, "own", 5) for r in rows]
+    spark.createDataFrame(whole, kinds).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1) for i in range(60)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+
+    # 1: the perplexities are held against a plain Kneser-Ney model in a test of their own.
+    half = {r["id"]: r["h"] for r in spark.range(60).selectExpr("id", "pmod(xxhash64(id), 2) AS h").collect()}
+    trusted = [(i, t) for i, t, _ in rows if i is not None and i < 60]
+
+    def perplexity(p, text):
+        data = (quality.BEGIN,) * (quality.ORDER - 1) + tuple(text.encode())
+        return float(np.exp(-np.mean([np.log(p(data[i - quality.ORDER + 1 : i], data[i])) for i in range(quality.ORDER - 1, len(data))])))
+
+    model, halves = kneser_ney([t for _, t in trusted]), [kneser_ney([t for i, t in trusted if half[i] != h]) for h in (0, 1)]
+    held = sorted(perplexity(halves[half[i]], t) for i, t in trusted)
+    limit = held[int(np.ceil(quality.QUANTILE * len(held))) - 1]
+    left = [r for r in whole if r[1] and (r[2] is None or perplexity(model, r[1]) <= limit * (1 + 1e-6))]
+    # 2: one row of each group, the smallest id, null last.
+    group, best = linked_groups([r[1] for r in left]), {}
+    for g, r in zip(group, left):
+        if g >= 0 and (g not in best or (r[0] is None, r[0] or 0) < (best[g][0] is None, best[g][0] or 0)):
+            best[g] = r
+    left = [r for g, r in zip(group, left) if g < 0] + list(best.values())
+    # 3: ten words in a row of the benchmark.
+    runs = [item.split()[j : j + 10] for j in range(5)]
+    left = [r for r in left if not any(ALNUM.findall(r[1].translate(LOW))[j : j + 10] == run for run in runs for j in range(len(r[1].split())))]
+    own = reference()
+    expected = collections.Counter((r[0], r[2], np.array(own.encode_ordinary(r[1]), "<u4").tobytes()) for r in left)
+
+    found = collections.Counter((r["doc_id"], r["lang"], bytes(r["ids"])) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    assert found == expected
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == names and {tuple(r)[3:] for r in out.collect()} == {("s", 1, False, -7, "own", 5)}
+        assert stage(spark, docs.where("false"), str(tmp_path)).count() == 0
+    empty_bpe = corpus_pipeline.STAGES[3][1](spark, docs.where("false"), str(tmp_path))
+    assert empty_bpe.count() == 0 and "ids" in empty_bpe.columns
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
