@@ -33,7 +33,7 @@ from noticeweave.operators.durable import drop_durable, durable
 #: Most sets in one prefix tree; a class with more partners has several trees.
 TREE = 256
 #: Bytes of text for each range of hashes that is counted at a time.
-RANGE = 16 << 20
+RANGE = 4 << 20
 
 
 class PrefixTree:

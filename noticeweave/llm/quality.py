@@ -28,7 +28,7 @@ BROADCAST_ROWS = 2_000_000
 #: Length of the n-grams in bytes; the mark before a text is a byte that UTF-8 never has.
 ORDER, BITS, BEGIN = 5, 8, 0xFF
 #: Bytes worked on at a time.
-SLICE = 2 << 20
+SLICE = 1 << 19
 #: Shards of each language's model, and the most blocks that one copy of a shard answers.
 SHARDS, ANSWERED = 64, 512
 #: Quantile of the trusted texts' perplexities up to which documents are kept.

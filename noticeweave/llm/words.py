@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes hashed at a time; bounds the temporary arrays whatever the length of a text.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _LOWER = np.arange(256, dtype=np.uint8)
