@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 
 from noticeweave.llm.chunks import SegmentIds
 
-#: Pieces and pairs remembered per worker; when full they are forgotten.
-REMEMBERED = 600_000
+#: Pieces and pairs of tokens remembered per worker; when full they are forgotten.
+PIECES, PAIRS = 50_000, 200_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -90,7 +90,7 @@ class BytePairCodec(SegmentIds):
                     limit, x = self.ranks[x], a[1]
                 else:
                     limit, y = self.ranks[y] + 1, b[0]
-            if len(self._compatible) >= REMEMBERED:
+            if len(self._compatible) >= PAIRS:
                 self._compatible.clear()
             self._compatible[left, right] = known
         return known
@@ -129,7 +129,7 @@ class BytePairCodec(SegmentIds):
         for piece in self.pieces(text):
             ids = self._known.get(piece)
             if ids is None:
-                if len(self._known) >= REMEMBERED:
+                if len(self._known) >= PIECES:
                     self._known.clear()
                 ids = np.array(self.encode_piece(piece.encode()), "<u4").tobytes()
                 if len(piece) <= 64:

@@ -19,7 +19,7 @@ from noticeweave.llm.words import text_bytes
 #: Bytes of text cut at a time; a longer text is cut alone.
 CHUNK = 4 << 20
 #: Segments that a worker remembers, their ids, and bytes in the longest that it does; when full they are forgotten.
-REMEMBERED, POOL, LONGEST = 1_000_000, 8 << 20, 64
+REMEMBERED, POOL, LONGEST = 400_000, 4 << 20, 64
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
