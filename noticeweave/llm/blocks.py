@@ -16,6 +16,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from noticeweave.llm.memory import settling
+
 #: Bytes of text in a block. A longer text is a block of its own.
 BLOCK = 8 << 20
 
@@ -67,7 +69,7 @@ def _packed_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def blocks(docs: DataFrame, parts: int) -> DataFrame:
     """Rows (block, docs) of all rows of docs (text, ...), dealt to parts partitions by block. Plans that use it twice share the exchange."""
-    return docs.mapInArrow(_packed_blocks, "block long, docs binary").repartition(parts, "block")
+    return docs.mapInArrow(settling(_packed_blocks), "block long, docs binary").repartition(parts, "block")
 
 
 def unpacked(data: pa.Scalar) -> pa.Table:
@@ -82,7 +84,7 @@ def each_block(ask: Callable[[int, pa.Table], Iterator[pa.RecordBatch]]) -> Call
             for i in range(batch.num_rows):
                 yield from ask(batch.column("block")[i].as_py(), unpacked(batch.column("docs")[i]))
 
-    return run
+    return settling(run)
 
 
 def pack_planes(values: np.ndarray) -> bytes:

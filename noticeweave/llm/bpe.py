@@ -21,6 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from noticeweave.llm.chunks import SegmentIds
+from noticeweave.llm.memory import settling
 
 #: Pieces and pairs of tokens remembered per worker; when full they are forgotten.
 PIECES, PAIRS = 50_000, 200_000
@@ -199,4 +200,4 @@ def encode_decode(docs: DataFrame, vocabulary: str | None = None, pattern: str =
                 new += [pa.array([y - x for x, y in spans], pa.int64()), pa.array(digest, pa.string()), pa.array(decoded, pa.string())]
                 yield pa.RecordBatch.from_arrays([*batch.slice(first, len(spans)).columns[1:], *new], names=schema.names)
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(settling(run), schema)

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from noticeweave.llm.memory import settling
 from noticeweave.llm.words import word_hashes
 
 #: Pages that the labeller is trained on at most, those with the smallest hashes of their urls.
@@ -337,4 +338,4 @@ def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
                 texts = ["\n".join(t for (_, t), yes in zip(page, labels) if yes) for page, labels in zip(parsed, model.label(features(parsed)))]
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html").mapInArrow(settling(run), "page_id long, url string, text string, n_chars long")

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticeweave.llm.blocks import BLOCK, blocks, each_block, pack_planes, pack_sorted, text_size, unpack_planes, unpack_sorted, unpacked
+from noticeweave.llm.memory import settle
 from noticeweave.llm.words import distinct, mix, text_shingles
 from noticeweave.operators.components import connected_components
 from noticeweave.operators.durable import drop_durable, durable
@@ -116,6 +117,7 @@ def _ask(k: int, kind: str, bits: int, ranges: int):
 
 def _rank(asked: pa.Table) -> pa.Table:
     """Rows (block, range, n, ranks): for each shingle of each block 0 if no other text has it, else eighths of its number's logarithm."""
+    settle()
     sizes = asked.column("n").to_pylist()
     grams = np.concatenate([unpack_sorted(x.as_buffer(), n, np.uint64) for n, x in zip(sizes, asked.column("grams"))])
     counts = np.concatenate([unpack_planes(x.as_buffer(), n, np.uint16) for n, x in zip(sizes, asked.column("counts"))])
@@ -136,6 +138,7 @@ def _found(k: int, kind: str, bits: int, num: int, den: int):
     """Rows of kind 0 for each text, 1 for the shingles of a set's beginning that other texts have, 2 for the sets of those."""
 
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        settle()
         docs = unpacked(block.column("docs")[0])
         sets = _sets(docs, k, kind)
         signatures = _signatures(sets)

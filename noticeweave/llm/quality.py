@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticeweave.llm.blocks import BLOCK, blocks, each_block, pack_planes, pack_sorted, text_size, unpack_planes, unpack_sorted, unpacked
-from noticeweave.llm.words import mix, text_bytes
+from noticeweave.llm.memory import settle, settling
+from noticeweave.llm.words import text_bytes
 from noticeweave.operators.durable import drop_durable, durable
 
 #: Distinct ids of trusted documents that are broadcast at most (8 bytes each); more are joined by shuffle.
@@ -93,7 +94,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def count_halves(trusted: DataFrame) -> DataFrame:
     """Rows (lang, gram, c) for three models of each language of trusted (lang, text, half): a:lang counts all texts, 0:lang those that are
     not of half 0, 1:lang those that are not of half 1."""
-    counts = trusted.select("lang", "text", "half").mapInArrow(_count, "lang string, gram long, c0 long, c1 long").groupBy("lang", "gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+    counts = trusted.select("lang", "text", "half").mapInArrow(settling(_count), "lang string, gram long, c0 long, c1 long").groupBy("lang", "gram").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
     model = lambda name, c: F.struct(F.concat(F.lit(name), "lang").alias("lang"), c.alias("c"))
     three = F.array(model("a:", F.col("c0") + F.col("c1")), model("0:", F.col("c1")), model("1:", F.col("c0")))
     return counts.select("gram", F.inline(three)).where("c > 0").select("lang", "gram", "c")
@@ -161,7 +162,7 @@ def _ask(copies: int):
             ends = np.cumsum(np.bincount(shards, minlength=SHARDS))
             for shard in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
                 part = grams[ends[shard - 1] if shard else 0 : ends[shard]]
-                rows.append((lang, shard, int(mix(np.array([block], np.uint64))[0] % np.uint64(copies)), block, len(part), pack_sorted(part)))
+                rows.append((lang, shard, (block * 0x9E3779B97F4A7C15 >> 20) % copies, block, len(part), pack_sorted(part)))
         if rows:
             kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["lang", "shard", "copy", "block", "n", "grams"])
@@ -259,6 +260,7 @@ def _scored(schema: pa.Schema):
                 score[rows] = np.where(lengths > 0, -sums / np.maximum(lengths, 1), np.nan)
             columns = [pa.array(score, from_pandas=True) if f.name == "surprise" else docs.column(f.name).cast(f.type) for f in schema]
             out.append(pa.Table.from_arrays(columns, schema=schema))
+        settle()
         return pa.concat_tables(out) if out else schema.empty_table()
 
     return run

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from noticeweave.llm.blocks import text_size
 from noticeweave.llm.chunks import SegmentIds
+from noticeweave.llm.memory import settle, settling
 from noticeweave.llm.shared_files import new_file, open_random
 from noticeweave.operators.durable import durable, new_folder
 
@@ -224,6 +225,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
                 for first, ids, at in encoder.batch(batch.column(1)):
                     for doc_id, x, y in zip(doc_ids[first:], at[:-1].tolist(), at[1:].tolist()):
                         writer.add(doc_id, np.concatenate((ids[x:y], closing)))
+                settle()
                 batch = next(batches, None)
             writer.close()
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([path]), pa.array([len(writer.docs)], pa.int64()), pa.array([writer.n], pa.int64())], names=["part", "path", "n_docs", "n_tokens"])
@@ -231,7 +233,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-text_size(docs) // PART))
     tie = F.xxhash64("text")
     ordered = docs.select("doc_id", "text").repartitionByRange(parts, F.col("doc_id"), tie).sortWithinPartitions("doc_id", tie)
-    return ordered.mapInArrow(run, "part int, path string, n_docs long, n_tokens long")
+    return ordered.mapInArrow(settling(run), "part int, path string, n_docs long, n_tokens long")
 
 
 def read_tokens(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
