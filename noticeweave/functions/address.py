@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from noticeweave.functions.text import clean_code, clean_postcode, clean_text, text
+from noticeweave.functions.text import clean_code, clean_missing, clean_postcode, clean_text, compared, postcode, text, title_tokens
 
 # Province codes after place names, words left out of them, tails of place names, and shortened street words.
 PROVINCES = ["gld", "ov", "lb", "nb", "ut", "dr", "fr", "zh", "nh", "fl", "ze", "gr"]
@@ -34,18 +34,19 @@ def match_key(street, number, suffix, code, place) -> Column:
     return F.concat_ws("|", clean_text(street), nr, addition, clean_postcode(code), clean_text(place))
 
 
-def _swap_words(c: Column, pairs: list[tuple[str, str]]) -> Column:
-    for a, b in pairs:
-        c = F.regexp_replace(c, rf"\b{a}\b", f"\u0001{b}")
-    return F.translate(c, "\u0001", "")
-
-
 def street_variants(street) -> Column:
-    """Distinct spellings: as it is, street words shortened or spelled out, without ir or dr in front, and two prefixes."""
-    base = clean_text(street)
-    whole = [base, _swap_words(base, STREET_WORDS), _swap_words(base, [(b, a) for a, b in STREET_WORDS]), F.regexp_replace(base, r"^(ir|dr) ", "")]
+    """Distinct spellings: as it is, its last word shortened or spelled out, without ir or dr in front, and two prefixes; an empty street has
+    the empty one."""
+    base = F.regexp_replace(clean_text(street), r"\byssel", "ijssel")
+    words = F.split(base, " ")
+    last, swapped = F.element_at(words, -1), F.lit(None).cast("string")
+    for a, b in STREET_WORDS:
+        swapped = F.when(last == a, b).when(last == b, a).otherwise(swapped)
+    head = F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))
+    ending = F.when(swapped.isNotNull(), F.array_join(F.concat(head, F.array(swapped)), " "))
     cut = [F.when(F.length(base) > n, F.substring(base, 1, n)) for n in STREET_PREFIXES]
-    return F.array_distinct(F.filter(F.array(*whole, *cut), lambda v: v.isNotNull() & (v != "")))
+    some = F.filter(F.array(base, ending, F.regexp_replace(base, r"^(ir|dr) ", ""), *cut), lambda v: v.isNotNull() & (v != ""))
+    return F.when(base == "", F.array(F.lit(""))).otherwise(F.array_distinct(some))
 
 
 def place_variants(place) -> Column:
@@ -62,11 +63,23 @@ def place_variants(place) -> Column:
 
 
 def variant_keys(street, number, suffix, code, place) -> Column:
-    """The match keys of all street and place spellings."""
+    """The match keys of all street and place spellings; none for an address without any part."""
     nr, addition = number_and_suffix(number, suffix)
     places = place_variants(place)
     zipcode = clean_postcode(code)
-    return F.array_distinct(F.flatten(F.transform(street_variants(street), lambda s: F.transform(places, lambda p: F.concat_ws("|", s, nr, addition, zipcode, p)))))
+    keys = F.flatten(F.transform(street_variants(street), lambda s: F.transform(places, lambda p: F.concat_ws("|", s, nr, addition, zipcode, p))))
+    return F.array_distinct(F.filter(keys, lambda k: F.replace(k, F.lit("|"), F.lit("")) != ""))
+
+
+def all_variant_keys(keys) -> Column:
+    """The variant keys of a comma-separated list of address keys (F13); short keys are padded, blank ones skipped."""
+    each = F.filter(F.transform(F.split(text(keys), ","), lambda k: F.trim(k)), lambda k: k != "")
+
+    def of(key: Column) -> Column:
+        part = key_parts(key)
+        return variant_keys(*[part[n] for n in ("street", "number", "suffix", "postcode", "place")])
+
+    return F.array_distinct(F.flatten(F.transform(each, of)))
 
 
 def key_parts(key) -> Column:
@@ -76,23 +89,152 @@ def key_parts(key) -> Column:
     return F.struct(*[F.coalesce(F.try_element_at(parts, F.lit(i + 1)), F.lit("")).alias(n) for i, n in enumerate(names)])
 
 
+#: Numbers that one range may stand for; a longer one is kept as it is written.
+RANGE = 1_000
+
+
 def _one(c: Column) -> Column:
-    return F.struct(F.regexp_extract(c, r"(\d+)", 1).cast("int").alias("number"), F.upper(F.regexp_extract(c, r"\d+\s?((?!en\b)[A-Za-z]*)", 1)).alias("suffix"))
+    return F.struct(F.try_element_at(F.regexp_extract_all(c, F.lit(r"(\d+)"), 1), F.lit(1)).alias("number"), F.upper(F.regexp_extract(c, r"\d+\s?((?!en\b)[A-Za-z]*)", 1)).alias("suffix"))
 
 
 def house_numbers(raw) -> Column:
-    """The single house numbers that a text stands for, as structs (number, suffix); empty if the row is to be kept as it is.
+    """The single house numbers that a text stands for, as structs (number, suffix) of texts; empty if the row is to be kept as it is.
 
-    'a, b en c' and 'a en b' list numbers; 'a-b' and longer chains name each; 'a t/m b' is every number from a to b.
+    'a, b en c' and 'a en b' list numbers; 'a-b' and longer chains (of hyphens or dashes) name each; 'a t/m b' is every number from a to b,
+    either way round, unless these are more than RANGE or too long to be numbers.
     """
     c = F.trim(text(raw))
     number = r"\d+(?:\s?(?!en\b)[A-Za-z]{1,4})?"
     several = c.rlike(rf"^{number}(\s*,\s*{number})*\s*(en|&)\s*{number}$")
-    chain = c.rlike(rf"^{number}(\s*-\s*{number})+$")
-    through = c.rlike(r"^\d+\s*(t/m|tot en met)\s*\d+$")
-    low, high = F.regexp_extract(c, r"^(\d+)", 1), F.regexp_extract(c, r"(\d+)$", 1)
-    first, last = (F.when(through, x.cast("int")) for x in (low, high))
-    every = F.transform(F.sequence(F.least(first, last), F.greatest(first, last)), lambda n: F.struct(n.alias("number"), F.lit("").alias("suffix")))
+    chain = c.rlike(rf"^{number}(\s*[-\u2013]\s*{number})+$")
+    ends = [F.when(c.rlike(r"^\d+\s*(t/m|tot en met)\s*\d+$"), F.regexp_extract(c, p, 1)).try_cast("int") for p in (r"^(\d+)", r"(\d+)$")]
+    low, high = F.least(*ends), F.greatest(*ends)
+    through = ends[0].isNotNull() & ends[1].isNotNull() & (high - low < RANGE)
+    every = F.transform(F.sequence(F.when(through, low), F.when(through, high)), lambda n: F.struct(n.cast("string").alias("number"), F.lit("").alias("suffix")))
     listed = F.transform(F.regexp_extract_all(c, F.lit(f"({number})"), 1), _one)
     none = F.slice(listed, 1, 0)
     return F.when(through, every).when(several | chain, F.array_distinct(listed)).otherwise(none)
+
+
+# --- addresses in titles ---
+
+_LETTERS = "A-Za-z\u00c0-\u00ff"
+_STREET = rf"(?:^|,\s*|[-\u2013]\s*)([{_LETTERS}0-9'\u2019.\-/ ]+?)\s+"
+_NUMBER = r"(\d+[A-Za-z]?(?:\s*(?:[-/]|en)\s*\d+[A-Za-z]?)*)"
+_PLACE = rf"([{_LETTERS}'\u2019.\- ]+"
+_CODE = r"(\d{4}\s*[A-Za-z]{2})"
+#: The notations of an address in a title, in the order they are tried, with the groups of street, number, postcode and place.
+TITLE_FORMS = [
+    (rf"{_STREET}{_NUMBER}\s*,\s*{_PLACE})$", (1, 2, None, 3)),
+    (rf"{_STREET}{_NUMBER}\s*,\s*{_CODE}\s+(?:(?:te|in)\s+)?{_PLACE}?)(?:$|,\s*Z|\(|,)", (1, 2, 3, 4)),
+    (rf"{_STREET}{_NUMBER}(?:\s*,\s*{_CODE})?\s+(?:te|in)\s+{_PLACE}?)(?:$|[,(])", (1, 2, 3, 4)),
+    (rf"\blocatie\s+([{_LETTERS}0-9'\u2019.\-/ ]+?)\s+{_NUMBER}(?:\s*,\s*{_CODE})?(?:\s+(?:te|in)\s+{_PLACE})|\s+{_PLACE}))?", (1, 2, 3, 4, 5)),
+    (rf"{_STREET}(\d+[A-Za-z]?(?:\s*,\s*\d+[A-Za-z]?)*(?:\s+en\s+\d+[A-Za-z]?)?)(?:\s*,\s*{_CODE})?\s+{_PLACE})$", (1, 2, 3, 4)),
+]
+#: Streets whose titles leave out place or postcode.
+TITLE_HINTS = {"knoevenoordstraat": ("Brummen", ""), "wapenvelder kerkweg": ("Wapenveld", "8191 KL")}
+_PARTS = ("street", "house_number", "house_number_suffix", "postcode", "place")
+
+
+def street_candidate(c) -> Column:
+    """What stands behind the last dash and comma of a street's text, its words with a capital."""
+    bare = F.regexp_replace(clean_missing(c), r"(?i)^locatie\s+", "")
+    last = F.element_at(F.split(F.element_at(F.split(bare, r"\s+[\u2013-]\s+"), -1), ","), -1)
+    return title_tokens(F.regexp_replace(F.regexp_replace(last, r"\s+", " "), r"^[ ,.-]+|[ ,.-]+$", ""))
+
+
+def split_house_number(c) -> tuple[Column, Column]:
+    """Digits and one to four letters apart; anything else is a number without addition."""
+    bare = F.regexp_replace(F.regexp_replace(clean_missing(c), r"(?i)\s+en\s+ongenummerd\b", ""), r"^[ ,]+|[ ,]+$", "")
+    pair = bare.rlike(r"^\d+[A-Za-z]{1,4}$")
+    return F.when(pair, F.regexp_extract(bare, r"^(\d+)", 1)).otherwise(bare), F.when(pair, F.regexp_extract(bare, r"([A-Za-z]+)$", 1)).otherwise("")
+
+
+def _address(street, number, suffix, code, place, sure) -> Column:
+    columns = zip((*_PARTS, "confidence"), (street, number, suffix, code, place, sure))
+    return F.struct(*[c.alias(n) for n, c in columns])
+
+
+def title_address(title) -> Column:
+    """A struct of street, house_number, house_number_suffix, postcode, place and confidence (0.95) from the first form of TITLE_FORMS that
+    gives street, number and place; null if none does."""
+    flat = lambda c: F.regexp_replace(F.regexp_replace(c, r"\s+", " "), r"^[ ,]+|[ ,]+$", "")
+    compact = flat(F.regexp_replace(flat(clean_missing(title)), r"(?i)\s+en\s+ongenummerd\b", ""))
+    found = []
+    for pattern, groups in TITLE_FORMS:
+        part = [F.lit("") if g is None else F.regexp_extract(compact, "(?i)" + pattern, g) for g in groups]
+        street, (number, suffix) = street_candidate(part[0]), split_house_number(part[1])
+        place = title_tokens(clean_missing(F.when(part[3] != "", part[3]).otherwise(part[4] if len(part) > 4 else F.lit(""))))
+        code = postcode(part[2])
+        key = compared(street)
+        for name, (hint, hint_code) in TITLE_HINTS.items():
+            place = F.when((place == "") & (key == name), hint).otherwise(place)
+            code = F.when((code == "") & (key == name), hint_code).otherwise(code)
+        whole = (street != "") & (number != "") & (place != "")
+        found.append(F.when(whole, _address(street, number, suffix, code, place, F.lit(0.95))))
+    return F.coalesce(*found)
+
+
+def _core(a: Column) -> list[Column]:
+    return [compared(a[n]) for n in ("street", "house_number", "place")]
+
+
+def looks_present(a: Column, c) -> Column:
+    """Whether street, number and place of an address all stand in a text; false if one is blank."""
+    hay = compared(c)
+    out = hay != ""
+    for part in _core(a):
+        out = out & (part != "") & F.contains(hay, part)
+    return out
+
+
+def materially_differ(a: Column, b: Column) -> Column:
+    """Whether two addresses, both with street, number and place, differ in these."""
+    whole, same = F.lit(True), F.lit(True)
+    for x, y in zip(_core(a), _core(b)):
+        whole, same = whole & (x != "") & (y != ""), same & (x == y)
+    return F.coalesce(a.isNotNull() & b.isNotNull() & whole & ~same, F.lit(False))
+
+
+def chosen_address(title, given: Column, body) -> Column:
+    """The title's address if it stands in the title and the one given is incomplete or stands in neither title nor body; else the one given;
+    whichever is there if only one is."""
+    own = title_address(title)
+    complete = F.lit(True)
+    for part in _core(given):
+        complete = complete & (part != "")
+    doubtful = ~complete | ~(looks_present(given, title) | looks_present(given, body))
+    return F.when(own.isNull(), given).when(given.isNull(), own).when(looks_present(own, title) & doubtful, own).otherwise(given)
+
+
+def key_address(key) -> Column:
+    """The address of an address key, with confidence 0.8 (0 if street, number or place is missing)."""
+    part = key_parts(key)
+    whole = (part["street"] != "") & (part["number"] != "") & (part["place"] != "")
+    return _address(part["street"], part["number"], part["suffix"], part["postcode"], part["place"], F.when(whole, 0.8).otherwise(0.0))
+
+
+def split_suffix(number, suffix) -> tuple[Column, Column]:
+    """'7a' without addition becomes '7' and 'a'; texts of several numbers stay."""
+    nr, extra = split_house_number(number)
+    fill = (F.trim(text(suffix)) == "") & (extra != "")
+    return F.when(fill, nr).otherwise(F.trim(text(number))), F.when(fill, extra).otherwise(F.trim(text(suffix)))
+
+
+def register_key(street, number, code, place) -> Column:
+    """The match key of a register's address: no addition, no province code behind the place."""
+    bare = F.regexp_replace(clean_text(place), rf" ({'|'.join(PROVINCES)})$", "")
+    return F.concat_ws("|", clean_text(street), clean_code(number), F.lit(""), clean_postcode(code), bare)
+
+
+def shown_address(street, number, suffix, code, place) -> Column:
+    """'street number suffix, postcode place' without what is blank."""
+    join = lambda *c: F.concat_ws(" ", *[F.nullif(clean_missing(x), F.lit("")) for x in c])
+    return F.concat_ws(", ", *[F.nullif(x, F.lit("")) for x in (join(street, number, suffix), join(code, place))])
+
+
+def lookup_query(number, suffix, code, name=None, register=None) -> Column:
+    """What a register is asked for: its number, else the name; for places the postcode with the house number."""
+    if register is not None:
+        return F.coalesce(F.nullif(clean_missing(register), F.lit("")), F.nullif(clean_missing(name), F.lit("")), F.lit(""))
+    return F.concat_ws(" ", F.nullif(clean_postcode(code), F.lit("")), F.nullif(F.concat(clean_code(number), clean_code(suffix)), F.lit("")))

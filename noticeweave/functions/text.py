@@ -84,8 +84,9 @@ def absolute_url(link: Column | str, base: str) -> Column:
 
 
 def file_name(c: Column | str) -> Column:
-    """Decoded, other signs than letters, digits, dot, dash and underscore replaced, ending in .pdf."""
-    name = F.regexp_replace(F.try_url_decode(F.element_at(F.split(text(c), "/"), -1)), r"[^A-Za-z0-9._-]", "_")
+    """Decoded (a malformed escape stays as it is), other signs than letters, digits, dot, dash and underscore replaced, ending in .pdf."""
+    last = F.element_at(F.split(text(c), "/"), -1)
+    name = F.regexp_replace(F.coalesce(F.try_url_decode(last), last), r"[^A-Za-z0-9._-]", "_")
     return F.when(F.lower(name).endswith(".pdf"), name).otherwise(F.concat(name, F.lit(".pdf")))
 
 
@@ -114,12 +115,95 @@ def location_kind(visiting: Column | str, postal: Column | str, missing: str = "
     return F.when(known(visiting), "bezoeklocatie").when(known(postal), "postlocatie").otherwise("")
 
 
+def _first_match(c: Column, pattern: str) -> tuple[Column, Column]:
+    """Where the first match begins (from 1, 0 if there is none), and its text."""
+    return F.regexp_instr(c, F.lit(f"(?iu)(?:{pattern})")), F.regexp_extract(c, f"(?iu)({pattern})", 1)
+
+
 def evidence_sentence(c: Column | str, pattern: str) -> Column:
-    """The stretch between . ; : around the first match, with the sign that ends it; empty without match."""
-    return F.trim(F.regexp_extract(text(c), rf"(?is)([^.;:]*?(?:{pattern})[^.;:]*[.;:]?)", 1))
+    """The stretch between . ; : around the first match, with the sign that ends it; empty without match. The match is found first and
+    the text cut around it, so long texts without stops take no longer than others."""
+    c = text(c)
+    at, match = _first_match(c, pattern)
+    before, after = F.substring(c, F.lit(1), at - 1), F.substring(c, at + F.length(match), F.length(c))
+    left = F.element_at(F.split(before, "[.;:]", -1), -1)
+    right = F.regexp_extract(after, r"(?s)^[^.;:]*+[.;:]?", 0)
+    return F.when(at > 0, F.trim(F.concat(left, match, right))).otherwise("")
 
 
 def keyword_in_context(c: Column | str, pattern: str, around: int = 5) -> Column:
-    """The first match with up to `around` words on either side, single spaces; empty without match."""
-    found = F.regexp_extract(text(c), rf"(?is)((?:\S+\s+){{0,{around}}}\S*(?:{pattern})\S*(?:\s+\S+){{0,{around}}})", 1)
-    return F.trim(F.regexp_replace(found, r"\s+", " "))
+    """The words of the first match with up to `around` words on either side, single spaces; empty without match."""
+    c = text(c)
+    at, match = _first_match(c, pattern)
+    before = F.split(F.substring(c, F.lit(1), at - 1), r"\s+", -1)
+    after = F.split(F.substring(c, at + F.length(match), F.length(c)), r"\s+", around + 2)
+    # The last piece before and the first piece behind belong to the match's own words.
+    near = F.slice(before, F.greatest(F.size(before) - around, F.lit(1)), around + 1)
+    own = F.concat(F.array_join(near, " "), match, F.array_join(F.slice(after, 1, around + 1), " "))
+    return F.when(at > 0, F.trim(F.regexp_replace(own, r"\s+", " "))).otherwise("")
+
+
+def compared(c: Column | str) -> Column:
+    """For comparisons only: lower case, single spaces, missing tokens empty."""
+    return F.trim(F.regexp_replace(F.lower(clean_missing(c)), r"\s+", " "))
+
+
+# Other names of provinces.
+PROVINCE_NAMES = {"friesland": "fryslan", "fryslân": "fryslan", "brabant": "noord brabant", "n brabant": "noord brabant"}
+
+
+def province(c: Column | str) -> Column:
+    """A province's name without 'provincie' in front, with spaces for hyphens, underscores and dots, and one name for each."""
+    bare = F.regexp_replace(F.trim(F.regexp_replace(F.lower(clean_missing(c)), r"[-_.\s]+", " ")), "^provincie ", "")
+    for other, name in PROVINCE_NAMES.items():
+        bare = F.when(bare == other, name).otherwise(bare)
+    return bare
+
+
+def prefix(c: Column | str, sign: str = "-") -> Column:
+    """What stands before the first sign."""
+    return F.substring_index(text(c), sign, 1)
+
+
+def listed(c: Column | str, sign: str = ",") -> Column:
+    """The parts of a list in a text, trimmed, without empty ones."""
+    return F.filter(F.transform(F.split(text(c), sign), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def joined_once(values: Column, separator: str = " | ") -> Column:
+    """Texts in their order, each once whatever its case, joined; blank ones left out. The first spelling stays."""
+    some = F.filter(F.transform(values, lambda v: F.trim(F.coalesce(v, F.lit("")))), lambda v: v != "")
+    lower = F.transform(some, F.lower)
+    first = F.filter(some, lambda v, i: F.array_position(lower, F.lower(v)) == i + 1)
+    return F.array_join(first, separator)
+
+
+# How company names stand in notices of one province.
+COMPANY = r"(?isu)bedrijf\s*:\s*(.{1,200}?)\s*locatie\s*:"
+
+
+def company_name(c: Column | str) -> Column:
+    """The name between 'bedrijf:' and 'locatie:', empty if there is none."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_extract(text(c), COMPANY, 1), r"\s+", " "), r"^[ :;\-.,]+|[ :;\-.,]+$", "")
+
+
+def kept_company(name: Column | str, c: Column | str, *places: Column | str) -> Column:
+    """The company name, found in the text where blank, of notices of Noord-Brabant (told by any of places); blank for others."""
+    own, inside = text(name), F.lit(False)
+    for place in places:
+        inside = inside | F.contains(F.lower(text(place)), F.lit("noord-brabant"))
+    return F.when(inside, F.when(F.trim(own) != "", own).otherwise(company_name(c))).otherwise("")
+
+
+def housing_text_category(code: Column | str, housing: Column | str) -> Column:
+    """An older category: by code A4 or A, else by the words of the housing."""
+    c, words = F.upper(F.trim(text(code))), F.lower(text(housing))
+    out = F.when(F.startswith(c, F.lit("A4")), "vleeskalveren").when(F.startswith(c, F.lit("A")), "rundvee")
+    for word, category in (("kalkoen", "kalkoenen"), ("kip", "kippen"), ("kuiken", "kippen"), ("hen", "kippen"), ("varken", "varkens"), ("big", "varkens"), ("geit", "geiten"), ("rund", "rundvee"), ("koe", "rundvee"), ("kalf", "vleeskalveren"), ("kalveren", "vleeskalveren")):
+        out = out.when(F.contains(words, F.lit(word)), category)
+    return out.otherwise("overig")
+
+
+def positive(c: Column | str) -> Column:
+    """Whether a text is a number above zero; anything else is not."""
+    return F.coalesce(text(c).try_cast("double") > 0, F.lit(False))

@@ -15,13 +15,14 @@ def upsert(fresh: DataFrame, existing: DataFrame, keys: list[str], derived: list
 
 
 def union_first(parts: list[DataFrame], keys: list[str]) -> DataFrame:
-    """Union of the parts, of each key the row of the earliest part."""
-    ranked = [p.withColumn("__part", F.lit(i)) for i, p in enumerate(parts)]
-    whole = ranked[0]
-    for p in ranked[1:]:
-        whole = whole.unionByName(p, allowMissingColumns=True)
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy("__part", *[c for c in whole.columns if c not in (*keys, "__part")]))
-    return whole.withColumn("__place", place).where("__place = 1").drop("__part", "__place")
+    """Union of the parts, of each key the row of the earliest part (of equals the smallest), combined before the shuffle."""
+    whole = parts[0].withColumn("__part", F.lit(0))
+    for i, p in enumerate(parts[1:], 1):
+        whole = whole.unionByName(p.withColumn("__part", F.lit(i)), allowMissingColumns=True)
+    rest = [c for c in whole.columns if c not in (*keys, "__part")]
+    row = F.struct(*rest) if rest else F.struct("__part")
+    best = whole.groupBy(*keys).agg(F.min(F.struct("__part", row.alias("row"))).alias("__best"))
+    return best.select(*keys, *[F.col("__best.row")[c].alias(c) for c in rest])
 
 
 def with_flag(df: DataFrame, others: DataFrame, keys: list[str], flag: str) -> DataFrame:
@@ -31,8 +32,9 @@ def with_flag(df: DataFrame, others: DataFrame, keys: list[str], flag: str) -> D
 
 
 def first_columns(df: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
-    """Columns under standard names: of each list of candidates the first that df has, empty text if none."""
-    return df.select(*[F.coalesce(F.col(next(c for c in found if c in df.columns)), F.lit("")).alias(name) if any(c in df.columns for c in found) else F.lit("").alias(name) for name, found in aliases.items()])
+    """Columns under standard names: of each list of candidates that df has the first that is filled, empty text if none is."""
+    filled = lambda c: F.when(F.trim(F.col(c).cast("string")) != "", F.col(c).cast("string"))
+    return df.select(*[F.coalesce(*[filled(c) for c in found if c in df.columns], F.lit("")).alias(name) for name, found in aliases.items()])
 
 
 def require(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeweave.functions import address, dates, text
+from noticeweave.functions import address, dates, rules, text
 from noticeweave.plans.registry import Tables, query
 
 # Frequent words of the documents stand for the notices' signal words.
@@ -35,29 +35,63 @@ def number_expand(t: Tables) -> DataFrame:
     a, b = (F.col("turn") + 1).cast("string"), (F.col("turn") + 3).cast("string")
     written = F.when(F.col("turn") % 3 == 0, F.concat(a, F.lit(" en "), b, F.lit("a"))).when(F.col("turn") % 3 == 1, F.concat(a, F.lit(" t/m "), b)).otherwise(a)
     rows = t.conversations.select("conv_id", "turn", a.alias("own"), address.house_numbers(written).alias("numbers"))
-    kept = F.array(F.struct(F.col("own").cast("int").alias("number"), F.lit("").alias("suffix")))
-    return rows.select("conv_id", "turn", F.inline(F.when(F.size("numbers") > 0, F.col("numbers")).otherwise(kept)))
+    kept = F.array(F.struct(F.col("own").alias("number"), F.lit("").alias("suffix")))
+    return rows.select("conv_id", "turn", F.inline(F.when(F.size("numbers") > 0, F.col("numbers")).otherwise(kept))).withColumn("number", F.col("number").cast("int"))
 
 
-@query(f"""SELECT doc_id, regexp_matches(text, '(^|[^A-Za-z]){FIRST}([^A-Za-z]|$)') AS first_signal, regexp_matches(text, '(^|[^A-Za-z]){SECOND}([^A-Za-z]|$)') AS second_signal,
-    CASE WHEN regexp_matches(text, '(^|[^A-Za-z]){FIRST}([^A-Za-z]|$)') THEN 'receipt_of_application' WHEN regexp_matches(text, '(^|[^A-Za-z]){SECOND}([^A-Za-z]|$)') THEN 'draft_decision'
-      WHEN regexp_matches(text, '(^|[^A-Za-z]){THIRD}([^A-Za-z]|$)') THEN 'definitive_decision' ELSE 'other' END AS stage FROM documents WHERE text IS NOT NULL""")
+def notices(t: Tables) -> DataFrame:
+    """(doc_id, title, body): notices in the language of the rules, their kind told by the document's number."""
+    kind = F.col("doc_id") % 8
+    body = F.element_at(F.array(*map(F.lit, NOTICES)), (kind + 1).cast("int"))
+    title = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Besluit Lbv-plus, Oude weg "), F.col("doc_id").cast("string"), F.lit("a, Ons Dorp"))).otherwise("Mededeling")
+    return t.documents.where("text IS NOT NULL").select("doc_id", title.alias("title"), F.concat(F.lit("Inleiding zonder inhoud. "), body, F.lit(" "), F.substring("text", 1, 200)).alias("body"))
+
+
+#: Notices of eight kinds, and what the rules say of each: stage by words, stage after the overrides, scope, scheme.
+NOTICES = [
+    "Kennisgeving ontvangst: aanvraag ontvangen op grond van de Lbv.", "Het ontwerpbesluit Natura 2000 ligt ter inzage tot gedeeltelijk intrekken.", "Het besluit is in werking: de vergunning wordt geheel ingetrokken vanwege piekbelasting.",
+    "Het voornemen om de vergunning te verlenen: natura 2000.", "Het besluit is ten opzichte van het ontwerpbesluit gewijzigd, Lbv of Lbv-plus.", "Het ontwerpbesluit heeft ter inzage gelegen; natura 2000.", "Niets van belang.", "De landelijke  be\u00ebindigingsregeling veehouderijlocaties: beschikking.",
+]
+_SAID = """(VALUES (0, 'receipt_of_application', 'receipt_of_application', 'unknown', 'lbv'), (1, 'draft_decision', 'draft_decision', 'partial', 'unknown'), (2, 'definitive_decision', 'definitive_decision', 'full', 'lbv_plus'),
+  (3, 'intent_notice', 'draft_decision', 'unknown', 'unknown'), (4, 'draft_decision', 'definitive_decision', 'unknown', 'ambiguous'), (5, 'draft_decision', 'draft_decision', 'unknown', 'unknown'), (6, 'other', 'other', 'unknown', 'unknown'), (7, 'definitive_decision', 'definitive_decision', 'unknown', 'lbv')) said(kind, stage, final, scope, scheme)"""
+
+
+@query(f"SELECT doc_id, stage, final, scope, kind <> 6 AS possible FROM documents JOIN {_SAID} ON kind = doc_id % 8 WHERE text IS NOT NULL")
 def rule_classify(t: Tables) -> DataFrame:
-    found = {w: F.col("text").rlike(f"(^|[^A-Za-z]){w}([^A-Za-z]|$)") for w in (FIRST, SECOND, THIRD)}
-    stage = F.when(found[FIRST], "receipt_of_application").when(found[SECOND], "draft_decision").when(found[THIRD], "definitive_decision").otherwise("other")
-    return t.documents.where("text IS NOT NULL").select("doc_id", found[FIRST].alias("first_signal"), found[SECOND].alias("second_signal"), stage.alias("stage"))
+    """Signals, stage and scope by rules, and the overrides."""
+    told = rules.classify("body")
+    rows = notices(t).select("doc_id", "body", told["stage"].alias("stage"), told["withdrawal"].alias("scope"), rules.signals("body")["possible"].alias("possible"))
+    return rows.select("doc_id", "stage", rules.guard(rules.override_stage("stage", "body"), rules.STAGES, "other").alias("final"), "scope", "possible")
 
 
-@query("""WITH n AS (SELECT conv_id, turn, CASE WHEN contains(text, 'que') AND contains(text, 'der') THEN 'ambiguous' WHEN contains(text, 'que') THEN 'lbv_plus' WHEN contains(text, 'the') THEN 'lbv' ELSE 'unknown' END AS scheme FROM conversations)
-  SELECT conv_id, CASE WHEN bool_or(scheme = 'lbv_plus') THEN 'lbv_plus' WHEN bool_or(scheme = 'lbv') THEN 'lbv' ELSE 'ambiguous' END AS resolved, string_agg(scheme, ' | ' ORDER BY turn) AS history FROM n GROUP BY 1""")
+@query(f"""WITH n AS (SELECT doc_id % 50 AS farm, doc_id, CASE WHEN doc_id % 3 = 0 THEN 'lbv_plus' ELSE scheme END AS scheme, CASE WHEN doc_id % 3 = 0 THEN 'rule_title' WHEN scheme <> 'unknown' THEN 'rule_body' ELSE '' END AS source
+    FROM documents JOIN {_SAID} ON kind = doc_id % 8 WHERE text IS NOT NULL)
+  SELECT farm, CASE WHEN bool_or(scheme = 'lbv_plus') THEN 'lbv_plus' WHEN bool_or(scheme = 'lbv') THEN 'lbv' ELSE 'ambiguous' END AS resolved, string_agg(scheme, ' | ' ORDER BY doc_id) AS history, count(*) FILTER (source = 'rule_title') AS titles FROM n GROUP BY 1""")
 def scheme_group_resolve(t: Tables) -> DataFrame:
-    from noticeweave.functions.rules import resolved_scheme
+    """Title before body, then what a farm's notices say together."""
+    rows = notices(t).select((F.col("doc_id") % 50).alias("farm"), "doc_id", rules.notice_scheme("title", "body").alias("n"))
+    per = rows.groupBy("farm").agg(F.array_sort(F.collect_list(F.struct("doc_id", F.col("n.scheme").alias("scheme")))).alias("all"), F.count(F.when(F.col("n.source") == "rule_title", 1)).alias("titles"))
+    labels = F.transform("all", lambda n: n["scheme"])
+    return per.select("farm", rules.resolved_scheme(labels).alias("resolved"), F.array_join(labels, " | ").alias("history"), "titles")
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Oude Weg' END AS street, CASE WHEN doc_id % 3 = 0 THEN CAST(doc_id AS VARCHAR) END AS house_number, CASE WHEN doc_id % 3 = 0 THEN 'a' END AS suffix, CASE WHEN doc_id % 3 = 0 THEN 'Ons Dorp' END AS place,
+    doc_id % 3 = 0 AS differs, CASE WHEN doc_id % 3 = 0 THEN 'Oude Weg' ELSE 'Elders' END AS chosen FROM documents WHERE text IS NOT NULL""")
+def title_addresses(t: Tables) -> DataFrame:
+    """The title's address, whether it differs from the model's, and which one counts."""
+    given = address.key_address(F.lit("elders|1||1234 ab|anders"))
+    rows = notices(t).select("doc_id", "title", "body", address.title_address("title").alias("own"))
+    chosen = F.when(F.lower(address.chosen_address("title", given, "body")["street"]) == "elders", "Elders").otherwise(address.chosen_address("title", given, "body")["street"])
+    return rows.select("doc_id", *[F.col("own")[n].alias(m) for n, m in (("street", "street"), ("house_number", "house_number"), ("house_number_suffix", "suffix"), ("place", "place"))], address.materially_differ(F.col("own"), given).alias("differs"), chosen.alias("chosen"))
+
 
-    plus, lbv = F.contains("text", F.lit("que")), F.contains("text", F.lit("the"))
-    scheme = F.when(plus & F.contains("text", F.lit("der")), "ambiguous").when(plus, "lbv_plus").when(lbv, "lbv").otherwise("unknown")
-    per = t.conversations.select("conv_id", "turn", scheme.alias("scheme")).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "scheme"))).alias("notices"))
-    labels = F.transform("notices", lambda n: n["scheme"])
-    return per.select("conv_id", resolved_scheme(labels).alias("resolved"), F.array_join(labels, " | ").alias("history"))
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_name || ' | ' || p_brand ELSE p_name END AS names, 'kerkstr ' || p_size || ' B, 1234AB plaats' AS shown, split_part(p_brand, '-', 1) AS brand, p_name || '+' || p_brand AS parts FROM part""")
+def joined_names(t: Tables) -> DataFrame:
+    """Lists without repeats whatever their case, shown addresses, prefixes."""
+    names = F.array("p_name", F.lit(" "), F.upper("p_name"), F.when(F.col("p_partkey") % 2 == 0, F.col("p_brand")))
+    shown = address.shown_address(F.lit("kerkstr"), F.col("p_size").cast("string"), F.lit("B"), F.lit("1234AB"), F.lit("plaats"))
+    listed = text.listed(F.concat(F.lit(" ,"), "p_name", F.lit(" , "), "p_brand"))
+    return t.part.select("p_partkey", text.joined_once(names).alias("names"), shown.alias("shown"), text.prefix("p_brand").alias("brand"), F.array_join(listed, "+").alias("parts"))
 
 
 @query(None)
@@ -76,9 +110,12 @@ def url_parts_and_links(t: Tables) -> DataFrame:
     return t.pages.select("page_id", F.regexp_extract("url", "^(https?)://", 1).alias("scheme"), F.regexp_extract("url", "^https?://([^/?#]+)", 1).alias("host"), F.regexp_extract("url", "^https?://[^/?#]+([^?#]*)", 1).alias("path"), F.size(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)).cast("long").alias("links"))
 
 
-@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, unnest([1, 2]) AS item FROM events")
+@query("""WITH i AS (SELECT o_custkey, o_orderkey AS id, o_orderpriority AS code FROM orders) SELECT c_custkey, id, code FROM customer LEFT JOIN i ON o_custkey = c_custkey""")
 def json_items(t: Tables) -> DataFrame:
-    return t.events.select("event_id", F.from_json("props", "k int").getField("k").alias("k"), F.explode(F.array(F.lit(1), F.lit(2))).alias("item"))
+    """A register's answers as JSON, a row for each of their items, a blank one where there are none."""
+    answers = t.orders.groupBy("o_custkey").agg(F.to_json(F.struct(F.struct(F.collect_list(F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("code"))).alias("items")).alias("data"))).alias("body"))
+    items = F.from_json("body", "data struct<items: array<struct<id: bigint, code: string>>>")["data"]["items"]
+    return t.customer.join(answers, F.col("o_custkey") == F.col("c_custkey"), "left").select("c_custkey", F.inline_outer(items))
 
 
 @query("""SELECT conv_id, string_agg(role, ',' ORDER BY turn) AS roles, count(*) AS turns, max(CASE WHEN role = 'system' THEN 1 ELSE 0 END) AS has_system FROM conversations GROUP BY 1""")

@@ -13,9 +13,10 @@ def value(spark, column):
 @pytest.mark.parametrize(
     ("raw", "expected"),
     [
-        ("3 en 9", [(3, ""), (9, "")]), ("3 & 9", [(3, ""), (9, "")]), ("7, 9a en 11", [(7, ""), (9, "A"), (11, "")]), ("7-11", [(7, ""), (11, "")]),
-        ("27-27A", [(27, ""), (27, "A")]), ("7-9-11", [(7, ""), (9, ""), (11, "")]), ("27-27A-29", [(27, ""), (27, "A"), (29, "")]),
-        ("9 t/m 7", [(7, ""), (8, ""), (9, "")]), ("7", []), ("7a", []), ("", []), (None, []), ("7, 9", []),
+        ("3 en 9", [("3", ""), ("9", "")]), ("3 & 9", [("3", ""), ("9", "")]), ("7, 9a en 11", [("7", ""), ("9", "A"), ("11", "")]), ("7-11", [("7", ""), ("11", "")]),
+        ("27-27A", [("27", ""), ("27", "A")]), ("7-9-11", [("7", ""), ("9", ""), ("11", "")]), ("27-27A-29", [("27", ""), ("27", "A"), ("29", "")]),
+        ("9 t/m 7", [("7", ""), ("8", ""), ("9", "")]), ("7", []), ("7a", []), ("", []), (None, []), ("7, 9", []),
+        ("99999999999 en 3", [("99999999999", ""), ("3", "")]), ("1 t/m 2000000000", []), ("99999999999 t/m 3", []), ("7\u20139", [("7", ""), ("9", "")]), ("7 en", []),
     ],
 )
 def test_house_numbers(spark, raw, expected):
@@ -36,6 +37,10 @@ def test_variants(spark):
     assert set(value(spark, address.street_variants(lit("dr Testlaan")))) == {"dr testlaan", "testlaan"}
     assert set(value(spark, address.place_variants(lit("St Test gld")))) == {"st test", "sint test", "st"}
     assert set(value(spark, address.place_variants(lit("Test aan de Veen")))) == {"test aan de veen", "test aan de ", "test", "test veen", "test aan de"}
+    assert value(spark, address.street_variants(lit("weg naar de laan"))) == ["weg naar de laan", "weg naar de ln"]
+    assert value(spark, address.street_variants(lit("Ysselweg"))) == ["ijsselweg"] and value(spark, address.street_variants(lit(None).cast("string"))) == [""]
+    assert value(spark, address.variant_keys(*[lit("")] * 5)) == []
+    assert set(value(spark, address.all_variant_keys(lit("oude weg|7|a|1234ab|plaats,, x")))) == {"oude weg|7|a|1234AB|plaats", "oude wg|7|a|1234AB|plaats", "x||||"}
     assert value(spark, address.place_variants(lit("gr"))) == []
     assert value(spark, address.place_variants(lit(""))) == [""]
 
@@ -73,3 +78,49 @@ def test_rules(spark):
     assert value(spark, rules.resolved_scheme(F.array(lit("lbv"), lit("lbv_plus")))) == "lbv_plus"
     for code, category in (("A4.1", "vleeskalveren"), ("A1", "rundvee (excl. kalveren)"), ("D1", "varkens"), ("E2", "kippen"), ("F1", "kalkoenen"), ("C1", "geiten"), ("B1", ""), ("", "")):
         assert value(spark, rules.housing_category(lit(code))) == category
+
+
+def test_long_texts_without_stops_take_no_longer(spark):
+    long = F.concat(F.repeat(F.lit("x"), F.lit(300_000)), F.lit(" lbv "), F.repeat(F.lit("y"), F.lit(300_000)))
+    assert len(value(spark, text.evidence_sentence(long, "lbv"))) == 600_005 and len(value(spark, text.keyword_in_context(long, "lbv"))) == 600_005
+    assert value(spark, text.evidence_sentence(F.repeat(F.lit("x"), F.lit(300_000)), "lbv")) == "" == value(spark, text.keyword_in_context(F.lit(None).cast("string"), "lbv"))
+
+
+def test_stage_rules(spark):
+    lit = F.lit
+    for given, draft, intent, after in (
+        ("het ontwerpbesluit", True, False, False), ("het ontwerpbesluit heeft ter inzage gelegen", False, False, False), ("een ontwerpbeschikking", False, True, False),
+        ("het voornemen de vergunning te verlenen", False, True, False), ("het besluit is gewijzigd sinds het ontwerpbesluit", True, False, True), ("beschikking t.o.v. de ontwerpbeschikking gewijzigd", False, True, True), ("", False, False, False), (None, False, False, False),
+    ):
+        c = lit(given).cast("string")
+        assert (value(spark, rules.current_draft(c)), value(spark, rules.draft_intent(c)), value(spark, rules.after_draft(c))) == (draft, intent, after), given
+    found = value(spark, rules.scheme_evidence(lit("De LBV regeling is open. Dit betreft piekbelasting hier.")))
+    assert found["sentence"] == "Dit betreft piekbelasting hier."
+    assert value(spark, rules.scheme(lit("lbv en lbv+"))) == "lbv_plus" and value(spark, rules.guard(lit(None).cast("string"), ["a"], "z")) == "z"
+
+
+@pytest.mark.parametrize(
+    ("title", "expected"),
+    [
+        ("Natuurvergunning - Oude Kerkweg 12a, Ons Dorp", ("Oude Kerkweg", "12", "a", "", "Ons Dorp")), ("Besluit, Dorpsstraat 5, 1234 ab te Plaats", ("Dorpsstraat", "5", "", "1234 AB", "Plaats")),
+        ("locatie kerkpad 3 te Dorp", ("Kerkpad", "3", "", "", "Dorp")), ("zonder adres", None), ("", None), (None, None),
+    ],
+)
+def test_title_addresses(spark, title, expected):
+    found = value(spark, address.title_address(F.lit(title).cast("string")))
+    assert (found and tuple(found)[:5]) == expected
+
+
+def test_names_and_fills(spark):
+    lit = F.lit
+    assert value(spark, text.joined_once(F.array(lit("Ab"), lit(None).cast("string"), lit(" aB "), lit("c")))) == "Ab | c"
+    assert value(spark, text.province(lit(" Provincie Noord-Brabant"))) == "noord brabant" == value(spark, text.province(lit("Brabant")))
+    assert value(spark, text.company_name(lit("x Bedrijf:  De  Hoeve. Locatie: y"))) == "De Hoeve" and value(spark, text.company_name(lit(None).cast("string"))) == ""
+    assert value(spark, text.file_name(lit("https://x/a%zz b"))) == "a_zz_b.pdf" and value(spark, text.file_name(lit("https://x/a%20b.pdf"))) == "a_b.pdf"
+    assert value(spark, text.absolute_url(lit("/a"), "https://x/")) == "https://x/a" and value(spark, text.absolute_url(lit(None).cast("string"), "https://x")) == ""
+    assert [value(spark, text.positive(lit(x).cast("string"))) for x in ("1.5", "0", "-1", "x", None)] == [True, False, False, False, False]
+    assert value(spark, text.kept_company(lit(""), lit("bedrijf: A locatie: b"), lit("Provincie Noord-Brabant"))) == "A" and value(spark, text.kept_company(lit("B"), lit(""), lit("Limburg"))) == ""
+    assert [value(spark, c) for c in address.split_suffix(lit("7a"), lit(""))] == ["7", "a"] and [value(spark, c) for c in address.split_suffix(lit("7a"), lit("b"))] == ["7a", "b"]
+    assert value(spark, address.register_key(lit("Weg"), lit("7"), lit("1234ab"), lit("Dorp gld"))) == "weg|7||1234AB|dorp"
+    assert value(spark, address.lookup_query(lit("7"), lit("a"), lit("1234 ab"))) == "1234AB 7a" and value(spark, address.lookup_query(None, None, None, lit("N"), lit(""))) == "N"
+    assert value(spark, text.housing_text_category(lit(""), lit("Kippenstal"))) == "kippen" and value(spark, text.housing_text_category(lit("A4.2"), lit(""))) == "vleeskalveren"
