@@ -24,6 +24,8 @@ from noticeweave.llm.words import word_hashes
 
 #: Pages that the labeller is trained on at most, those with the smallest hashes of their urls.
 SAMPLE = 160
+#: Main and other blocks of a sampled page that its rebuilt layouts use; the page itself is trained on whole.
+MAIN, OTHER = 40, 20
 PATH, WORDS, HIDDEN = 96, 32, 24
 EPOCHS, RATE, SEED = 40, 0.02, 7
 
@@ -42,6 +44,7 @@ _TOKEN = re.compile(r"[a-z]+")
 
 
 _PIECE = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*|[^>]*)>""", re.S)
+_UNENDED = re.compile(r"<[!?].*", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _RAW_END = {tag: re.compile(rf"</{tag}\b", re.I) for tag in ("script", "style", "title", "textarea", "iframe", "noembed", "noframes", "xmp")}
 # Start tags that end an element left open: which elements, and within what.
@@ -75,8 +78,11 @@ def blocks(html: str | None) -> list[tuple[tuple, str]]:
             out.append((tuple(path), joined))
         text.clear()
 
+    last = html.rfind(">") + 1  # no tag ends behind it, so signs that open one are not looked at twice
     while at < len(html):
-        piece = _PIECE.search(html, at)
+        piece = _PIECE.search(html, at, last) if at < last else _UNENDED.search(html, at)
+        if not piece and at < last:
+            piece = _UNENDED.search(html, last)
         end = piece.start() if piece else len(html)
         if end > at and not hidden:
             data = html[at:end]
@@ -84,8 +90,10 @@ def blocks(html: str | None) -> list[tuple[tuple, str]]:
         if not piece:
             break
         at = piece.end()
-        tag = piece[2]
+        tag = piece[2] if piece.re is _PIECE else None
         if tag is None:
+            if piece[0].startswith("<!--") and not piece[0].endswith("-->"):
+                break
             continue
         tag = tag.lower()
         breaks = tag in BLOCKS or tag in HIDDEN_TAGS
@@ -277,8 +285,8 @@ def padded(pages: list[np.ndarray], labels: list[np.ndarray], kind: type = np.fl
 def variants(html: str, draw: np.random.Generator) -> str:
     """The blocks of a page in another layout, with boilerplate around and inside the article."""
     own = blocks(html)
-    main = [t for p, t in own if marked_main(p)][:40] or ["Text."]
-    other = [t for p, t in own if not marked_main(p)][:20] or ["More."]
+    main = [t for p, t in own if marked_main(p)][:MAIN] or ["Text."]
+    other = [t for p, t in own if not marked_main(p)][:OTHER] or ["More."]
     pick = lambda options: options[int(draw.integers(len(options)))]
     say = lambda: re.sub("[<&]", " ", pick(main if draw.random() < 0.4 else other))  # noqa: E731  any words may stand anywhere
     marks = sorted(MARKS)
@@ -311,7 +319,7 @@ def train(pages: list[str]) -> Labeller:
     """Fits a labeller to pages and to variants of them."""
     draw = np.random.default_rng(SEED)
     htmls = pages + [variants(h, draw) for h in (pages or ["<article><p>Text.</p></article>"]) for _ in range(2)]
-    parsed = [p[:120] for p in map(blocks, htmls) if p]
+    parsed = [p for p in map(blocks, htmls) if p]
     model = Labeller()
     model.fit(features(parsed), [np.array([marked_main(path) for path, _ in p], float) for p in parsed])
     return model
