@@ -6,6 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from noticeweave.llm import bpe, decontaminate, embeddings, html, jaccard, licenses, quality, token_file, urls, warc
+from noticeweave.llm.oracles import ORACLES  # noqa: F401
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,5 +71,3 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_file, op2_license_scan, op3_embedding_near_dedup, op4_quality_classifier, op5_html_extraction, op6_benchmark_decontamination, op7_ngram_jaccard_join, op8_byte_level_bpe, op9_url_filter, op10_warc, pipeline)}
-
-ORACLES: dict[str, str] = {}
