@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from noticeweave.llm.licenses import COVER, K_NOTICE, K_PHRASE, NEAR, NOTICES, PHRASES
+from noticeweave.llm.urls import URL_RULES
+
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{}')"
 
 OP3 = """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
@@ -39,9 +42,49 @@ OP7 = rf"""WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(r'[^\x20\x09-\x0D]
   links AS MATERIALIZED (SELECT a, b FROM one UNION ALL SELECT b, a FROM one), {_components('links')}
   SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component, d.doc_id) AS component_id FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN label ON node = d.doc_id"""
 
+_TEMPLATES = ", ".join(f"({i}, '{label}', {i < len(PHRASES)}, {K_PHRASE if i < len(PHRASES) else K_NOTICE}, '{text}')" for i, (text, label) in enumerate([*PHRASES, *NOTICES]))
+
+OP2 = rf"""WITH d AS (SELECT doc_id, {_WORDS.format(r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')} AS w FROM documents),
+  t AS (SELECT template, label, phrase, k, string_split(said, ' ') AS w FROM (VALUES {_TEMPLATES}) x(template, label, phrase, k, said)),
+  known AS (SELECT template, label, phrase, k, len(w) AS length, len(w) - k + 1 AS runs, p - 1 AS spot, array_to_string(w[p : p + k - 1], ' ') AS run FROM t, unnest(generate_series(1, len(w) - k + 1)) x(p)),
+  rolled AS (SELECT doc_id, k, p - 1 AS place, array_to_string(w[p : p + k - 1], ' ') AS run FROM d, (VALUES ({K_PHRASE}), ({K_NOTICE})) s(k), unnest(generate_series(1, len(w) - k + 1)) x(p)),
+  votes AS (SELECT DISTINCT doc_id, template, label, phrase, k, length, runs, place, spot, place - spot AS diagonal FROM rolled JOIN known USING (k, run)),
+  steps AS (SELECT *, CASE WHEN coalesce(diagonal - lag(diagonal) OVER w > (CASE WHEN phrase THEN 0 ELSE {NEAR} END), FALSE) THEN 1 ELSE 0 END AS new FROM votes WINDOW w AS (PARTITION BY doc_id, template ORDER BY diagonal, spot)),
+  spanned AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal, spot) AS span FROM steps),
+  merged AS (SELECT doc_id, template, label, phrase, length, runs, span, count(DISTINCT spot) AS votes, min(place) AS first, max(place) + k - 1 AS last FROM spanned GROUP BY doc_id, template, label, phrase, k, length, runs, span),
+  found AS (SELECT * FROM merged WHERE CASE WHEN phrase THEN votes = runs ELSE votes / runs >= {COVER} AND last - first + 1 <= length * 1.5 + {NEAR} END),
+  told AS (SELECT doc_id, count(*) FILTER (phrase) AS n_base, min(first) FILTER (phrase) AS first_word, max(first) FILTER (phrase) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(votes / runs) AS score FROM found GROUP BY 1)
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+  FROM d LEFT JOIN told USING (doc_id)"""
+
+_REST = "(CASE WHEN contains({0}, '://') THEN substr({0}, strpos({0}, '://') + 3) ELSE '' END)"
+_HOST = f"translate(regexp_extract({_REST}, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = f"regexp_extract({_REST}, '^[^/?#]*([^?#]*)', 1)"
+_NODE = rf"nullif({_HOST}, '') || regexp_replace({_PATH}, '/+$', '') || regexp_extract({_REST}, '^[^?#]*(\?[^#]*)', 1)"
+_UNREAD = r"(?is)<!--.*?(?:-->|\z)|" + "|".join(rf"<{tag}\b.*?(?:</{tag}\b|\z)" for tag in ("script", "style", "template", "noscript", "textarea"))
+_RULES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+
+OP9 = rf"""WITH RECURSIVE p AS (SELECT page_id, url, {_HOST.format("coalesce(url, '')")} AS host, {_PATH.format("coalesce(url, '')")} AS path, {_NODE.format("coalesce(url, '')")} AS node FROM pages),
+  linked AS (SELECT url, regexp_replace(html, '{_UNREAD}', ' ', 'g') AS h FROM pages WHERE url IS NOT NULL AND regexp_matches(html, '(?i)canonical|refresh')),
+  tags AS (SELECT url, unnest(regexp_extract_all(h, '(?is)<(?:link|meta)\b[^>]*')) AS tag FROM linked),
+  links AS (SELECT url, replace(CASE WHEN regexp_matches(tag, '(?is)^<link\b.*\brel\s*=\s*["'']?canonical\b') THEN regexp_extract(tag, '(?is)^<link\b.*\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
+      WHEN regexp_matches(tag, '(?is)^<meta\b.*\bhttp-equiv\s*=\s*["'']?refresh\b') THEN regexp_extract(tag, '(?is)^<meta\b.*\bcontent\s*=\s*["''][^"''>]*?\burl\s*=\s*([^"''\s>]+)', 1) END, '&amp;', '&') AS link FROM tags),
+  resolved AS (SELECT DISTINCT url, CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link WHEN starts_with(link, '//') THEN 'http:' || link WHEN starts_with(link, '/') THEN 'http://' || {_HOST.format("url")} || link
+      ELSE 'http://' || {_HOST.format("url")} || regexp_replace({_PATH.format("url")}, '[^/]*$', '') || CASE WHEN {_PATH.format("url")} = '' THEN '/' ELSE '' END || link END AS other FROM links WHERE link <> ''),
+  ends AS (SELECT {_HOST.format("u")} AS host, {_PATH.format("u")} AS path, {_NODE.format("u")} AS node FROM (SELECT url AS u FROM resolved UNION SELECT other FROM resolved)),
+  rules(rule_host, rule_path, ruling) AS (VALUES {_RULES}),
+  found AS (SELECT host, path, rule_host || rule_path AS rule, ruling FROM (SELECT host, path FROM p UNION SELECT host, path FROM ends) JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY length(rule) DESC, ruling = 'allow' DESC, rule DESC) = 1),
+  one AS (SELECT {_NODE.format("url")} AS a, {_NODE.format("other")} AS b FROM resolved), edges AS MATERIALIZED (SELECT a, b FROM one WHERE a <> b UNION SELECT b, a FROM one WHERE a <> b), {_components('edges')},
+  members AS (SELECT DISTINCT host, path, component FROM (SELECT host, path, node FROM p UNION SELECT host, path, node FROM ends) JOIN label USING (node)),
+  classes AS (SELECT component, bool_or(ruling = 'allow') AS allowed, bool_or(ruling = 'block') AS blocked FROM members LEFT JOIN found USING (host, path) GROUP BY 1)
+  SELECT page_id, p.host, p.path, rule, coalesce(ruling, CASE WHEN allowed THEN 'allow' WHEN blocked THEN 'block' END, 'allow') AS verdict
+  FROM p LEFT JOIN found USING (host, path) LEFT JOIN label ON p.node = label.node LEFT JOIN classes USING (component)"""
+
 OP10 = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), s AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest FROM p),
   m AS (SELECT payload_digest, max(page_id) AS target FROM s WHERE payload_bytes >= 1000 GROUP BY 1)
   SELECT page_id, payload_bytes, payload_digest, CASE WHEN target IS NOT NULL AND target <> page_id AND payload_bytes >= 1000 THEN 'revisit' ELSE 'response' END AS record_type,
     CASE WHEN target <> page_id AND payload_bytes >= 1000 THEN target END AS refers_to FROM s LEFT JOIN m USING (payload_digest)"""
 
-ORACLES = {"op3_embedding_near_dedup": OP3, "op6_benchmark_decontamination": OP6, "op7_ngram_jaccard_join": OP7, "op10_warc": OP10}
+ORACLES = {"op2_license_scan": OP2, "op3_embedding_near_dedup": OP3, "op6_benchmark_decontamination": OP6, "op7_ngram_jaccard_join": OP7, "op9_url_filter": OP9, "op10_warc": OP10}

@@ -13,16 +13,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# The rules of the URL filter.
-URL_RULES = [
-    ("com", "/en/", "block"),
-    ("example.com", "/en/7", "allow"),
-    ("net", "/de/", "block"),
-    ("example.net", "/de/8", "allow"),
-    ("org", "/es/", "block"),
-]
-
-
 def op1_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.token_round_trip(_table(spark, sf_dir, "documents"))
 
@@ -58,7 +48,7 @@ def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    rules = spark.createDataFrame(urls.URL_RULES, "host string, path string, verdict string")
     return urls.judge(_table(spark, sf_dir, "pages"), rules).drop("by_alias")
 
 

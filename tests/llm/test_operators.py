@@ -197,6 +197,53 @@ def test_license_notice_with_changed_words(spark):
     assert found[0]["labels"] == "mit" and 0.5 <= found[0]["score"] <= 1 and found[1]["labels"] == "" and found[1]["score"] == 0
 
 
+def test_license_scan_against_plain_votes_and_duckdb(spark, tmp_path, monkeypatch):
+    """Whole notices, changed ones, repeats, shuffled words and notices far apart; rows of few runs."""
+    import duckdb
+
+    from noticeweave.llm import registry
+
+    monkeypatch.setattr(licenses, "PIECE", 37)
+    draw, rows = random.Random(7), []
+    for i in range(120):
+        words = [w for _ in range(draw.randrange(4)) for w in [*(draw.choice(WORDS) for _ in range(draw.randrange(9))), *draw.choice(licenses.NOTICES + licenses.PHRASES)[0].split()]]
+        for _ in range(draw.randrange(30) if i % 3 else 0):
+            at = draw.randrange(len(words) + 1)
+            words[at : at + draw.randrange(3)] = [draw.choice(WORDS)] * draw.randrange(3)
+        rows.append((i, draw.choice([" ", ", ", "\n"]).join(words)))
+    once = licenses.NOTICES[5][0].split()
+    rows += [(200, " ".join(once[:6] * 9)), (201, " ".join([*once[:8], *["x"] * 40, *once[8:]])), (202, None), (203, ""), (204, "cc BY cc by"), (205, "mit\u00e9 license MIT licens\u00e9"), (206, " ".join(w for n, _ in licenses.NOTICES for w in n.split()) * 3)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    expected = []
+    for d, text in rows:
+        said = ALNUM.findall((text or "").translate(LOW))
+        spans = []
+        for i, (template, label) in enumerate([*licenses.PHRASES, *licenses.NOTICES]):
+            phrase, own = i < len(licenses.PHRASES), template.split()
+            k, near = (licenses.K_PHRASE, 0) if phrase else (licenses.K_NOTICE, licenses.NEAR)
+            votes = sorted((p - a, a, p) for p in range(len(said) - k + 1) for a in range(len(own) - k + 1) if said[p : p + k] == own[a : a + k])
+            groups = []
+            for vote in votes:
+                if not groups or vote[0] - groups[-1][-1][0] > near:
+                    groups.append([])
+                groups[-1].append(vote)
+            for g in groups:
+                first, last, cover = min(p for _, _, p in g), max(p for _, _, p in g) + k - 1, len({a for _, a, _ in g}) / (len(own) - k + 1)
+                if cover == 1 if phrase else cover >= licenses.COVER and last - first + 1 <= len(own) * 1.5 + licenses.NEAR:
+                    spans.append((phrase, label, first, cover))
+        base = [s for s in spans if s[0]]
+        places = [s[2] for s in base]
+        expected.append((",".join(sorted({s[1] for s in base})), d, min(places, default=None), ",".join(sorted({s[1] for s in spans})), max(places, default=None), len(places), len(said), max((s[3] for s in spans), default=0.0)))
+    columns = ["base_labels", "doc_id", "first_word", "labels", "last_word", "n_base", "n_words", "score"]
+    mine = registry.QUERIES["op2_license_scan"](spark, str(tmp_path)).select(*columns)
+    assert sorted(map(tuple, mine.collect()), key=repr) == sorted(expected, key=repr)
+    assert len({e[3] for e in expected}) > 8 and any(0.5 < e[7] < 1 for e in expected)
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(duck.execute(f"SELECT {', '.join(columns)} FROM ({registry.ORACLES['op2_license_scan']})").fetchall(), key=repr) == sorted(expected, key=repr)
+
+
 def test_near_copies(spark):
     draw = np.random.default_rng(3)
     x = draw.normal(size=(300, 24))
@@ -383,6 +430,69 @@ def test_urls(spark):
     assert urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string").where("false"), spark.createDataFrame(RULES, "host string, path string, verdict string")).count() == 0
 
 
+def test_urls_against_plain_python_and_duckdb(spark, tmp_path):
+    import duckdb
+
+    from noticeweave.llm import registry
+
+    draw = random.Random(11)
+    hosts = ["com", "example.com", "a.Example.com", "notexample.com", "net", "example.net", "b.net", "org", "k.org", "de.info", "x.info", "y.info"]
+    paths = ["", "/", "/en/", "/en/7", "/en/77", "/en", "/de/8/z", "/de/1", "/es/q", "/p", "/p/", "/r"]
+    some = lambda: draw.choice(["http", "https"]) + "://" + draw.choice(hosts) + draw.choice(paths) + draw.choice(["", "", "", "?q=1", "#f", "?a=1&b=2#f"])
+    rows, links = [], []
+    for i in range(400):
+        url, html = some(), "<p>refresh</p>" if i % 5 == 0 else ""
+        for _ in range(draw.choice([0, 0, 0, 0, 1, 2])):
+            other = some()
+            written, kind = other.replace("&", "&amp;"), draw.randrange(4)
+            html += ["<link rel='canonical' href='{}'>", '<LINK class=x href="{}" rel="canonical"/>', '<meta http-equiv="refresh" content="3; URL={}">', "<!-- <link rel='canonical' href='{}'> --><script>'<link rel=canonical href={}>'</script>"][kind].format(written, written)
+            links += [(url, other)] if kind < 3 else []
+        rows.append((i, url, html))
+    rows += [(500, None, "<link rel=canonical href=http://net/de/>"), (501, "no scheme", None), (502, "://", ""), (503, "a://b://com/en/", ""), (504, rows[3][1], None)]
+    for i, (url, link, other) in enumerate([("http://rel.info/a/b", "/c", "http://rel.info/c"), ("http://rel.info/a/b", "d", "http://rel.info/a/d"), ("http://bare.info", "d", "http://bare.info/d"), ("http://rel.info/a/d", "//example.net/de/1", "http://example.net/de/1")]):
+        rows.append((600 + i, url, f"<link rel=canonical href='{link}'>"))
+        links.append((url, other))
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+
+    def parts(url):
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        place, _, query = rest.split("#")[0].partition("?")
+        host, slash, path = place.partition("/")
+        return host.translate(LOW), slash + path, host and host.translate(LOW) + (slash + path).rstrip("/") + ("?" + query if query else "")
+
+    def ruled(host, path):
+        fits = [(len(h + p), v == "allow", h + p, v) for h, p, v in urls.URL_RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fits)[2:] if fits else (None, None)
+
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(parts(a)[2]), find(parts(b)[2])
+        root[max(a, b)] = min(a, b)
+    voices = collections.defaultdict(set)
+    for url in [r[1] for r in rows] + [u for link in links for u in link]:
+        host, path, node = parts(url)
+        if node in root:
+            voices[find(node)].add(ruled(host, path)[1])
+    expected = collections.Counter()
+    for page, url, _ in rows:
+        host, path, node = parts(url)
+        rule, verdict = ruled(host, path)
+        heard = voices[find(node)] if node in root else set()
+        expected[host, page, path, rule, verdict or ("allow" if "allow" in heard or "block" not in heard else "block")] += 1
+    columns = ["host", "page_id", "path", "rule", "verdict"]
+    assert bag(registry.QUERIES["op9_url_filter"](spark, str(tmp_path)), *columns) == expected
+    assert sum(r is None and v == "block" for _, _, _, r, v in expected) > 5
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert collections.Counter(duck.execute(f"SELECT {', '.join(columns)} FROM ({registry.ORACLES['op9_url_filter']})").fetchall()) == expected
+
+
 def test_warc(spark):
     big = "é" * 600
     rows = [(1, "u", big), (2, "v", big), (3, None, "small"), (4, "w", "small"), (5, "x", None), (6, "y", ""), (7, "line\r\nbreak", "z" * 1000), (2, "v", big), (None, "n", big), (8, "t", "Z" * 999), (9, "t", "Z" * 999)]
