@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticeweave.functions import text
@@ -32,24 +34,36 @@ def name_key_match(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", "p_brand", text.name_key("p_name").alias("name_key")).groupBy("name_key", "p_brand").agg(F.count("*").alias("n"), F.min("p_partkey").alias("first_part"))
 
 
-@query("""WITH l AS (SELECT p_partkey, unnest(list_distinct([p_name, split_part(p_name, ' ', 1), p_name[1:6]])) AS k FROM part WHERE p_size = 1),
-    r AS (SELECT p_partkey AS other, unnest(list_distinct([p_name, split_part(p_name, ' ', 2), p_name[1:6]])) AS k FROM part WHERE p_size = 2)
-  SELECT p_partkey, other, min(k) AS key FROM l JOIN r USING (k) WHERE k <> '' GROUP BY 1, 2""")
-def variant_key_match(t: Tables) -> DataFrame:
-    keys = lambda i: F.array_distinct(F.array("p_name", F.split_part("p_name", F.lit(" "), F.lit(i)), F.substring("p_name", 1, 6)))
-    return matching.variant_join(t.part.where("p_size = 1"), t.part.where("p_size = 2").withColumnRenamed("p_partkey", "other"), "p_partkey", "other", keys(1), keys(2))
+def _keyed(i: int, columns: str, suffix: str = "") -> str:
+    return f"SELECT {columns}, unnest(list_filter(list_distinct([p_name, split_part(p_name, ' ', {i}), p_name[1:6]]), lambda x: x <> '')){suffix} AS k FROM part"
 
 
-@query()
-def variant_key_match_all(t: Tables) -> DataFrame:
-    """All parts against all parts of another brand. Frequent keys are left to AQE; the result grows with their square."""
-    keys = lambda i: F.array_distinct(F.array("p_name", F.split_part("p_name", F.lit(" "), F.lit(i)), F.substring("p_name", 1, 6)))
-    left = t.part.select(F.struct("p_partkey", "p_brand").alias("a"), "p_name")
-    right = t.part.select(F.struct(F.col("p_partkey").alias("other"), "p_brand").alias("b"), "p_name")
+def _name_keys(i: int) -> Column:
+    return F.array_distinct(F.array("p_name", F.split_part("p_name", F.lit(" "), F.lit(i)), F.substring("p_name", 1, 6)))
+
+
+def _other_brands(t: Tables, keys: Callable[[int], Column]) -> DataFrame:
+    """All parts with all parts of another brand that share a key. Frequent keys are left to AQE."""
+    left = t.part.select(F.struct("p_partkey", "p_brand").alias("a"), "p_name", "p_size")
+    right = t.part.select(F.struct(F.col("p_partkey").alias("other"), "p_brand").alias("b"), "p_name", "p_size")
     pairs = matching.variant_join(left, right, "a", "b", keys(1), keys(2))
     return pairs.where("a.p_brand <> b.p_brand").select("a.p_partkey", "b.other", "key")
 
 
+@query(f"""WITH l AS ({_keyed(1, "p_partkey, p_brand AS brand", " || '|' || p_size")}), r AS ({_keyed(2, "p_partkey AS other, p_brand AS other_brand", " || '|' || p_size")})
+  SELECT p_partkey, other, min(k) AS key FROM l JOIN r USING (k) WHERE brand <> other_brand GROUP BY 1, 2""")
+def variant_key_match(t: Tables) -> DataFrame:
+    """Keys of a name variant and the size, as an address key has a street variant and a number."""
+    return _other_brands(t, lambda i: F.transform(F.filter(_name_keys(i), lambda k: k != ""), lambda k: F.concat(k, F.lit("|"), F.col("p_size").cast("string"))))
+
+
+@query(f"""WITH l AS ({_keyed(1, "p_partkey, p_brand AS brand")}), r AS ({_keyed(2, "p_partkey AS other, p_brand AS other_brand")})
+  SELECT p_partkey, other, min(k) AS key FROM l JOIN r USING (k) WHERE brand <> other_brand GROUP BY 1, 2""")
+def variant_key_match_all(t: Tables) -> DataFrame:
+    """Keys of a name variant alone; the result grows with the square of the frequent ones."""
+    return _other_brands(t, _name_keys)
+
+
 @query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
 def left_anti_unmatched(t: Tables) -> DataFrame:
     return t.customer.join(t.orders.where("o_totalprice > 300000"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
@@ -80,29 +94,27 @@ def key_intersection(t: Tables) -> DataFrame:
     return t.customer.where("c_mktsegment = 'BUILDING'").select(F.col("c_nationkey").alias("k")).intersect(t.supplier.where("s_acctbal > 0").select("s_nationkey"))
 
 
-_LINKS = """WITH e AS (SELECT l_partkey AS doc, l_suppkey * 100000 + l_orderkey % 97 * 1000 + l_partkey % 89 AS k FROM lineitem WHERE l_linenumber = 1 AND l_quantity < 25),
-  hub AS (SELECT k, min(doc) AS h FROM e GROUP BY 1), s AS (SELECT DISTINCT doc AS a, h AS b FROM e JOIN hub USING (k) WHERE doc <> h), both_ways AS (SELECT a, b FROM s UNION SELECT b, a FROM s)"""
-
-
-def _linked(t: Tables) -> DataFrame:
-    key = F.col("l_suppkey") * 100000 + F.col("l_orderkey") % 97 * 1000 + F.col("l_partkey") % 89
-    return t.lineitem.where("l_linenumber = 1 AND l_quantity < 25").select(F.col("l_partkey").alias("doc"), key.alias("k"))
+def _grouped(edges: str) -> str:
+    """Components of edges (doc, k) by spreading smaller roots, one row a doc."""
+    return f"""WITH RECURSIVE e AS ({edges}), hub AS (SELECT k, min(doc) AS h FROM e WHERE k IS NOT NULL GROUP BY 1), s AS (SELECT DISTINCT doc AS a, h AS b FROM e JOIN hub USING (k) WHERE doc <> h),
+  both_ways AS MATERIALIZED (SELECT a, b FROM s UNION SELECT b, a FROM s), spread(doc, root) USING KEY (doc) AS (SELECT DISTINCT doc, doc FROM e
+    UNION SELECT near.doc, min(w.root) FROM spread w JOIN both_ways x ON x.a = w.doc JOIN recurring.spread near ON near.doc = x.b WHERE w.root < near.root GROUP BY near.doc)
+  SELECT doc, root FROM spread"""
 
 
-@query(_LINKS.replace("WITH e", "WITH RECURSIVE e", 1) + """, walk(doc, root) AS (SELECT DISTINCT doc, doc FROM e UNION SELECT w.doc, x.b FROM walk w JOIN both_ways x ON w.root = x.a)
-  SELECT doc, min(root) AS root FROM walk GROUP BY 1""")
+@query(_grouped("SELECT l_partkey AS doc, l_orderkey || '/' || l_suppkey AS k FROM lineitem"))
 def components(t: Tables) -> DataFrame:
-    return identity.group_by_shared(_linked(t), "doc", "k").select("doc", "root")
+    """All parts, grouped by deliveries: what one supplier sends for one order."""
+    return identity.group_by_shared(t.lineitem.select(F.col("l_partkey").alias("doc"), F.concat(F.col("l_orderkey").cast("string"), F.lit("/"), F.col("l_suppkey").cast("string")).alias("k")), "doc", "k").select("doc", "root")
 
 
-# Over whole tables the recursive SQL holds every pair that reaches another; tests compare these two with brute force.
-@query()
+@query(_grouped("SELECT l_partkey AS doc, l_orderkey AS k FROM lineitem"))
 def components_by_order(t: Tables) -> DataFrame:
     """All parts, grouped by the orders that they share."""
     return identity.group_by_shared(t.lineitem.select(F.col("l_partkey").alias("doc"), F.col("l_orderkey").alias("k")), "doc", "k").select("doc", "root")
 
 
-@query()
+@query(_grouped(r"SELECT DISTINCT doc_id AS doc, nullif(trim(regexp_replace(lower(line), '\s+', ' ', 'g')), '') AS k FROM documents LEFT JOIN LATERAL (SELECT unnest(string_split(text, chr(10))) AS line) ON TRUE"))
 def components_by_line(t: Tables) -> DataFrame:
     """All documents, grouped by the lines that they share but for case and spaces; those without any line stand alone."""
     line = F.trim(F.regexp_replace(F.lower(F.col("line")), r"\s+", " "))
