@@ -39,3 +39,16 @@ def conditional_distinct(column: str, **conditions: Column) -> list[Column]:
 
 def confusion(df: DataFrame, truth: str, predicted: str) -> DataFrame:
     return df.groupBy(truth, predicted).agg(F.count("*").alias("n"))
+
+
+def scores(df: DataFrame, truth: str, predicted: str) -> DataFrame:
+    """One row: the number of rows, of those whose two labels differ (two nulls agree), and the part that agrees (0 without rows)."""
+    same = F.col(truth).eqNullSafe(F.col(predicted))
+    sums = df.agg(F.count("*").alias("n"), F.count(F.when(~same, 1)).alias("mismatches"))
+    return sums.withColumn("accuracy", F.round(F.coalesce(F.try_divide(F.col("n") - F.col("mismatches"), "n"), F.lit(0.0)), 6))
+
+
+def against_totals(totals: DataFrame, own: DataFrame, key: str, outside: str, amount: str) -> DataFrame:
+    """The outside totals with one's own amounts (0 without any) and their percentage (0 of nothing)."""
+    joined = totals.select(key, outside).join(own.select(key, amount), key, "left").na.fill(0, [amount])
+    return joined.withColumn("percent", F.round(F.coalesce(F.try_divide(F.col(amount) * 100.0, F.col(outside)), F.lit(0.0)), 4))

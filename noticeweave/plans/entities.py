@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from noticeweave.functions import text
+from noticeweave.functions import address, text
 from noticeweave.operators import identity, matching, merge, picks
 from noticeweave.plans.registry import Tables, query
 
@@ -22,10 +22,12 @@ def registry_join_left(t: Tables) -> DataFrame:
     return t.lineitem.join(t.part.where("p_size < 20"), F.col("l_partkey") == F.col("p_partkey"), "left").select("l_orderkey", "l_linenumber", "l_partkey", F.coalesce("p_name", F.lit("")).alias("p_name"))
 
 
-@query("SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON c_nationkey = s_nationkey AND c_custkey % 50 = s_suppkey % 50")
+@query("SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON c_custkey // 20 = s_suppkey // 2")
 def crosswalk_exact(t: Tables) -> DataFrame:
-    a = t.customer.select("c_custkey", F.col("c_nationkey").alias("n"), (F.col("c_custkey") % 50).alias("m"))
-    return a.join(t.supplier.select("s_suppkey", F.col("s_nationkey").alias("n"), (F.col("s_suppkey") % 50).alias("m")), ["n", "m"]).select("c_custkey", "s_suppkey")
+    """All pairs at one address, written in two ways; as many at an address at every size."""
+    at = lambda street, number: address.match_key(F.lit(street), F.floor(number).cast("string"), F.lit(""), F.lit("1234 ab"), F.lit("Anna")).alias("k")
+    a = t.customer.select("c_custkey", at("Kerk-straat", F.col("c_custkey") / 20))
+    return a.join(t.supplier.select("s_suppkey", at("kerk straat", F.col("s_suppkey") / 2)), "k").select("c_custkey", "s_suppkey")
 
 
 @query("""WITH k AS (SELECT p_partkey, p_brand, array_to_string(list_sort(string_split(lower(trim(p_name)), ' ')), ' ') AS name_key FROM part)
@@ -174,12 +176,12 @@ def link_method_precedence(t: Tables) -> DataFrame:
     return t.customer.join(best, F.col("farm") == F.col("c_custkey"), "left").groupBy(F.coalesce(method, F.lit("niet_gelinkt")).alias("link_method")).agg(F.count("*").alias("farms"))
 
 
-@query("""WITH s1 AS (SELECT DISTINCT c_custkey, s_suppkey FROM customer JOIN supplier ON c_nationkey = s_nationkey AND s_acctbal > 8000), s2 AS (SELECT DISTINCT c_custkey, s_suppkey FROM customer JOIN supplier ON c_custkey % 1000 = s_suppkey)
+@query("""WITH s1 AS (SELECT DISTINCT c_custkey, s_suppkey FROM customer JOIN supplier ON c_custkey // 15 = s_suppkey AND s_acctbal > 3000), s2 AS (SELECT DISTINCT c_custkey, s_suppkey FROM customer JOIN supplier ON c_custkey // 30 = s_suppkey AND s_acctbal < 6000)
   SELECT c_custkey, s_suppkey, 'permit_adres' AS link_method FROM s1 UNION ALL SELECT c_custkey, s_suppkey, 'fosfaat_adres' FROM s2 WHERE c_custkey NOT IN (SELECT c_custkey FROM s1)
   UNION ALL SELECT c_custkey, -1, 'niet_gelinkt' FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM s1) AND c_custkey NOT IN (SELECT c_custkey FROM s2)""")
 def staged_fallback_links(t: Tables) -> DataFrame:
-    first = t.customer.join(t.supplier.where("s_acctbal > 8000"), F.col("c_nationkey") == F.col("s_nationkey")).select("c_custkey", "s_suppkey")
-    second = t.customer.join(t.supplier, F.col("c_custkey") % 1000 == F.col("s_suppkey")).select("c_custkey", "s_suppkey")
+    by = lambda suppliers, n: t.customer.join(suppliers, F.floor(F.col("c_custkey") / n) == F.col("s_suppkey")).select("c_custkey", "s_suppkey")
+    first, second = by(t.supplier.where("s_acctbal > 3000"), 15), by(t.supplier.where("s_acctbal < 6000"), 30)
     return matching.staged_links(t.customer, [("permit_adres", first), ("fosfaat_adres", second)], "c_custkey", "s_suppkey").na.fill(-1, ["s_suppkey"])
 
 

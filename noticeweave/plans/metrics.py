@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeweave.functions.dates import elapsed_days
-from noticeweave.operators import metrics, picks
+from noticeweave.functions.dates import elapsed_days, irrevocable
+from noticeweave.operators import merge, metrics, picks
 from noticeweave.plans.registry import Tables, query
 
 REFERENCE = "2024-02-01"
@@ -124,7 +124,7 @@ def province_stage_pivot(t: Tables) -> DataFrame:
 def province_overview(t: Tables) -> DataFrame:
     placed = latest(t).join(t.customer, F.col("user_id") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     final = F.col("stage") == "definitive_decision"
-    counts = metrics.conditional_distinct("user_id", total_farms=F.lit(True), definitive=final, irrevocable=final & (F.col("ts").cast("date") <= F.date_sub(F.lit(REFERENCE).cast("date"), 3)))
+    counts = metrics.conditional_distinct("user_id", total_farms=F.lit(True), definitive=final, irrevocable=irrevocable("stage", F.col("ts").cast("date"), REFERENCE, 3))
     return placed.groupBy(F.col("n_name").alias("province")).agg(*counts).withColumn("ref_date", F.lit(REFERENCE))
 
 
@@ -132,7 +132,8 @@ def province_overview(t: Tables) -> DataFrame:
     round(count(DISTINCT c_custkey) * 100.0 / (100 + n_nationkey), 4) AS known_percent
   FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey LEFT JOIN orders ON o_custkey = c_custkey GROUP BY n_name, n_nationkey""")
 def known_vs_total(t: Tables) -> DataFrame:
-    counts = t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left").groupBy("c_nationkey").agg(F.countDistinct("c_custkey").alias("known"), F.countDistinct(F.when(F.col("o_orderstatus") == "F", F.col("c_custkey"))).alias("definitive"))
+    final = t.orders.where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    counts = merge.with_flag(t.customer.select("c_custkey", "c_nationkey"), final, ["c_custkey"], "final").groupBy("c_nationkey").agg(F.count("c_custkey").alias("known"), F.count(F.when(F.col("final"), 1)).alias("definitive"))
     totals = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("province"), (100 + F.col("n_nationkey")).alias("participants"))
     known = F.coalesce("known", F.lit(0))
     return totals.join(counts, "c_nationkey", "left").select("province", known.alias("known"), F.coalesce("definitive", F.lit(0)).alias("definitive"), "participants", F.round(known * 100.0 / F.col("participants"), 4).alias("known_percent"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from noticeweave.operators.durable import new_folder
 from noticeweave.plans.registry import Tables, query
 from noticeweave.streaming import ingest
 
@@ -18,4 +19,17 @@ def stream_ingest_dedupe(t: Tables) -> DataFrame:
 
 @query("SELECT time_bucket(INTERVAL '1 day', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_histogram(t: Tables) -> DataFrame:
-    return ingest.run_available(ingest.binned(ingest.stream_of(t._spark, t._folder, "events"), "ts", "1 day", "event_type"), "complete")
+    """State is dropped 60 days behind the latest event."""
+    return ingest.run_updates(ingest.binned(ingest.stream_of(t._spark, t._folder, "events"), "ts", "1 day", "60 days", "event_type"), ["start", "event_type"])
+
+
+@query("""WITH u AS (SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL) SELECT user_id, CASE WHEN user_id % 3 = 0 THEN 'answered before' ELSE coalesce(c_name, '') END AS answer
+  FROM u LEFT JOIN customer ON c_custkey = user_id""")
+def stream_lookups(t: Tables) -> DataFrame:
+    """An earlier run has answered a part of the users."""
+    answers = new_folder(t._spark, "answers")
+    known = t.events.where("user_id % 3 = 0").select("user_id").distinct()
+    known.withColumn("answer", F.lit("answered before")).write.parquet(answers)
+    names = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("answer"))
+    ask = lambda keys: keys.join(names, "user_id", "left").na.fill("", ["answer"])
+    return ingest.run_lookups(ingest.stream_of(t._spark, t._folder, "events"), ["user_id"], ask, answers)
