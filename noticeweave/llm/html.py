@@ -1,10 +1,11 @@
 """HTML extraction by a recurrent block labeller.
 
 A page is a sequence of leaf blocks (runs of text between block-level tags), each with its tag path. A bidirectional LSTM in numpy
-reads, for each block, a hashed vector of its path's tags and class names and a hashed vector of its words, and labels it as main
-text or not with the whole page as context. It is trained here, on a bounded sample of the pages: blocks inside article, main or a
-div named like one, and outside of boilerplate containers, are main text. Variants of the sampled pages, rebuilt with other layouts around the same blocks,
-teach containers that the sample lacks.
+reads, for each block, a hashed vector of its path's tags and class names, whether it is mostly link text, and a hashed vector of its
+words, and labels it as main text or not with the whole page as context. It is trained here, on a bounded sample of the pages. Texts of
+the sample are laid out anew with articles and what surrounds them, so the label of each block is known from where it was put: the texts
+are told apart by length and links, the names of containers are drawn from lists, and in a part of the layouts they say nothing. Sampled
+pages that have an article or main element are trained on too, labelled by that markup.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ from noticeweave.llm.words import word_hashes
 
 #: Pages that the labeller is trained on at most, those with the smallest hashes of their urls.
 SAMPLE = 160
-#: Main and other blocks of a sampled page that its rebuilt layouts use; the page itself is trained on whole.
-MAIN, OTHER = 40, 20
-PATH, WORDS, HIDDEN = 96, 32, 24
-EPOCHS, RATE, SEED = 40, 0.02, 7
+#: Layouts built from the texts of a sampled page, and how many of its long and other texts they use; the page itself is trained on whole.
+LAYOUTS, MAIN, OTHER = 6, 12, 20
+#: Words that a text has at least to be laid out as part of an article, unless it is mostly link text.
+LONG = 12
+PATH, WORDS, HIDDEN = 256, 32, 24
+EPOCHS, RATE, SEED = 30, 0.02, 7
 
 # Elements that end a block, that have no content, and that never hold main text.
 BLOCKS = set("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noscript ol option p pre section select summary table tbody td template textarea tfoot th thead title tr ul".split())
@@ -39,6 +42,9 @@ MARKS = set("ad ads advert adverts advertisement advertising banner sponsor spon
 
 # Words in class, id and role of a div or section that holds an article.
 BODIES = set("article post entry story main".split())
+# Words that name articles in layouts, alone or two together, and containers around everything.
+NAMES, TAILS = ["article", "post", "entry", "story", "main", "content", "text", "body"], ["", "", "-content", "-body", "-text", "__main", " content"]
+WRAPS = ["", "", "<div class=\"content\">", "<section class=\"body\">", "<div id=\"page\">", "<main id=\"main\">", "<main>", "<div>", "<div class=\"container\"><div class=\"row\">", "<div id=\"wrapper\" class=\"site\">"]
 
 _TOKEN = re.compile(r"[a-z]+")
 
@@ -55,6 +61,10 @@ _CLOSES = {
 _P_WITHIN = {"button", "td", "th", "object", "li", "div", "article", "section"}
 
 
+#: What a path ends in if most of the block's text stands in links.
+LINK = (("#link", ()),)
+
+
 def _innermost(path: list, tags: set[str], within: set[str]) -> int:
     for i in range(len(path) - 1, -1, -1):
         if path[i][0] in tags:
@@ -65,18 +75,21 @@ def _innermost(path: list, tags: set[str], within: set[str]) -> int:
 
 
 def blocks(html: str | None) -> list[tuple[tuple, str]]:
-    """The page's leaf blocks (path, text) in order; path is a tuple of (tag, words of class, id and role) from the root."""
+    """The page's leaf blocks (path, text) in order; path is a tuple of (tag, words of class, id and role) from the root,
+    with LINK behind it for link text."""
     html = html or ""
     path: list[tuple[str, tuple[str, ...]]] = []
     out: list[tuple[tuple, str]] = []
     text: list[str] = []
-    at, hidden = 0, 0
+    at, hidden, linked = 0, 0, 0
 
     def close() -> None:
+        nonlocal linked
         joined = " ".join("".join(text).split())
         if joined:
-            out.append((tuple(path), joined))
+            out.append((tuple(path) + LINK * (2 * linked > len(joined)), joined))
         text.clear()
+        linked = 0
 
     last = html.rfind(">") + 1  # no tag ends behind it, so signs that open one are not looked at twice
     while at < len(html):
@@ -87,6 +100,8 @@ def blocks(html: str | None) -> list[tuple[tuple, str]]:
         if end > at and not hidden:
             data = html[at:end]
             text.append(unescape(data) if "&" in data else data)
+            if any(t == "a" for t, _ in path[-4:]):
+                linked += len(data.strip())
         if not piece:
             break
         at = piece.end()
@@ -130,14 +145,15 @@ def blocks(html: str | None) -> list[tuple[tuple, str]]:
 
 
 def marked_main(path: tuple) -> bool:
-    """The label of a training block."""
+    """The label of a block of a page that marks its article itself."""
     inside = any(tag in ("article", "main") or tag in ("div", "section") and any(w in BODIES for w in names) for tag, names in path)
     return inside and not any(tag in APART or any(w in MARKS for w in names) for tag, names in path)
 
 
-def _hash(word: str, size: int) -> tuple[int, float]:
-    h = zlib.crc32(word.encode())
-    return h % size, 1.0 if h & 0x80000000 else -1.0
+def _hash(word: str, size: int) -> tuple[list[int], np.ndarray]:
+    """Two places of a word and their signs: words that share one place differ in the other."""
+    h, k = zlib.crc32(word.encode()), zlib.crc32(word.encode(), 0x5BD1E995)
+    return [h % size, k % size], np.array([1.0 if h & 0x80000000 else -1.0, 1.0 if k & 0x80000000 else -1.0], np.float32)
 
 
 _paths: dict[tuple, np.ndarray] = {}
@@ -151,12 +167,12 @@ def path_vector(path: tuple) -> np.ndarray:
         found = np.zeros(PATH, np.float32)
         found[0] = 1.0
         for tag, names in path:
-            for word in ("<" + tag, *("." + n for n in names), *(["!boilerplate"] if tag in APART or any(n in MARKS for n in names) else [])):
-                i, sign = _hash(word, PATH - 1)
-                found[1 + i] = sign
-        for word in ("=" + path[-1][0] if path else "=",):
-            i, sign = _hash(word, PATH - 1)
-            found[1 + i] += 0.5 * sign
+            for word in ("<" + tag, *("." + n for n in names)):
+                at, signs = _hash(word, PATH - 1)
+                found[[1 + i for i in at]] = signs
+        for place, (tag, _) in enumerate(reversed(path[-3:])):  # where in the path, counted from the block
+            at, signs = _hash(f"{place}<{tag}", PATH - 1)
+            found[[1 + i for i in at]] += 0.5 * signs
         _paths[path] = found
     return found
 
@@ -194,6 +210,7 @@ class Labeller:
             "skip": np.zeros(size),
             "bias": np.zeros(1),
         }
+        self.w = {k: v.astype(np.float32) for k, v in self.w.items()}
 
     def _pass(self, x: np.ndarray, mask: np.ndarray, d: str) -> tuple[np.ndarray, list]:
         """Hidden states (pages, steps, HIDDEN) of one direction, and what the way back needs. A masked step keeps the state."""
@@ -222,10 +239,10 @@ class Labeller:
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         p, both, kf, kb = self.forward(x, mask)
         error = (p - y) * mask / mask.sum()
-        grad = {"out": np.einsum("nt,nth->h", error, both), "skip": np.einsum("nt,ntd->d", error, x), "bias": np.array([error.sum()])}
+        grad = {"out": np.einsum("nt,nth->h", error, both), "skip": np.einsum("nt,ntd->d", error, x), "bias": error.sum(keepdims=True)[0]}
         for d, kept, w in (("f", kf, self.w["out"][:HIDDEN]), ("b", kb, self.w["out"][HIDDEN:])):
-            dh, dc = np.zeros((len(x), HIDDEN)), np.zeros((len(x), HIDDEN))
-            dz_all = np.zeros((*x.shape[:2], 4 * HIDDEN))
+            dh, dc = np.zeros((len(x), HIDDEN), x.dtype), np.zeros((len(x), HIDDEN), x.dtype)
+            dz_all = np.zeros((*x.shape[:2], 4 * HIDDEN), x.dtype)
             grad[d + "h"] = np.zeros_like(self.w[d + "h"])
             for t, h, c, i, f, o, g, tc, m in reversed(kept):
                 dh = dh + error[:, t, None] * w
@@ -244,7 +261,7 @@ class Labeller:
     def fit(self, pages: list[np.ndarray], labels: list[np.ndarray]) -> None:
         """Adam over batches of pages of like length."""
         order = sorted(range(len(pages)), key=lambda i: (len(pages[i]), i))
-        batches = [padded([pages[i] for i in order[k : k + 32]], [labels[i] for i in order[k : k + 32]]) for k in range(0, len(order), 32)]
+        batches = [padded([pages[i] for i in order[k : k + 64]], [labels[i] for i in order[k : k + 64]]) for k in range(0, len(order), 64)]
         first, second = ({k: np.zeros_like(v) for k, v in self.w.items()} for _ in range(2))
         draw, step = np.random.default_rng(SEED), 0
         for epoch in range(EPOCHS):
@@ -267,14 +284,14 @@ class Labeller:
             while end < len(order) and (end - at + 1) * len(pages[order[end]]) <= 8192:
                 end += 1
             own = order[at:end]
-            x, mask, _ = padded([pages[i] for i in own], [np.zeros(len(pages[i])) for i in own], np.float32)
+            x, mask, _ = padded([pages[i] for i in own], [np.zeros(len(pages[i])) for i in own])
             for i, p in zip(own, self.forward(x, mask)[0]):
                 out[i] = p[: len(pages[i])] > 0.5
             at = end
         return out
 
 
-def padded(pages: list[np.ndarray], labels: list[np.ndarray], kind: type = np.float64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def padded(pages: list[np.ndarray], labels: list[np.ndarray], kind: type = np.float32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     steps = max(len(p) for p in pages)
     x, mask, y = np.zeros((len(pages), steps, PATH + WORDS + 1), kind), np.zeros((len(pages), steps), kind), np.zeros((len(pages), steps), kind)
     for i, (p, own) in enumerate(zip(pages, labels)):
@@ -282,46 +299,77 @@ def padded(pages: list[np.ndarray], labels: list[np.ndarray], kind: type = np.fl
     return x, mask, y
 
 
-def variants(html: str, draw: np.random.Generator) -> str:
-    """The blocks of a page in another layout, with boilerplate around and inside the article."""
-    own = blocks(html)
-    main = [t for p, t in own if marked_main(p)][:MAIN] or ["Text."]
-    other = [t for p, t in own if not marked_main(p)][:OTHER] or ["More."]
+#: A sign of no script in front of article texts in a layout, by which their blocks are known behind the parser.
+_OWN = "\ue000"
+
+
+def layout(texts: list[str], others: list[str], draw: np.random.Generator) -> tuple[list[tuple[tuple, str]], np.ndarray]:
+    """The blocks of a page made of an article (texts) with menus, adverts, forms, notices and comments around and inside it, and which of
+    the blocks belong to the article. In one of eight layouts all names are numbers that say nothing, in another some are missing."""
     pick = lambda options: options[int(draw.integers(len(options)))]
-    say = lambda: re.sub("[<&]", " ", pick(main if draw.random() < 0.4 else other))  # noqa: E731  any words may stand anywhere
+    bare = lambda text: re.sub(f"[<&{_OWN}]", " ", text)
+    kind = draw.random()
     marks = sorted(MARKS)
 
+    def named(name: str) -> str:
+        if kind < 0.12:
+            return f' class="c{int(draw.integers(1, 100))}"'
+        if kind < 0.25 and draw.random() < 0.6:
+            return ""
+        return f' {pick(["class", "class", "id"])}="{name}"'
+
+    def mark() -> str:
+        form = int(draw.integers(5))
+        return pick(marks) if form < 3 else f"{pick(marks)}-{pick(['box', 'list', 'area', 'wrap', 'section'])}" if form == 3 else f"{pick(['site', 'page', 'my', 'top'])}-{pick(marks)}"
+
+    def say(long: float) -> str:
+        return bare(pick(texts if draw.random() < long else others))
+
     def aside() -> str:
-        kind = int(draw.integers(5))
-        if kind == 0:
-            return f"<div class=\"{pick(marks)}\">" + "".join(f"<p>{say()}</p>" for _ in range(int(draw.integers(1, 4)))) + "</div>"
-        if kind == 1:
+        form, plain = int(draw.integers(7)), kind < 0.25
+        if form == 0 and not plain:
+            return f"<div{named(mark())}>" + "".join(f"<p>{say(0.4)}</p>" for _ in range(int(draw.integers(1, 4)))) + "</div>"
+        if form == 1:
             tag = pick(["aside", "nav", "footer", "header", "form", "menu"])
-            return f"<{tag}>" + "".join(pick(["<p>%s</p>", "<li>%s</li>", "<h3>%s</h3>", "<div>%s</div>", "<label>%s</label>"]) % say() for _ in range(int(draw.integers(1, 4)))) + f"</{tag}>"
-        if kind == 2:
-            return f"<section id=\"{pick(marks)}\"><h2>{say()}</h2><p>{say()}</p></section>"
-        if kind == 3:
-            return f"<ul class=\"{pick(marks)}\">" + "".join(f"<li><a href=\"#\">{say()}</a></li>" for _ in range(3)) + "</ul>"
-        return f"<div class=\"{pick(marks)}-{pick(['box', 'list', 'area', 'wrap'])}\">{say()}</div>"
+            return f"<{tag}>" + "".join(pick(["<p>%s</p>", "<li>%s</li>", "<h3>%s</h3>", "<div>%s</div>", "<label>%s</label>", "<a href='#'>%s</a>"]) % say(0.4) for _ in range(int(draw.integers(1, 4)))) + f"</{tag}>"
+        if form == 2 and not plain:
+            return f"<section{named(mark())}><h2>{say(0.4)}</h2><p>{say(0.4)}</p></section>"
+        if form == 3 or plain and form < 5:
+            return f"<{(tag := pick(['ul', 'div', 'ol']))}{named(mark())}>" + "".join(f"<li><a href=\"#\">{say(0.2)}</a></li>" for _ in range(int(draw.integers(1, 7)))) + f"</{tag}>"
+        if form == 4:  # reader comments
+            return f"<{(tag := pick(['div', 'section', 'ol']))}{named(pick(['comments', 'comment-list', 'respond', 'replies', 'disqus comments']))}><h3>{say(0)}</h3>" + "".join(f"<li><div{named('comment')}><p>{say(0.7)}</p></div></li>" for _ in range(int(draw.integers(1, 5)))) + f"</{tag}>"
+        return f"<div{named(mark())}>{say(0) if plain else say(0.4)}</div>"
 
     body = []
-    for i, text in enumerate(main):
-        text = re.sub("[<&]", " ", text)
-        body.append(f"<h1>{text}</h1>" if i == 0 else pick(["<p>%s</p>", "<p>%s</p>", "<p>%s</p>", "<h2>%s</h2>", "<li>%s</li>", "<blockquote>%s</blockquote>", "<div>%s</div>", "<pre>%s</pre>", "<td>%s</td>"]) % text)
-        if draw.random() < 0.25:
+    for i, text in enumerate(texts):
+        text = _OWN + bare(text)
+        if i == 0 or draw.random() < 0.3:
+            short = _OWN + (bare(pick(others)) if draw.random() < 0.7 else " ".join(bare(pick(texts)).split()[: int(draw.integers(2, 12))]))
+            body.append(f"<{(tag := 'h1' if i == 0 else pick(['h2', 'h2', 'h3', 'h4', 'blockquote', 'li', 'p', 'figcaption']))}>{short}</{tag}>")
+        body.append(pick(["<p>%s</p>", "<p>%s</p>", "<p>%s</p>", "<p>%s</p>", "<li>%s</li>", "<blockquote><p>%s</p></blockquote>", "<div>%s</div>", "<pre>%s</pre>", "<ul><li>%s</li></ul>"]) % text)
+        if draw.random() < 0.35:
             body.append(aside())
-    tag, wrap = pick(["article", "article", "main", *[f'div class="{x}"' for x in ("article-body", "post", "entry content", "story")]]), pick(["", "<div class=\"content\">", "<section class=\"body\">", "<div id=\"page\">", "<main id=\"main\">", "<main>"])
-    around = lambda: "".join(aside() for _ in range(int(draw.integers(0, 4))))
-    return f"<html><body>{around()}{wrap}<{tag}>{''.join(body)}</{tag.split()[0]}>{around()}</body></html>"
+    tag = pick(["article", "article", "article", "main", "div", "div", "div", "div", "section"])
+    name = "" if tag in ("article", "main") and draw.random() < 0.7 else named(pick(NAMES) + pick(TAILS))
+    around = lambda: "".join(aside() for _ in range(int(draw.integers(1, 6))))
+    parsed = blocks(f"<html><body>{around()}{pick(WRAPS)}<{tag}{name}>{''.join(body)}</{tag}>{around()}</body></html>")
+    return [(path, text.replace(_OWN, "").strip()) for path, text in parsed], np.array([_OWN in text for _, text in parsed], float)
 
 
 def train(pages: list[str]) -> Labeller:
-    """Fits a labeller to pages and to variants of them."""
+    """Fits a labeller to layouts of the pages' texts, and to those of the pages that mark their article."""
     draw = np.random.default_rng(SEED)
-    htmls = pages + [variants(h, draw) for h in (pages or ["<article><p>Text.</p></article>"]) for _ in range(2)]
-    parsed = [p for p in map(blocks, htmls) if p]
+    known: list[tuple[list, np.ndarray]] = []
+    for page in map(blocks, pages):
+        if any(tag in ("article", "main") for path, _ in page for tag, _ in path):
+            known.append((page, np.array([marked_main(path) for path, _ in page], float)))
+        long = [len(text.split()) >= LONG and path[-1:] != LINK for path, text in page]
+        texts = [text for (_, text), yes in zip(page, long) if yes][:MAIN] or [" ".join(["Text of an article."] * 5)]
+        others = [text for (_, text), yes in zip(page, long) if not yes][:OTHER] or ["More"]
+        known += [layout(texts, others, draw) for _ in range(LAYOUTS)]
+    known = [k for k in known if k[0]] or [layout([" ".join(["Text of an article."] * 5)], ["More"], draw)]
     model = Labeller()
-    model.fit(features(parsed), [np.array([marked_main(path) for path, _ in p], float) for p in parsed])
+    model.fit(features([page for page, _ in known]), [own for _, own in known])
     return model
 
 
@@ -335,7 +383,7 @@ def extract(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     hashed = pages.where("html <> ''").select(F.xxhash64("html").alias("h"), "html")
     least = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(sample).collect()]
     chosen = hashed.where(F.col("h").isin(least)).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").collect() if least else []
-    weights = {k: v.astype(np.float32) for k, v in train([r["html"] for r in chosen]).w.items()}
+    weights = train([r["html"] for r in chosen]).w
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Labeller(weights)

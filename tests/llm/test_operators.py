@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -392,6 +393,59 @@ def test_html_blocks_of_unended_tags():
     assert time.perf_counter() - began < 3
 
 
+def held_out_page(kind, draw):
+    """(html, texts of the article) in layouts and names that no layout of the training has."""
+    say = lambda n: " ".join(draw.choice("wind stone river people house market water under long report city".split()) for _ in range(n)).capitalize() + "."
+    main = []
+
+    def own(n):
+        main.append(say(n))
+        return main[-1]
+
+    links = lambda n: "<ul>" + "".join(f"<li><a href='/{i}'>{say(1 + n % 5)}</a></li>" for i in range(n)) + "</ul>"
+    head, foot = f"<header id='masthead' class='site-header'><a href='/'>Site</a><nav class='main-navigation'>{links(6)}</nav></header>", f"<footer class='site-footer'><p>Copyright 2024 {say(6)}</p>{links(1)}</footer>"
+    comments = "<div id='comments' class='comments-area'><h2>3 comments</h2><ol class='comment-list'>" + "".join(f"<li class='comment'><p>{say(draw.randint(5, 30))}</p></li>" for _ in range(3)) + "</ol><form class='comment-form'><label>Name</label><button>Send it</button></form></div>"
+    core = f"<h1>{own(5)}</h1>"
+    for i in range(draw.randint(2, 9)):
+        core += f"<p>{own(draw.randint(15, 60))}</p>" + (f"<div class='advert'>{say(7)}</div>" if i % 3 == 1 else "") + (f"<h2>{own(4)}</h2><blockquote>{own(10)}</blockquote>" if i % 4 == 2 else "")
+    aside, related = f"<aside class='widget-area'><h3>Recent</h3>{links(4)}</aside>", f"<div class='related-posts'><h3>Related</h3>{links(2)}</div>"
+    page = [
+        f"<div class='cookie-banner'><p>We use cookies. {say(8)}</p><button>OK</button></div>{head}<main><article>{core}</article></main>{aside}{comments}{foot}",
+        f"{head}<div class='content'><div class='post-content'>{core}</div>{related}{comments}</div>{foot}",
+        f"{head}<article class='post'>{core}{related}{comments}</article>{aside}{foot}",
+        f"{head}<div id='content'>{core}</div>{aside}{foot}",
+        f"<div>{links(6)}</div><div><div>{core}</div></div><div>{links(2)}</div><div>&copy; 2024 Site</div>",
+    ][kind]
+    return f"<html><head><title>x</title></head><body>{page}</body></html>", main
+
+
+def test_html_labeller_on_layouts_that_it_was_not_trained_on():
+    import random
+
+    draw = random.Random(8)
+    model = html.train([r["html"] for r in pq.read_table("/root/testdata/sf0.01/pages.parquet").slice(0, html.SAMPLE).to_pylist()])
+    right = found = there = 0
+    for kind in range(5):
+        pages = [held_out_page(kind, draw) for _ in range(20)]
+        parsed = [html.blocks(page) for page, _ in pages]
+        hits = 0
+        for (_, main), page, labels in zip(pages, parsed, model.label(html.features(parsed))):
+            got = [text for (_, text), yes in zip(page, labels) if yes]
+            hits += got == main
+            right, found, there = right + sum(text in main for text in got), found + len(got), there + len(main)
+        assert hits >= 10, kind
+    assert right >= 0.97 * found and right >= 0.97 * there
+
+
+def test_html_layouts_know_their_article():
+    draw = np.random.default_rng(1)
+    for _ in range(60):
+        page, own = html.layout(["first long text of the article", "second < text & more"], ["Menu"], draw)
+        assert len(page) == len(own) and not any(html._OWN in text for _, text in page) and {0.0, 1.0} == set(own)
+        assert [text for (_, text), yes in zip(page, own) if yes and "long text of" in text]
+    assert html.train([]).label(html.features([[], html.blocks("<p>x</p>")]))[0].shape == (0,)
+
+
 def test_html_extraction(spark):
     page = lambda i: f"<html><body><nav><ul><li><a>Menu {i}</a></li></ul></nav><div class=\"ad\">Buy {i}</div><article><h1>Title {i}</h1><p>{sentence(20)}</p><p>{i} &eacute; end</p></article><footer>&copy; me</footer></body></html>"
     rows = [(i, f"u{i}", page(i)) for i in range(40)] + [(90, None, None), (91, "u", ""), (92, "u", "<p>"), (1, "u1", page(1)), (None, "u", "<article></article>")]
