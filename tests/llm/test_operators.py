@@ -394,7 +394,7 @@ def test_html_blocks_of_unended_tags():
 
 
 def held_out_page(kind, draw):
-    """(html, texts of the article) in layouts and names that no layout of the training has."""
+    """(html, texts of the article) in layouts of another generator than the training's; some names are the same, and the training was tuned with such pages in view."""
     say = lambda n: " ".join(draw.choice("wind stone river people house market water under long report city".split()) for _ in range(n)).capitalize() + "."
     main = []
 
