@@ -87,4 +87,53 @@ OP10 = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), s AS (
   SELECT page_id, payload_bytes, payload_digest, CASE WHEN target IS NOT NULL AND target <> page_id AND payload_bytes >= 1000 THEN 'revisit' ELSE 'response' END AS record_type,
     CASE WHEN target <> page_id AND payload_bytes >= 1000 THEN target END AS refers_to FROM s LEFT JOIN m USING (payload_digest)"""
 
-ORACLES = {"op2_license_scan": OP2, "op3_embedding_near_dedup": OP3, "op6_benchmark_decontamination": OP6, "op7_ngram_jaccard_join": OP7, "op9_url_filter": OP9, "op10_warc": OP10}
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text, half a byte at a time."""
+    table = []
+    for value in range(16):
+        for _ in range(4):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    half = lambda x: f"xor({x} >> 4, {table}[({x} & 15) + 1])"
+    signs = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {signs}), lambda a, b: {half(half('xor(a, b)'))}), 4294967295)"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || {value}, '-')"
+
+
+def _walk(start: str, nodes: str, key: str) -> str:
+    """From (lang, doc_id, leaf, i, n, cur, sibs) up a tree of nodes (key, level, i, h), one level a step."""
+    same = f"s.{key} IS NOT DISTINCT FROM w.{key} AND " if key else ""
+    up = "sha256(CASE WHEN s.h IS NULL THEN cur WHEN w.i % 2 = 1 THEN s.h || cur ELSE cur || s.h END)"
+    return f"""SELECT lang, doc_id, leaf, 0 AS level, i, n, cur, sibs FROM {start} UNION ALL
+    SELECT w.lang, doc_id, leaf, w.level + 1, w.i // 2, (w.n + 1) // 2, {up}, sibs || coalesce(s.h, '') FROM {{walk}} w LEFT JOIN {nodes} s ON {same}s.level = w.level AND s.i = xor(w.i, 1) WHERE w.n > 1"""
+
+
+_NODES = "SELECT {key} level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM {name} WHERE n > 1 GROUP BY {key} level, n, i // 2"
+
+OP13 = f"""WITH RECURSIVE f AS (SELECT doc_id, lang, n_chars, {_field('doc_id')} || {_field('source')} || {_field('lang')} AS before, {_field('text')} AS after,
+    CASE WHEN {_crc32('CAST(doc_id AS VARCHAR)')} % 7 = 0 THEN 1 ELSE 0 END AS more FROM documents),
+  leaves AS (SELECT doc_id, lang, sha256(before || {_field('n_chars')} || after) AS leaf, sha256(before || {_field('(n_chars + more)')} || after) AS found FROM f),
+  placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+  nodes AS (SELECT lang, 0 AS level, i, n, leaf AS h FROM placed UNION ALL {_NODES.format(key='lang,', name='nodes')}),
+  subroots AS MATERIALIZED (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+  tops AS (SELECT 0 AS level, i, n, h FROM subroots UNION ALL {_NODES.format(key='', name='tops')}),
+  start AS (SELECT lang, doc_id, leaf, i, n, found AS cur, '' AS sibs FROM placed),
+  climb AS ({_walk('start', 'nodes', 'lang').format(walk='climb')}),
+  middle AS (SELECT c.lang, doc_id, leaf, r.i, r.n, cur, sibs FROM climb c JOIN subroots r ON r.lang IS NOT DISTINCT FROM c.lang WHERE c.n = 1),
+  rise AS ({_walk('middle', 'tops', '').format(walk='rise')})
+  SELECT doc_id, leaf, r.h AS subroot, t.h AS root, sha256(sibs) AS proof_sha256, cur AS folded_root, cur = t.h AS verified
+  FROM rise JOIN subroots r ON r.lang IS NOT DISTINCT FROM rise.lang, (SELECT h FROM tops WHERE n = 1) t WHERE rise.n = 1"""
+
+OP12 = """WITH v AS (SELECT row_number() OVER () AS row, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+  scored AS MATERIALIZED (SELECT a.row AS anchor, a.vec_id AS anchor_id, b.row AS row, b.vec_id AS id, a.label = b.label AS own, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.row <> b.row AND len(a.e) = len(b.e)),
+  positives AS (SELECT * FROM scored WHERE own QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id, row) <= 5)
+  SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER w AS INT) AS rank, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+  FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.own AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+  WINDOW w AS (PARTITION BY p.anchor, p.row ORDER BY n.score DESC, n.id, n.row) QUALIFY rank <= 10"""
+
+ORACLES = {"op2_license_scan": OP2, "op3_embedding_near_dedup": OP3, "op6_benchmark_decontamination": OP6, "op7_ngram_jaccard_join": OP7, "op9_url_filter": OP9, "op10_warc": OP10, "op12_hard_negatives": OP12, "op13_merkle_manifest": OP13}
