@@ -89,33 +89,6 @@ def key_parts(key) -> Column:
     return F.struct(*[F.coalesce(F.try_element_at(parts, F.lit(i + 1)), F.lit("")).alias(n) for i, n in enumerate(names)])
 
 
-#: Numbers that one range may stand for; a longer one is kept as it is written.
-RANGE = 1_000
-
-
-def _one(c: Column) -> Column:
-    return F.struct(F.try_element_at(F.regexp_extract_all(c, F.lit(r"(\d+)"), 1), F.lit(1)).alias("number"), F.upper(F.regexp_extract(c, r"\d+\s?((?!en\b)[A-Za-z]*)", 1)).alias("suffix"))
-
-
-def house_numbers(raw) -> Column:
-    """The single house numbers that a text stands for, as structs (number, suffix) of texts; empty if the row is to be kept as it is.
-
-    'a, b en c' and 'a en b' list numbers; 'a-b' and longer chains (of hyphens or dashes) name each; 'a t/m b' is every number from a to b,
-    either way round, unless these are more than RANGE or too long to be numbers.
-    """
-    c = F.trim(text(raw))
-    number = r"\d+(?:\s?(?!en\b)[A-Za-z]{1,4})?"
-    several = c.rlike(rf"^{number}(\s*,\s*{number})*\s*(en|&)\s*{number}$")
-    chain = c.rlike(rf"^{number}(\s*[-\u2013]\s*{number})+$")
-    ends = [F.when(c.rlike(r"^\d+\s*(t/m|tot en met)\s*\d+$"), F.regexp_extract(c, p, 1)).try_cast("int") for p in (r"^(\d+)", r"(\d+)$")]
-    low, high = F.least(*ends), F.greatest(*ends)
-    through = ends[0].isNotNull() & ends[1].isNotNull() & (high - low < RANGE)
-    every = F.transform(F.sequence(F.when(through, low), F.when(through, high)), lambda n: F.struct(n.cast("string").alias("number"), F.lit("").alias("suffix")))
-    listed = F.transform(F.regexp_extract_all(c, F.lit(f"({number})"), 1), _one)
-    none = F.slice(listed, 1, 0)
-    return F.when(through, every).when(several | chain, F.array_distinct(listed)).otherwise(none)
-
-
 # --- addresses in titles ---
 
 _LETTERS = "A-Za-z\u00c0-\u00ff"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from noticeweave.functions import dates
 from noticeweave.operators.durable import new_folder
 from noticeweave.plans.registry import Tables, query
-from noticeweave.sources import files, sinks
+from noticeweave.sources import files, paged, sinks, versions
 
 
 def _lines(t: Tables, df: DataFrame, name: str) -> str:
@@ -133,15 +133,40 @@ def side_outputs(t: Tables) -> DataFrame:
     """A side output with rows, one without, and the log of both."""
     log = new_folder(t._spark, "log")
     for name, rows in (("failures", t.orders.where("o_totalprice > 400000")), ("none", t.orders.where("o_orderkey < 0"))):
-        sinks.write_side(rows, new_folder(t._spark, name))
-        out = sinks.log_run(rows, log, name)
+        out = sinks.log_run(t._spark, log, name, sinks.write_side(rows, new_folder(t._spark, name)))
     return out.select(F.col("run_id").alias("name"), "rows")
 
 
 @query("SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'low' ELSE 'ok' END AS scheme, c_name FROM customer")
 def enriched_in_place(t: Tables) -> DataFrame:
-    """A table replaced by itself with one more column, known columns first."""
+    """A table's next version, computed from the one before it, with one more column, known columns first."""
     folder = sinks.free_path(t._spark, new_folder(t._spark, "table"))
-    t.customer.select("c_custkey", "c_acctbal", "c_name").write.parquet(folder)
-    now = t._spark.read.parquet(folder).withColumn("scheme", F.when(F.col("c_acctbal") < 0, "low").otherwise("ok"))
-    return sinks.replace_table(sinks.arranged(now, ["c_custkey", "scheme"]), folder).drop("c_acctbal")
+    before = versions.write_version(t.customer.select("c_custkey", "c_acctbal", "c_name"), folder)
+    now = before.withColumn("scheme", F.when(F.col("c_acctbal") < 0, "low").otherwise("ok"))
+    versions.write_version(sinks.arranged(now, ["c_custkey", "scheme"]), folder)
+    return versions.read_version(t._spark, folder).drop("c_acctbal")
+
+
+def _recorded(t: Tables, chunk: int) -> tuple[str, int]:
+    """The orders as recorded responses of a paged source."""
+    folder = new_folder(t._spark, "responses")
+    rows = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("kind"), F.concat("o_orderpriority", F.lit(" <&>")).alias("subject"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("available"))
+    return folder, paged.record_responses(rows, folder, chunk, "id")
+
+
+@query("SELECT o_orderkey AS id, o_orderstatus AS kind, o_orderpriority || ' <&>' AS subject, strftime(o_orderdate, '%Y-%m-%d') AS available FROM orders WHERE o_orderdate >= DATE '1998-01-01'")
+def paged_since(t: Tables) -> DataFrame:
+    """A paged source from the date on that an earlier run has reached."""
+    rows = paged.paged(t._spark, _recorded(t, 1_000)[0], since="1998-01-01")
+    return rows.select(F.col("id").cast("bigint").alias("id"), "kind", "subject", "available")
+
+
+@query("SELECT least(count(*), 2500) AS fetched_rows, count(*) FILTER (o_orderkey % 3 <> 0 AND n <= 2500) AS new_rows, count(*) AS total_available, count(*) >= 2500 AS reached_cap, count(*) > 2500 AS more_available FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders)")
+def fetch_metadata(t: Tables) -> DataFrame:
+    """What a run with a cap has fetched and what of it is new, counted while it is written, in the file beside the table."""
+    folder, total = _recorded(t, 1_000)
+    out, known = new_folder(t._spark, "fetched"), F.col("id").cast("bigint") % 3 == 0
+    rows = paged.paged(t._spark, folder, limit=2_500)
+    seen = sinks.write_observed(rows, lambda own: own.where(~known).write.parquet(out), fetched=F.count(F.lit(1)), new=F.count_if(~known))
+    told = sinks.write_metadata(t._spark, f"{out}-metadata", seen["fetched"], seen["new"], total, limit=2_500, chunk=1_000)
+    return told.select("fetched_rows", "new_rows", "total_available", "reached_cap", "more_available")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from noticeweave.operators.durable import new_folder
 from noticeweave.plans.registry import Tables, query
+from noticeweave.sources import paged
 from noticeweave.streaming import ingest
 
 
@@ -33,3 +34,15 @@ def stream_lookups(t: Tables) -> DataFrame:
     names = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("answer"))
     ask = lambda keys: keys.join(names, "user_id", "left").na.fill("", ["answer"])
     return ingest.run_lookups(ingest.stream_of(t._spark, t._folder, "events"), ["user_id"], ask, answers)
+
+
+@query("SELECT o_orderkey AS id, o_orderstatus AS kind FROM orders")
+def paged_stream(t: Tables) -> DataFrame:
+    """A paged source as a stream; a second run goes on at the position where the first, which saw half of the responses, stopped."""
+    folder, half = new_folder(t._spark, "responses"), new_folder(t._spark, "stream")
+    rows = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("kind"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("available"))
+    middle = rows.agg(F.percentile_approx("id", 0.5)).first()[0]
+    first = paged.record_responses(rows.where(F.col("id") <= middle), folder, 1_000, "id")
+    ingest.run_available(paged.paged_stream(t._spark, folder), half)
+    paged.record_responses(rows.where(F.col("id") > middle), folder, 1_000, "id", first + 1)
+    return ingest.run_available(paged.paged_stream(t._spark, folder), half).select(F.col("id").cast("bigint").alias("id"), "kind")

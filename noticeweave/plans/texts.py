@@ -29,16 +29,6 @@ def code_normalisers(t: Tables) -> DataFrame:
     return t.part.where("p_partkey > 0").select("p_partkey", text.postcode(written).alias("postcode"), text.register_number(F.concat(F.lit("00"), F.col("p_partkey").cast("string"), F.lit(".0"))).alias("register_number"))
 
 
-@query("""WITH n AS (SELECT conv_id, turn, turn + 1 AS a, turn + 3 AS b FROM conversations)
-  SELECT conv_id, turn, CAST(unnest(CASE turn % 3 WHEN 0 THEN [a, b] WHEN 1 THEN generate_series(a, b) ELSE [a] END) AS INTEGER) AS number, unnest(CASE turn % 3 WHEN 0 THEN ['', 'A'] WHEN 1 THEN ['', '', ''] ELSE [''] END) AS suffix FROM n""")
-def number_expand(t: Tables) -> DataFrame:
-    a, b = (F.col("turn") + 1).cast("string"), (F.col("turn") + 3).cast("string")
-    written = F.when(F.col("turn") % 3 == 0, F.concat(a, F.lit(" en "), b, F.lit("a"))).when(F.col("turn") % 3 == 1, F.concat(a, F.lit(" t/m "), b)).otherwise(a)
-    rows = t.conversations.select("conv_id", "turn", a.alias("own"), address.house_numbers(written).alias("numbers"))
-    kept = F.array(F.struct(F.col("own").alias("number"), F.lit("").alias("suffix")))
-    return rows.select("conv_id", "turn", F.inline(F.when(F.size("numbers") > 0, F.col("numbers")).otherwise(kept))).withColumn("number", F.col("number").cast("int"))
-
-
 def notices(t: Tables) -> DataFrame:
     """(doc_id, title, body): notices in the language of the rules, their kind told by the document's number."""
     kind = F.col("doc_id") % 8

@@ -109,13 +109,24 @@ def wanted_records(rows: DataFrame, kind: str, kinds: list[str], subject: str, s
 
 def more_pages(pages: DataFrame, xml: str, order: str, limit: int) -> DataFrame:
     """Of pages asked one after the other those that count: up to the first without records or without a next position, and no more than
-    hold `limit` records; (order, records, fetched so far)."""
+    hold `limit` records; (order, records, fetched so far). Ranges of pages are summed first, then the pages within each."""
     from pyspark.sql import Window
 
+    from noticeweave.operators.durable import durable
+
     seen = pages.select(order, F.size(F.regexp_extract_all(F.col(xml), F.lit(r"(?i)<(?:\w+:)?record\b"), 0)).alias("records"), F.col(xml).rlike(r"(?i)nextRecordPosition").alias("more"))
-    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)  # a row for each request
-    told = seen.withColumn("ended", F.coalesce(F.max(((F.col("records") == 0) | ~F.col("more")).cast("int")).over(before), F.lit(0))).withColumn("fetched", F.coalesce(F.sum("records").over(before), F.lit(0)))
-    return told.where((F.col("ended") == 0) & (F.col("records") > 0) & (F.col("fetched") < limit)).select(order, "records", (F.col("fetched") + F.col("records")).alias("fetched"))
+    told = seen.withColumn("last", ((F.col("records") == 0) | ~F.col("more")).cast("int"))
+    ranged = durable(told.repartitionByRange(order).withColumn("__part", F.spark_partition_id()), "pages")
+
+    def before(rows: DataFrame, by: list[str], at: str, prefix: str) -> DataFrame:
+        earlier = Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumns({f"{prefix}_ended": F.coalesce(F.max("last").over(earlier), F.lit(0)), f"{prefix}_fetched": F.coalesce(F.sum("records").over(earlier), F.lit(0))})
+
+    ranges = ranged.groupBy("__part").agg(F.max("last").alias("last"), F.sum("records").alias("records"))
+    ranges = before(ranges, [], "__part", "__range").drop("last", "records")  # a row a range
+    whole = before(ranged, ["__part"], order, "__own").join(F.broadcast(ranges), "__part")
+    fetched = F.col("__range_fetched") + F.col("__own_fetched")
+    return whole.where((F.col("__range_ended") + F.col("__own_ended") == 0) & (F.col("records") > 0) & (fetched < limit)).select(order, "records", (fetched + F.col("records")).alias("fetched"))
 
 
 # --- what earlier runs left ---

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import json
-import uuid
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from noticeweave.operators.durable import drop_folder
@@ -44,38 +44,33 @@ def append_new(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Puts df in a table's place, though df may be computed from that table: written beside it first, then renamed."""
-    spark = df.sparkSession
-    beside = f"{path}-{uuid.uuid4().hex}"
-    df.write.parquet(beside)
-    place, system = _system(spark, path)
-    system.delete(place, True)
-    if not system.rename(_system(spark, beside)[0], place):
-        raise OSError(f"could not put {beside} in the place of {path}")
-    return spark.read.schema(df.schema).parquet(path)
+def write_observed(df: DataFrame, write: Callable[[DataFrame], None], **values: Column) -> dict:
+    """Writes df and returns the given aggregates of what was written, taken in the same pass; for a frame without any partition, none."""
+    seen = Observation()
+    write(df.observe(seen, *[c.alias(n) for n, c in values.items()]))
+    return seen.get
 
 
 def write_side(df: DataFrame, path: str) -> int:
     """Writes a side output (failures, corrections, mismatches) and returns its rows; an empty one leaves no folder."""
-    df.write.mode("overwrite").parquet(path)
-    n = df.sparkSession.read.schema(df.schema).parquet(path).count()
+    n = write_observed(df, lambda own: own.write.mode("overwrite").parquet(path), rows=F.count(F.lit(1))).get("rows", 0)
     if not n:
         drop_folder(df.sparkSession, path)
     return n
 
 
-def write_metadata(spark: SparkSession, path: str, fetched: int, cap: int, available: int) -> DataFrame:
-    """One row of JSON beside a table: what was fetched, whether the cap was reached, and whether more is there."""
-    row = {"fetched": fetched, "cap_reached": fetched >= cap, "more_available": available > fetched}
+def write_metadata(spark: SparkSession, path: str, fetched: int, new: int, available: int, start: int = 1, limit: int | None = None, chunk: int = 0) -> DataFrame:
+    """One row of JSON beside a table: what was fetched and is new, whether the cap was reached, and whether the source has more."""
+    row = {"fetched_rows": fetched, "new_rows": new, "total_available": available, "start_record": start, "max_records": limit, "chunk_size": chunk}
+    row |= {"reached_cap": limit is not None and fetched >= limit, "more_available": available > 0 and start - 1 + fetched < available}
     spark.createDataFrame([(json.dumps(row),)], "value string").coalesce(1).write.mode("overwrite").text(path)
-    return spark.read.schema("fetched long, cap_reached boolean, more_available boolean").json(path)
+    return spark.read.schema("fetched_rows long, new_rows long, total_available long, start_record long, max_records long, chunk_size long, reached_cap boolean, more_available boolean").json(path)
 
 
-def log_run(df: DataFrame, path: str, run_id: str) -> DataFrame:
-    """Appends one row (run_id, rows) for a run over df; the log of all runs."""
-    df.agg(F.lit(run_id).alias("run_id"), F.count("*").alias("rows")).coalesce(1).write.mode("append").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def log_run(spark: SparkSession, path: str, run_id: str, rows: int) -> DataFrame:
+    """Appends one row (run_id, rows) for a run; the log of all runs."""
+    spark.createDataFrame([(run_id, rows)], "run_id string, rows long").coalesce(1).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
 
 
 def write_metrics(metrics: dict[str, DataFrame], path: str) -> DataFrame:
