@@ -169,10 +169,10 @@ def materially_differ(a: Column, b: Column) -> Column:
     return F.coalesce(a.isNotNull() & b.isNotNull() & whole & ~same, F.lit(False))
 
 
-def chosen_address(title, given: Column, body) -> Column:
+def chosen_address(title, given: Column, body, own: Column | None = None) -> Column:
     """The title's address if it stands in the title and the one given is incomplete or stands in neither title nor body; else the one given;
-    whichever is there if only one is."""
-    own = title_address(title)
+    whichever is there if only one is. `own` is the title's address if it is at hand."""
+    own = title_address(title) if own is None else own
     complete = F.lit(True)
     for part in _core(given):
         complete = complete & (part != "")

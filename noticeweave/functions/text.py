@@ -10,11 +10,15 @@ _FOLD = {
     "a": "àáâãäåāăą", "c": "çćĉċč", "d": "ď", "e": "èéêëēĕėęě", "g": "ĝğġģ", "h": "ĥ", "i": "ìíîïĩīĭį", "j": "ĵ", "k": "ķ",
     "l": "ĺļľ", "n": "ñńņň", "o": "òóôõöōŏő", "r": "ŕŗř", "s": "śŝşš", "t": "ţť", "u": "ùúûüũūŭůűų", "w": "ŵ", "y": "ýÿŷ", "z": "źżž",
 }
-_FROM = "".join(_FOLD.values())
+_FROM = FOLDED_LETTERS = "".join(_FOLD.values())
 _TO = "".join(base * len(marked) for base, marked in _FOLD.items())
-# Tokens that stand for a missing value, and name parts that say only the legal form.
+# Tokens that stand for a missing value.
 MISSING = ["", "nan", "none", "null", "nat"]
-LEGAL_FORMS = ["bv", "nv", "vof", "cv", "maatschap", "mts", "firma", "fa", "stichting", "holding", "beheer", "en", "de", "het", "van"]
+# Words left out of names that are matched with registers, and out of names that are compared as they are written; the signs
+# that part words in the latter.
+MATCH_STOPWORDS = ["maatschap", "mts", "vof", "v.o.f", "vennootschap", "firma", "onder", "vennootschaponderfirma", "vof.", "bv", "b.v", "b.v.", "holding", "melkveebedrijf", "melkvee", "melkveehouderij", "bedrijf"]
+NAME_STOPWORDS = ["bv", "b.v.", "vof", "v.o.f.", "stichting", "maatschap", "mts", "vennootschap", "onder", "firma"]
+NAME_SIGNS = ",.;:-/\\|()[]{}'\""
 
 
 def text(c: Column | str) -> Column:
@@ -46,8 +50,8 @@ def postcode(c: Column | str) -> Column:
 
 
 def register_number(c: Column | str) -> Column:
-    """A register number without a decimal tail, leading zeros and other signs."""
-    return F.ltrim(F.regexp_replace(F.regexp_replace(F.trim(text(c)), r"\.0+$", ""), r"\D", ""), F.lit("0"))
+    """A register number without a decimal tail and leading zeros; other signs stay."""
+    return F.ltrim(F.regexp_replace(F.trim(text(c)), r"\.0$", ""), F.lit("0"))
 
 
 def clean_missing(c: Column | str) -> Column:
@@ -56,21 +60,26 @@ def clean_missing(c: Column | str) -> Column:
     return F.when(F.lower(trimmed).isin(MISSING), "").otherwise(trimmed)
 
 
-def name_key(c: Column | str, stopwords: list[str] = LEGAL_FORMS, ordered: bool = False) -> Column:
-    """A name's words without legal forms, sorted unless ordered; repeats stay."""
-    joined = F.regexp_replace(clean_text(c), r"\bb v\b", "bv")
-    joined = F.regexp_replace(F.regexp_replace(joined, r"\bn v\b", "nv"), r"\bv o f\b", "vof")
-    words = F.filter(F.split(joined, " "), lambda w: (w != "") & ~w.isin(stopwords))
-    return F.array_join(words if ordered else F.array_sort(words), " ")
+def name_key(c: Column | str) -> Column:
+    """A name's words without those that say what kind of firm it is, sorted; repeats stay."""
+    words = F.filter(F.split(clean_text(c), " "), lambda w: (w != "") & ~w.isin(MATCH_STOPWORDS))
+    return F.array_join(F.array_sort(words), " ")
+
+
+def plain_name(c: Column | str) -> Column:
+    """A name in lower case without signs and legal forms, its words in their order; letters keep their marks."""
+    spaced = F.translate(F.lower(text(c)), NAME_SIGNS, " " * len(NAME_SIGNS))
+    return F.array_join(F.filter(F.split(F.trim(spaced), r"(?U)\s+"), lambda w: (w != "") & ~w.isin(NAME_STOPWORDS)), " ")
 
 
 def title_tokens(c: Column | str) -> Column:
     """The first letter of every word in upper case, the rest as it is."""
-    return F.array_join(F.transform(F.split(F.trim(text(c)), r"\s+"), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 1_000_000))), " ")
+    return F.array_join(F.transform(F.split(F.trim(text(c)), r"\s+"), lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, F.lit(2), F.length(w)))), " ")
 
 
 def slug(c: Column | str) -> Column:
-    return F.regexp_replace(clean_text(c), " ", "_")
+    """A label for file names: as a province is written, with underscores for spaces and slashes."""
+    return F.translate(province(c), " /", "__")
 
 
 def house_number(c: Column | str) -> Column:
@@ -84,15 +93,25 @@ def absolute_url(link: Column | str, base: str) -> Column:
 
 
 def file_name(c: Column | str) -> Column:
-    """Decoded (a malformed escape stays as it is), other signs than letters, digits, dot, dash and underscore replaced, ending in .pdf."""
-    last = F.element_at(F.split(text(c), "/"), -1)
-    name = F.regexp_replace(F.coalesce(F.try_url_decode(last), last), r"[^A-Za-z0-9._-]", "_")
+    """The name of a linked file: the last part of the link's path, decoded (a malformed escape stays as it is), other signs than letters, digits,
+    dot, dash and underscore replaced, without dots and underscores at its ends; 'download' if nothing is left; ending in .pdf."""
+    path = F.regexp_replace(F.regexp_replace(text(c), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*", ""), r"(?s)[?#].*$", "")
+    last = F.regexp_replace(F.element_at(F.split(F.regexp_replace(path, "/+$", ""), "/"), -1), r"(?s);.*$", "")
+    whole = F.replace(F.regexp_replace(last, "%(?![0-9A-Fa-f]{2})", "%25"), F.lit("+"), F.lit("%2B"))
+    name = F.regexp_replace(F.regexp_replace(F.url_decode(whole), r"[^A-Za-z0-9._-]", "_"), r"^[._]+|[._]+$", "")
+    name = F.when(name == "", "download").otherwise(name)
     return F.when(F.lower(name).endswith(".pdf"), name).otherwise(F.concat(name, F.lit(".pdf")))
 
 
-def html_text(c: Column | str, most: int | None = None, marker: str = " [TRUNCATED]") -> Column:
-    """Visible text of a page: hidden elements and tags dropped, common references decoded, white space collapsed."""
-    out = F.regexp_replace(text(c), r"(?is)<(script|style|noscript|svg|header|footer|nav|form)\b.*?</\1\s*>", " ")
+# Elements whose content is not text of a page, and what follows a text that was cut.
+HIDDEN_TAGS = ["script", "style", "nav", "header", "footer", "noscript", "iframe", "aside"]
+CUT_MARK = " [truncated]"
+
+
+def html_text(c: Column | str, most: int | None = None, marker: str = CUT_MARK) -> Column:
+    """Text of a short piece of markup by patterns alone: hidden elements and tags dropped, eight references decoded, white space collapsed.
+    sources.tags.page_text reads whole pages."""
+    out = F.regexp_replace(text(c), rf"(?is)<({'|'.join(HIDDEN_TAGS)})\b.*?</\1\s*>", " ")
     out = F.regexp_replace(F.regexp_replace(out, r"(?s)<!--.*?-->", " "), r"(?s)<[^>]*>", " ")
     for reference, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         out = F.replace(out, F.lit(reference), F.lit(sign))
@@ -148,16 +167,18 @@ def compared(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(F.lower(clean_missing(c)), r"\s+", " "))
 
 
-# Other names of provinces.
-PROVINCE_NAMES = {"friesland": "fryslan", "fryslân": "fryslan", "brabant": "noord brabant", "n brabant": "noord brabant"}
+# The names of provinces that are written in several ways.
+PROVINCE_NAMES = {
+    "fryslan": "friesland", "fryslân": "friesland", "friesland": "friesland", "noord brabant": "noord-brabant", "noordbrabant": "noord-brabant", "brabant": "noord-brabant", "n brabant": "noord-brabant",
+    "zuid holland": "zuid-holland", "zuidholland": "zuid-holland", "z holland": "zuid-holland", "noord holland": "noord-holland", "noordholland": "noord-holland", "n holland": "noord-holland",
+}
 
 
 def province(c: Column | str) -> Column:
-    """A province's name without 'provincie' in front, with spaces for hyphens, underscores and dots, and one name for each."""
-    bare = F.regexp_replace(F.trim(F.regexp_replace(F.lower(clean_missing(c)), r"[-_.\s]+", " ")), "^provincie ", "")
-    for other, name in PROVINCE_NAMES.items():
-        bare = F.when(bare == other, name).otherwise(bare)
-    return bare
+    """A province's name in lower case without 'provincie', with spaces for hyphens, underscores and dots; those of PROVINCE_NAMES in one spelling."""
+    bare = F.replace(F.lower(F.trim(text(c))), F.lit("provincie "), F.lit(""))
+    bare = F.trim(F.regexp_replace(bare, r"(?U)[-_.\s]+", " "))
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in PROVINCE_NAMES.items() for x in pair]), bare), bare)
 
 
 def prefix(c: Column | str, sign: str = "-") -> Column:
@@ -178,13 +199,18 @@ def joined_once(values: Column, separator: str = " | ") -> Column:
     return F.array_join(first, separator)
 
 
-# How company names stand in notices of one province.
-COMPANY = r"(?isu)bedrijf\s*:\s*(.{1,200}?)\s*locatie\s*:"
+# What stands before and behind a company's name in notices of one province.
+COMPANY_BEFORE, COMPANY_BEHIND = r"(?iu)bedrijf\s*[:\-]", r"(?iu)locatie\s*[:\-]"
 
 
 def company_name(c: Column | str) -> Column:
-    """The name between 'bedrijf:' and 'locatie:', empty if there is none."""
-    return F.regexp_replace(F.regexp_replace(F.regexp_extract(text(c), COMPANY, 1), r"\s+", " "), r"^[ :;\-.,]+|[ :;\-.,]+$", "")
+    """The name between 'bedrijf:' and 'locatie:' (or with dashes), of any length, empty if there is none."""
+    c = text(c)
+    begin = F.regexp_instr(c, F.lit(COMPANY_BEFORE))
+    rest = F.substring(c, begin + F.length(F.regexp_extract(c, f"({COMPANY_BEFORE})", 1)), F.length(c))
+    end = F.regexp_instr(rest, F.lit(COMPANY_BEHIND))
+    name = F.regexp_replace(F.substring(rest, F.lit(1), end - 1), r"(?U)\s+", " ")
+    return F.when((begin > 0) & (end > 0), F.regexp_replace(name, r"^[ :;\-.,]+|[ :;\-.,]+$", "")).otherwise("")
 
 
 def kept_company(name: Column | str, c: Column | str, *places: Column | str) -> Column:
@@ -196,12 +222,12 @@ def kept_company(name: Column | str, c: Column | str, *places: Column | str) ->
 
 
 def housing_text_category(code: Column | str, housing: Column | str) -> Column:
-    """An older category: by code A4 or A, else by the words of the housing."""
-    c, words = F.upper(F.trim(text(code))), F.lower(text(housing))
-    out = F.when(F.startswith(c, F.lit("A4")), "vleeskalveren").when(F.startswith(c, F.lit("A")), "rundvee")
-    for word, category in (("kalkoen", "kalkoenen"), ("kip", "kippen"), ("kuiken", "kippen"), ("hen", "kippen"), ("varken", "varkens"), ("big", "varkens"), ("geit", "geiten"), ("rund", "rundvee"), ("koe", "rundvee"), ("kalf", "vleeskalveren"), ("kalveren", "vleeskalveren")):
-        out = out.when(F.contains(words, F.lit(word)), category)
-    return out.otherwise("overig")
+    """The older report's category: by code A4 or A, else the housing's own words in lower case without 'huisvesting', where 'kalkoe' is written
+    'kalkoenen' and 'rundve' 'rundvee'."""
+    c = F.trim(text(code))
+    own = F.trim(F.replace(F.trim(F.lower(text(housing))), F.lit("huisvesting"), F.lit("")))
+    own = F.replace(F.replace(own, F.lit("kalkoe"), F.lit("kalkoenen")), F.lit("rundve"), F.lit("rundvee"))
+    return F.when(F.startswith(c, F.lit("A4")), "vleeskalveren").when(F.startswith(c, F.lit("A")), "rundvee (excl. kalveren)").otherwise(own)
 
 
 def positive(c: Column | str) -> Column:

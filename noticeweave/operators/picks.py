@@ -6,12 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def first_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """The first row of each key in the given order (all columns kept)."""
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__place", place).where("__place = 1").drop("__place")
-
-
 def first_fields(df: DataFrame, keys: list[str], order: Column, fields: list[str]) -> DataFrame:
     """The fields of the row with the smallest order value of each key, combined before the shuffle (no sort, no window)."""
     return df.groupBy(*keys).agg(F.min_by(F.struct(*fields), order).alias("__row")).select(*keys, *[F.col(f"__row.{f}").alias(f) for f in fields])

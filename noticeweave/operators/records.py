@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from noticeweave.functions.text import clean_missing, province, text
+from noticeweave.operators.durable import durable
 from noticeweave.operators.identity import hashed_id, numbered
 
 # --- predicates and fills ---
@@ -202,8 +203,24 @@ def business_order(c: Column | str, order: list[str]) -> Column:
 
 
 def ranked(df: DataFrame, limit: int, *order: Column) -> DataFrame:
-    """The first rows in an order with their place from 1; Spark keeps `limit` rows of each task, so no task sorts the table."""
+    """The first rows in an order with their place from 1, for reports of the top rows; Spark keeps `limit` rows of each task, so no task
+    sorts the table."""
     from pyspark.sql import Window
 
     first = df.orderBy(*order).limit(limit)
     return first.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+
+
+def placed(df: DataFrame, *order: Column) -> DataFrame:
+    """All rows with their place from 1 in the ascending order of these columns (nulls first), counted by ranges."""
+    from pyspark.sql import Window
+
+    keys = [f"__o{i}" for i in range(len(order))]
+    asked = df.select("*", *[c.alias(k) for c, k in zip(order, keys)])
+    ranged = durable(asked.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__at", F.monotonically_increasing_id()), "placed")
+    part = F.shiftright("__at", 33)
+    sizes = ranged.groupBy(part.alias("__part")).agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a range
+    shift = sizes.select("__part", (before - F.col("__first") + 1).alias("__shift"))
+    numbered_ = ranged.withColumn("__part", part).join(F.broadcast(shift), "__part")
+    return numbered_.select(*df.columns, (F.col("__at") + F.col("__shift")).cast("int").alias("place"))

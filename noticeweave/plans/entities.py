@@ -30,10 +30,36 @@ def crosswalk_exact(t: Tables) -> DataFrame:
     return a.join(t.supplier.select("s_suppkey", at("kerk straat", F.col("s_suppkey") / 2)), "k").select("c_custkey", "s_suppkey")
 
 
-@query("""WITH k AS (SELECT p_partkey, p_brand, array_to_string(list_sort(string_split(lower(trim(p_name)), ' ')), ' ') AS name_key FROM part)
-  SELECT name_key, p_brand, count(*) AS n, min(p_partkey) AS first_part FROM k GROUP BY 1, 2""")
+def _key_sql(name: str) -> str:
+    stop = ", ".join(f"'{w}'" for w in text.MATCH_STOPWORDS)
+    words = f"string_split(regexp_replace(strip_accents(lower({name})), '[^a-z0-9_ ]', ' ', 'g'), ' ')"
+    return f"array_to_string(list_sort(list_filter({words}, lambda w: w <> '' AND w NOT IN ({stop}))), ' ')"
+
+
+_PERMIT = "CASE c_custkey % 5 WHEN 0 THEN 'Maatschap ' || c_name || ' en Zn.' WHEN 1 THEN c_name || ' V.O.F' WHEN 2 THEN 'Melkveehouderij de ' || c_name WHEN 3 THEN 'Vennootschap onder Firma ' || c_name ELSE c_name || ' B.V. Holding' END"
+_REGISTERED = "CASE c_custkey % 5 WHEN 0 THEN 'ZN EN ' || c_name || ' mts' WHEN 1 THEN 'f o v ' || c_name WHEN 2 THEN c_name || ', dé bedrijf' WHEN 3 THEN c_name || ' en' ELSE 'bv b v ' || c_name END"
+
+
+@query(f"""WITH a AS (SELECT c_custkey, {_key_sql(_PERMIT)} AS name, 'kerk straat ' || c_nationkey AS street, '1234AB' AS code FROM customer),
+  b AS (SELECT c_custkey + c_custkey % 2 AS register_key, {_key_sql(_REGISTERED)} AS name, 'kerk straat ' || c_nationkey AS street, CASE WHEN c_custkey % 7 = 0 THEN '9999ZZ' ELSE '1234AB' END AS code FROM customer)
+  SELECT c_custkey, register_key, name FROM a JOIN b USING (name, street, code)""")
 def name_key_match(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", "p_brand", text.name_key("p_name").alias("name_key")).groupBy("name_key", "p_brand").agg(F.count("*").alias("n"), F.min("p_partkey").alias("first_part"))
+    """Names without legal forms, streets and postcodes of two tables, joined on all three; some names or postcodes differ."""
+    permit, registered = F.expr(_PERMIT), F.expr(_REGISTERED)
+    street = lambda sign: text.clean_text(F.concat(F.lit(f"Kerk{sign}straat "), F.col("c_nationkey").cast("string")))
+    a = t.customer.select("c_custkey", text.name_key(permit).alias("name"), street("-").alias("street"), text.clean_postcode(F.lit("1234 ab")).alias("code"))
+    code = F.when(F.col("c_custkey") % 7 == 0, "9999 zz").otherwise("1234AB")
+    b = t.customer.select((F.col("c_custkey") + F.col("c_custkey") % 2).alias("register_key"), text.name_key(registered).alias("name"), street(". ").alias("street"), text.clean_postcode(code).alias("code"))
+    return a.join(b, ["name", "street", "code"]).select("c_custkey", "register_key", "name")
+
+
+@query("""WITH n AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'Stichting "De Hoeve"/(' || c_name || ') B.V.' WHEN 1 THEN 'V.O.F. Jansen & ' || c_name WHEN 2 THEN 'VOF; Ménage ' || c_name || ' bv' ELSE ' Firma' END AS name FROM customer)
+  SELECT c_custkey, array_to_string(list_filter(string_split(translate(lower(name), ',.;:-/\\|()[]{}''"', repeat(' ', 17)), ' '), lambda w: w <> '' AND w NOT IN ('bv', 'b.v.', 'vof', 'v.o.f.', 'stichting', 'maatschap', 'mts', 'vennootschap', 'onder', 'firma')), ' ') AS name FROM n""")
+def plain_names(t: Tables) -> DataFrame:
+    """F16: names as they are compared in the order of their words."""
+    kinds = [F.concat(F.lit('Stichting "De Hoeve"/('), "c_name", F.lit(") B.V.")), F.concat(F.lit("V.O.F. Jansen & "), "c_name"), F.concat(F.lit("VOF; Ménage "), "c_name", F.lit(" bv")), F.lit(" Firma")]
+    name = F.get(F.array(*kinds), (F.col("c_custkey") % 4).cast("int"))
+    return t.customer.select("c_custkey", text.plain_name(name).alias("name"))
 
 
 def _keyed(i: int, columns: str, suffix: str = "") -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from noticeweave.functions import dates
 from noticeweave.operators.durable import new_folder
 from noticeweave.plans.registry import Tables, query
-from noticeweave.sources import files, paged, sinks, versions
+from noticeweave.sources import files, paged, sinks, tags, versions
 
 
 def _lines(t: Tables, df: DataFrame, name: str) -> str:
@@ -34,14 +34,20 @@ def csv_typed(t: Tables) -> DataFrame:
     return files.typed_csv(t._spark, folder, {"o_orderkey": "bigint", "price": "double"})
 
 
-@query("SELECT c_nationkey AS nation, count(*) AS n, max(c_custkey) AS last FROM customer GROUP BY 1")
+@query("""SELECT c_nationkey AS nation, c_custkey AS key, c_name || CASE WHEN c_custkey % 7 = 0 THEN chr(10) || ', "x"' || chr(10) ELSE ', x' END AS name FROM customer""")
 def csv_multi_header(t: Tables) -> DataFrame:
-    """A file a nation, three rows of labels and a header each; the last column of a label counts."""
-    cell = F.concat_ws(",", F.col("c_custkey").cast("string"), F.lit("0"), F.concat(F.lit('"'), "c_name", F.lit(', x"')), F.col("c_nationkey").cast("string"))
-    head = "label,DIERCATEGORIE 1,naam,DIERCATEGORIE 1\n,,,\n,,,\nkey,a,b,c\n"
-    text = t.customer.groupBy("c_nationkey").agg(F.concat(F.lit(head), F.array_join(F.array_sort(F.collect_list(cell)), "\n")).alias("value")).select("value")
-    rows = files.multi_header_csv(t._spark, _lines(t, text.repartition(25, "value"), "multi"), 3, {"key": "key", "nation": "DIERCATEGORIE 1", "name": "naam"})
-    return rows.where("key <> 'key' AND nation RLIKE '^[0-9]+$'").groupBy(F.col("nation").cast("int").alias("nation")).agg(F.count("*").alias("n"), F.max(F.col("key").cast("bigint")).alias("last"))
+    """A file a nation, three rows of labels and a header each, names with line breaks; the last column of a label counts, and one nation's
+    columns stand otherwise."""
+    name = F.concat(F.lit('"'), "c_name", F.when(F.col("c_custkey") % 7 == 0, '\n, ""x""\n').otherwise(", x"), F.lit('"'))
+    key, nation = F.col("c_custkey").cast("string"), F.col("c_nationkey").cast("string")
+    row = F.when(F.col("c_nationkey") == 3, F.concat_ws(",", name, F.lit("0"), nation, key)).otherwise(F.concat_ws(",", key, F.lit("0"), name, nation))
+    usual, other = ["label,DIERCATEGORIE 1,naam,DIERCATEGORIE 1", ",,,", ",,,", "key,a,b,c"], ["naam,DIERCATEGORIE 1,DIERCATEGORIE 1,x", ",,,", ",,,", "a,b,c,key"]
+    heads = t.customer.select("c_nationkey").distinct().select("c_nationkey", F.posexplode(F.when(F.col("c_nationkey") == 3, F.array(*map(F.lit, other))).otherwise(F.array(*map(F.lit, usual)))).alias("at", "line"))
+    lines = heads.unionByName(t.customer.select("c_nationkey", (F.col("c_custkey") + 4).alias("at"), row.alias("line")))
+    folder = new_folder(t._spark, "multi")
+    lines.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "at").select("line", F.col("c_nationkey").alias("part")).write.partitionBy("part").text(folder)
+    rows = files.multi_header_csv(t._spark, folder, 3, {"key": "key", "nation": "DIERCATEGORIE 1", "name": "naam"})
+    return rows.select(F.col("nation").cast("int").alias("nation"), F.col("key").cast("bigint").alias("key"), "name")
 
 
 @query("""SELECT lower(n_name) AS place, string_agg(DISTINCT r_name, ',' ORDER BY r_name) AS provinces FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1""")
@@ -53,6 +59,18 @@ def csv_headless_places(t: Tables) -> DataFrame:
     return files.distinct_in_order(places, "place", "province", "line_no").select("place", F.array_join("provinces", ",").alias("provinces"))
 
 
+@query("SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(count(*) AS BIGINT) AS n, CAST(sum(l_quantity) AS BIGINT) AS quantity FROM lineitem GROUP BY 1")
+def csv_headless_large(t: Tables) -> DataFrame:
+    """One file of all lines of orders behind five others, read in blocks by many tasks; some cells hold a line break."""
+    note = F.when(F.col("l_linenumber") == 1, '"a\n;b"').otherwise("c")
+    line = F.concat_ws(";", F.col("l_orderkey").cast("string"), note, F.col("l_quantity").cast("string"))
+    junk = t._spark.range(5).select(F.lit(0).alias("at"), F.concat(F.lit("junk "), F.col("id").cast("string")).alias("line"))
+    folder = new_folder(t._spark, "large")
+    junk.unionByName(t.lineitem.select(F.lit(1).alias("at"), line.alias("line"))).repartition(1).sortWithinPartitions("at").select("line").write.text(folder)  # a task writes its file, sorted on disk if need be
+    rows = files.headless_csv(t._spark, folder, ["l_orderkey", "note", "quantity"], 5).where("note RLIKE '^(c|a\n;b)$'")
+    return rows.groupBy(F.col("l_orderkey").cast("bigint").alias("l_orderkey")).agg(F.count("*").alias("n"), F.sum(F.col("quantity").cast("double")).cast("bigint").alias("quantity"))
+
+
 @query("""WITH s AS (SELECT p_type, CAST(count(*) AS DOUBLE) AS v FROM part GROUP BY 1)
   SELECT g AS name, coalesce(sum(v), 0) AS total FROM (VALUES ('kippen', 'ECONOMY'), ('kippen', 'STANDARD'), ('varkens', 'PROMO'), ('geiten', 'none')) x(g, p_type) LEFT JOIN s USING (p_type) GROUP BY 1""")
 def labelled_statistics(t: Tables) -> DataFrame:
@@ -61,15 +79,21 @@ def labelled_statistics(t: Tables) -> DataFrame:
     return files.labelled_totals(rows, "p_type", "n", {"kippen": ["ECONOMY", "STANDARD"], "varkens": ["PROMO"], "geiten": ["none"]})
 
 
-@query("""SELECT c_nationkey AS page, c_custkey AS id, c_name AS title, 'https://x.nl/doc/' || c_custkey AS url, CASE WHEN c_custkey % 2 = 0 THEN 'https://x.nl/p/' || c_custkey || '.pdf' ELSE '' END AS pdf, c_mktsegment AS kind
+@query("""SELECT c_nationkey AS page, c_custkey AS id, c_name || ' caf\u00e9 \u00e9&' AS title, 'https://x.nl/doc/' || c_custkey AS url, CASE WHEN c_custkey % 2 = 0 THEN 'https://x.nl/p/' || c_custkey || '.pdf' ELSE '' END AS pdf, c_mktsegment AS kind
   FROM customer WHERE c_custkey % 5 <> 0""")
 def html_result_list(t: Tables) -> DataFrame:
-    """Entries of result pages, by subtitle or heading; those without title go."""
-    key = F.col("c_custkey")
-    link = F.concat(F.lit('<a href="/doc/'), key.cast("string"), F.lit('" class="'), F.when(key % 3 == 0, "result--subtitle").otherwise("x"), F.lit('">'), F.when(key % 5 == 0, "").otherwise(F.col("c_name")), F.lit("</a>"))
-    item = F.concat(F.lit("<li><h2>"), link, F.lit("</h2><dl><dt>Soort</dt><dd>"), "c_mktsegment", F.lit("</dd><dt>Nr</dt><dd>"), key.cast("string"), F.lit("</dd></dl>"), F.when(key % 2 == 0, F.concat(F.lit('<a href="p/'), key.cast("string"), F.lit('.pdf">pdf</a>'))).otherwise(""), F.lit("</li>"))
-    pages = t.customer.groupBy(F.col("c_nationkey").alias("page")).agg(F.concat(F.lit('<ul><li><h2><a href="/menu">menu</a></h2></li></ul><div id="Publicaties"><ul>'), F.array_join(F.collect_list(item), ""), F.lit("</ul></div>")).alias("html"))
-    rows = files.result_items(pages, "html", "https://x.nl", "Publicaties", {"kind": "Soort", "id": "Nr"})
+    """Entries of result pages, by subtitle or heading, with items that are not ended, lists within them, and lists before and behind;
+    those without title go. A page a hundred customers."""
+    key, own = F.col("c_custkey"), F.col("c_custkey").cast("string")
+    title = F.when(key % 5 == 0, " ").otherwise(F.concat("c_name", F.lit(" caf&eacute; &#233;&amp;")))
+    link = F.concat(F.lit('<a href="/doc/'), own, F.lit('" class="'), F.when(key % 3 == 0, "b result--subtitle").otherwise("x"), F.lit('">'), title, F.lit("</a>"))
+    terms = F.concat(F.lit("<dl><dt>SOORT<dd>"), "c_mktsegment", F.lit("<dt> Nr </dt><dd>"), own, F.lit("</dl>"))
+    pdf = F.when(key % 2 == 0, F.concat(F.lit('<a href="p/'), own, F.lit('.pdf">pdf</a>'))).otherwise("")
+    item = F.concat(F.lit("<li><h2>"), link, F.lit("</h2><ul><li>within</li></ul>"), terms, pdf, F.when(key % 2 == 0, "</li>").otherwise("</b>"))
+    pages = t.customer.groupBy(F.floor(key / 100).alias("__page"), "c_nationkey").agg(F.array_join(F.collect_list(item), "").alias("items"))  # a hundred rows at most
+    other = '<ul><li><h2><a href="/menu">menu</a></h2><dl><dt>Nr</dt><dd>1</dd></dl></li></ul>'
+    pages = pages.select(F.col("c_nationkey").alias("page"), F.concat(F.lit(f'{other}<div id="Publicaties"><ul>'), "items", F.lit(f"</ul></div>{other}")).alias("html"))
+    rows = tags.result_items(pages, "html", "https://x.nl", "Publicaties", {"kind": "Soort", "id": "Nr"})
     return rows.select("page", F.col("id").cast("bigint").alias("id"), "title", "url", "pdf", "kind")
 
 

@@ -49,25 +49,25 @@ def canonical_candidates(t: Tables) -> DataFrame:
 
 @query("""SELECT s_suppkey, 'oude weg|' || s_suppkey || '||1234AB|anna' AS register_key, CAST(s_suppkey AS VARCHAR) AS number, CASE WHEN s_suppkey % 2 = 0 THEN 'a' ELSE 'x' END AS addition,
     '1234AB ' || s_suppkey || CASE WHEN s_suppkey % 2 = 0 THEN 'a' ELSE 'x' END AS place_query, CASE WHEN s_suppkey % 3 = 0 THEN CAST(s_suppkey AS VARCHAR) ELSE s_name END AS register_query,
-    CASE WHEN s_suppkey % 4 = 0 THEN '' WHEN s_suppkey % 4 = 1 THEN s_name ELSE 'Hof ' || s_suppkey END AS company FROM supplier""")
+    CASE WHEN s_suppkey % 4 = 0 THEN '' WHEN s_suppkey % 4 = 1 THEN s_name WHEN s_suppkey % 4 = 2 THEN repeat('De Hof ', 40) || s_suppkey ELSE 'Hof ' || s_suppkey END AS company FROM supplier""")
 def register_forms(t: Tables) -> DataFrame:
     """F18, F24, F33, F55 and F57."""
     own = _text("s_suppkey")
     even = F.col("s_suppkey") % 2 == 0
     number, addition = address.split_suffix(F.concat(own, F.when(even, "a").otherwise("")), F.when(even, " ").otherwise("x"))
     place = F.when(F.col("s_suppkey") % 4 == 0, "Provincie Gelderland").otherwise("Provincie Noord-Brabant")
-    company = text.kept_company(F.when(F.col("s_suppkey") % 4 == 1, F.col("s_name")), F.concat(F.lit("Betreft bedrijf: Hof  "), own, F.lit(", locatie: Anna")), place)
+    company = text.kept_company(F.when(F.col("s_suppkey") % 4 == 1, F.col("s_name")), F.when(F.col("s_suppkey") % 4 == 2, F.concat(F.lit("Het Bedrijf - "), F.repeat(F.lit("De Hof "), F.lit(40)), own, F.lit(" - LOCATIE - Anna"))).otherwise(F.concat(F.lit("Betreft bedrijf: Hof  "), own, F.lit(", locatie: Anna"))), place)
     return t.supplier.select("s_suppkey", address.register_key(F.lit("Oude weg"), own, F.lit("1234 ab"), F.lit("Anna, NB")).alias("register_key"), number.alias("number"), addition.alias("addition"), address.lookup_query(number, addition, F.lit("1234 ab")).alias("place_query"), address.lookup_query(None, None, None, "s_name", F.when(F.col("s_suppkey") % 3 == 0, own).otherwise("nan")).alias("register_query"), company.alias("company"))
 
 
-@query("""SELECT p_partkey, regexp_replace(lower(trim(p_name)), '[^a-z0-9]+', '_', 'g') AS slug, 'https://a.example/x/' || p_partkey AS url, 'nr_' || p_partkey || '.pdf' AS file, replace(format('{:,}', p_partkey * 1000), ',', '.') AS shown,
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'noord-brabant' ELSE replace(lower(p_name), ' ', '_') || '_x' END AS slug, 'https://a.example/x/' || p_partkey AS url, CASE p_partkey % 4 WHEN 0 THEN 'nr_' || p_partkey || '.pdf' WHEN 1 THEN 'nr_zz' || p_partkey || '.PDF' WHEN 2 THEN 'download.pdf' ELSE 'b_' || p_partkey || '.x.pdf' END AS file, replace(format('{:,}', p_partkey * 1000), ',', '.') AS shown,
     CASE p_partkey % 3 WHEN 0 THEN 'bezoeklocatie' WHEN 1 THEN 'postlocatie' ELSE '' END AS kind, 'a' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || p_partkey AS texts, true AS same FROM part""")
 def text_forms(t: Tables) -> DataFrame:
     """F01, F21, F32, F35, F50, F54 and F58."""
     own, kind = _text("p_partkey"), F.col("p_partkey") % 3
     place = text.location_kind(F.when(kind == 0, "x").otherwise("Ontbreekt"), F.when(kind == 1, "y"))
     same = text.compared(F.concat(F.lit(" A\n"), F.upper("p_name"))) == text.compared(F.concat(F.lit("a  "), "p_name"))
-    return t.part.select("p_partkey", text.slug("p_name").alias("slug"), text.absolute_url(F.concat(F.lit("/x/"), own), "https://a.example/").alias("url"), text.file_name(F.concat(F.lit("https://a.example/map/nr%20"), own)).alias("file"), text.thousands(F.col("p_partkey") * 1000).alias("shown"), place.alias("kind"), text.joined_texts(F.lit(" a "), F.lit(" "), own).alias("texts"), same.alias("same"))
+    return t.part.select("p_partkey", text.slug(F.when(F.col("p_partkey") % 2 == 0, "Provincie Noord.Brabant").otherwise(F.concat("p_name", F.lit("/x")))).alias("slug"), text.absolute_url(F.concat(F.lit("/x/"), own), "https://a.example/").alias("url"), text.file_name(F.get(F.array(F.concat(F.lit("https://a.example/map/nr%20"), own), F.concat(F.lit("https://a.example/nr%zz"), own, F.lit(".PDF?x=1/2#y")), F.lit("https://a.example?x.pdf"), F.concat(F.lit("b+"), own, F.lit(".x._/"))), (F.col("p_partkey") % 4).cast("int"))).alias("file"), text.thousands(F.col("p_partkey") * 1000).alias("shown"), place.alias("kind"), text.joined_texts(F.lit(" a "), F.lit(" "), own).alias("texts"), same.alias("same"))
 
 
 @query("""WITH r AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN year(o_orderdate) END AS a, CASE WHEN o_orderkey % 5 > 1 THEN year(o_orderdate) + o_orderkey % 2 END AS b FROM orders)
@@ -175,21 +175,26 @@ def confusion_scores(t: Tables) -> DataFrame:
     return metrics.scores(t.labels, "quality", "toxic")
 
 
-_HOUSING_SQL = "CASE p_size % 6 WHEN 0 THEN 'vleeskalveren' WHEN 1 THEN 'rundvee' WHEN 2 THEN 'kippen' WHEN 3 THEN 'varkens' WHEN 4 THEN 'geiten' ELSE 'overig' END"
+#: Codes and housings of the older report's rows, and its order of categories.
+HOUSINGS = [("A4.1", "Huisvesting rundve"), (" A1", ""), ("a1", "Huisvesting Rundve "), ("", "huisvesting kalkoe"), ("D1", "Kippen"), ("", " Varken HUISVESTING"), ("", "geiten"), ("", "konijn"), ("", ""), ("", "Eenden")]
+# The order of the older report's categories.
+OLDER_ORDER = ["kalkoenen", "kippen", "rundvee (excl. kalveren)", "vleeskalveren", "varken", "geiten", "eenden", "overig", ""]
+_HOUSED = "trim(replace(trim(lower(housing)), 'huisvesting', ''))"
 
 
-@query(f"""WITH s AS (SELECT {_HOUSING_SQL} AS category, sum(l_quantity) AS total, sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS definitive, sum(CASE WHEN l_returnflag = 'A' THEN l_quantity ELSE 0 END) AS draft
-    FROM lineitem JOIN part ON l_partkey = p_partkey WHERE year(l_shipdate) = 1997 GROUP BY 1)
-  SELECT category, total, definitive, draft, CAST(row_number() OVER (ORDER BY CASE category WHEN 'kippen' THEN 1 WHEN 'varkens' THEN 2 WHEN 'geiten' THEN 3 WHEN 'rundvee' THEN 4 WHEN 'vleeskalveren' THEN 5 ELSE 6 END, category) AS INTEGER) AS place FROM s""")
+@query(f"""WITH k(kind, code, housing) AS (VALUES {", ".join(f"({i}, '{c}', '{h}')" for i, (c, h) in enumerate(HOUSINGS))}),
+  s AS (SELECT CASE WHEN starts_with(trim(code), 'A4') THEN 'vleeskalveren' WHEN starts_with(trim(code), 'A') THEN 'rundvee (excl. kalveren)' ELSE replace(replace({_HOUSED}, 'kalkoe', 'kalkoenen'), 'rundve', 'rundvee') END AS category, sum(l_quantity) AS total,
+    sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0 END) AS definitive, sum(CASE WHEN l_returnflag = 'A' THEN l_quantity ELSE 0 END) AS draft
+    FROM lineitem JOIN part ON l_partkey = p_partkey JOIN k ON kind = p_size % {len(HOUSINGS)} WHERE year(l_shipdate) = 1997 GROUP BY 1)
+  SELECT category, total, definitive, draft, CAST(row_number() OVER (ORDER BY coalesce(list_position(list_value({", ".join(f"'{c}'" for c in OLDER_ORDER)}), category), 99), category) AS INTEGER) AS place FROM s""")
 def older_report(t: Tables) -> DataFrame:
-    """L1-7, F46 and G23: totals of the older report by the words of the housing, in its order."""
-    kind = F.col("p_size") % 6
-    code = F.when(kind == 0, "A4.1").when(kind == 1, " a1 ").otherwise("")
-    housing = F.when(kind == 2, "Opfok van Kuikens").when(kind == 3, "Vleesvarkens").when(kind == 4, "geitenstal").when(kind == 5, "konijn")
+    """L1-7, F46 and G23: totals of the older report by code or the housing's own words, in its order."""
+    kind = (F.col("p_size") % len(HOUSINGS) + 1).cast("int")
+    code, housing = (F.element_at(F.array(*[F.lit(h[i]) for h in HOUSINGS]), kind) for i in (0, 1))
     rows = t.lineitem.where("l_shipdate >= '1997-01-01' AND l_shipdate < '1998-01-01'").join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     total = lambda c: F.sum(F.when(c, F.col("l_quantity")).otherwise(0.0))
     sums = rows.groupBy(text.housing_text_category(code, housing).alias("category")).agg(F.sum("l_quantity").alias("total"), total(F.col("l_returnflag") == "R").alias("definitive"), total(F.col("l_returnflag") == "A").alias("draft"))
-    return records.ranked(sums, 1000, records.business_order("category", ["kippen", "varkens", "geiten", "rundvee", "vleeskalveren"]), F.asc("category"))
+    return records.placed(sums, records.business_order("category", OLDER_ORDER), F.col("category"))
 
 
 @query(f"""WITH {_REGISTRY_SQL}, own AS (SELECT CASE WHEN category IN ('SMALL', 'MEDIUM') THEN 'SMALL+MEDIUM' ELSE category END AS category, sum(amount) AS total FROM registry GROUP BY 1),

@@ -17,11 +17,28 @@ def filled_and_not_matching(t: Tables) -> DataFrame:
     return rows.where(records.filled("s", "k") & records.not_matching("c_name", "77|TOTAAL")).select("c_custkey", "c_name")
 
 
-@query("SELECT c_custkey FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE n_nationkey % 4 < 2")
+#: Spellings of provinces.
+SPELLINGS = ["Provincie Noord-Brabant", "brabant", " N.Brabant", "NoordBrabant", "noord_brabant", "Gelderland", "Zuidholland", "Z.Holland", "provincie zuid-holland ", "Noord  Holland", "n-holland", "Fryslân", "fryslan", "", "West-Brabant"]
+_SPELLED = "list_value(" + ", ".join(f"'{s}'" for s in SPELLINGS) + f")[1 + c_custkey % {len(SPELLINGS)}]"
+_PROVINCE = f"trim(regexp_replace(replace(trim(lower({_SPELLED})), 'provincie ', ''), '[-_. ]+', ' ', 'g'))"
+_ONE_NAME = f"""CASE WHEN {_PROVINCE} IN ('noord brabant', 'noordbrabant', 'brabant', 'n brabant') THEN 'noord-brabant' WHEN {_PROVINCE} IN ('zuid holland', 'zuidholland', 'z holland') THEN 'zuid-holland'
+  WHEN {_PROVINCE} IN ('noord holland', 'noordholland', 'n holland') THEN 'noord-holland' WHEN {_PROVINCE} IN ('fryslan', 'fryslân') THEN 'friesland' ELSE {_PROVINCE} END"""
+
+
+def _spelled(t: Tables) -> DataFrame:
+    return t.customer.select("c_custkey", F.element_at(F.array(*map(F.lit, SPELLINGS)), (1 + F.col("c_custkey") % len(SPELLINGS)).cast("int")).alias("p"))
+
+
+@query(f"SELECT c_custkey FROM customer WHERE {_ONE_NAME} = 'noord-brabant'")
 def in_province(t: Tables) -> DataFrame:
     """Names of one province in several spellings."""
-    name = F.when(F.col("c_nationkey") % 4 == 0, "Provincie Noord-Brabant").when(F.col("c_nationkey") % 4 == 1, "brabant").otherwise("Gelderland")
-    return records.in_province(t.customer.select("c_custkey", name.alias("p")), "p", "noord_brabant").select("c_custkey")
+    return records.in_province(_spelled(t), "p", "Noord.Brabant").select("c_custkey")
+
+
+@query(f"SELECT c_custkey, {_ONE_NAME} AS province, replace(replace({_ONE_NAME}, ' ', '_'), '/', '_') AS slug FROM customer")
+def province_names(t: Tables) -> DataFrame:
+    """F20 and F21."""
+    return _spelled(t).select("c_custkey", text.province("p").alias("province"), text.slug("p").alias("slug"))
 
 
 @query("SELECT o_orderkey FROM (SELECT * FROM orders ORDER BY o_orderkey LIMIT 500) WHERE o_orderstatus <> 'F' AND o_orderpriority <> '1-URGENT'")
@@ -193,7 +210,7 @@ def newest_rows(t: Tables) -> DataFrame:
 def business_ordered(t: Tables) -> DataFrame:
     """L05."""
     sums = t.events.groupBy("event_type").agg(F.count("*").alias("n"))
-    return records.ranked(sums, 1000, records.business_order("event_type", ["purchase", "view"]), F.asc("event_type"))
+    return records.placed(sums, records.business_order("event_type", ["purchase", "view"]), F.col("event_type"))
 
 
 @query("SELECT o_orderpriority, max_by(o_orderkey, (o_totalprice, -o_orderkey)) AS o_orderkey, max(o_totalprice) AS price FROM orders GROUP BY 1")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from noticeweave.functions import address, dates, rules, text
+from noticeweave.functions import address, dates, rules, text, unicode
 from noticeweave.plans.registry import Tables, query
+from noticeweave.sources import tags
 
 # Frequent words of the documents stand for the notices' signal words.
 FIRST, SECOND, THIRD = "the", "and", "of"
@@ -17,46 +18,102 @@ def clean_texts(t: Tables) -> DataFrame:
     return t.documents.where("text IS NOT NULL").select("doc_id", text.clean_text("text").alias("cleaned"))
 
 
+#: Endings that need more than a table of letters, and what becomes of them.
+ODD = [(" \ufb01\u00b2", " fi2"), (" \u00bd\u2126", " 1\u20442\u03c9"), (" \ud55c", " \u1112\u1161\u11ab"), (" e\u0301\u1e69", " es"), ("\u00c9\u00df", "e\u00df"), ("", "")]
+
+
+@query(f"""SELECT doc_id, strip_accents(lower(trim(text))) || list_value({", ".join(f"'{b}'" for _, b in ODD)})[1 + doc_id % {len(ODD)}] AS folded FROM documents WHERE text IS NOT NULL""")
+def folded_texts(t: Tables) -> DataFrame:
+    """ligatures, powers, fractions, Hangul and combining signs."""
+    ending = F.element_at(F.array(*[F.lit(a) for a, _ in ODD]), (1 + F.col("doc_id") % len(ODD)).cast("int"))
+    return t.documents.where("text IS NOT NULL").select("doc_id", unicode.fold_all(F.concat(F.lit("\t "), F.trim("text"), ending, F.lit(" \n"))).alias("folded"))
+
+
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%d-%m-%Y') WHEN o_orderkey % 3 = 1 THEN strftime(o_orderdate, '%d-%m-%Y') ELSE 'n/a' END AS dmy FROM orders""")
 def date_normalise(t: Tables) -> DataFrame:
     written = F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")).when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise("n/a")
     return t.orders.select("o_orderkey", dates.day_month_year(written).alias("dmy"))
 
 
-@query("""SELECT p_partkey, lpad(CAST(1000 + p_partkey % 9000 AS VARCHAR), 4, '0') || ' AB' AS postcode, CAST(p_partkey AS VARCHAR) AS register_number FROM part WHERE p_partkey > 0""")
+@query("""WITH r AS (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN '00' || p_partkey || '.0' WHEN 1 THEN p_partkey || '.00' WHEN 2 THEN ' KVK 0' || p_partkey WHEN 3 THEN '0.0' ELSE p_partkey || '0' END AS written FROM part)
+  SELECT p_partkey, CASE WHEN p_partkey % 9000 = 1 THEN '' ELSE lpad(CAST(1000 + p_partkey % 9000 AS VARCHAR), 4, '0') || ' AB' END AS postcode, ltrim(CASE WHEN ends_with(trim(written), '.0') THEN left(trim(written), len(trim(written)) - 2) ELSE trim(written) END, '0') AS register_number FROM r""")
 def code_normalisers(t: Tables) -> DataFrame:
-    written = F.concat((1000 + F.col("p_partkey") % 9000).cast("string"), F.lit("ab"))
-    return t.part.where("p_partkey > 0").select("p_partkey", text.postcode(written).alias("postcode"), text.register_number(F.concat(F.lit("00"), F.col("p_partkey").cast("string"), F.lit(".0"))).alias("register_number"))
+    """register numbers lose one decimal zero and leading zeros, nothing else."""
+    own, kind = F.col("p_partkey").cast("string"), F.col("p_partkey") % 5
+    code = F.concat((1000 + F.col("p_partkey") % 9000).cast("string"), F.when(F.col("p_partkey") % 9000 == 1, "abc").otherwise(" ab"))
+    written = F.when(kind == 0, F.concat(F.lit("00"), own, F.lit(".0"))).when(kind == 1, F.concat(own, F.lit(".00"))).when(kind == 2, F.concat(F.lit(" KVK 0"), own)).when(kind == 3, "0.0").otherwise(F.concat(own, F.lit("0")))
+    return t.part.select("p_partkey", text.postcode(code).alias("postcode"), text.register_number(written).alias("register_number"))
 
 
-def notices(t: Tables) -> DataFrame:
-    """(doc_id, title, body): notices in the language of the rules, their kind told by the document's number."""
-    kind = F.col("doc_id") % 8
-    body = F.element_at(F.array(*map(F.lit, NOTICES)), (kind + 1).cast("int"))
-    title = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("Besluit Lbv-plus, Oude weg "), F.col("doc_id").cast("string"), F.lit("a, Ons Dorp"))).otherwise("Mededeling")
-    return t.documents.where("text IS NOT NULL").select("doc_id", title.alias("title"), F.concat(F.lit("Inleiding zonder inhoud. "), body, F.lit(" "), F.substring("text", 1, 200)).alias("body"))
+@query("""WITH c AS (SELECT p_partkey, list_value('A4.1', ' a4', 'A1.2', 'D 1', 'e2', 'F1', 'C', 'B1', '', 'nan')[1 + p_partkey % 10] AS code FROM part)
+  SELECT p_partkey, CASE WHEN upper(trim(code)) = 'NAN' THEN '' WHEN starts_with(upper(trim(code)), 'A4') THEN 'vleeskalveren' WHEN starts_with(upper(trim(code)), 'A') THEN 'rundvee (excl. kalveren)' WHEN starts_with(upper(trim(code)), 'D') THEN 'varkens'
+    WHEN starts_with(upper(trim(code)), 'E') THEN 'kippen' WHEN starts_with(upper(trim(code)), 'F') THEN 'kalkoenen' WHEN starts_with(upper(trim(code)), 'C') THEN 'geiten' ELSE '' END AS category FROM c""")
+def housing_categories(t: Tables) -> DataFrame:
+    """animal categories by housing code."""
+    codes = F.array(*map(F.lit, ["A4.1", " a4", "A1.2", "D 1", "e2", "F1", "C", "B1", "", "nan"]))
+    return t.part.select("p_partkey", rules.housing_category(F.element_at(codes, (1 + F.col("p_partkey") % 10).cast("int"))).alias("category"))
 
 
-#: Notices of eight kinds, and what the rules say of each: stage by words, stage after the overrides, scope, scheme.
+#: Notices: what the words say, with words that only look like it.
 NOTICES = [
     "Kennisgeving ontvangst: aanvraag ontvangen op grond van de Lbv.", "Het ontwerpbesluit Natura 2000 ligt ter inzage tot gedeeltelijk intrekken.", "Het besluit is in werking: de vergunning wordt geheel ingetrokken vanwege piekbelasting.",
     "Het voornemen om de vergunning te verlenen: natura 2000.", "Het besluit is ten opzichte van het ontwerpbesluit gewijzigd, Lbv of Lbv-plus.", "Het ontwerpbesluit heeft ter inzage gelegen; natura 2000.", "Niets van belang.", "De landelijke  be\u00ebindigingsregeling veehouderijlocaties: beschikking.",
+    "Natura 2000: de ontwerpbeschikking volgt.", "Natura2000, nadere besluitvorming over intrekkingen.", "De albv en natura 20001 en het besluit.", "LBV+: men beoogt volledige\nintrekking; gedurende zes weken.", "Voornemens tot het besluit; lbv plus, verzenddatum morgen, u kunt niet reageren.",
+]
+#: Titles, and the street, number, addition and place that they hold.
+TITLES = [
+    ("Besluit Lbv-plus, Oude weg 7a, Ons Dorp", ("Oude Weg", "7", "a", "Ons Dorp")), ("Mededeling", None), ("Natuurvergunning - Kerkstraat 12, Het Dorp", ("Kerkstraat", "12", "", "Het Dorp")), ("Besluit, Dorpsstraat 5, 1234 ab te Plaats", ("Dorpsstraat", "5", "", "Plaats")),
+    ("locatie kerkpad 3 te Dorp", ("Kerkpad", "3", "", "Dorp")), ("Lbv 2024", None), ("", None),
 ]
-_SAID = """(VALUES (0, 'receipt_of_application', 'receipt_of_application', 'unknown', 'lbv'), (1, 'draft_decision', 'draft_decision', 'partial', 'unknown'), (2, 'definitive_decision', 'definitive_decision', 'full', 'lbv_plus'),
-  (3, 'intent_notice', 'draft_decision', 'unknown', 'unknown'), (4, 'draft_decision', 'definitive_decision', 'unknown', 'ambiguous'), (5, 'draft_decision', 'draft_decision', 'unknown', 'unknown'), (6, 'other', 'other', 'unknown', 'unknown'), (7, 'definitive_decision', 'definitive_decision', 'unknown', 'lbv')) said(kind, stage, final, scope, scheme)"""
 
 
-@query(f"SELECT doc_id, stage, final, scope, kind <> 6 AS possible FROM documents JOIN {_SAID} ON kind = doc_id % 8 WHERE text IS NOT NULL")
+def _chosen(values: list[str]) -> F.Column:
+    return F.element_at(F.array(*map(F.lit, values)), (F.col("doc_id") % len(values) + 1).cast("int"))
+
+
+def notices(t: Tables) -> DataFrame:
+    """(doc_id, title, body): documents, whole, behind a notice in the language of the rules; which one is told by their number."""
+    body = F.concat(F.lit("Inleiding zonder inhoud. "), _chosen(NOTICES), F.lit(" "), F.col("text"))
+    return t.documents.where("text IS NOT NULL").select("doc_id", _chosen([title for title, _ in TITLES]).alias("title"), body.alias("body"))
+
+
+def _chosen_sql(values: list[str]) -> str:
+    return "list_value(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + f")[1 + doc_id % {len(values)}]"
+
+
+_NOTICES = f"""notices AS (SELECT doc_id, {_chosen_sql([title for title, _ in TITLES])} AS title, 'Inleiding zonder inhoud. ' || {_chosen_sql(NOTICES)} || ' ' || text AS body FROM documents WHERE text IS NOT NULL),
+  low AS (SELECT *, lower(body) AS b, regexp_replace(lower(body), '\\s+', ' ', 'g') AS flat FROM notices)"""
+
+
+def _says(pattern: str, column: str = "b") -> str:
+    return f"regexp_matches({column}, '(?s){pattern}')"
+
+
+_SHOWN = [r"ontwerpbesluit.{0,200}(?:ligt|liggen|wordt|worden).{0,60}ter ?inzage", r"ontwerpbesluit.{0,200}in ?te ?zien"]
+
+
+@query(rf"""WITH {_NOTICES}, told AS (SELECT *, {_says(rules.PROGRAMME)} OR {_says(rules.NATURE)} OR {_says(rules.WITHDRAW)} AS possible, CASE WHEN regexp_extract(flat, '{_SHOWN[0]}') <> '' THEN regexp_extract(flat, '{_SHOWN[0]}') ELSE regexp_extract(flat, '{_SHOWN[1]}') END AS shown FROM low),
+  staged AS (SELECT *, CASE WHEN NOT possible THEN 'other' WHEN {_says(rules.RECEIPT)} THEN 'receipt_of_application' WHEN {_says(rules.DRAFT)} THEN 'draft_decision' WHEN {_says(rules.DECISION)} THEN 'definitive_decision' WHEN {_says(rules.INTENT)} THEN 'intent_notice' ELSE 'other' END AS stage FROM told)
+  SELECT doc_id, stage, CASE WHEN NOT possible THEN 'unknown' WHEN contains(b, 'gedeeltelijk') THEN 'partial' WHEN contains(b, 'geheel') OR contains(b, 'volledig') THEN 'full' ELSE 'unknown' END AS scope, possible,
+    CASE WHEN {" OR ".join(_says(p, "flat") for p in rules.AFTER_DRAFT)} THEN 'definitive_decision'
+      WHEN stage <> 'receipt_of_application' AND ((shown <> '' AND NOT regexp_matches(shown, '(?:{rules.AUXILIARY})'))
+        OR (contains(flat, 'ontwerpbesluit') AND NOT regexp_matches(flat, 'ontwerpbesluit.{{0,80}}(?:{rules.AUXILIARY})|(?:{rules.AUXILIARY}).{{0,80}}ontwerpbesluit'))
+        OR contains(flat, 'ontwerpbeschikking') OR regexp_matches(flat, 'voornemen.{{0,80}}vergunning.{{0,40}}verlenen')) THEN 'draft_decision' ELSE stage END AS final FROM staged""")
 def rule_classify(t: Tables) -> DataFrame:
-    """Signals, stage and scope by rules, and the overrides."""
+    """Signals, stage and scope by rules, and the overrides, over whole texts."""
     told = rules.classify("body")
     rows = notices(t).select("doc_id", "body", told["stage"].alias("stage"), told["withdrawal"].alias("scope"), rules.signals("body")["possible"].alias("possible"))
     return rows.select("doc_id", "stage", rules.guard(rules.override_stage("stage", "body"), rules.STAGES, "other").alias("final"), "scope", "possible")
 
 
-@query(f"""WITH n AS (SELECT doc_id % 50 AS farm, doc_id, CASE WHEN doc_id % 3 = 0 THEN 'lbv_plus' ELSE scheme END AS scheme, CASE WHEN doc_id % 3 = 0 THEN 'rule_title' WHEN scheme <> 'unknown' THEN 'rule_body' ELSE '' END AS source
-    FROM documents JOIN {_SAID} ON kind = doc_id % 8 WHERE text IS NOT NULL)
-  SELECT farm, CASE WHEN bool_or(scheme = 'lbv_plus') THEN 'lbv_plus' WHEN bool_or(scheme = 'lbv') THEN 'lbv' ELSE 'ambiguous' END AS resolved, string_agg(scheme, ' | ' ORDER BY doc_id) AS history, count(*) FILTER (source = 'rule_title') AS titles FROM n GROUP BY 1""")
+def _scheme_sql(column: str) -> str:
+    says = lambda pattern: f"regexp_matches(lower({column}), '(?s){pattern}')"
+    return f"CASE WHEN {says(rules.DUAL)} THEN 'ambiguous' WHEN {says(rules.PLUS)} THEN 'lbv_plus' WHEN {says(rules.PLAIN)} THEN 'lbv' ELSE 'unknown' END"
+
+
+@query(f"""WITH {_NOTICES}, s AS (SELECT doc_id % 50 AS farm, doc_id, {_scheme_sql("title")} AS a, {_scheme_sql("body")} AS b FROM notices),
+  n AS (SELECT farm, doc_id, CASE WHEN a <> 'unknown' THEN a ELSE b END AS scheme, a <> 'unknown' AS by_title FROM s)
+  SELECT farm, CASE WHEN bool_or(scheme = 'lbv_plus') THEN 'lbv_plus' WHEN bool_or(scheme = 'lbv') THEN 'lbv' ELSE 'ambiguous' END AS resolved, string_agg(scheme, ' | ' ORDER BY doc_id) AS history, count(*) FILTER (by_title) AS titles FROM n GROUP BY 1""")
 def scheme_group_resolve(t: Tables) -> DataFrame:
     """Title before body, then what a farm's notices say together."""
     rows = notices(t).select((F.col("doc_id") % 50).alias("farm"), "doc_id", rules.notice_scheme("title", "body").alias("n"))
@@ -65,13 +122,17 @@ def scheme_group_resolve(t: Tables) -> DataFrame:
     return per.select("farm", rules.resolved_scheme(labels).alias("resolved"), F.array_join(labels, " | ").alias("history"), "titles")
 
 
-@query("""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Oude Weg' END AS street, CASE WHEN doc_id % 3 = 0 THEN CAST(doc_id AS VARCHAR) END AS house_number, CASE WHEN doc_id % 3 = 0 THEN 'a' END AS suffix, CASE WHEN doc_id % 3 = 0 THEN 'Ons Dorp' END AS place,
-    doc_id % 3 = 0 AS differs, CASE WHEN doc_id % 3 = 0 THEN 'Oude Weg' ELSE 'Elders' END AS chosen FROM documents WHERE text IS NOT NULL""")
+_HELD = ", ".join("(" + ", ".join([str(i), *("NULL" if a is None else f"'{x}'" for x in (a or [None] * 4))]) + ")" for i, (_, a) in enumerate(TITLES))
+
+
+@query(f"""WITH held(kind, street, house_number, suffix, place) AS (VALUES {_HELD})
+  SELECT doc_id, street, house_number, suffix, place, street IS NOT NULL AND NOT (lower(street) = 'kerkstraat' AND house_number = '12' AND lower(place) = 'het dorp') AS differs,
+    CASE WHEN street IS NOT NULL AND lower(street) <> 'kerkstraat' THEN lower(street) ELSE 'kerkstraat' END AS chosen FROM documents JOIN held ON kind = doc_id % {len(TITLES)} WHERE text IS NOT NULL""")
 def title_addresses(t: Tables) -> DataFrame:
-    """The title's address, whether it differs from the model's, and which one counts."""
-    given = address.key_address(F.lit("elders|1||1234 ab|anders"))
+    """The title's address, whether it differs from the one given, and which one counts."""
+    given = address.key_address(F.lit("kerkstraat|12||1234 ab|het dorp"))
     rows = notices(t).select("doc_id", "title", "body", address.title_address("title").alias("own"))
-    chosen = F.when(F.lower(address.chosen_address("title", given, "body")["street"]) == "elders", "Elders").otherwise(address.chosen_address("title", given, "body")["street"])
+    chosen = F.lower(address.chosen_address("title", given, "body", F.col("own"))["street"])
     return rows.select("doc_id", *[F.col("own")[n].alias(m) for n, m in (("street", "street"), ("house_number", "house_number"), ("house_number_suffix", "suffix"), ("place", "place"))], address.materially_differ(F.col("own"), given).alias("differs"), chosen.alias("chosen"))
 
 
@@ -89,9 +150,16 @@ def evidence_and_context(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", text.evidence_sentence("text", rf"\b{FIRST}\b").alias("sentence"), text.keyword_in_context("text", rf"\b{FIRST}\b").alias("context"))
 
 
-@query(None)
+_TAGS = "'<!--(?s:.*?)-->|(?is)<(script|style|nav|header|footer|noscript|iframe|aside)\\b.*?</(script|style|nav|header|footer|noscript|iframe|aside)>|(?s)<[^>]*>'"
+_BARE = f"regexp_replace(coalesce(html, ''), {_TAGS}, ' ', 'g')"
+for _name, _sign in (("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+    _BARE = f"replace({_BARE}, '{_name}', '{_sign}')"
+
+
+@query(f"SELECT page_id, trim(regexp_replace({_BARE}, '\\s+', ' ', 'g')) AS body, left(trim(regexp_replace({_BARE}, '\\s+', ' ', 'g')), 500) || CASE WHEN len(trim(regexp_replace({_BARE}, '\\s+', ' ', 'g'))) > 500 THEN ' [truncated]' ELSE '' END AS cut FROM pages")
 def html_to_text(t: Tables) -> DataFrame:
-    return t.pages.select("page_id", text.html_text("html").alias("body"))
+    """the text of pages; cut as a model is given it."""
+    return t.pages.select("page_id", tags.page_text("html").alias("body"), tags.page_text("html", 500).alias("cut"))
 
 
 @query(r"""SELECT page_id, regexp_extract(url, '^(https?)://', 1) AS scheme, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) AS path,

@@ -1,11 +1,12 @@
-"""Files as sources: CSV of several shapes, statistics with label codes, HTML result lists, XML records, and state of earlier runs."""
+"""Files as sources: CSV of several shapes, statistics with label codes, XML records, and state of earlier runs."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from noticeweave.functions.text import absolute_url, clean_missing, html_text, text
+from noticeweave.functions.text import clean_missing, html_text, text
+from noticeweave.operators.durable import durable
 
 
 def string_csv(spark: SparkSession, path: str, columns: list[str], sep: str = ",", header: bool = True) -> DataFrame:
@@ -21,37 +22,59 @@ def typed_csv(spark: SparkSession, path: str, types: dict[str, str], sep: str =
     return raw.select(*[F.nullif(F.trim(c), F.lit("")).try_cast(kind).alias(c) for c, kind in types.items()])
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no from 1, value) of the lines of small files with a head of their own, each file's lines counted where they stand."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.posexplode(F.split(F.regexp_replace("value", r"\r\n?", "\n"), "\n")).alias("n", "value")).where("value <> ''").select((F.col("n") + 1).alias("line_no"), "value")
+def _before(rows: DataFrame, by: list[str], at: str, values: dict[str, str]) -> DataFrame:
+    """rows with the sums of values over the rows before them in their group, under other names."""
+    earlier = Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    return rows.withColumns({name: F.coalesce(F.sum(value).over(earlier), F.lit(0)) for name, value in values.items()})
+
+
+def file_lines(spark: SparkSession, path: str, quotes: bool = False) -> DataFrame:
+    """(file, line_no from 1, value) of the lines of files of any size. A file is read in as many blocks as Spark cuts it into: lines are
+    numbered in their block, and the blocks of a file, a row each, tell how many lines stand before.
+
+    With `quotes` a line goes on behind a line break between double quotes; line_no is then the first line's. Only such lines are gathered,
+    the others stay where they were read."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    lines = durable(lines.withColumn("signs", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))), "lines")
+    blocks = lines.groupBy("file", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"), F.sum("signs").alias("s"))
+    blocks = _before(blocks, ["file"], "block", {"lines_before": "n", "signs_before": "s"}).drop("n", "s")
+    placed = lines.join(blocks, ["file", "block"]).withColumn("line_no", F.col("at") - F.col("first") + F.col("lines_before") + 1)
+    if not quotes:
+        return placed.select("file", "line_no", "value")
+    inner = _before(placed, ["file", "block"], "at", {"own_before": "signs"})
+    begins = (F.col("signs_before") + F.col("own_before")) % 2 == 0
+    told = durable(inner.select("file", "block", "line_no", "value", begins.alias("begins"), ((F.col("signs") % 2 == 0) & begins).alias("whole"), (begins & (F.col("signs") % 2 == 1)).cast("int").alias("opens")), "quoted-lines")
+    broken = told.where("NOT whole")
+    opened = _before(broken.groupBy("file", "block").agg(F.sum("opens").alias("o")), ["file"], "block", {"opened_before": "o"}).drop("o")
+    number = F.sum("opens").over(Window.partitionBy("file", "block").orderBy("line_no")) + F.col("opened_before")
+    pieces = broken.join(opened, ["file", "block"]).withColumn("__record", number)
+    joined = pieces.groupBy("file", "__record").agg(F.min("line_no").alias("line_no"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "value"))), lambda x: x["value"]), "\n").alias("value"))  # the lines of one row
+    return told.where("whole").select("file", "line_no", "value").unionByName(joined.drop("__record"))
 
 
 def _cells(sep: str) -> Column:
-    """The cells of a line without line breaks; quoted ones may hold the separator."""
+    """The cells of a row; quoted ones may hold the separator and line breaks."""
     mark = "\u0001"
     parts = F.split(F.regexp_replace("value", rf'{sep}(?=(?:[^"]*"[^"]*")*[^"]*$)', mark), mark)
     return F.transform(parts, lambda c: F.replace(F.regexp_replace(F.trim(c), r'^"|"$', ""), F.lit('""'), F.lit('"')))
 
 
 def headless_csv(spark: SparkSession, path: str, columns: list[str], skip: int, sep: str = ";") -> DataFrame:
-    """A CSV with `skip` lines before its rows and no header; rows without any text are left out."""
-    rows = numbered_lines(spark, path).where(F.col("line_no") > skip).select("line_no", _cells(sep).alias("cells"))
+    """(line_no, columns) of CSV files with `skip` lines before their rows and no header; rows without any text are left out."""
+    rows = file_lines(spark, path, quotes=True).where(F.col("line_no") > skip).select("line_no", _cells(sep).alias("cells"))
     named = rows.select("line_no", *[F.coalesce(F.get("cells", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(columns)])
     return named.where(F.concat_ws("", *columns) != "")
 
 
 def multi_header_csv(spark: SparkSession, path: str, labels: int, wanted: dict[str, str], sep: str = ",") -> DataFrame:
-    """A CSV with `labels` rows of labels above its header. wanted names the columns by the labels or headers they stand under; of several
-    the last counts. Rows keep their line number."""
-    lines = numbered_lines(spark, path).select("line_no", _cells(sep).alias("cells"))
-    head = [r["cells"] for r in lines.where(F.col("line_no") <= labels + 1).orderBy("line_no").collect()]  # a fixed number of rows
-    at = {}
-    for name, label in wanted.items():
-        found = [i for row in head for i, cell in enumerate(row) if cell == label]
-        at[name] = max(found) if found else None
-    body = lines.where(F.col("line_no") > labels + 1)
-    return body.select("line_no", *[(F.lit("") if i is None else F.coalesce(F.get("cells", F.lit(i)), F.lit(""))).alias(n) for n, i in at.items()])
+    """CSV files with `labels` rows of labels above their header. wanted names the columns by the labels or headers they stand under, in each
+    file for itself; of several the last counts. (file, line_no, names)."""
+    lines = file_lines(spark, path, quotes=True).where("value <> ''").select("file", "line_no", _cells(sep).alias("cells"))
+    head = lines.where(F.col("line_no") <= labels + 1).select("file", F.posexplode("cells").alias("at", "cell")).where(F.col("cell").isin(*wanted.values()))
+    places = head.groupBy("file", "cell").agg(F.max("at").alias("at")).groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct("cell", "at"))).alias("__at"))  # a row a wanted column
+    body = lines.where(F.col("line_no") > labels + 1).join(places, "file", "left")
+    cell = lambda label: F.coalesce(F.get("cells", F.try_element_at("__at", F.lit(label))), F.lit(""))
+    return body.select("file", "line_no", *[cell(label).alias(n) for n, label in wanted.items()])
 
 
 def distinct_in_order(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:
@@ -69,29 +92,7 @@ def labelled_totals(rows: DataFrame, label: str, value: str, groups: dict[str, l
     return pairs.join(sums, label, "left").groupBy("name").agg(F.coalesce(F.sum("v"), F.lit(0.0)).alias("total"))
 
 
-# --- HTML result lists and XML records ---
-
-_ITEM = r"(?is)<li\b[^>]*>(.*?)</li\s*>"
-
-
-def _term(item: Column, name: str) -> Column:
-    return html_text(F.regexp_extract(item, rf"(?is)<dt\b[^>]*>\s*{name}\s*</dt>\s*<dd\b[^>]*>(.*?)</dd>", 1))
-
-
-def result_items(pages: DataFrame, html: str, base: str, list_id: str, terms: dict[str, str]) -> DataFrame:
-    """The entries of result lists: all columns of pages but html, and position, title, url, pdf and the named terms (dt and dd).
-
-    Title and url come from the anchor of class result--subtitle, else from the heading's; pdf is the first link that ends so. Entries without
-    title or url are left out."""
-    body = F.regexp_extract(html, rf"""(?is)<(\w+)\b[^>]*\bid\s*=\s*["']?{list_id}\b[^>]*>(.*)""", 2)
-    items = pages.select(*[c for c in pages.columns if c != html], F.posexplode(F.regexp_extract_all(body, F.lit(_ITEM), 1)).alias("position", "__item"))
-    item = F.col("__item")
-    anchor = [r"""(?is)<a\b(?=[^>]*\bclass\s*=\s*["'][^"']*\bresult--subtitle\b)[^>]*?\bhref\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>""", r"""(?is)<h2\b[^>]*>.*?<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""]
-    pick = lambda g: F.when(F.regexp_extract(item, anchor[0], 1) != "", F.regexp_extract(item, anchor[0], g)).otherwise(F.regexp_extract(item, anchor[1], g))
-    pdf = F.regexp_extract(item, r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*\.pdf)["']""", 1)
-    out = items.select(*[c for c in items.columns if c != "__item"], html_text(pick(2)).alias("title"), absolute_url(pick(1), base).alias("url"), absolute_url(pdf, base).alias("pdf"), *[_term(item, label).alias(n) for n, label in terms.items()])
-    return out.where("title <> '' AND url <> ''")
-
+# --- XML records ---
 
 def xml_records(pages: DataFrame, xml: str, record: str, fields: dict[str, list[str]]) -> DataFrame:
     """(page columns, position, fields): the records of XML pages; a field is the first of its local names with a text. Pages of a source
@@ -110,10 +111,6 @@ def wanted_records(rows: DataFrame, kind: str, kinds: list[str], subject: str, s
 def more_pages(pages: DataFrame, xml: str, order: str, limit: int) -> DataFrame:
     """Of pages asked one after the other those that count: up to the first without records or without a next position, and no more than
     hold `limit` records; (order, records, fetched so far). Ranges of pages are summed first, then the pages within each."""
-    from pyspark.sql import Window
-
-    from noticeweave.operators.durable import durable
-
     seen = pages.select(order, F.size(F.regexp_extract_all(F.col(xml), F.lit(r"(?i)<(?:\w+:)?record\b"), 0)).alias("records"), F.col(xml).rlike(r"(?i)nextRecordPosition").alias("more"))
     told = seen.withColumn("last", ((F.col("records") == 0) | ~F.col("more")).cast("int"))
     ranged = durable(told.repartitionByRange(order).withColumn("__part", F.spark_partition_id()), "pages")

@@ -124,7 +124,7 @@ def test_title_addresses(spark, title, expected):
 def test_names_and_fills(spark):
     lit = F.lit
     assert value(spark, text.joined_once(F.array(lit("Ab"), lit(None).cast("string"), lit(" aB "), lit("c")))) == "Ab | c"
-    assert value(spark, text.province(lit(" Provincie Noord-Brabant"))) == "noord brabant" == value(spark, text.province(lit("Brabant")))
+    assert value(spark, text.province(lit(" Provincie Noord-Brabant"))) == "noord-brabant" == value(spark, text.province(lit("Brabant")))
     assert value(spark, text.company_name(lit("x Bedrijf:  De  Hoeve. Locatie: y"))) == "De Hoeve" and value(spark, text.company_name(lit(None).cast("string"))) == ""
     assert value(spark, text.file_name(lit("https://x/a%zz b"))) == "a_zz_b.pdf" and value(spark, text.file_name(lit("https://x/a%20b.pdf"))) == "a_b.pdf"
     assert value(spark, text.absolute_url(lit("/a"), "https://x/")) == "https://x/a" and value(spark, text.absolute_url(lit(None).cast("string"), "https://x")) == ""
@@ -133,4 +133,23 @@ def test_names_and_fills(spark):
     assert [value(spark, c) for c in address.split_suffix(lit("7a"), lit(""))] == ["7", "a"] and [value(spark, c) for c in address.split_suffix(lit("7a"), lit("b"))] == ["7a", "b"]
     assert value(spark, address.register_key(lit("Weg"), lit("7"), lit("1234ab"), lit("Dorp gld"))) == "weg|7||1234AB|dorp"
     assert value(spark, address.lookup_query(lit("7"), lit("a"), lit("1234 ab"))) == "1234AB 7a" and value(spark, address.lookup_query(None, None, None, lit("N"), lit(""))) == "N"
-    assert value(spark, text.housing_text_category(lit(""), lit("Kippenstal"))) == "kippen" and value(spark, text.housing_text_category(lit("A4.2"), lit(""))) == "vleeskalveren"
+    assert value(spark, text.housing_text_category(lit(""), lit("Huisvesting Kippen"))) == "kippen" and value(spark, text.housing_text_category(lit("A4.2"), lit(""))) == "vleeskalveren"
+    assert value(spark, text.housing_text_category(lit("a4"), lit("kalkoe"))) == "kalkoenen" and value(spark, text.housing_text_category(lit(" A1"), lit("x"))) == "rundvee (excl. kalveren)"
+
+
+def test_names_as_in_the_registers(spark):
+    lit = F.lit
+    assert value(spark, text.name_key(lit("Vennootschap onder Firma de Bruin, Melkvee van Één"))) == "bruin de een van"
+    assert value(spark, text.name_key(lit("De B.V. Holding"))) == "b de v" and value(spark, text.name_key(lit(None).cast("string"))) == ""
+    assert value(spark, text.plain_name(lit('Stichting "Één"-[Hof] V.O.F. mts'))) == "één hof v o f" and value(spark, text.plain_name(lit(None).cast("string"))) == ""
+    assert [value(spark, text.register_number(lit(x))) for x in ("00123.0", "12.00", " KVK 01", "0.0", "1.5")] == ["123", "12.00", "KVK 01", "", "1.5"]
+    for given, name in (("Zuidholland", "zuid-holland"), ("Z.Holland", "zuid-holland"), ("Noord_Holland", "noord-holland"), ("fryslân", "friesland"), ("West-Brabant", "west brabant"), ("", "")):
+        assert value(spark, text.province(lit(given))) == name
+    assert value(spark, text.slug(lit("Noord Brabant"))) == "noord-brabant" and value(spark, text.slug(lit("a-b c/d"))) == "a_b_c_d"
+    for given, name in (("https://x/a.pdf?x=1", "a.pdf"), ("https://x", "download.pdf"), ("https://x/a/", "a.pdf"), ("https://x/%2e%2E", "download.pdf"), ("https://x/a%2Fb;v=1", "a_b.pdf")):
+        assert value(spark, text.file_name(lit(given))) == name, given
+    long = "x" * 500
+    assert value(spark, text.company_name(lit(f"Bedrijf - {long} - locatie - y"))) == long and value(spark, text.company_name(lit("bedrijf: X"))) == ""
+    assert len(value(spark, text.title_tokens(F.repeat(lit("a"), lit(1_000_005))))) == 1_000_005
+    for given, stage in (("Natura 2000: de ontwerpbeschikking volgt", "other"), ("natura 2000, nadere besluitvorming", "other"), ("natura 2000 het besluit", "definitive_decision"), ("de albv en het besluit", "other"), ("natura 2000: voornemens", "intent_notice")):
+        assert value(spark, rules.classify(lit(given)))["stage"] == stage, given
