@@ -12,14 +12,14 @@ UNLINKED = "niet_gelinkt"
 VIA_RELATION = "linked_via_rel"
 
 
-def master_rows(permits: DataFrame, permit_stages: list[tuple[str, DataFrame]], recipients: DataFrame, recipient_stages: list[tuple[str, DataFrame]], key: str, farm: str, rel: str) -> DataFrame:
+def master_rows(permits: DataFrame, permit_stages: list[tuple[str, DataFrame]], recipients: DataFrame, recipient_stages: list[tuple[str, DataFrame]], key: str, farm: str, rel: str, order: str | None = None) -> DataFrame:
     """A row for each relation of each permit and recipient (both with the columns key and farm, and others), unlinked ones once with a null rel.
 
     The first stage (method, pairs of key and rel) that links an entity counts. A recipient whose relation a permit has too takes that permit's
-    farm (the smallest of several) and the method linked_via_rel. source says permit or recipient; columns that one side lacks are null."""
+    farm (of several the first by `order`, a column of permits, or by key) and the method linked_via_rel. source says permit or recipient; columns that one side lacks are null."""
     own = permits.join(staged_links(permits, permit_stages, key, rel, UNLINKED), key).withColumn("source", F.lit("permit"))
     theirs = recipients.join(staged_links(recipients, recipient_stages, key, rel, UNLINKED), key).withColumn("source", F.lit("recipient"))
-    first = own.where(F.col(rel).isNotNull()).groupBy(rel).agg(F.min(farm).alias("__farm"))
+    first = own.where(filled(rel, farm)).groupBy(rel).agg(F.min_by(farm, order or key).alias("__farm"))
     shared = theirs.join(first, rel, "left")
     taken = shared.withColumns({farm: F.coalesce("__farm", farm), "link_method": F.when(F.col("__farm").isNotNull(), VIA_RELATION).otherwise(F.col("link_method"))}).drop("__farm")
     return own.unionByName(taken, allowMissingColumns=True)

@@ -26,6 +26,14 @@ def dominant_category(registry: DataFrame, entity: str, category: str, amount: s
     return first.select(entity, F.when(F.col("__n") > 1, mixed).when(F.col("__n") == 1, F.col("__only")).otherwise(F.col("__first")).alias("dominant"))
 
 
+def by_stage(rows: DataFrame, category: str, stage: str, amount: str, categories: list[str], stages: list[str]) -> DataFrame:
+    """(category, a column a stage): sums of the rows' own stages for the given categories and stages, zero where nothing is."""
+    sums = [F.coalesce(F.sum(F.when(F.col(stage) == s, F.col(amount))), F.lit(0)).cast("long").alias(s) for s in stages]
+    own = rows.where(F.col(category).isin(categories) & F.col(stage).isin(stages)).groupBy(category).agg(*sums)
+    whole = rows.sparkSession.createDataFrame([(c,) for c in categories], f"`{category}` string")
+    return whole.join(own, category, "left").na.fill(0, stages)
+
+
 def histogram(df: DataFrame, value: Column | str, width: int) -> DataFrame:
     """(bin, n): counts of values by multiples of the width from zero."""
     v = F.col(value) if isinstance(value, str) else value

@@ -83,6 +83,15 @@ def first_rows(df: DataFrame, key: str, order: str, *needed: str) -> DataFrame:
     return some.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("__row")).select(key, *[F.col("__row")[c].alias(c) for c in rest])
 
 
+def combined(df: DataFrame, dimension: DataFrame, key: str, order: str, missing: bool = False) -> DataFrame:
+    """df with the other columns of the dimension's last row of its key (by order, which is not taken), blank where they are null; rows of df
+    without one are left out, or blank with `missing`."""
+    values = [c for c in dimension.columns if c not in (key, order)]
+    last = dimension.where(filled(key)).groupBy(key).agg(F.max_by(F.struct(*values), order).alias("__row"))
+    joined = df.join(last, key, "left" if missing else "inner")
+    return joined.select(*df.columns, *[text(F.col("__row")[v].cast("string")).alias(v) for v in values])
+
+
 def lookup(df: DataFrame, dimension: DataFrame, keys: list[str], key: str, values: list[str]) -> DataFrame:
     """df with the values of the dimension's row by the first of several keys that finds one; blank without any. The dimension has a row a
     key; a frequent key of df is left to AQE."""

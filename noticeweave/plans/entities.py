@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from noticeweave.functions import address, text
-from noticeweave.operators import identity, matching, merge, picks
+from noticeweave.operators import identity, matching, merge, picks, records
 from noticeweave.plans.registry import Tables, query
 
 
@@ -22,6 +22,25 @@ def registry_join_left(t: Tables) -> DataFrame:
     return t.lineitem.join(t.part.where("p_size < 20"), F.col("l_partkey") == F.col("p_partkey"), "left").select("l_orderkey", "l_linenumber", "l_partkey", F.coalesce("p_name", F.lit("")).alias("p_name"))
 
 
+@query("""WITH a AS (SELECT p_partkey AS rel, CASE WHEN p_partkey % 2 = 0 THEN 'new ' ELSE 'only ' END || p_name AS street, CASE WHEN p_partkey % 7 <> 0 THEN p_brand ELSE '' END AS place FROM part WHERE p_size < 20)
+  SELECT l_orderkey, l_linenumber, l_partkey AS rel, coalesce(street, '') AS street, coalesce(place, '') AS place FROM lineitem LEFT JOIN a ON rel = l_partkey""")
+def registry_combined(t: Tables) -> DataFrame:
+    """J01 with rows that lack an address: of several addresses of a relation the last counts."""
+    one = t.part.where("p_size < 20").select(F.col("p_partkey").alias("rel"), F.concat(F.lit("only "), "p_name").alias("street"), F.when(F.col("p_partkey") % 7 != 0, F.col("p_brand")).alias("place"), F.lit(1).alias("line"))
+    later = one.where("rel % 2 = 0").select("rel", F.replace("street", F.lit("only "), F.lit("new ")).alias("street"), "place", F.lit(2).alias("line"))
+    animals = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("rel"))
+    return records.combined(animals, later.unionByName(one), "rel", "line", missing=True)
+
+
+@query("""WITH a AS (SELECT o_custkey, CAST(count(*) AS BIGINT) AS notices, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1)
+  SELECT a.*, coalesce(c_name, '') AS name, coalesce(c_mktsegment, '') AS segment FROM a LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 4 <> 0) ON c_custkey = o_custkey""")
+def aggregate_with_address(t: Tables) -> DataFrame:
+    """Sums by relation with the columns of a dimension, blank where it lacks the relation."""
+    sums = t.orders.groupBy("o_custkey").agg(F.count("*").alias("notices"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    known = t.customer.where("c_custkey % 4 <> 0").select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"), F.lit(1).alias("line"))
+    return records.combined(sums, known, "o_custkey", "line", missing=True)
+
+
 @query("SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON c_custkey // 20 = s_suppkey // 2")
 def crosswalk_exact(t: Tables) -> DataFrame:
     """All pairs at one address, written in two ways; as many at an address at every size."""

@@ -138,24 +138,24 @@ def identifier_state(t: Tables) -> DataFrame:
     return identity.identifier_map(groups, identity.stable_ids(groups, known, "member", "root"), known, "member", "root", "2024-02-01")
 
 
-@query("""WITH p AS (SELECT c_custkey, 'P' || c_custkey AS key, 'FARM' || c_custkey AS farm FROM customer WHERE c_nationkey < 13), m AS (SELECT c_custkey, 'M' || c_custkey AS key, 'FARM' || c_custkey AS farm FROM customer WHERE c_nationkey >= 13),
+@query("""WITH p AS (SELECT c_custkey, 'P' || c_custkey AS key, 'FARM' || (90000000 - c_custkey) AS farm FROM customer WHERE c_nationkey < 13), m AS (SELECT c_custkey, 'M' || c_custkey AS key, 'FARM' || c_custkey AS farm FROM customer WHERE c_nationkey >= 13),
   pl AS (SELECT p.*, 'R' || coalesce(a.s_suppkey, b.s_suppkey) AS rel,
       CASE WHEN c_custkey % 4 = 0 AND a.s_suppkey IS NOT NULL THEN 'permit_adres' WHEN b.s_suppkey IS NOT NULL THEN 'fosfaat_naam' ELSE 'niet_gelinkt' END AS link_method
     FROM p LEFT JOIN supplier a ON a.s_suppkey = c_custkey AND c_custkey % 4 = 0 LEFT JOIN supplier b ON b.s_suppkey * 3 = c_custkey AND a.s_suppkey IS NULL),
-  f AS (SELECT rel, min(farm) AS taken FROM pl WHERE rel IS NOT NULL GROUP BY 1),
+  f AS (SELECT rel, arg_min(farm, c_custkey) AS taken FROM pl WHERE rel IS NOT NULL GROUP BY 1),
   ml AS (SELECT m.*, 'R' || s_suppkey AS rel FROM m LEFT JOIN supplier ON s_suppkey = c_custkey - 1)
   SELECT key, farm, rel, 'permit' AS source, link_method, link_method <> 'niet_gelinkt' AS linked, true AS has_permit FROM pl
   UNION ALL SELECT key, coalesce(taken, farm), rel, 'recipient', CASE WHEN taken IS NOT NULL THEN 'linked_via_rel' WHEN rel IS NOT NULL THEN 'minfin_kvk_adres' ELSE 'niet_gelinkt' END, rel IS NOT NULL, false FROM ml LEFT JOIN f USING (rel)""")
 def master_table(t: Tables) -> DataFrame:
     """Permits by address, else by name; recipients by register; shared relations; one schema."""
-    entity = lambda sign: t.customer.select(F.concat(F.lit(sign), _text("c_custkey")).alias("key"), F.concat(F.lit("FARM"), _text("c_custkey")).alias("farm"), "c_custkey", "c_nationkey")
-    permits, recipients = entity("P").where("c_nationkey < 13"), entity("M").where("c_nationkey >= 13")
+    entity = lambda sign, farm: t.customer.select(F.concat(F.lit(sign), _text("c_custkey")).alias("key"), F.concat(F.lit("FARM"), farm.cast("string")).alias("farm"), "c_custkey", "c_nationkey")
+    permits, recipients = entity("P", 90_000_000 - F.col("c_custkey")).where("c_nationkey < 13"), entity("M", F.col("c_custkey")).where("c_nationkey >= 13")
     relations = t.supplier.select("s_suppkey", F.concat(F.lit("R"), _text("s_suppkey")).alias("rel"))
     by = lambda rows, c: rows.join(relations, c).select("key", "rel")
     address_pairs = by(permits.where("c_custkey % 4 = 0"), F.col("s_suppkey") == F.col("c_custkey"))
     name_pairs = by(permits, F.col("s_suppkey") * 3 == F.col("c_custkey"))
     register_pairs = by(recipients, F.col("s_suppkey") == F.col("c_custkey") - 1)
-    rows = master.master_rows(permits.select("key", "farm"), [("permit_adres", address_pairs), ("fosfaat_naam", name_pairs)], recipients.select("key", "farm"), [("minfin_kvk_adres", register_pairs)], "key", "farm", "rel")
+    rows = master.master_rows(permits.select("key", "farm", "c_custkey"), [("permit_adres", address_pairs), ("fosfaat_naam", name_pairs)], recipients.select("key", "farm"), [("minfin_kvk_adres", register_pairs)], "key", "farm", "rel", "c_custkey")
     return master.with_derived(rows, ["key", "farm", "rel", "source", "link_method", "linked", "has_permit"], linked=F.col("link_method") != master.UNLINKED, has_permit=F.col("source") == "permit")
 
 

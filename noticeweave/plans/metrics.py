@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticeweave.functions.dates import elapsed_days, irrevocable
-from noticeweave.operators import merge, metrics, picks
+from noticeweave.operators import merge, metrics, picks, records
 from noticeweave.plans.registry import Tables, query
 
 REFERENCE = "2024-02-01"
@@ -114,6 +114,10 @@ def elapsed_histogram(t: Tables) -> DataFrame:
   SELECT province, count(DISTINCT CASE WHEN stage = 'receipt_of_application' THEN user_id END) AS receipt_of_application, count(DISTINCT CASE WHEN stage = 'draft_decision' THEN user_id END) AS draft_decision,
     count(DISTINCT CASE WHEN stage = 'definitive_decision' THEN user_id END) AS definitive_decision FROM p GROUP BY 1""")
 def province_stage_pivot(t: Tables) -> DataFrame:
+    return province_stage_pivot_rows(t)
+
+
+def province_stage_pivot_rows(t: Tables) -> DataFrame:
     placed = latest(t).join(t.customer, F.col("user_id") == F.col("c_custkey")).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return placed.groupBy(F.col("n_name").alias("province")).pivot("stage", list(RANKS)).agg(F.countDistinct("user_id")).na.fill(0, list(RANKS))
 
@@ -146,6 +150,26 @@ def definitive_by_category(t: Tables) -> DataFrame:
     return registry(t).join(final, "entity", "left_semi").groupBy("category").agg(F.sum("amount").alias("total"), F.countDistinct("entity").alias("farms"))
 
 
+@query(f"""WITH {_REGISTRY_SQL}, stages AS (SELECT DISTINCT user_id AS entity, CASE event_type WHEN 'purchase' THEN 'definitive_decision' WHEN 'click' THEN 'draft_decision' ELSE 'other' END AS stage FROM events),
+  s AS (SELECT category, stage, sum(amount) AS n FROM registry JOIN stages USING (entity) GROUP BY 1, 2)
+  SELECT category, CAST(coalesce(sum(CASE WHEN stage = 'definitive_decision' THEN n END), 0) AS BIGINT) AS definitive_decision, CAST(coalesce(sum(CASE WHEN stage = 'draft_decision' THEN n END), 0) AS BIGINT) AS draft_decision
+  FROM (VALUES ('ECONOMY'), ('PROMO'), ('STANDARD'), ('none')) c(category) LEFT JOIN s USING (category) GROUP BY 1""")
+def animals_by_stage(t: Tables) -> DataFrame:
+    """Sums by category and the stage of each row, not the latest one; zero where nothing is."""
+    stage = F.when(F.col("event_type") == "purchase", "definitive_decision").when(F.col("event_type") == "click", "draft_decision").otherwise("other")
+    stages = t.events.select(F.col("user_id").alias("entity"), stage.alias("stage")).distinct()
+    return metrics.by_stage(registry(t).join(stages, "entity"), "category", "stage", "amount", ["ECONOMY", "PROMO", "STANDARD", "none"], ["definitive_decision", "draft_decision"])
+
+
+@query(f"""WITH {_LATEST_SQL}, p AS (SELECT n_name AS province, count(DISTINCT CASE WHEN stage = 'draft_decision' THEN user_id END) AS draft_decision, count(DISTINCT CASE WHEN stage = 'definitive_decision' THEN user_id END) AS definitive_decision
+    FROM latest JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1)
+  SELECT *, CAST(row_number() OVER (ORDER BY definitive_decision DESC, draft_decision DESC, province) AS INTEGER) AS place FROM p""")
+def provinces_by_stage(t: Tables) -> DataFrame:
+    """The pivot of provinces in the report's order, by two counts descending."""
+    pivot = province_stage_pivot_rows(t).select("province", "draft_decision", "definitive_decision")
+    return records.placed(pivot, -F.col("definitive_decision"), -F.col("draft_decision"), F.col("province"))
+
+
 @query("""SELECT l_returnflag, CAST(sum(CASE WHEN p_size <= 10 THEN l_quantity ELSE 0 END) AS BIGINT) AS small, CAST(sum(CASE WHEN p_size > 10 AND p_size <= 30 THEN l_quantity ELSE 0 END) AS BIGINT) AS middle,
     CAST(sum(CASE WHEN p_size > 30 THEN l_quantity ELSE 0 END) AS BIGINT) AS large FROM lineitem JOIN part ON l_partkey = p_partkey WHERE year(l_shipdate) = 1998 GROUP BY 1""")
 def bucket_sums(t: Tables) -> DataFrame:

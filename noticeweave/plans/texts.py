@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from noticeweave.functions import address, dates, rules, text, unicode
+from noticeweave.operators import repair
 from noticeweave.plans.registry import Tables, query
 from noticeweave.sources import tags
 
@@ -130,12 +131,46 @@ _HELD = ", ".join("(" + ", ".join([str(i), *("NULL" if a is None else f"'{x}'" f
     CASE WHEN street IS NOT NULL AND lower(street) <> 'kerkstraat' THEN lower(street) ELSE 'kerkstraat' END AS chosen FROM documents JOIN held ON kind = doc_id % {len(TITLES)} WHERE text IS NOT NULL""")
 def title_addresses(t: Tables) -> DataFrame:
     """The title's address, whether it differs from the one given, and which one counts."""
-    given = address.key_address(F.lit("kerkstraat|12||1234 ab|het dorp"))
-    rows = notices(t).select("doc_id", "title", "body", address.title_address("title").alias("own"))
-    chosen = F.lower(address.chosen_address("title", given, "body", F.col("own"))["street"])
+    given = F.col("given")
+    rows = repair.once(repair.once(notices(t), "own", address.title_address("title")), "given", address.key_address(F.lit("kerkstraat|12||1234 ab|het dorp")))
+    rows = repair.once(rows, "best", address.chosen_address("title", given, "body", F.col("own")))
+    chosen = F.lower(F.col("best")["street"])
     return rows.select("doc_id", *[F.col("own")[n].alias(m) for n, m in (("street", "street"), ("house_number", "house_number"), ("house_number_suffix", "suffix"), ("place", "place"))], address.materially_differ(F.col("own"), given).alias("differs"), chosen.alias("chosen"))
 
 
+#: Addresses that notices come with: in no text, incomplete, as a title has it, blank.
+GIVEN = [("Elders", "1", "", "1234 AB", "Anders"), ("Kerkstraat", "", "", "", "Het Dorp"), ("Dorpsstraat", "5", "", "", "Plaats"), ("nan", "", "", "", "")]
+_PART_NAMES = dict(zip(repair.PARTS, ["B_STRAATNAAM", "B_HUIS_NR", "B_HUIS_NR_TOEV", "B_POSTCODE", "B_PLAATS"]))
+
+
+def _with_given(t: Tables) -> DataFrame:
+    kind = (F.col("doc_id") % len(GIVEN) + 1).cast("int")
+    return notices(t).select("doc_id", "title", "body", *[F.element_at(F.array(*[F.lit(g[i]) for g in GIVEN]), kind).alias(c) for i, c in enumerate(_PART_NAMES.values())])
+
+
+_GIVEN = ", ".join(f"({i}, " + ", ".join(f"'{'' if x == 'nan' else x}'" for x in g) + ")" for i, g in enumerate(GIVEN))
+_PRESENT = "(contains(lower(regexp_replace(trim({0}), '\\s+', ' ', 'g')), lower(g_street)) AND contains(lower(regexp_replace(trim({0}), '\\s+', ' ', 'g')), g_number) AND contains(lower(regexp_replace(trim({0}), '\\s+', ' ', 'g')), lower(g_place)))"
+_JUDGED = f"""held(kind, street, house_number, suffix, place) AS (VALUES {_HELD}), g(g_kind, g_street, g_number, g_suffix, g_code, g_place) AS (VALUES {_GIVEN}), {_NOTICES},
+  both_ AS (SELECT doc_id, title, body, held.*, g.*, g_street <> '' AND g_number <> '' AND g_place <> '' AS complete FROM notices JOIN held ON kind = doc_id % {len(TITLES)} JOIN g ON g_kind = doc_id % {len(GIVEN)}),
+  judged AS (SELECT *, street IS NOT NULL AND (NOT complete OR NOT ({_PRESENT.format("title")} OR {_PRESENT.format("body")})) AS by_title FROM both_)"""
+
+
+@query(f"""WITH {_JUDGED} SELECT doc_id, street AS B_STRAATNAAM, house_number AS B_HUIS_NR, suffix AS B_HUIS_NR_TOEV, place AS B_PLAATS FROM judged
+  WHERE by_title AND (street <> g_street OR house_number <> g_number OR suffix <> g_suffix OR place <> g_place OR g_code <> CASE kind WHEN 3 THEN '1234 AB' ELSE '' END)""")
+def address_repairs(t: Tables) -> DataFrame:
+    """The rows alone whose address is replaced by their title's."""
+    return repair.address_repairs(_with_given(t), "doc_id", "title", "body", _PART_NAMES).drop("B_POSTCODE", "confidence")
+
+
+@query(f"""WITH {_JUDGED} SELECT CAST(doc_id AS VARCHAR) AS doc_id, g_street AS given_street, g_number AS given_house_number, g_place AS given_place, street AS title_street, house_number AS title_house_number, suffix AS title_house_number_suffix, place AS title_place,
+    CASE WHEN by_title THEN street ELSE g_street END AS chosen_street, CASE WHEN by_title THEN place ELSE g_place END AS chosen_place FROM judged
+  WHERE street IS NOT NULL AND complete AND NOT (lower(street) = lower(g_street) AND lower(house_number) = lower(g_number) AND lower(place) = lower(g_place))""")
+def address_mismatches(t: Tables) -> DataFrame:
+    """The audit of notices with two complete addresses that differ."""
+    audit = repair.address_mismatches(_with_given(t), "title", "body", _PART_NAMES, ["doc_id"])
+    return audit.select("doc_id", "given_street", "given_house_number", "given_place", "title_street", "title_house_number", "title_house_number_suffix", "title_place", "chosen_street", "chosen_place")
+
+
 @query("""SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_name || ' | ' || p_brand ELSE p_name END AS names, 'kerkstr ' || p_size || ' B, 1234AB plaats' AS shown, split_part(p_brand, '-', 1) AS brand, p_name || '+' || p_brand AS parts FROM part""")
 def joined_names(t: Tables) -> DataFrame:
     """Lists without repeats whatever their case, shown addresses, prefixes."""

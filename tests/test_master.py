@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from noticeweave.functions import dates
-from noticeweave.operators import identity, master, matching, merge, metrics
+from noticeweave.operators import identity, master, matching, merge, metrics, records, repair
 
 
 def rows(df):
@@ -27,7 +27,7 @@ def test_master_rows_link_by_the_first_stage_and_share_relations(spark):
     pairs = lambda *p: spark.createDataFrame(list(p), "key string, rel string")
     found = master.master_rows(own, [("adres", pairs(("p1", "r1"), ("p1", "r1"), ("p1", "r2"))), ("naam", pairs(("p1", "r9"), ("p3", "r1")))], theirs, [("kvk", pairs(("m1", "r1"), ("m2", "r5")))], "key", "farm", "rel")
     got = rows(master.with_derived(found, ["key", "farm", "rel", "link_method", "title", "other"]).select("key", "farm", "rel", "link_method", "title", "other"))
-    assert got == sorted([("p1", "F1", "r1", "adres", "x", None), ("p1", "F1", "r2", "adres", "x", None), ("p2", "F2", None, "niet_gelinkt", "x", None), ("p3", "F0", "r1", "naam", "x", None), ("m1", "F0", "r1", "linked_via_rel", None, None), ("m2", "F9", "r5", "kvk", None, None), ("m3", "F7", None, "niet_gelinkt", None, None)], key=repr)
+    assert got == sorted([("p1", "F1", "r1", "adres", "x", None), ("p1", "F1", "r2", "adres", "x", None), ("p2", "F2", None, "niet_gelinkt", "x", None), ("p3", "F0", "r1", "naam", "x", None), ("m1", "F1", "r1", "linked_via_rel", None, None), ("m2", "F9", "r5", "kvk", None, None), ("m3", "F7", None, "niet_gelinkt", None, None)], key=repr)
     none = master.master_rows(own.limit(0), [("adres", pairs(("p1", "r1")))], theirs.limit(0), [("kvk", pairs(("m1", "r1")))], "key", "farm", "rel")
     assert none.count() == 0
 
@@ -67,3 +67,42 @@ def test_standard_columns_take_what_is_filled(spark):
         assert "q" in str(wrong)
     else:
         raise AssertionError
+
+
+def test_addresses_are_repaired_from_titles_where_they_are_doubtful(spark):
+    title = "Besluit, Dorpsstraat 5, 1234 ab te Plaats"
+    given = [("Kerkweg", "7", "", "", "Elders"), ("Kerkweg", None, "", "", "Elders"), ("Kerkweg", "7", "", "", "Elders"), ("dorpsstraat", "5", "", "1234 AB", "plaats"), ("nan", "", "", "", "")]
+    docs = [(i, title if i != 5 else None, "x Kerkweg 7 te Elders" if i == 2 else None, *g) for i, g in enumerate([*given, given[0]])]
+    df = spark.createDataFrame(docs, "id int, title string, body string, a string, b string, c string, d string, e string")
+    names = dict(zip(repair.PARTS, "abcde"))
+    own = ("Dorpsstraat", "5", "", "1234 AB", "Plaats")
+    repairs = repair.address_repairs(df, "id", "title", "body", names)
+    assert rows(repairs) == [(0, *own, 0.95), (1, *own, 0.95), (4, *own, 0.95)]
+    fixed = {r.id: (r.a, r.b, r.e) for r in repair.repaired(df, repairs, "id").collect()}
+    assert fixed == {0: ("Dorpsstraat", "5", "Plaats"), 1: ("Dorpsstraat", "5", "Plaats"), 2: ("Kerkweg", "7", "Elders"), 3: ("dorpsstraat", "5", "plaats"), 4: ("Dorpsstraat", "5", "Plaats"), 5: ("Kerkweg", "7", "Elders")}
+    audit = {r.id: (r.given_street, r.title_street, r.chosen_street) for r in repair.address_mismatches(df, "title", "body", names, ["id"]).collect()}
+    assert audit == {"0": ("Kerkweg", "Dorpsstraat", "Dorpsstraat"), "2": ("Kerkweg", "Dorpsstraat", "Kerkweg")}
+    assert repair.address_repairs(df.limit(0), "id", "title", "body", names).count() == 0
+
+
+def test_last_address_wins_and_sums_by_stage(spark):
+    animals = spark.createDataFrame([("r1", 1), ("r2", 2), ("r9", 3), (None, 4)], "rel string, n int")
+    addresses = spark.createDataFrame([("r1", "old", 1), ("r1", "new", 2), ("r2", None, 3), ("", "x", 4)], "rel string, street string, line int")
+    assert rows(records.combined(animals, addresses, "rel", "line")) == [("r1", 1, "new"), ("r2", 2, "")]
+    assert rows(records.combined(animals, addresses, "rel", "line", missing=True)) == sorted([("r1", 1, "new"), ("r2", 2, ""), ("r9", 3, ""), (None, 4, "")], key=repr)
+    df = spark.createDataFrame([("pigs", "draft", 2), ("pigs", "final", 3), ("pigs", "final", 4), ("hens", "other", 9), ("x", "final", 1)], "c string, s string, n long")
+    assert rows(metrics.by_stage(df, "c", "s", "n", ["pigs", "hens", "goats"], ["final", "draft"])) == [("goats", 0, 0), ("hens", 0, 0), ("pigs", 7, 2)]
+
+
+def test_inputs_are_found(spark, tmp_path):
+    from noticeweave.sources import files
+
+    for name in ("2024_01_02", "2025_01_01", "data"):
+        (tmp_path / name).mkdir()
+    assert files.first_existing(spark, [f"{tmp_path}/none", f"{tmp_path}/2*", f"{tmp_path}/data"]).endswith("2025_01_01")
+    assert files.since_clause("a=b", "2024-01-01") == "(a=b) AND dt.available>=2024-01-01" and files.since_clause("a=b", None) == "a=b"
+    try:
+        files.first_existing(spark, [f"{tmp_path}/none"])
+    except FileNotFoundError:
+        return
+    raise AssertionError("nothing was there")
