@@ -26,21 +26,36 @@ def address_keys(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", address.address_key(*parts).alias("address_key"), address.match_key(*parts).alias("match_key"))
 
 
+#: Streets and places as two registers write them; numbers are shared by twenty addresses of one and two of the other.
+WRITTEN = [("Oude Weg", "Sint Anna"), ("Dorpsstraat", "Baak gld"), ("dr. Kuyperlaan", "Den Ham"), ("Yssel weg", "Zutphen"), ("Kerkdijk", "Anna")]
+REGISTERED = [("oude wg.", "St. Anna"), ("Dorpsstr", "Baak"), ("Kuyperlaan", "Ham"), ("IJssel wg", "Zutphen"), ("Kerkdk", "Anna"), ("Oude Weg", "Anna"), ("Kerk-dijk", "Anna"), ("Dorpsstraat", "Baak (Gld)"), ("Kerkdijk", "Anna")]
+#: Which of them are one address by all spellings of both sides, and by one key of the left against all of the right, with the street and place of their first shared key.
+SAME = [(0, 0, "oude weg", "sint anna"), (1, 7, "dorpsstraat", "baak"), (2, 2, "kuyperlaan", "ham"), (3, 3, "ijssel weg", "zutphen"), (4, 8, "kerkdijk", "anna")]
+SAME_KEY = [(0, 0, "oude weg", "sint anna"), (4, 8, "kerkdijk", "anna")]
+
+
 def _addresses(t: Tables) -> tuple[DataFrame, DataFrame, list, list]:
-    """Customers and suppliers at addresses of two spellings, one for each number."""
-    left = t.customer.select("c_custkey", _text("c_custkey").alias("nr"))
-    right = t.supplier.select("s_suppkey", _text("s_suppkey").alias("nr"))
-    return left, right, [F.lit("Oude Weg"), F.col("nr"), F.lit(""), F.lit("1234 AB"), F.lit("Sint Anna")], [F.lit("oude wg."), F.col("nr"), F.lit(""), F.lit("1234ab"), F.lit("St. Anna")]
+    """Customers and suppliers with their addresses' parts."""
+    written = lambda key, forms, i: F.element_at(F.array(*[F.lit(f[i]) for f in forms]), (F.col(key) % len(forms) + 1).cast("int"))
+    left = t.customer.select("c_custkey", F.floor(F.col("c_custkey") / 20).cast("string").alias("nr"), written("c_custkey", WRITTEN, 0).alias("street"), written("c_custkey", WRITTEN, 1).alias("place"))
+    right = t.supplier.select("s_suppkey", F.floor(F.col("s_suppkey") / 2).cast("string").alias("nr"), written("s_suppkey", REGISTERED, 0).alias("street"), written("s_suppkey", REGISTERED, 1).alias("place"))
+    return left, right, [F.col("street"), F.col("nr"), F.lit(""), F.lit("1234 AB"), F.col("place")], [F.col("street"), F.col("nr"), F.lit(""), F.lit("1234ab"), F.col("place")]
+
+
+def _candidates_sql(same: list[tuple]) -> str:
+    pairs = ", ".join(f"({i}, {j}, '{street}', '{place}')" for i, j, street, place in same)
+    return f"""SELECT c_custkey, s_suppkey, street || '|' || (s_suppkey // 2) || '||1234AB|' || place AS key FROM customer JOIN supplier ON c_custkey // 20 = s_suppkey // 2
+  JOIN (VALUES {pairs}) same(l, r, street, place) ON l = c_custkey % {len(WRITTEN)} AND r = s_suppkey % {len(REGISTERED)}"""
 
 
-@query("SELECT c_custkey, s_suppkey, 'oude weg|' || c_custkey || '||1234AB|sint anna' AS key FROM customer JOIN supplier ON c_custkey = s_suppkey")
+@query(_candidates_sql(SAME))
 def address_candidates(t: Tables) -> DataFrame:
-    """J02 and X02 by F10, F11 and F12: both sides by all spellings."""
+    """J02 and X02 by F10, F11 and F12: both sides by all spellings; most pairs at a number are different addresses."""
     left, right, a, b = _addresses(t)
     return matching.variant_join(left, right, "c_custkey", "s_suppkey", address.variant_keys(*a), address.variant_keys(*b))
 
 
-@query("SELECT c_custkey, s_suppkey, 'oude weg|' || c_custkey || '||1234AB|sint anna' AS key FROM customer JOIN supplier ON c_custkey = s_suppkey")
+@query(_candidates_sql(SAME_KEY))
 def canonical_candidates(t: Tables) -> DataFrame:
     """One key of the left side against all spellings of the right side's address keys."""
     left, right, a, b = _addresses(t)
