@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from noticeweave.llm.words import mix
 from noticeweave.operators.components import connected_components
 from noticeweave.operators.durable import durable
 
@@ -70,7 +71,7 @@ def _matrix(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _buckets(tables: int, seed: int):
-    names = ["bucket", "id", "home", "bits1", "bits2"]
+    names = ["dim", "bucket", "id", "home", "bits1", "bits2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,8 +87,8 @@ def _buckets(tables: int, seed: int):
                 for t in range(count):
                     (a1, a2), (b1, b2) = _axes(next(turned)), _axes(next(turned))
                     for home, a, b in ((True, a1, b1), (False, a2, b1), (False, a1, b2), (False, a2, b2)):
-                        bucket = ((x.shape[1] * 64 + t) << 44) | (a << 22) | b
-                        yield pa.RecordBatch.from_arrays([pa.array(bucket), ids, pa.array([home] * len(x)), pa.array(sketch[0]), pa.array(sketch[1])], names=names)
+                        bucket = mix(mix(a.astype(np.uint64) * np.uint64(64) + np.uint64(t)) + b.astype(np.uint64)).view(np.int64)  # any dimension; buckets that meet by chance are told apart by the check of their pairs
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), x.shape[1], np.int32)), pa.array(bucket), ids, pa.array([home] * len(x)), pa.array(sketch[0]), pa.array(sketch[1])], names=names)
 
     return run
 
@@ -97,7 +98,7 @@ def _close(threshold: float):
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
             other = {len(y[0]): (rows, y) for rows, y in _matrix(batch.column("y"))}
-            for rows, x in _matrix(batch.column("x")):  # the bucket holds the length, so x and y agree in it
+            for rows, x in _matrix(batch.column("x")):  # only vectors of one length meet
                 keep[rows] = np.einsum("ij,ij->i", x, other[x.shape[1]][1]) >= threshold
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
@@ -117,16 +118,15 @@ def near_copies(vectors: DataFrame, threshold: float = 0.95, tables: int = TABLE
     # Adding 0.0 turns a negative zero into zero, so equal vectors have equal bytes.
     keyed = rows.where("sound").select("vec_id", F.transform("embedding", lambda v: v + F.lit(0.0)).alias("embedding"))
     keyed = keyed.withColumns({"key": F.xxhash64("embedding"), "key2": F.xxhash64(F.lit(1), "embedding")})
-    classes = durable(keyed.groupBy("key", "key2").agg(F.count("*").alias("n"), F.min("vec_id").alias("least"), F.any_value("embedding").alias("embedding")), "classes")
-    # 124 bits of the two hashes.
-    classes = classes.withColumn("id", F.expr("cast(cast(key AS decimal(20,0)) * 1152921504606846976 + (key2 & 1152921504606846975) AS decimal(38,0))"))
+    classes = keyed.groupBy("key", "key2").agg(F.count("*").alias("n"), F.min("vec_id").alias("least"), F.any_value("embedding").alias("embedding"))
+    classes = durable(classes.withColumn("id", F.monotonically_increasing_id()), "classes")  # the numbers are fixed by the files
 
-    met = classes.select("id", "embedding").mapInArrow(_buckets(tables, seed), "bucket long, id decimal(38,0), home boolean, bits1 long, bits2 long")
+    met = classes.select("id", "embedding").mapInArrow(_buckets(tables, seed), "dim int, bucket long, id long, home boolean, bits1 long, bits2 long")
     met = durable(met, "buckets")
-    near = f"h.bucket = p.bucket AND h.id <> p.id AND (shiftright(h.bucket, 50) < {LOW} OR bit_count(h.bits1 ^ p.bits1) + bit_count(h.bits2 ^ p.bits2) <= {FAR})"
+    near = f"h.bucket = p.bucket AND h.dim = p.dim AND h.id <> p.id AND (h.dim < {LOW} OR bit_count(h.bits1 ^ p.bits1) + bit_count(h.bits2 ^ p.bits2) <= {FAR})"
     pairs = met.where("home").alias("h").join(met.alias("p"), F.expr(near)).select(F.expr("least(h.id, p.id)").alias("a"), F.expr("greatest(h.id, p.id)").alias("b")).distinct()
     full = pairs.join(classes.select(F.col("id").alias("a"), F.col("embedding").alias("x")), "a").join(classes.select(F.col("id").alias("b"), F.col("embedding").alias("y")), "b")
-    links = durable(full.select("a", "b", "x", "y").mapInArrow(_close(threshold), "a decimal(38,0), b decimal(38,0)"), "links")
+    links = durable(full.select("a", "b", "x", "y").mapInArrow(_close(threshold), "a long, b long"), "links")
 
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     sizes = classes.select("id", "n")

@@ -675,3 +675,14 @@ def test_operators_against_duckdb(spark):
         columns = sorted(mine.columns)
         theirs = duck.execute(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall()
         assert collections.Counter(tuple(r) for r in mine.select(*columns).collect()) == collections.Counter(theirs), name
+
+
+def test_embeddings_of_many_dimensions(spark):
+    draw = np.random.default_rng(8)
+    rows = []
+    for size in (8192, 65536):
+        v = draw.normal(0, 1, size)
+        rows += [v, v + draw.normal(0, 0.1, size), draw.normal(0, 1, size)]
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_copies(df).collect()}
+    assert found == {0: (1, 0), 1: (1, 0), 2: (0, 2), 3: (1, 3), 4: (1, 3), 5: (0, 5)}
