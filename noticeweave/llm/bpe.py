@@ -177,7 +177,8 @@ def codec(path: str, pattern: str) -> BytePairCodec:
 def encode_decode(docs: DataFrame, vocabulary: str | None = None, pattern: str = public_tokenizers.PATTERN, keep: list[str] | None = None, with_ids: bool = True) -> DataFrame:
     """The columns keep (all but text if None) of docs, and ids (binary, little-endian 32 bits; if with_ids), n_tokens, ids_sha256 and
     decoded_sha256. Null texts are empty: no ids. Every row gives one row, whatever repeats; columns of docs named like a new one are
-    replaced. vocabulary is a file of ranks that every executor can read (a package file by default)."""
+    replaced. Long texts are encoded whole; a single piece without a break takes about 200 bytes of memory a byte. An empty table gives an empty
+    one. vocabulary is a file of ranks that every executor can read (a package file by default)."""
     vocabulary = vocabulary or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     made = ["ids", "n_tokens", "ids_sha256", "decoded_sha256"]
     kept = [c for c in (keep if keep is not None else docs.columns) if c not in made and (c != "text" or keep)]

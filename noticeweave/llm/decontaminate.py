@@ -87,6 +87,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items with such runs, items_sha256 is the digest of their ids, sorted as strings and comma-joined. Null and empty texts have no
     words and no hits. Rows that repeat a doc_id are judged by their own texts; the ids may be null. Benchmark rows without id or
     words are nothing to look for; an empty benchmark hits nothing. Columns of these names in docs are replaced.
+    Long texts are compared whole; a task holds one text's words. An empty table gives an empty one.
     """
     made = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     kept = [c for c in docs.columns if c not in made]

@@ -277,7 +277,8 @@ def jaccard_components(docs: DataFrame, k: int = 5) -> DataFrame:
     Null and empty texts, and texts of separators only, have no shingles and are linked with nothing. Texts with equal sets are
     linked. Rows that repeat a doc_id give a row each, with the component of their own text. A null doc_id keeps its row with the
     component that its text gives, null if no other doc_id is in reach. Other columns of docs are ignored. What comes out are components,
-    not pairs: inside a component only the pairs that tie it together have been compared.
+    not pairs: inside a component only the pairs that tie it together have been compared. A long text has all of its shingles; an empty table
+    gives an empty result.
     """
     profile, classes = similar_sets(docs, k)
     least = profile.where("signature IS NOT NULL").groupBy("signature").agg(F.min("doc_id").alias("doc_id"))

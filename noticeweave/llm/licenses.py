@@ -161,7 +161,8 @@ def scan(docs: DataFrame, phrases: list[tuple[str, str]] = PHRASES, notices: lis
     score (the largest cover of a template, 0 to 1).
 
     Null and empty texts have no words. Rows that repeat a doc_id are judged by their own texts; null ids stay. Overlapping places
-    of one phrase count each. Other columns are ignored.
+    of one phrase count each. Long texts are read whole, a stretch at a time. Other columns are ignored, also those named like the result's. An
+    empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = spans(docs, phrases, notices).distinct().groupBy("doc_id", "digest").agg(

@@ -290,6 +290,7 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> D
     judged by a model of all. A null language is one of its own. Rejected (keep false) are texts above the threshold and texts that are null or
     empty; texts of languages without trusted text are kept, with null perplexity, and so are those of languages whose trusted texts are all in
     one half (such as a single one), with a null threshold. Without labels everything but empty texts stays. Rows that repeat are judged alike.
+    Long texts are scored whole, in a block of their own. An empty table gives an empty one.
     """
     made = ["perplexity", "threshold", "keep"]
     rest = [c for c in docs.columns if c not in (*made, "lang", "text")]

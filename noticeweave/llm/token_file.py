@@ -266,6 +266,6 @@ def read_tokens(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
 
 def token_round_trip(docs: DataFrame, with_ids: bool = False) -> DataFrame:
     """Token files of docs (doc_id, text) in the shared folder, read back. A row a document, repeats included; null and empty texts
-    have the end id alone."""
+    have the end id alone. Long texts are encoded whole, in segments. Other columns are not read; an empty table gives an empty result."""
     manifest = durable(write_tokens(docs, new_folder(docs.sparkSession, "tokens")), "tokens-manifest")
     return read_tokens(manifest, with_ids)

@@ -87,7 +87,8 @@ def judge(pages: DataFrame, rules: DataFrame, links: DataFrame | None = None) ->
     """A row for each of pages (page_id, url, html): page_id, host, path, rule (null if none fits), verdict, by_alias.
 
     links (url, other) are further redirects, such as a crawl's. Null urls and those without :// have empty host and path and are
-    allowed. Rows that repeat a url are judged alike. An empty rule list allows everything. Other columns are ignored.
+    allowed. Rows that repeat a url are judged alike. An empty rule list allows everything. Other columns are ignored, also
+    those named like the result's. Long pages are searched whole for links. An empty table gives an empty result.
     """
     spread = aliases(pages).where("other IS NOT NULL")
     if links is not None:

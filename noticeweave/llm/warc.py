@@ -135,7 +135,8 @@ def read_archives(manifest: DataFrame, payload: bool = True) -> DataFrame:
 
 def round_trip(pages: DataFrame, payload: bool = False) -> DataFrame:
     """Archives of pages (page_id, url, html), read back: page_id, url, payload_bytes, payload_digest, record_type, refers_to, and the
-    payloads if wanted. One row a page, repeats included; null html is an empty payload; null ids and urls stay null."""
+    payloads if wanted. One row a page, repeats included; null html is an empty payload; null ids and urls stay null. Long
+    payloads are written and read whole; other columns are not read; an empty table gives an empty result."""
     folder = new_folder(pages.sparkSession, "warc")
     manifest = durable(write_archives(revisits(pages), folder), "warc-manifest")
     return read_archives(manifest.repartition(max(1, manifest.count())), payload)
