@@ -11,9 +11,11 @@ pages that have an article or main element are trained on too, labelled by that
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
 
 import numpy as np
@@ -189,6 +191,7 @@ def marked_main(place: Place) -> bool:
     return place.element is not None and place.element.inside and not place.element.apart
 
 
+@lru_cache(50_000)
 def _hash(word: str, size: int) -> tuple[list[int], np.ndarray]:
     """Two places of a word and their signs: words that share one place differ in the other."""
     h, k = zlib.crc32(word.encode()), zlib.crc32(word.encode(), 0x5BD1E995)
@@ -260,19 +263,19 @@ def shape(page: list[tuple[Place, str]], sizes: np.ndarray) -> np.ndarray:
             like.setdefault((id(chain[1]), chain[0].tag), set()).add(id(chain[0]))
     best = max((k for k in text if k[0] == 0), key=lambda k: text[k], default=(0, 0))
     depth = next((chain[0].depth for chain in above if chain[0] is not None and id(chain[0]) == best[1]), 0)
-    out = np.zeros((n, SHAPE), np.float32)
+    rows = []
     for i, ((place, _), chain, size) in enumerate(zip(page, above, sizes.tolist())):
         keys = [(level, id(element)) for level, element in enumerate(chain)]
         row = []
         for key in keys:
-            row += [np.log1p(text[key]) / 6, np.log1p(count[key]) / 3, text[key] / whole, links[key] / max(1.0, text[key])]
+            row += [math.log1p(text[key]) / 6, math.log1p(count[key]) / 3, text[key] / whole, links[key] / max(1.0, text[key])]
         for j in (i - 1, i + 1):
             for level in (0, 1):
                 row.append(float(0 <= j < n and above[j][level] is chain[level]))
-        row += [float(keys[0] == best), text[keys[0]] / text[best], (i + 0.5) / n, np.log1p(len(like.get((id(chain[1]), chain[0].tag), ()))) / 2 if chain[0] is not None else 0.0]
-        row += [size * count[keys[0]] / max(1.0, text[keys[0]]) / 2, float(np.clip(((chain[0].depth if chain[0] is not None else 0) - depth) / 4, -1, 1))]
-        out[i] = row
-    return out
+        row += [float(keys[0] == best), text[keys[0]] / text[best], (i + 0.5) / n, math.log1p(len(like.get((id(chain[1]), chain[0].tag), ()))) / 2 if chain[0] is not None else 0.0]
+        row += [size * count[keys[0]] / max(1.0, text[keys[0]]) / 2, min(1.0, max(-1.0, ((chain[0].depth if chain[0] is not None else 0) - depth) / 4))]
+        rows.append(row)
+    return np.array(rows, np.float32).reshape(n, SHAPE)
 
 
 def features(pages: list[list[tuple[Place, str]]]) -> list[np.ndarray]:
