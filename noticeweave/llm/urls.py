@@ -17,8 +17,8 @@ from noticeweave.operators.durable import durable
 URL_RULES = [
     ("com", "/en/", "block"),
     ("example.com", "/en/7", "allow"),
-    ("net", "/de/", "block"),
-    ("example.net", "/de/8", "allow"),
+    ("net", "/de/", "allow"),
+    ("example.net", "/de/8", "block"),
     ("org", "/es/", "block"),
 ]
 

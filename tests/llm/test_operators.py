@@ -547,6 +547,20 @@ def test_urls_against_plain_python_and_duckdb(spark, tmp_path):
     assert collections.Counter(duck.execute(f"SELECT {', '.join(columns)} FROM ({registry.ORACLES['op9_url_filter']})").fetchall()) == expected
 
 
+def test_url_rules_of_the_contract(spark, tmp_path):
+    import duckdb
+
+    from noticeweave.llm import registry
+
+    urls_of = {"http://com/en/": ("com/en/", "block"), "http://a.example.com/en/77": ("example.com/en/7", "allow"), "http://b.net/de/1": ("net/de/", "allow"), "http://example.net/de/7": ("net/de/", "allow"), "http://a.example.net/de/8/z": ("example.net/de/8", "block"), "http://k.org/es/q": ("org/es/", "block")}
+    spark.createDataFrame([(i, url, "") for i, url in enumerate(urls_of)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    expected = collections.Counter((i, *told) for i, told in enumerate(urls_of.values()))
+    assert bag(registry.QUERIES["op9_url_filter"](spark, str(tmp_path)), "page_id", "rule", "verdict") == expected
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert collections.Counter(duck.execute(f"SELECT page_id, rule, verdict FROM ({registry.ORACLES['op9_url_filter']})").fetchall()) == expected
+
+
 def test_warc(spark):
     big = "é" * 600
     rows = [(1, "u", big), (2, "v", big), (3, None, "small"), (4, "w", "small"), (5, "x", None), (6, "y", ""), (7, "line\r\nbreak", "z" * 1000), (2, "v", big), (None, "n", big), (8, "t", "Z" * 999), (9, "t", "Z" * 999)]
