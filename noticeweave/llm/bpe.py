@@ -25,6 +25,8 @@ from noticeweave.llm.memory import settling
 
 #: Pieces and pairs of tokens remembered per worker; when full they are forgotten.
 PIECES, PAIRS = 50_000, 200_000
+#: Bytes of text encoded and decoded at a time; decoding takes many times that in arrays. A longer text is taken alone.
+CHUNK = 1 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -35,6 +37,8 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class BytePairCodec(SegmentIds):
     """Ids of texts by ranks. Each distinct segment is encoded once if the pattern lets texts be cut into such (see chunks)."""
 
+    chunk = CHUNK
+
     def __init__(self, path: str, pattern: str):
         self.cut = pattern == public_tokenizers.PATTERN
         self.ranks = load_ranks(path)
@@ -54,6 +58,11 @@ class BytePairCodec(SegmentIds):
         self._halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         super().__init__(self._new)
 
+    def rest(self) -> None:
+        """Forgets what it has met in texts; what follows from the vocabulary stays."""
+        self.forget()
+        self._known, self._compatible = {}, {}
+
     def merges(self, data: bytes) -> list[bytes]:
         """The parts of a short byte string after all merges, lowest rank first, leftmost first."""
         parts = [data[i : i + 1] for i in range(len(data))]
@@ -190,15 +199,18 @@ def encode_decode(docs: DataFrame, vocabulary: str | None = None, pattern: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary, pattern)
-        for batch in batches:
-            for first, ids, at in own.batch(batch.column(0)):
-                data, begins = own.decoded(ids)
-                code, at = ids.astype("<u4"), at.tolist()
-                spans = list(zip(at, at[1:]))
-                digest = [hashlib.sha256(code[x:y]).hexdigest() for x, y in spans]
-                decoded = [hashlib.sha256(data[begins[x] : begins[y]]).hexdigest() for x, y in spans]
-                new = [pa.array([code[x:y].tobytes() for x, y in spans], pa.binary())] if with_ids else []
-                new += [pa.array([y - x for x, y in spans], pa.int64()), pa.array(digest, pa.string()), pa.array(decoded, pa.string())]
-                yield pa.RecordBatch.from_arrays([*batch.slice(first, len(spans)).columns[1:], *new], names=schema.names)
+        try:
+            for batch in batches:
+                for first, ids, at in own.batch(batch.column(0)):
+                    data, begins = own.decoded(ids)
+                    code, at = ids.astype("<u4"), at.tolist()
+                    spans = list(zip(at, at[1:]))
+                    digest = [hashlib.sha256(code[x:y]).hexdigest() for x, y in spans]
+                    decoded = [hashlib.sha256(data[begins[x] : begins[y]]).hexdigest() for x, y in spans]
+                    new = [pa.array([code[x:y].tobytes() for x, y in spans], pa.binary())] if with_ids else []
+                    new += [pa.array([y - x for x, y in spans], pa.int64()), pa.array(digest, pa.string()), pa.array(decoded, pa.string())]
+                    yield pa.RecordBatch.from_arrays([*batch.slice(first, len(spans)).columns[1:], *new], names=schema.names)
+        finally:  # the worker lives on and has other work to do
+            own.rest()
 
     return frame.mapInArrow(settling(run), schema)

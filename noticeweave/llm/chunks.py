@@ -70,6 +70,9 @@ def segment_borders(data: np.ndarray, at: np.ndarray) -> np.ndarray:
 class SegmentIds:
     """The ids of segments, looked up and remembered; encode(list of segments) gives the ids of new ones and how many each has."""
 
+    #: Bytes of text cut at a time; a longer text is cut alone.
+    chunk = CHUNK
+
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         self.look_up = encode
         self.forget()
@@ -102,7 +105,7 @@ class SegmentIds:
         data, at = text_bytes(column)
         first = 0
         while first < len(at) - 1:
-            last = max(first + 1, int(np.searchsorted(at, at[first] + CHUNK, "right")) - 1)
+            last = max(first + 1, int(np.searchsorted(at, at[first] + self.chunk, "right")) - 1)
             yield first, *self._stretch(data[at[first] : at[last]], at[first : last + 1] - at[first])
             first = last
 

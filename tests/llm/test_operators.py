@@ -130,6 +130,34 @@ def test_bpe(docs, none, rows):
     assert bpe.encode_decode(none).count() == 0
 
 
+def test_bpe_workers_keep_and_take_little_memory(spark):
+    import tracemalloc
+
+    texts = [" ".join(f"word{i * 50 + j}" for j in range(50)) for i in range(8000)]  # about 4 MB
+    bpe.encode_decode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), with_ids=False).collect()
+
+    def remembered(batches):  # in the same workers
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [sum(len(c.known) + len(c._known) + len(c._compatible) for c in bpe._codecs.values())] * batch.num_rows})
+
+    assert {r["n"] for r in spark.range(0, 64, 1, 16).mapInArrow(remembered, "n long").collect()} == {0}
+
+    own = bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    tracemalloc.start()
+    try:
+        size = n = 0
+        for _, ids, at in own.batch(pa.array(texts)):
+            own.forget()
+            tracemalloc.reset_peak()
+            before = tracemalloc.get_traced_memory()[0]
+            size, n = size + len(own.decoded(ids)[0]), n + len(at) - 1
+            assert tracemalloc.get_traced_memory()[1] - before < 64 << 20
+    finally:
+        tracemalloc.stop()
+        own.rest()
+    assert (size, n) == (sum(map(len, texts)), len(texts))
+
+
 def test_bpe_and_token_encoder_on_odd_texts():
     signs = [" ", " ", "  ", "\n", "\t", " ", "a", "the", "'s", "'ll", "É", "漢字", "🙂", "12", "!", "$$", ".", ",", "<|endoftext|>", "\x85", "\u3000", "\xa0", "\u2028", "\r\n", "\x1c", "Straße", "×", "don't"]
     some = ["".join(R.choice(signs) for _ in range(R.randint(0, 25))) for _ in range(3000)] + ["x" * 20000, " " * 999, "ab" * 9000]
