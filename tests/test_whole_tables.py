@@ -3,6 +3,9 @@
 import collections
 import random
 
+from pyspark.sql import functions as F
+
+from noticeweave.operators import matching
 from noticeweave.plans.catalog import QUERIES
 
 
@@ -59,3 +62,39 @@ def test_variant_key_match_all_uses_every_part(spark, tmp_path):
     found = QUERIES["variant_key_match_all"](spark, str(tmp_path))
     assert found.columns == ["p_partkey", "other", "key"]
     assert collections.Counter(tuple(r) for r in found.collect()) == expected and len(expected) > 300
+
+
+def variant_pairs(rows, sized):
+    """{(p_partkey, other, key): rows} of parts (p_partkey, p_name, p_brand, p_size) by comparing all with all."""
+    keys = lambda name, size, i: {k + (f"|{size}" if sized else "") for k in {name, (name.split(" ") + [""])[i], name[:6]} - {""}} if name else set()
+    return collections.Counter((a, b, min(both)) for a, x, m, s in rows for b, y, n, t in rows if m and n and m != n and (both := keys(x, s, 0) & keys(y, t, 1)))
+
+
+def made_before_last_exchange(df):
+    """Whether a row a pair goes through a shuffle: no lists are exploded above the last exchange."""
+    return "Generate explode" not in df._jdf.queryExecution().executedPlan().toString().split("Exchange")[0]
+
+
+def test_variant_key_match_all_makes_pairs_behind_the_last_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(matching, "BLOCK", 7, raising=False)
+    draw = random.Random(6)
+    rows = [(i, draw.choice(["large ring"] * 9 + ["ring large", "large", "hot red", "red hot", None, ""]), f"Brand#{draw.randrange(4)}", draw.randrange(3)) for i in range(150)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    found = QUERIES["variant_key_match_all"](spark, str(tmp_path))
+    assert not made_before_last_exchange(found)
+    expected = variant_pairs(rows, False)
+    assert collections.Counter(tuple(r) for r in found.collect()) == expected and len(expected) > 5000
+
+
+def test_variant_join_of_ids_on_several_rows(spark, monkeypatch):
+    monkeypatch.setattr(matching, "BLOCK", 3, raising=False)
+    draw = random.Random(7)
+    make = lambda: [(draw.randrange(30), [draw.choice(["a", "b", "c", "d", "", None]) for _ in range(draw.randrange(4))]) for _ in range(60)] + [(None, ["a"]), (31, None)]
+    left, right = make(), make()
+    expected = {}
+    for x, ks in left:
+        for y, ls in right:
+            for k in {*(ks or [])} & {*(ls or [])} - {"", None}:
+                expected[x, y] = min(k, expected.get((x, y), k))
+    found = matching.variant_join(spark.createDataFrame(left, "x long, k array<string>"), spark.createDataFrame(right, "y long, k array<string>"), "x", "y", F.col("k"), F.col("k"))
+    assert found.columns == ["x", "y", "key"] and sorted(map(repr, map(tuple, found.collect()))) == sorted(repr((*pair, k)) for pair, k in expected.items())
