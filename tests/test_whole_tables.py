@@ -98,3 +98,14 @@ def test_variant_join_of_ids_on_several_rows(spark, monkeypatch):
                 expected[x, y] = min(k, expected.get((x, y), k))
     found = matching.variant_join(spark.createDataFrame(left, "x long, k array<string>"), spark.createDataFrame(right, "y long, k array<string>"), "x", "y", F.col("k"), F.col("k"))
     assert found.columns == ["x", "y", "key"] and sorted(map(repr, map(tuple, found.collect()))) == sorted(repr((*pair, k)) for pair, k in expected.items())
+
+
+def test_variant_key_match_makes_pairs_behind_the_last_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(matching, "BLOCK", 5, raising=False)
+    draw = random.Random(8)
+    rows = [(i, draw.choice(["small ring", "small bolt", "ring small", "small", "hot red"]), draw.choice(["Brand#1", "Brand#2", None]), draw.choice([1, 2, 11, None])) for i in range(200)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    found = QUERIES["variant_key_match"](spark, str(tmp_path))
+    assert not made_before_last_exchange(found)
+    expected = variant_pairs([r for r in rows if r[3] is not None], True)
+    assert collections.Counter(tuple(r) for r in found.collect()) == expected and len(expected) > 500
