@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from noticeweave.functions.text import FOLDED_LETTERS, fold, text
 
 #: What the letter table of fold() covers: ASCII and its letters in both cases.
-_SIMPLE = "^[\\t-\\r\\x20-\\x7e" + "".join(sorted({c for letter in FOLDED_LETTERS for c in (letter, letter.upper()) if len(c) == 1})) + "]*$"
+_SIMPLE = "^[\\t-\\r\\x20-\\x7e" + "".join(sorted({c for letter in FOLDED_LETTERS for c in (letter, letter.upper()) if len(c) == 1})) + "]*\\z"
 
 
 def folded(value: str) -> str:
@@ -24,7 +24,7 @@ def _decomposed(values: pa.Array) -> pa.Array:
 
 
 def fold_all(c: Column | str) -> Column:
-    """folded() of a column; null is empty. Texts that the letter table covers stay in the JVM, only others are sent to Python."""
-    own = F.regexp_replace(text(c), r"^[\t-\r ]+|[\t-\r ]+$", "")
-    simple = own.rlike(_SIMPLE)
-    return F.when(simple, fold(own)).otherwise(F.arrow_udf(_decomposed, "string")(F.when(~simple, own)))
+    """folded() of a column; null is empty. Texts that the letter table covers stay in the JVM, only others are sent to Python, whose null
+    tells them apart."""
+    own = F.btrim(text(c), F.lit("\t\n\x0b\x0c\r "))
+    return F.coalesce(F.arrow_udf(_decomposed, "string")(F.when(~own.rlike(_SIMPLE), own)), fold(own))

@@ -6,11 +6,13 @@ import random
 import time
 import unicodedata
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from noticeweave.functions import text, unicode
-from noticeweave.plans.catalog import QUERIES
+from noticeweave.plans.catalog import ORACLES, QUERIES
+from noticeweave.plans.texts import ODD
 from noticeweave.sources import files, tags
 
 FOLDER = "/root/testdata/sf0.001"
@@ -128,3 +130,20 @@ def test_placed_counts_by_ranges(spark):
 
 def test_file_name_has_no_query(spark):
     assert spark.range(1).select(text.file_name(F.lit("https://x/y/%C3%A9%zz+a.pdf?b=c/d.pdf"))).first()[0] == "zz_a.pdf"
+
+
+def test_folded_texts_keep_what_the_sql_keeps_at_their_ends(spark, tmp_path):
+    texts = ["", " ", "\n", "\n a\n", "\t", "a\t\n", "é\n ", "\u00a0a\u3000", "|", "|a|\n|", "É", "\u2003\u00a0ß\t"]
+    rows = [(i, t) for i, t in enumerate(x for x in texts for _ in ODD)] + [(999, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    found = [tuple(r) for r in QUERIES["folded_texts"](spark, str(tmp_path)).orderBy("doc_id").collect()]
+    assert found == duck.execute(f"{ORACLES['folded_texts']} ORDER BY doc_id").fetchall() and len(found) == len(texts) * len(ODD)
+    assert found[0][1] == " fi2" and found[23][1] == "\n a\n"
+
+
+def test_fold_all_at_ends_that_only_python_strips(spark):
+    odd = ["a\u2028", "a \x85", "\u2029", "\x85a\x1f", " \na\r\n", "a\u2028\n", "é\u2028"]
+    df = spark.createDataFrame(list(enumerate(odd)), "i int, v string")
+    assert [r[0] for r in df.orderBy("i").select(unicode.fold_all("v")).collect()] == [unicode.folded(v) for v in odd]
