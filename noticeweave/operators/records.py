@@ -62,6 +62,15 @@ def first_of_group(df: DataFrame, keys: list[str], order: str, sums: list[str])
     return df.groupBy(*keys).agg(row, *[F.sum(c).alias(c) for c in sums]).select(*keys, *[F.col("__row")[c].alias(c) for c in rest], *sums)
 
 
+def running_sum(value: str, keys: list[str], order: str) -> list[Column]:
+    """sum and place: each row's place in its group, in an order, and the values added up to it one by one. A sum of doubles depends on the order
+    in which they are added; the sum at a group's last place is the same however the rows are partitioned, and no group is held in memory."""
+    from pyspark.sql import Window
+
+    rows = Window.partitionBy(*keys).orderBy(order, value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return [F.sum(value).over(rows).alias("sum"), F.row_number().over(rows).alias("place")]
+
+
 def whole_number(c: Column | str) -> Column:
     """A sum as text: without decimals if it is whole."""
     value = F.col(c) if isinstance(c, str) else c

@@ -109,3 +109,17 @@ def test_variant_key_match_makes_pairs_behind_the_last_shuffle(spark, tmp_path,
     assert not made_before_last_exchange(found)
     expected = variant_pairs([r for r in rows if r[3] is not None], True)
     assert collections.Counter(tuple(r) for r in found.collect()) == expected and len(expected) > 500
+
+
+def test_summary_by_entity_adds_in_the_order_of_rows(spark, tmp_path):
+    draw = random.Random(9)
+    rows = [(i, i % 40, draw.choice([1e16, -1e16, 1.0, 0.5, 3.25, 2.5, None]), draw.choice(["1-URGENT", "5-LOW", "2-HIGH"])) for i in range(1200)]
+    rows += [(2000, 50, 0.5, "5-LOW"), (2001, 50, 2.0, "5-LOW"), (2002, 51, None, "5-LOW"), (2003, None, 1.5, "2-HIGH")]
+    df = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string")
+    df.repartition(7).write.parquet(f"{tmp_path}/orders.parquet")
+    expected = {}
+    for _, k, price, priority in rows:
+        total, keys = expected.get(k, (None, set()))
+        expected[k] = (total if price is None else (total or 0.0) + price, keys | {priority})
+    found = {r.o_custkey: (r.total, r["keys"]) for r in QUERIES["summary_by_entity"](spark, str(tmp_path)).collect()}
+    assert found == {k: (None if total is None else str(int(round(total))), ";".join(sorted(keys))) for k, (total, keys) in expected.items()}
